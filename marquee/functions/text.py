@@ -31,19 +31,25 @@ def strip(c: Column | str) -> Column:
     return F.regexp_replace(c, STRIP_PATTERN, "")
 
 
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def nullify_tokens(df: DataFrame, tokens: Iterable[str] | None = PANDAS_NULL_TOKENS,
                    columns: Iterable[str] | None = None) -> DataFrame:
     """Turn exact (untrimmed) null tokens into SQL NULL in string columns.
 
     One projection; string columns not listed and non-string columns pass
-    through unchanged.
+    through unchanged. The test is ``col IN (...)``, which Catalyst turns
+    into a hash-set lookup for long token lists.
     """
     if not tokens:
         return df
-    tokens = list(tokens)
+    in_list = ", ".join(_sql_str(t) for t in tokens)
     str_cols = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
     targets = set(columns) & str_cols if columns is not None else str_cols
     return df.select([
-        F.when(~F.col(name).isin(tokens), F.col(name)).alias(name) if name in targets else F.col(name)
+        F.expr(f"CASE WHEN `{name}` IN ({in_list}) THEN NULL ELSE `{name}` END").alias(name)
+        if name in targets else F.col(name)
         for name in df.columns
     ])

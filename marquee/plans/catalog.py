@@ -1,14 +1,16 @@
 """The catalogue job chain over the driver's tables.
 
 raw_catalog -> (titles, tags) -> staged -> marts, with the dictionary and
-tier cut points sized to the derived catalogue. Every function returns a
-lazy DataFrame; Catalyst inlines the chain, prunes columns into the parquet
-scans and pushes the ``box_office IS NOT NULL`` filter down.
+tier cut points sized to the derived catalogue. ``Catalog`` builds each lazy
+frame once per query so titles and tags share one raw plan; Catalyst prunes
+each branch to its columns, pushes the ``box_office IS NOT NULL`` filter
+and reuses identical exchanges.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,36 +35,47 @@ class CatalogParams:
 DEFAULT = CatalogParams()
 
 
-def raw(spark: SparkSession, root: str) -> DataFrame:
-    return raw_catalog(spark, root)
+class Catalog:
+    """Lazy frames of one catalogue run (plans only; nothing is cached)."""
 
+    def __init__(self, spark: SparkSession, root: str, params: CatalogParams = DEFAULT,
+                 raw: DataFrame | None = None):
+        self.spark, self.root, self.p = spark, root, params
+        if raw is not None:
+            self.__dict__["raw"] = raw
 
-def titles(spark: SparkSession, root: str, p: CatalogParams = DEFAULT) -> DataFrame:
-    return clean.clean_titles(raw(spark, root), keep=(KEY,))
+    @cached_property
+    def raw(self) -> DataFrame:
+        return raw_catalog(self.spark, self.root)
 
+    @cached_property
+    def titles(self) -> DataFrame:
+        return clean.clean_titles(self.raw, keep=(KEY,))
 
-def tags(spark: SparkSession, root: str, p: CatalogParams = DEFAULT) -> DataFrame:
-    return clean.normalize_tags(raw(spark, root), p.corrections, keep=(KEY,))
+    @cached_property
+    def titles_audit(self) -> DataFrame:
+        return clean.clean_titles(self.raw, keep=(KEY,), audit=True)
 
+    @cached_property
+    def tags(self) -> DataFrame:
+        return clean.normalize_tags(self.raw, self.p.corrections, keep=(KEY,))
 
-def staged(spark: SparkSession, root: str, p: CatalogParams = DEFAULT) -> DataFrame:
-    return staging.staged_titles(titles(spark, root, p), p.budget_cuts, p.roi_cuts,
-                                 p.budget_labels, p.roi_labels)
+    @cached_property
+    def staged(self) -> DataFrame:
+        p = self.p
+        return staging.staged_titles(self.titles, p.budget_cuts, p.roi_cuts,
+                                     p.budget_labels, p.roi_labels)
 
+    def genre_mart(self, rank_impl: str = "window") -> DataFrame:
+        return marts.genre_mart(self.staged, self.tags, rank_impl)
 
-def genre_mart(spark: SparkSession, root: str, p: CatalogParams = DEFAULT,
-               rank_impl: str = "window") -> DataFrame:
-    return marts.genre_mart(staged(spark, root, p), tags(spark, root, p), rank_impl)
+    def country_mart(self, rank_impl: str = "window") -> DataFrame:
+        return marts.country_mart(self.staged, rank_impl)
 
+    @cached_property
+    def top_titles_mart(self) -> DataFrame:
+        return marts.top_titles_mart(self.staged, self.tags, keep=(KEY,))
 
-def country_mart(spark: SparkSession, root: str, p: CatalogParams = DEFAULT,
-                 rank_impl: str = "window") -> DataFrame:
-    return marts.country_mart(staged(spark, root, p), rank_impl)
-
-
-def top_titles_mart(spark: SparkSession, root: str, p: CatalogParams = DEFAULT) -> DataFrame:
-    return marts.top_titles_mart(staged(spark, root, p), tags(spark, root, p), keep=(KEY,))
-
-
-def ordered_tag_string(spark: SparkSession, root: str, p: CatalogParams = DEFAULT) -> DataFrame:
-    return marts.ordered_tag_string(tags(spark, root, p))
+    @cached_property
+    def ordered_tag_string(self) -> DataFrame:
+        return marts.ordered_tag_string(self.tags)

@@ -11,63 +11,65 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators import audit, clean, reports, verify
+from marquee.operators import audit, reports, verify
 from marquee.operators.ranking import global_rank
 from marquee.plans import catalog as C
+from marquee.plans.catalog import Catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _titles_and_tags(spark, root):
-    return C.titles(spark, root), C.tags(spark, root)
+    c = Catalog(spark, root)
+    return c.titles, c.tags
 
 
 def q_raw_catalog(spark, root):
-    return C.raw(spark, root)
+    return Catalog(spark, root).raw
 
 
 def q_clean_titles(spark, root):
-    return C.titles(spark, root)
+    return Catalog(spark, root).titles
 
 
 def q_normalized_tags(spark, root):
-    return C.tags(spark, root)
+    return Catalog(spark, root).tags
 
 
 def q_staged_titles(spark, root):
-    return C.staged(spark, root)
+    return Catalog(spark, root).staged
 
 
 def q_genre_mart(spark, root):
-    return C.genre_mart(spark, root)
+    return Catalog(spark, root).genre_mart()
 
 
 def q_country_mart(spark, root):
-    return C.country_mart(spark, root)
+    return Catalog(spark, root).country_mart()
 
 
 def q_top_titles_mart(spark, root):
-    return C.top_titles_mart(spark, root)
+    return Catalog(spark, root).top_titles_mart
 
 
 def q_ordered_tag_string(spark, root):
-    return C.ordered_tag_string(spark, root)
+    return Catalog(spark, root).ordered_tag_string
 
 
 def q_tag_counts_top10(spark, root):
-    return verify.tag_counts_top(C.tags(spark, root), 10)
+    return verify.tag_counts_top(Catalog(spark, root).tags, 10)
 
 
 def q_roi_top5_nulls_first(spark, root):
-    return verify.roi_top(C.titles(spark, root), 5, nulls="first", tie=C.KEY)
+    return verify.roi_top(Catalog(spark, root).titles, 5, nulls="first", tie=C.KEY)
 
 
 def q_genre_top5(spark, root):
-    return verify.mart_top(C.genre_mart(spark, root), "genre", 5)
+    return verify.mart_top(Catalog(spark, root).genre_mart(), "genre", 5)
 
 
 def q_country_top5(spark, root):
-    return verify.mart_top(C.country_mart(spark, root), "country", 5)
+    return verify.mart_top(Catalog(spark, root).country_mart(), "country", 5)
 
 
 def q_row_counts(spark, root):
@@ -76,7 +78,7 @@ def q_row_counts(spark, root):
 
 
 def q_null_audit(spark, root):
-    return audit.null_audit(C.titles(spark, root))
+    return audit.null_audit(Catalog(spark, root).titles)
 
 
 def q_transform_summary(spark, root):
@@ -85,36 +87,36 @@ def q_transform_summary(spark, root):
 
 
 def q_distinct_tags(spark, root):
-    return audit.distinct_values(C.tags(spark, root), "genre").orderBy("genre")
+    return audit.distinct_values(Catalog(spark, root).tags, "genre").orderBy("genre")
 
 
 def q_reject_reasons(spark, root):
-    t = clean.clean_titles(C.raw(spark, root), keep=(C.KEY,), audit=True)
-    return audit.reject_reasons(t, C.tags(spark, root))
+    c = Catalog(spark, root)
+    return audit.reject_reasons(c.titles_audit, c.tags)
 
 
 def q_report_genre_revenue(spark, root):
-    return reports.genre_revenue(C.genre_mart(spark, root), 10)
+    return reports.genre_revenue(Catalog(spark, root).genre_mart(), 10)
 
 
 def q_report_budget_vs_revenue(spark, root):
-    return reports.budget_vs_revenue(C.top_titles_mart(spark, root), keep=(C.KEY,))
+    return reports.budget_vs_revenue(Catalog(spark, root).top_titles_mart, keep=(C.KEY,))
 
 
 def q_report_top_titles(spark, root):
-    return reports.top_titles(C.top_titles_mart(spark, root), 10, tie=C.KEY)
+    return reports.top_titles(Catalog(spark, root).top_titles_mart, 10, tie=C.KEY)
 
 
 def q_report_countries(spark, root):
-    return reports.countries(C.country_mart(spark, root), 3, 10)
+    return reports.countries(Catalog(spark, root).country_mart(), 3, 10)
 
 
 def q_report_roi_by_genre(spark, root):
-    return reports.roi_by_tag(C.genre_mart(spark, root)).orderBy(F.col("avg_roi").asc())
+    return reports.roi_by_tag(Catalog(spark, root).genre_mart()).orderBy(F.col("avg_roi").asc())
 
 
 def q_global_rank_titles(spark, root):
-    s = C.staged(spark, root).select(C.KEY, "title", "box_office")
+    s = Catalog(spark, root).staged.select(C.KEY, "title", "box_office")
     return global_rank(s, "box_office", "box_office_rank")
 
 

@@ -7,11 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
+_HANDLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, root: str, name: str,
-               columns: Sequence[str] | None = None) -> DataFrame:
+               columns: Sequence[str] | None = None, refresh: bool = False) -> DataFrame:
     """Parquet table ``{root}/{name}.parquet``; an explicit projection so the
-    scan's ReadSchema holds only what the job uses."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    scan's ReadSchema holds only what the job uses.
+
+    The resolved relation (file listing + footer schema) is kept per session
+    and path, so building many queries over the same tables resolves each
+    table once. It holds no data; ``refresh=True`` re-lists the files.
+    """
+    path = f"{root.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = None if refresh else _HANDLES.get(key)
+    if df is None:
+        df = spark.read.parquet(path)
+        _HANDLES[key] = df
     return df.select(*columns) if columns else df
 
 
