@@ -1,0 +1,8 @@
+"""Table sinks."""
+
+from marquee.sinks.tables import (
+    RefreshError, append, create_table, create_view, full_refresh, hand_off, write_jdbc, write_table,
+)
+
+__all__ = ["RefreshError", "append", "create_table", "create_view", "full_refresh", "hand_off",
+           "write_jdbc", "write_table"]
