@@ -35,6 +35,13 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def token_null(name: str, tokens: Iterable[str] = PANDAS_NULL_TOKENS) -> Column:
+    """``CASE WHEN name IN (tokens) THEN NULL ELSE name END`` for one column
+    (a single SQL expression; Catalyst makes the list a hash-set lookup)."""
+    in_list = ", ".join(_sql_str(t) for t in tokens)
+    return F.expr(f"CASE WHEN `{name}` IN ({in_list}) THEN NULL ELSE `{name}` END")
+
+
 def nullify_tokens(df: DataFrame, tokens: Iterable[str] | None = PANDAS_NULL_TOKENS,
                    columns: Iterable[str] | None = None) -> DataFrame:
     """Turn exact (untrimmed) null tokens into SQL NULL in string columns.
@@ -45,11 +52,10 @@ def nullify_tokens(df: DataFrame, tokens: Iterable[str] | None = PANDAS_NULL_TOK
     """
     if not tokens:
         return df
-    in_list = ", ".join(_sql_str(t) for t in tokens)
     str_cols = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
     targets = set(columns) & str_cols if columns is not None else str_cols
     return df.select([
-        F.expr(f"CASE WHEN `{name}` IN ({in_list}) THEN NULL ELSE `{name}` END").alias(name)
+        token_null(name, tokens).alias(name)
         if name in targets else F.col(name)
         for name in df.columns
     ])

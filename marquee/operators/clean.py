@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.numeric import percent_return, round_half_up_int, to_decimal, tolerant_double
 from marquee.functions.tags import GENRE_CORRECTIONS, clean_tag_list
-from marquee.functions.text import PANDAS_NULL_TOKENS, nullify_tokens, strip
+from marquee.functions.text import PANDAS_NULL_TOKENS, nullify_tokens, strip, token_null
 
 TEXT_COLUMNS = ("title", "director", "language", "country")
 # Column -> stored type after the load's assignment cast.
@@ -70,6 +70,26 @@ def normalize_tags(raw: DataFrame, mapping: Mapping[str, str] = GENRE_CORRECTION
                      F.explode(clean_tag_list(tag_column, mapping, sep)).alias(out))
 
 
+def clean_wide(raw: DataFrame, mapping: Mapping[str, str] = GENRE_CORRECTIONS,
+               null_tokens: Iterable[str] | None = PANDAS_NULL_TOKENS,
+               tag_column: str = "genre", list_column: str = "genre_list", sep: str = ",",
+               keep: Sequence[str] = (), audit: bool = False) -> DataFrame:
+    """Title rows plus the cleaned tag list in one narrow projection: the
+    common parent of ``clean_titles`` and ``normalize_tags``, to be written
+    once and split with ``split_wide``."""
+    tags = token_null(tag_column, null_tokens) if null_tokens else F.col(tag_column)
+    with_list = raw.withColumn(list_column, clean_tag_list(tags, mapping, sep))
+    return clean_titles(with_list, null_tokens, tag_column=tag_column, keep=keep, audit=audit)
+
+
+def split_wide(wide: DataFrame, list_column: str = "genre_list", out: str = "genre",
+               keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(titles, tags) from a ``clean_wide`` frame."""
+    titles = wide.drop(list_column)
+    tags = wide.select(*[F.col(k) for k in keep], "title", F.explode(list_column).alias(out))
+    return titles, tags
+
+
 def transform(raw: DataFrame, mapping: Mapping[str, str] = GENRE_CORRECTIONS,
               keep: Sequence[str] = (), **kw) -> tuple[DataFrame, DataFrame]:
     """Both outputs of the cleaning step from one raw frame. Catalyst prunes

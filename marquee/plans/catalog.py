@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from marquee.functions.tags import GENRE_CORRECTIONS
 from marquee.functions.tiers import BUDGET_LABELS, ROI_LABELS
 from marquee.operators import clean, marts, staging
+from marquee.sinks.tables import hand_off
 from marquee.sources.catalog import (CATALOG_BUDGET_CUTS, CATALOG_CORRECTIONS, CATALOG_ROI_CUTS,
                                      raw_catalog)
 
 KEY = "o_orderkey"
+LIST = "genre_list"
 
 
 @dataclass(frozen=True)
@@ -36,11 +38,18 @@ DEFAULT = CatalogParams()
 
 
 class Catalog:
-    """Lazy frames of one catalogue run (plans only; nothing is cached)."""
+    """Lazy frames of one catalogue run.
+
+    With ``materialize=True`` the cleaned wide frame (title columns plus the
+    cleaned tag list) is written once to the shared checkpoint folder and
+    both titles and tags read that copy: queries that need both branches
+    run the raw joins once instead of twice, and a lost executor recomputes
+    from the written copy rather than from the source tables.
+    """
 
     def __init__(self, spark: SparkSession, root: str, params: CatalogParams = DEFAULT,
-                 raw: DataFrame | None = None):
-        self.spark, self.root, self.p = spark, root, params
+                 raw: DataFrame | None = None, materialize: bool = False):
+        self.spark, self.root, self.p, self.materialize = spark, root, params, materialize
         if raw is not None:
             self.__dict__["raw"] = raw
 
@@ -48,16 +57,27 @@ class Catalog:
     def raw(self) -> DataFrame:
         return raw_catalog(self.spark, self.root)
 
+    @cached_property
+    def wide(self) -> DataFrame:
+        w = clean.clean_wide(self.raw, self.p.corrections, keep=(KEY,), audit=True)
+        return hand_off(w, "catalog_wide") if self.materialize else w
+
     @cached_property
     def titles(self) -> DataFrame:
+        if self.materialize:
+            return self.wide.drop(LIST, "roi_unbounded")
         return clean.clean_titles(self.raw, keep=(KEY,))
 
     @cached_property
     def titles_audit(self) -> DataFrame:
+        if self.materialize:
+            return self.wide.drop(LIST)
         return clean.clean_titles(self.raw, keep=(KEY,), audit=True)
 
     @cached_property
     def tags(self) -> DataFrame:
+        if self.materialize:
+            return clean.split_wide(self.wide, LIST, keep=(KEY,))[1]
         return clean.normalize_tags(self.raw, self.p.corrections, keep=(KEY,))
 
     @cached_property

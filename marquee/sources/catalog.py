@@ -48,12 +48,16 @@ def order_lines(spark: SparkSession, root: str) -> DataFrame:
     tag = (F.when(rem == 0, F.lit("Econmy"))
             .when(rem == 1, F.concat(F.lit(" "), F.col("p_type")))
             .otherwise(F.col("p_type")))
-    net = (F.col("l_extendedprice").cast("decimal(12,2)")
-           * (F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)")))
+    # price (cents) * (1 - discount) (hundredths) in exact long units of
+    # 1e-4: the decimal(12,2) * decimal(3,2) product without a wide decimal
+    # sum buffer; turned back into decimal(18,4) after the aggregate.
+    cents = (F.col("l_extendedprice").cast("decimal(12,2)") * 100).cast("long")
+    keep = (F.lit(100) - (F.col("l_discount").cast("decimal(3,2)") * 100).cast("long"))
     lines = li.join(part, li.l_partkey == part.p_partkey, "inner")
     return (lines.groupBy("l_orderkey")
             .agg(F.count(F.lit(1)).alias("n_lines"),
-                 F.sum(net).alias("net_amount"),
+                 (F.sum(cents * keep).cast("decimal(18,0)") * F.lit("0.0001").cast("decimal(4,4)"))
+                 .alias("net_amount"),
                  F.array_join(F.transform(
                      F.array_sort(F.collect_list(F.struct("l_linenumber", "p_partkey", tag.alias("tag")))),
                      lambda s: s.getField("tag")), ",").alias("genre")))

@@ -49,3 +49,10 @@ def test_global_rank_marts_equal_window(spark):
     c = Catalog(spark, SF)
     for a, b in ((c.genre_mart(), c.genre_mart("global")), (c.country_mart(), c.country_mart("global"))):
         assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_materialized_catalog_equals_lazy(spark):
+    lazy, mat = Catalog(spark, SF), Catalog(spark, SF, materialize=True)
+    for a, b in ((lazy.titles, mat.titles), (lazy.tags, mat.tags), (lazy.genre_mart(), mat.genre_mart())):
+        assert a.columns == b.columns
+        assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
