@@ -80,15 +80,17 @@ def null_audit(df: DataFrame, columns: Sequence[str] = TITLE_COLUMNS) -> DataFra
                   *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns])
 
 
-def transform_summary(titles: DataFrame, tags: DataFrame, tag: str = "genre") -> DataFrame:
+def transform_summary(titles: DataFrame, tags: DataFrame, tag: str = "genre",
+                      approx: bool = False) -> DataFrame:
     """(metric, value): the cleaning step's log line numbers, one aggregate
     per table. ``unique_tags`` is an exact distinct count (partial
-    aggregation on the tag, so it shuffles at most the distinct tags)."""
+    aggregation on the tag, so it shuffles at most the distinct tags), or a
+    HyperLogLog++ estimate with ``approx=True`` (fixed-size state)."""
     t = titles.agg(F.count(F.lit(1)).alias("movies_rows"),
                    F.count_if(F.col("box_office").isNull()).alias("null_box_office"),
                    F.count_if(F.col("budget").isNull()).alias("null_budget"))
     g = tags.agg(F.count(F.lit(1)).alias("tag_rows"),
-                 F.count_distinct(tag).alias("unique_tags"))
+                 (F.approx_count_distinct(tag) if approx else F.count_distinct(tag)).alias("unique_tags"))
     return (t.unpivot([], t.columns, "metric", "value")
             .unionByName(g.unpivot([], g.columns, "metric", "value")))
 

@@ -95,16 +95,19 @@ def country_mart(staged: DataFrame, rank_impl: str = "window") -> DataFrame:
     return _finish(agg, "country", rank_impl)
 
 
-def ordered_tag_string(tags: DataFrame, tag: str = "genre", sep: str = ", ") -> DataFrame:
-    """(title, genres): all tag rows of a title joined in byte order,
-    duplicates kept, NULL tags skipped (``string_agg(genre, ', ' ORDER BY
-    genre)``). Built from per-(title, tag) counts, so the per-title list
-    holds distinct tags, not rows."""
+def ordered_tag_string(tags: DataFrame, tag: str = "genre", sep: str = ", ",
+                       collation: str | None = None) -> DataFrame:
+    """(title, genres): all tag rows of a title joined in order, duplicates
+    kept, NULL tags skipped (``string_agg(genre, ', ' ORDER BY genre)``).
+    Built from per-(title, tag) counts, so the per-title list holds distinct
+    tags, not rows. Order is by bytes unless ``collation`` names a Spark
+    collation (e.g. ``'UNICODE'``, the database-style order)."""
     counts = (tags.filter(F.col(tag).isNotNull())
               .groupBy("title", tag).agg(F.count(F.lit(1)).alias("n")))
+    t = F.col(tag) if collation is None else F.collate(F.col(tag), collation)
     return (counts.groupBy("title")
-            .agg(ordered_repeat_join(F.collect_list(F.struct(F.col(tag).alias("tag"), F.col("n"))),
-                                     sep).alias("genres")))
+            .agg(ordered_repeat_join(F.collect_list(F.struct(t.alias("tag"), F.col("n"))),
+                                     sep).cast("string").alias("genres")))
 
 
 def top_titles_mart(staged: DataFrame, tags: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

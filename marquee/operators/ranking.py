@@ -33,9 +33,18 @@ def rank_window(df: DataFrame, order_col: str, out: str = "rank", desc: bool = T
 
 
 def global_rank(df: DataFrame, order_col: str, out: str = "rank", desc: bool = True,
-                buckets: int | None = None, rel_error: float | None = None) -> DataFrame:
-    """``rank()`` by ``order_col`` (long result) without a single-task step."""
+                buckets: int | None = None, rel_error: float | None = None,
+                stage_input: bool = False) -> DataFrame:
+    """``rank()`` by ``order_col`` (long result) without a single-task step.
+
+    The cut points need one job over the input before the ranking job;
+    ``stage_input=True`` first writes the input to the shared checkpoint
+    folder so both jobs read that copy instead of recomputing a long
+    upstream plan twice."""
     spark = df.sparkSession
+    if stage_input:
+        from marquee.sinks.tables import hand_off
+        df = hand_off(df, "rank_input")
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     buckets = max(1, buckets)

@@ -172,3 +172,11 @@ def test_exact_average_no_double_rounding(spark):
     r = df.select(exact_avg_cents("s", "n").alias("a"), exact_avg_int("t", "m").alias("b"),
                   exact_avg_int(F.lit(-3), F.lit(2)).alias("c")).collect()[0]
     assert (r.a, r.b, r.c) == (Decimal("0.00"), 1500000, -2)
+
+
+def test_tag_string_collation_option(raw):
+    tags = clean.normalize_tags(raw(dict(BASE, genre="b,Sci-Fi,Action")))
+    binary = marts.ordered_tag_string(tags).collect()[0].genres
+    unicode = marts.ordered_tag_string(tags, collation="UNICODE").collect()[0].genres
+    assert binary == "Action, Sci-Fi, b"
+    assert unicode == "Action, b, Sci-Fi"

@@ -56,3 +56,33 @@ def test_materialized_catalog_equals_lazy(spark):
     for a, b in ((lazy.titles, mat.titles), (lazy.tags, mat.tags), (lazy.genre_mart(), mat.genre_mart())):
         assert a.columns == b.columns
         assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_hot_title_third_of_rows_matches_brute_force(spark, raw):
+    import random
+    from marquee.operators import clean, marts, staging
+    rnd = random.Random(11)
+    kinds = ["Drama", "Action", "Horor", "Comedy"]
+    rows = []
+    for i in range(240):
+        title = "HOT" if i % 3 == 0 else f"t{i % 50}"
+        box = "unknown" if i % 7 == 0 else str(rnd.randrange(1000, 9000))
+        rows.append(dict(k=str(i), title=title, budget=str(rnd.randrange(0, 5000)), box_office=box,
+                         country=f"c{i % 4}", genre=",".join(rnd.sample(kinds, rnd.randrange(1, 4)))))
+    titles, tags = clean.transform(raw(*rows, extra=("k",)), keep=("k",))
+    st = staging.staged_titles(titles)
+    # brute force: the plain n*m join the reference writes
+    plain = (tags.select("title", "genre").join(st, "title").groupBy("genre")
+             .agg(F.count_distinct("title").alias("movie_count"),
+                  F.sum("box_office").alias("total_box_office"),
+                  exact_avg_int(F.sum(F.col("budget").cast("decimal(38,0)")), F.count("budget")).alias("avg_budget")))
+    want = {r.genre: tuple(r)[1:] for r in plain.collect()}
+    got = {r.genre: (r.movie_count, r.total_box_office, r.avg_budget)
+           for r in marts.genre_mart(st, tags, "global").collect()}
+    assert got == want
+    hot = Counter(r.genre for r in tags.filter(F.col("title") == "HOT").collect())
+    s = {r.title: r.genres for r in marts.ordered_tag_string(tags).collect()}["HOT"]
+    assert Counter(s.split(", ")) == hot and s.split(", ") == sorted(s.split(", "))
+    top = marts.top_titles_mart(st, tags, keep=("k",))
+    assert top.count() == st.count()
+    assert top.filter(F.col("title") == "HOT").select("genres").distinct().collect()[0][0] == s
