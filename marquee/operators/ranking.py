@@ -10,7 +10,8 @@ whose row count is bounded by a dimension (one row per genre or country).
    one row (partial aggregation before the shuffle);
 2. cut the distinct values into ``buckets`` ranges at approximate quantiles
    (the cut points are the only thing that reaches the driver: a list of
-   ``buckets - 1`` numbers);
+   at most ``MAX_BUCKETS - 1`` numbers); a row finds its range by binary
+   search (``Bucketizer``, JVM-side);
 3. inside each range, rows with a greater key = running sum of ``n`` over a
    window partitioned by range;
 4. rows in all higher ranges = running sum over the per-range totals, a table
@@ -23,9 +24,14 @@ skips, exactly as ``rank()``. NULL keys rank after every value (NULLS LAST).
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Upper bound on ranges: enough parallelism for a large cluster while the
+# cut points stay a small driver-side list.
+MAX_BUCKETS = 8192
+
 
 def rank_window(df: DataFrame, order_col: str, out: str = "rank", desc: bool = True) -> DataFrame:
     o = F.col(order_col).desc_nulls_last() if desc else F.col(order_col).asc_nulls_last()
@@ -46,7 +52,7 @@ def global_rank(df: DataFrame, order_col: str, out: str = "rank", desc: bool = T
         from marquee.sinks.tables import hand_off
         df = hand_off(df, "rank_input")
     if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        buckets = min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     buckets = max(1, buckets)
     key = F.col(order_col)
     sign = 1 if desc else -1
@@ -58,16 +64,22 @@ def global_rank(df: DataFrame, order_col: str, out: str = "rank", desc: bool = T
         cuts = sorted(set(keys.approxQuantile(order_col, probs, err)))
     else:
         cuts = []
-    # range id rises with the key
+    # range id rises with the key: a JVM binary search over the cut points
+    # (O(log buckets) per row); the double cast is monotone, so equal keys
+    # always share a range
     if cuts:
-        rng: Column = F.aggregate(F.array(*[F.lit(c) for c in cuts]), F.lit(0),
-                                  lambda acc, c: acc + F.when(key >= c, 1).otherwise(0))
+        splits = [float("-inf")] + [float(c) for c in cuts if c not in (float("-inf"), float("inf"))] \
+            + [float("inf")]
+        keys = keys.withColumn("_kd", key.cast("double"))
+        keys = Bucketizer(splits=splits, inputCol="_kd", outputCol="_r",
+                          handleInvalid="keep").transform(keys)
+        rng: Column = F.col("_r").cast("int")
     else:
         rng = F.lit(0)
     # "ahead" order: larger first. Descending rank: higher ranges first;
     # ascending: lower ranges first. NULL keys come after every range.
     ahead = F.when(key.isNull(), F.lit(-(buckets + 1))).otherwise(rng * sign)
-    keyed = keys.withColumn("_b", ahead)
+    keyed = keys.withColumn("_b", ahead).drop("_kd", "_r")
 
     in_range = Window.partitionBy("_b").orderBy(
         key.desc() if desc else key.asc()).rowsBetween(Window.unboundedPreceding, -1)

@@ -19,6 +19,31 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings sized to the input rather than to a laptop.
+
+    The initial shuffle width aims at ``target_partition_bytes`` per task on
+    the full input (at least 2 waves of the cluster's cores); AQE then
+    coalesces small partitions and splits skewed ones at run time, so the
+    number only has to be large enough, not exact. Example: 100 TB on 1000
+    executors x 8 cores -> 409,600 initial shuffle partitions.
+    """
+    cores = max(1, executor_cores * executors)
+    width = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 * 1024 ** 2)),
+        # broadcast only what AQE measured below this size
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }
+
+
 def get_session(master: str | None = None, app: str = "marquee",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
-_HANDLES: dict[tuple[int, str], DataFrame] = {}
+_HANDLES: dict[tuple[int, str, str], DataFrame] = {}
 
 
 def read_table(spark: SparkSession, root: str, name: str,
@@ -20,7 +20,7 @@ def read_table(spark: SparkSession, root: str, name: str,
     table once. It holds no data; ``refresh=True`` re-lists the files.
     """
     path = f"{root.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (id(spark), spark.sparkContext.applicationId, path)
     df = None if refresh else _HANDLES.get(key)
     if df is None:
         df = spark.read.parquet(path)

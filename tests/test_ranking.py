@@ -33,3 +33,8 @@ def test_single_bucket_and_empty(spark):
     _check(spark, [5, 5, 3, None], True, buckets=1)
     df = spark.createDataFrame([], "id long, v long")
     assert global_rank(df, "v", "r", buckets=4).count() == 0
+
+
+def test_more_buckets_than_keys(spark):
+    rnd = random.Random(5)
+    _check(spark, [rnd.randrange(12) for _ in range(300)] + [None, None], True, buckets=1000)
