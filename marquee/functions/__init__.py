@@ -3,7 +3,7 @@
 from marquee.functions.text import strip, nullify_tokens, PANDAS_NULL_TOKENS, STRIP_PATTERN
 from marquee.functions.numeric import (
     tolerant_double, NUMBER_PATTERN, round_half_up_int, exact_avg_int, exact_avg_cents,
-    percent_return, to_decimal,
+    percent_return, to_decimal, round_float,
 )
 from marquee.functions.tiers import bucket_label, BUDGET_CUTS, BUDGET_LABELS, ROI_CUTS, ROI_LABELS
 from marquee.functions.tags import (
@@ -13,7 +13,7 @@ from marquee.functions.tags import (
 __all__ = [
     "strip", "nullify_tokens", "PANDAS_NULL_TOKENS", "STRIP_PATTERN",
     "tolerant_double", "NUMBER_PATTERN", "round_half_up_int", "exact_avg_int", "exact_avg_cents",
-    "percent_return", "to_decimal",
+    "percent_return", "to_decimal", "round_float",
     "bucket_label", "BUDGET_CUTS", "BUDGET_LABELS", "ROI_CUTS", "ROI_LABELS",
     "clean_tag_list", "dictionary_lookup", "GENRE_CORRECTIONS", "ordered_repeat_join",
 ]

@@ -32,11 +32,20 @@ def to_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Column:
     return F.bround(_col(c), scale).try_cast(f"decimal({precision},{scale})")
 
 
+def round_float(c: Column | str, scale: int = 2) -> Column:
+    """pandas/numpy ``round(scale)`` on a double: scale up, round half to
+    even on the binary value (``rint``), scale down. Unlike ``bround`` (which
+    rounds the shortest decimal text), 1.015 -> 1.01 here, as in numpy,
+    because the double 1.015 is 1.01499..."""
+    f = float(10 ** scale)
+    return F.rint(_col(c) * F.lit(f)) / F.lit(f)
+
+
 def percent_return(gain: Column | str, cost: Column | str, scale: int = 2) -> Column:
-    """(gain - cost) / cost * 100 in double, half-even to ``scale`` places;
-    NULL for a zero or missing cost."""
+    """(gain - cost) / cost * 100 in double, rounded like numpy to ``scale``
+    places; NULL for a zero or missing cost."""
     gain, cost = _col(gain), _col(cost)
-    return F.bround(F.try_divide(gain - cost, cost) * F.lit(100.0), scale)
+    return round_float(F.try_divide(gain - cost, cost) * F.lit(100.0), scale)
 
 
 def _half_up_quotient(total: Column, n: Column) -> Column:

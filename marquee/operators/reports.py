@@ -1,8 +1,8 @@
 """Chart-ready report tables read from the marts (rendering is not built).
 
 Each is a projection, an optional filter and a sort or top-k over a mart;
-scaling to billions/millions is a half-even round like the reference's
-pandas ``round``.
+scaling to billions/millions rounds like the reference's pandas ``round``
+(``round_float``).
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions.numeric import round_float
 from marquee.operators.topk import top_k
 
 
@@ -17,7 +18,7 @@ def genre_revenue(genre_mart: DataFrame, k: int = 10) -> DataFrame:
     """Top-k tags by revenue rank; total in billions (2 places)."""
     top = top_k(genre_mart, k, [F.col("revenue_rank").asc(), F.col("genre").asc_nulls_last()])
     return top.select("genre", "revenue_rank",
-                      F.bround(F.col("total_box_office") / F.lit(1e9), 2).alias("total_box_office_b"),
+                      round_float(F.col("total_box_office") / F.lit(1e9), 2).alias("total_box_office_b"),
                       "avg_roi")
 
 
@@ -35,7 +36,7 @@ def top_titles(top_titles_mart: DataFrame, k: int = 10, tie: str | None = None)
     top = top_k(top_titles_mart.filter(F.col("box_office").isNotNull()), k, order)
     keep = [tie] if tie else []
     return top.select(*keep, "title", "box_office",
-                      F.bround(F.col("box_office") / F.lit(1e9), 2).alias("box_office_b"),
+                      round_float(F.col("box_office") / F.lit(1e9), 2).alias("box_office_b"),
                       "budget_category")
 
 
@@ -47,8 +48,8 @@ def countries(country_mart: DataFrame, min_titles: int = 3, k: int = 10) -> Data
     top = top_k(big, k, [F.col("revenue_rank").asc(), F.col("country").asc_nulls_last()])
     roi = F.col("avg_roi").cast("double")
     return top.select("country", "revenue_rank", "movie_count", roi.alias("avg_roi"),
-                      F.bround(F.col("avg_box_office") / F.lit(1e6), 1).alias("avg_box_office_m"),
-                      F.bround(roi, 1).alias("avg_roi_label"))
+                      round_float(F.col("avg_box_office") / F.lit(1e6), 1).alias("avg_box_office_m"),
+                      round_float(roi, 1).alias("avg_roi_label"))
 
 
 def roi_by_tag(genre_mart: DataFrame) -> DataFrame:

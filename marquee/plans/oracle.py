@@ -42,6 +42,12 @@ def _fix(x: str) -> str:
     return f"CASE {x} {arms} ELSE {x} END"
 
 
+def _np_round(x: str, d: int) -> str:
+    """numpy round: scale, round half-even on the binary value, unscale."""
+    f = f"{10 ** d}.0"
+    return f"(round_even(({x}) * {f}, 0) / {f})"
+
+
 def _half_up(s: str, n: str) -> str:
     """round(s / n) with halves away from zero, in integers."""
     return (f"(CASE WHEN {n} > 0 THEN (CASE WHEN {s} < 0 THEN -1 ELSE 1 END) * "
@@ -99,7 +105,7 @@ movies AS (
          TRY_CAST(round(duration_d) AS INTEGER) AS duration,
          TRY_CAST(round(budget_d) AS BIGINT) AS budget,
          TRY_CAST(round(box_office_d) AS BIGINT) AS box_office,
-         TRY_CAST(round_even(CASE WHEN budget_d <> 0 THEN (box_office_d - budget_d) / budget_d * 100.0 END, 2)
+         TRY_CAST({_np_round('CASE WHEN budget_d <> 0 THEN (box_office_d - budget_d) / budget_d * 100.0 END', 2)}
                   AS DECIMAL(10,2)) AS roi
   FROM num
 ),
@@ -189,7 +195,7 @@ def _reasons() -> str:
         parts.append(f"SELECT 'movie_genres' AS table_name, '{reason}' AS reason, "
                      f"count(*) FILTER (WHERE coalesce({cond}, false)) AS rejected_rows FROM movie_genres")
     audit = ("movies_audit AS (SELECT m.*, CASE WHEN n.budget_d <> 0 THEN "
-             "round_even((n.box_office_d - n.budget_d) / n.budget_d * 100.0, 2) END AS roi_unbounded "
+             f"{_np_round('(n.box_office_d - n.budget_d) / n.budget_d * 100.0', 2)} END AS roi_unbounded "
              "FROM movies m JOIN num n ON m.o_orderkey = n.o_orderkey)")
     return f"WITH {CTE.strip()},\n{audit}\n" + "\nUNION ALL\n".join(parts)
 
@@ -238,21 +244,21 @@ ORACLE_SQL = {
         UNION ALL SELECT 'unique_tags', count(DISTINCT genre) FROM movie_genres"""),
     "distinct_tags": _with("SELECT DISTINCT genre FROM movie_genres ORDER BY genre"),
     "reject_reasons": _reasons(),
-    "report_genre_revenue": _with("""
-        SELECT genre, revenue_rank, round_even(total_box_office / 1e9, 2) AS total_box_office_b, avg_roi
+    "report_genre_revenue": _with(f"""
+        SELECT genre, revenue_rank, {_np_round('total_box_office / 1e9', 2)} AS total_box_office_b, avg_roi
         FROM mart_genre ORDER BY revenue_rank ASC, genre ASC NULLS LAST LIMIT 10"""),
     "report_budget_vs_revenue": _with("""
         SELECT o_orderkey, title, director, release_year, country, budget, box_office, roi_category,
                abs(roi) AS roi_abs
         FROM mart_top WHERE box_office IS NOT NULL"""),
-    "report_top_titles": _with("""
-        SELECT o_orderkey, title, box_office, round_even(box_office / 1e9, 2) AS box_office_b, budget_category
+    "report_top_titles": _with(f"""
+        SELECT o_orderkey, title, box_office, {_np_round('box_office / 1e9', 2)} AS box_office_b, budget_category
         FROM mart_top WHERE box_office IS NOT NULL
         ORDER BY box_office DESC NULLS LAST, o_orderkey ASC LIMIT 10"""),
-    "report_countries": _with("""
+    "report_countries": _with(f"""
         SELECT country, revenue_rank, movie_count, CAST(avg_roi AS DOUBLE) AS avg_roi,
-               round_even(avg_box_office / 1e6, 1) AS avg_box_office_m,
-               round_even(CAST(avg_roi AS DOUBLE), 1) AS avg_roi_label
+               {_np_round('avg_box_office / 1e6', 1)} AS avg_box_office_m,
+               {_np_round('CAST(avg_roi AS DOUBLE)', 1)} AS avg_roi_label
         FROM mart_country WHERE movie_count > 3
         ORDER BY revenue_rank ASC, country ASC NULLS LAST LIMIT 10"""),
     "report_roi_by_genre": _with("""

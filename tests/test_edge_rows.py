@@ -180,3 +180,15 @@ def test_tag_string_collation_option(raw):
     unicode = marts.ordered_tag_string(tags, collation="UNICODE").collect()[0].genres
     assert binary == "Action, Sci-Fi, b"
     assert unicode == "Action, b, Sci-Fi"
+
+
+def test_float_round_matches_numpy(spark):
+    import numpy as np
+    from marquee.functions.numeric import round_float
+    rnd = np.random.default_rng(1)
+    vals = [1.015, 2.675, 0.125, -1.005, 1234.565, 0.285] + list(rnd.uniform(-1e4, 1e4, 2000).round(3))
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    got = [r.y for r in df.select(round_float("x", 2).alias("y")).collect()]
+    assert got == [float(v) for v in np.around(np.array(vals, dtype=float), 2)]
+    got1 = [r.y for r in df.select(round_float("x", 1).alias("y")).collect()]
+    assert got1 == [float(v) for v in np.around(np.array(vals, dtype=float), 1)]
