@@ -98,3 +98,19 @@ def test_streaming_ingest_matches_batch(spark, tmp_path):
     tags = spark.read.parquet(f"{out}/movie_genres")
     assert sorted(r.title for r in titles.collect()) == ["A", "B"]
     assert sorted(r.genre for r in tags.collect()) == ["Action", "Drama", "Horror"]
+
+
+def test_pipeline_on_driver_tables_equals_queries(spark, tmp_path):
+    from marquee.plans.catalog import DEFAULT, KEY, Catalog
+    sf = "/root/testdata/sf0.001"
+    c = Catalog(spark, sf)
+    counts = run_pipeline(spark, c.raw, DEFAULT.corrections, DEFAULT.budget_cuts, DEFAULT.roi_cuts,
+                          root=str(tmp_path / "wh"), prefix="d_", keep=(KEY,))
+    assert counts["movies"] == c.titles.count() and counts["movies_rejects"] == 0
+    assert counts["movie_genres"] == c.tags.count()
+    for table, q in (("d_mart_genre_analysis", c.genre_mart()), ("d_mart_country_analysis", c.country_mart()),
+                     ("d_mart_top_movies", c.top_titles_mart)):
+        got = spark.table(table)
+        assert sorted(got.columns) == sorted(q.columns)
+        assert sorted(map(tuple, got.select(*q.columns).collect()), key=repr) == \
+            sorted(map(tuple, q.collect()), key=repr)
