@@ -1,6 +1,5 @@
 """Plan shape: pruning, pushdown, join type, top-k strategy, no Python."""
 
-from pyspark.sql import functions as F
 
 from marquee.operators import marts, staging
 from marquee.plans.catalog import Catalog
