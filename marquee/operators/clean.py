@@ -25,8 +25,8 @@ def clean_titles(raw: DataFrame, null_tokens: Iterable[str] | None = PANDAS_NULL
 
     Null tokens -> NULL; ``sentinels`` (column -> exact word, default
     box_office 'unknown') -> NULL; gated numeric casts; Unicode strip of the
-    text columns; ROI in double from the unrounded amounts, half-even to two
-    places; then the store's assignment casts (round half away from zero to
+    text columns; ROI in double from the unrounded amounts, rounded to two
+    places as numpy does (``round_float``); then the store's assignment casts (round half away from zero to
     int/bigint, ROI to decimal(10,2), out-of-range -> NULL). The tag column
     is dropped. One narrow projection: no shuffle. ``audit=True`` adds
     ``roi_unbounded`` (the double ROI before the range-checked cast) for the

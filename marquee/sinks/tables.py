@@ -45,6 +45,10 @@ def append(df: DataFrame, name: str) -> None:
     df.write.insertInto(name, overwrite=False)
 
 
+def _same_columns(a: DataFrame, b: DataFrame) -> bool:
+    return [(f.name, f.dataType) for f in a.schema.fields] == [(f.name, f.dataType) for f in b.schema.fields]
+
+
 def new_version_path(spark: SparkSession, name: str, root: str | None = None) -> str:
     base = (root or f"{checkpoint_root(spark)}/tables").rstrip("/")
     return f"{base}/{name}/v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
@@ -69,10 +73,14 @@ def full_refresh(df: DataFrame, name: str, root: str | None = None, fmt: str = "
     rows = obs.get["rows"]
     if expect_rows is not None and rows != expect_rows:
         raise RefreshError(f"{name}: wrote {rows} rows, expected {expect_rows}; table left unchanged")
-    if spark.catalog.tableExists(name):
+    if spark.catalog.tableExists(name) and _same_columns(spark.table(name), df):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.catalog.refreshTable(name)
     else:
+        # first load, or the columns changed: the catalog entry must carry the
+        # new schema, so it is re-created (a metadata-only step; the old data
+        # folder stays until then)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
     return {"table": name, "path": path, "rows": rows}
 

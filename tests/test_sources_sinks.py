@@ -63,6 +63,9 @@ def test_full_refresh_swaps_and_never_empties(spark, tmp_path):
     with pytest.raises(RefreshError):
         full_refresh(spark.range(2).withColumnRenamed("id", "x"), name, root, expect_rows=3)
     assert spark.table(name).count() == 7
+    # a schema change re-creates the catalog entry with the new columns
+    full_refresh(spark.range(2).select(F.col("id").alias("x"), F.lit("a").alias("y")), name, root)
+    assert spark.table(name).columns == ["x", "y"] and spark.table(name).count() == 2
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
@@ -98,6 +101,12 @@ def test_streaming_ingest_matches_batch(spark, tmp_path):
     tags = spark.read.parquet(f"{out}/movie_genres")
     assert sorted(r.title for r in titles.collect()) == ["A", "B"]
     assert sorted(r.genre for r in tags.collect()) == ["Action", "Drama", "Horror"]
+    # a restart on the same checkpoint processes only new files
+    write(src / "m3.csv", HEADER + "C,2003,D3,en,FR,80,10,20,Comedy\n")
+    q2 = stream_clean(spark, str(src), HEADER.strip().split(","), out, str(tmp_path / "ck"))
+    q2.awaitTermination(120)
+    titles = spark.read.parquet(f"{out}/movies")
+    assert sorted(r.title for r in titles.collect()) == ["A", "B", "C"]
 
 
 def test_pipeline_on_driver_tables_equals_queries(spark, tmp_path):
