@@ -105,6 +105,16 @@ def row_counts(**tables: DataFrame) -> DataFrame:
     return out
 
 
+def duplicate_titles(titles: DataFrame, key: str = "title") -> DataFrame:
+    """(title, copies) for every title held by more than one row: the rows
+    whose tags and money the title join multiplies (each copy is joined to
+    every tag row of the title). Partial aggregation before the shuffle, so a
+    hot title is a handful of rows per task."""
+    return (titles.filter(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.count(F.lit(1)).alias("copies"))
+            .filter(F.col("copies") > 1))
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values of one column (sorted at read by the caller)."""
     return df.select(column).distinct()

@@ -243,6 +243,9 @@ ORACLE_SQL = {
         UNION ALL SELECT 'tag_rows', count(*) FROM movie_genres
         UNION ALL SELECT 'unique_tags', count(DISTINCT genre) FROM movie_genres"""),
     "distinct_tags": _with("SELECT DISTINCT genre FROM movie_genres ORDER BY genre"),
+    "duplicate_titles": _with("""
+        SELECT title, count(*) AS copies FROM movies WHERE title IS NOT NULL
+        GROUP BY title HAVING count(*) > 1"""),
     "reject_reasons": _reasons(),
     "report_genre_revenue": _with(f"""
         SELECT genre, revenue_rank, {_np_round('total_box_office / 1e9', 2)} AS total_box_office_b, avg_roi

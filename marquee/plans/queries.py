@@ -106,6 +106,10 @@ def q_transform_summary(spark, root):
     return audit.transform_summary(t, g)
 
 
+def q_duplicate_titles(spark, root):
+    return audit.duplicate_titles(Catalog(spark, root).titles)
+
+
 def q_distinct_tags(spark, root):
     return audit.distinct_values(Catalog(spark, root).tags, "genre").orderBy("genre")
 
@@ -159,6 +163,7 @@ QUERIES: dict[str, Query] = {
     "null_audit": q_null_audit,
     "transform_summary": q_transform_summary,
     "distinct_tags": q_distinct_tags,
+    "duplicate_titles": q_duplicate_titles,
     "reject_reasons": q_reject_reasons,
     "report_genre_revenue": q_report_genre_revenue,
     "report_budget_vs_revenue": q_report_budget_vs_revenue,
