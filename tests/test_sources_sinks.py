@@ -123,3 +123,17 @@ def test_pipeline_on_driver_tables_equals_queries(spark, tmp_path):
         assert sorted(got.columns) == sorted(q.columns)
         assert sorted(map(tuple, got.select(*q.columns).collect()), key=repr) == \
             sorted(map(tuple, q.collect()), key=repr)
+
+
+def test_command_line_run_verify_reports(spark, tmp_path, capsys):
+    from marquee.__main__ import main
+    p = write(tmp_path / "films.csv", HEADER
+              + "A,2001,D1,en,US,90,100,300,\"Action, Horor\"\n"
+              + "B,2002,D2,en,US,95,200,400,Drama\n")
+    main(["--prefix", "cli_", "run", str(p), "--warehouse", str(tmp_path / "wh")])
+    main(["--prefix", "cli_", "verify"])
+    main(["--prefix", "cli_", "reports", str(tmp_path / "rep")])
+    out = capsys.readouterr().out
+    assert '"movies": 2' in out and "--- tag_counts_top10 ---" in out
+    top = spark.read.option("header", True).csv(str(tmp_path / "rep" / "03_top_movies"))
+    assert [r.title for r in top.orderBy(F.col("box_office").cast("long").desc()).collect()] == ["B", "A"]
