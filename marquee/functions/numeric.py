@@ -15,9 +15,13 @@ def _col(c: Column | str) -> Column:
 
 
 def tolerant_double(c: Column | str) -> Column:
-    """Text -> double; anything that is not a plain decimal number is NULL."""
+    """Text -> double; anything that is not a plain decimal number is NULL.
+
+    A number outside the double range ('1e400') is NULL too, as in pandas
+    (Java's parser would give infinity)."""
     c = _col(c)
-    return F.when(c.rlike(NUMBER_PATTERN), F.trim(c).try_cast("double"))
+    d = F.trim(c).try_cast("double")
+    return F.when(c.rlike(NUMBER_PATTERN) & (F.abs(d) < F.lit(float("inf"))), d)
 
 
 def round_half_up_int(c: Column | str, to: str = "bigint") -> Column:

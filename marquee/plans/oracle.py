@@ -29,7 +29,8 @@ def _strip(c: str) -> str:
 
 
 def _num(c: str) -> str:
-    return f"CASE WHEN regexp_matches({c}, {_q(NUMBER_PATTERN)}) THEN TRY_CAST(trim({c}) AS DOUBLE) END"
+    d = f"TRY_CAST(trim({c}) AS DOUBLE)"
+    return f"CASE WHEN regexp_matches({c}, {_q(NUMBER_PATTERN)}) AND NOT isinf({d}) THEN {d} END"
 
 
 def _case(c: str, cuts, labels) -> str:
