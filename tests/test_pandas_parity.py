@@ -72,3 +72,36 @@ def test_tag_list_matches_python_split_strip_dedup(spark):
                 out.append(p)
         return out
     assert got == [brute(v) for v in vals]
+
+
+def test_roi_matches_pandas(spark):
+    import numpy as np
+    from marquee.functions.numeric import percent_return
+    rnd = np.random.default_rng(4)
+    budget = np.concatenate([rnd.integers(1, 10 ** 9, 3000).astype(float), [0.0, 800.0, 3.0, 7.0]])
+    box = np.concatenate([rnd.integers(0, 3 * 10 ** 9, 3000).astype(float), [10.0, 801.0, 1.0, 8.0]])
+    want = ((pd.Series(box) - pd.Series(budget)) / pd.Series(budget) * 100).round(2)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(box, budget)], "box double, budget double")
+    got = [r.r for r in df.select(percent_return("box", "budget").alias("r")).collect()]
+    for g, w in zip(got, want):
+        if math.isinf(w) or math.isnan(w):
+            assert g is None            # zero budget: NULL instead of inf/NaN
+        else:
+            assert g == w
+
+
+def test_csv_null_tokens_and_quoting_match_pandas(spark, tmp_path):
+    from marquee.functions.text import PANDAS_NULL_TOKENS
+    from marquee.sources import read_raw_csv
+    rnd = random.Random(6)
+    cells = list(PANDAS_NULL_TOKENS) + [" NA", "NA ", "none", "Null", "x", '"q""uote"', '"multi\nline"',
+                                        '"a,b"', "unknown", "0"]
+    lines = ["c1,c2,c3"] + [",".join(rnd.choice(cells) for _ in range(3)) for _ in range(300)]
+    path = tmp_path / "t.csv"
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    want = pd.read_csv(path, dtype=str)
+    got = read_raw_csv(spark, str(path)).toPandas()
+    assert len(got) == len(want)
+    for c in ("c1", "c2", "c3"):
+        w = [None if isinstance(v, float) else v for v in want[c]]
+        assert list(got[c]) == w, c
