@@ -137,3 +137,18 @@ def test_command_line_run_verify_reports(spark, tmp_path, capsys):
     assert '"movies": 2' in out and "--- tag_counts_top10 ---" in out
     top = spark.read.option("header", True).csv(str(tmp_path / "rep" / "03_top_movies"))
     assert [r.title for r in top.orderBy(F.col("box_office").cast("long").desc()).collect()] == ["B", "A"]
+
+
+def test_create_table_and_append(spark, tmp_path):
+    from marquee.schema import MOVIE_GENRES
+    from marquee.sinks import append, create_table
+    spark.sql("DROP TABLE IF EXISTS ct_movie_genres")
+    create_table(spark, "ct_movie_genres", MOVIE_GENRES, str(tmp_path / "mg"))
+    create_table(spark, "ct_movie_genres", MOVIE_GENRES, str(tmp_path / "mg"))   # IF NOT EXISTS
+    append(spark.createDataFrame([("A", "Drama"), ("A", "Action")], "title string, genre string"),
+           "ct_movie_genres")
+    append(spark.createDataFrame([("B", "Drama")], "title string, genre string"), "ct_movie_genres")
+    rows = sorted(map(tuple, spark.table("ct_movie_genres").collect()))
+    assert rows == [("A", "Action"), ("A", "Drama"), ("B", "Drama")]
+    assert spark.table("ct_movie_genres").columns == ["title", "genre"]
+    spark.sql("DROP TABLE IF EXISTS ct_movie_genres")
