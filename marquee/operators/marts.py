@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from marquee.functions.numeric import exact_avg_cents, exact_avg_int
 from marquee.functions.tags import ordered_repeat_join
 from marquee.operators.ranking import global_rank, rank_window
+from marquee.operators.skew import lookup_join
 
 MART_COLUMNS = ("movie_count", "avg_budget", "avg_box_office", "avg_roi",
                 "total_box_office", "revenue_rank")
@@ -110,9 +111,12 @@ def ordered_tag_string(tags: DataFrame, tag: str = "genre", sep: str = ", ",
                                      sep).cast("string").alias("genres")))
 
 
-def top_titles_mart(staged: DataFrame, tags: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def top_titles_mart(staged: DataFrame, tags: DataFrame, keep: tuple[str, ...] = (),
+                    salt_hot: bool = False, **salt_kw) -> DataFrame:
     """Every staged title with its ordered tag string (LEFT JOIN, n:1).
-    Stored unsorted; readers sort (see ``reports``)."""
+    Stored unsorted; readers sort (see ``reports``). A hot title is split at
+    run time by AQE skew-join; ``salt_hot=True`` splits it explicitly
+    (``operators.skew.lookup_join``)."""
     g = ordered_tag_string(tags)
-    return (staged.join(g, "title", "left")
+    return (lookup_join(staged, g, "title", "left", salt=salt_hot, **salt_kw)
             .select(*keep, *TOP_TITLE_COLUMNS))

@@ -86,3 +86,21 @@ def test_hot_title_third_of_rows_matches_brute_force(spark, raw):
     top = marts.top_titles_mart(st, tags, keep=("k",))
     assert top.count() == st.count()
     assert top.filter(F.col("title") == "HOT").select("genres").distinct().collect()[0][0] == s
+
+
+def test_salted_lookup_join_equals_plain(spark, raw):
+    import random
+    from marquee.operators import clean, marts, staging
+    from marquee.operators.skew import hot_keys
+    rnd = random.Random(12)
+    rows = [dict(k=str(i), title="HOT" if i % 3 == 0 else f"t{i % 40}", budget="10",
+                 box_office=str(rnd.randrange(1, 999)), genre=rnd.choice(["A", "B,A", "C"]))
+            for i in range(300)]
+    titles, tags = clean.transform(raw(*rows, extra=("k",)), keep=("k",))
+    st = staging.staged_titles(titles)
+    assert [r.title for r in hot_keys(st, "title", hot_min_rows=50).collect()] == ["HOT"]
+    plain = marts.top_titles_mart(st, tags, keep=("k",))
+    salted = marts.top_titles_mart(st, tags, keep=("k",), salt_hot=True, salts=8, hot_min_rows=50)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+    p = salted._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
