@@ -23,6 +23,9 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     from marquee.plans.queries import QUERIES
     from marquee.session import get_session
 
@@ -30,20 +33,26 @@ def main() -> None:
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     names = [n for n in QUERIES if not only or n in only]
 
-    def run(name: str) -> float:
+    def run(name: str, obs: Observation | None = None) -> float:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        df = QUERIES[name](spark, sf_dir)
+        if obs is not None:     # row count from the same job, no extra pass
+            df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        df.write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
+    rows = {}
     for name in names:          # warm-up: JIT, parquet footers, Python imports
-        run(name)
+        obs = Observation(f"rows_{name}")
+        run(name, obs)
+        rows[name] = obs.get["rows"]
     times = {}
     for name in names:
         times[name] = round(statistics.median(run(name) for _ in range(repeats)), 3)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "sum_of_query_median_sec", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus, "repeats": repeats,
+                      "queries": times, "rows": rows, "sf": sf, "cpus": cpus, "repeats": repeats,
                       "shuffle_partitions": cpus}))
     spark.stop()
 

@@ -47,3 +47,9 @@ def test_genre_mart_plan_has_no_cross_join(spark):
     for name in ("genre_mart", "top_titles_mart", "global_rank_titles", "reject_reasons"):
         p = plan(QUERIES[name](spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_marts_aggregate_before_every_shuffle(spark):
+    p = plan(QUERIES["genre_mart"](spark, SF))
+    # (title, genre) pairs and per-title sums are combined map-side
+    assert p.count("partial_count(1)") >= 2 and "partial_sum" in p
