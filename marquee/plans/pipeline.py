@@ -16,7 +16,7 @@ from marquee.functions.tags import GENRE_CORRECTIONS
 from marquee.functions.tiers import BUDGET_CUTS, BUDGET_LABELS, ROI_CUTS, ROI_LABELS
 from marquee.operators import audit, clean, marts, staging
 from marquee.operators.clean import TITLE_COLUMNS
-from marquee.sinks.tables import create_view, full_refresh, hand_off
+from marquee.sinks.tables import create_view, full_refresh, hand_off, remove_path
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str] = GENRE_CORRECTIONS,
@@ -33,7 +33,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str]
       load; the counts are returned.
     * each table is replaced with ``full_refresh`` (never empty to readers).
     """
-    src = hand_off(raw, "raw") if stage_raw else raw
+    src, src_path = hand_off(raw, "raw", return_path=True) if stage_raw else (raw, None)
     titles_all = clean.clean_titles(src, keep=keep, audit=True)
     tags_all = clean.normalize_tags(src, mapping, keep=keep)
 
@@ -62,6 +62,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str]
         marts.country_mart(stg_movies), f"{prefix}mart_country_analysis", root)
     out["mart_top_movies"] = full_refresh(
         marts.top_titles_mart(stg_movies, stg_genres, keep=tuple(keep)), f"{prefix}mart_top_movies", root)
+    if src_path:
+        remove_path(spark, src_path)    # every table is written; the staged copy is done
     return {k: v["rows"] for k, v in out.items()}
 
 

@@ -54,8 +54,36 @@ def new_version_path(spark: SparkSession, name: str, root: str | None = None) ->
     return f"{base}/{name}/v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on the cluster's file system (HDFS, object store or
+    local), recursively. Returns whether something was deleted."""
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p) and fs.delete(p, True))
+
+
+def prune_versions(spark: SparkSession, table_dir: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` version folders of one table
+    (names start with a millisecond timestamp, so they sort by age)."""
+    fs, p = _fs_path(spark, table_dir)
+    if keep < 1 or not fs.exists(p):
+        return []
+    versions = sorted((st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory()
+                       and st.getPath().getName().startswith("v")),
+                      key=lambda x: int(x.rsplit("/v", 1)[1].split("-")[0]))
+    old = versions[:-keep]
+    for v in old:
+        remove_path(spark, v)
+    return old
+
+
 def full_refresh(df: DataFrame, name: str, root: str | None = None, fmt: str = "parquet",
-                 expect_rows: int | None = None) -> dict:
+                 expect_rows: int | None = None, keep_versions: int | None = 2) -> dict:
     """Replace table ``name`` with ``df`` without an empty window.
 
     1. write ``df`` to a new version folder, counting rows on the way
@@ -69,9 +97,14 @@ def full_refresh(df: DataFrame, name: str, root: str | None = None, fmt: str = "
     spark = df.sparkSession
     path = new_version_path(spark, name, root)
     obs = Observation(f"refresh_{name}_{uuid.uuid4().hex[:6]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists").save(path)
+    try:
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists").save(path)
+    except Exception:
+        remove_path(spark, path)        # no partial version is left to be mistaken for a good one
+        raise
     rows = obs.get["rows"]
     if expect_rows is not None and rows != expect_rows:
+        remove_path(spark, path)
         raise RefreshError(f"{name}: wrote {rows} rows, expected {expect_rows}; table left unchanged")
     if spark.catalog.tableExists(name) and _same_columns(spark.table(name), df):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
@@ -82,6 +115,10 @@ def full_refresh(df: DataFrame, name: str, root: str | None = None, fmt: str = "
         # folder stays until then)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
+    if keep_versions:
+        # the current and the previous complete versions stay (a reader that
+        # planned against the previous one can still finish)
+        prune_versions(spark, path.rsplit("/", 1)[0], keep_versions)
     return {"table": name, "path": path, "rows": rows}
 
 
@@ -95,14 +132,17 @@ def write_table(df: DataFrame, name: str, root: str | None = None) -> dict:
     return full_refresh(df, name, root)
 
 
-def hand_off(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+def hand_off(df: DataFrame, name: str, fmt: str = "parquet", return_path: bool = False):
     """Write a stage's output to the shared checkpoint folder and read it
     back: cuts the lineage (a lost executor recomputes from this copy, not
-    from the source) and replaces the reference's local CSV hand-off."""
+    from the source) and replaces the reference's local CSV hand-off.
+    ``return_path=True`` also returns the folder, for ``remove_path`` once
+    every consumer has run."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/handoff/{name}/{uuid.uuid4().hex}"
     df.write.format(fmt).mode("errorifexists").save(path)
-    return spark.read.format(fmt).load(path)
+    out = spark.read.format(fmt).load(path)
+    return (out, path) if return_path else out
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,

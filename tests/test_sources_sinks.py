@@ -1,6 +1,7 @@
 """CSV source edge cases, swap-safe refresh, the end-to-end pipeline and the
 streaming ingest."""
 
+import glob
 import os
 
 import pytest
@@ -63,6 +64,11 @@ def test_full_refresh_swaps_and_never_empties(spark, tmp_path):
     with pytest.raises(RefreshError):
         full_refresh(spark.range(2).withColumnRenamed("id", "x"), name, root, expect_rows=3)
     assert spark.table(name).count() == 7
+    assert len(glob.glob(f"{root}/{name}/v*")) == 2      # failed attempts left no folder
+    # older complete versions beyond the newest two are deleted after a swap
+    full_refresh(spark.range(7).withColumnRenamed("id", "x"), name, root)
+    assert len(glob.glob(f"{root}/{name}/v*")) == 2
+    assert spark.table(name).count() == 7
     # a schema change re-creates the catalog entry with the new columns
     full_refresh(spark.range(2).select(F.col("id").alias("x"), F.lit("a").alias("y")), name, root)
     assert spark.table(name).columns == ["x", "y"] and spark.table(name).count() == 2
