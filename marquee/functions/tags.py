@@ -50,6 +50,14 @@ def clean_tag_list(c: Column | str, mapping: Mapping[str, str] = GENRE_CORRECTIO
     return F.array_distinct(fixed)
 
 
+def split_stripped(c: Column, sep: str = ",") -> Column:
+    """Split on ``sep`` with every piece stripped (Python ``[p.strip() for p
+    in s.split(sep)]``): strip the whole string once, then split on the
+    separator with any whitespace around it; empty pieces are kept."""
+    from marquee.functions.text import WS_CLASS
+    return F.split(strip(c), f"{WS_CLASS}*{_regex_escape(sep)}{WS_CLASS}*", -1)
+
+
 def ordered_repeat_join(pairs: Column, sep: str = ", ") -> Column:
     """Join an array of struct(tag, n) into one string with each tag repeated
     n times, tags in byte order: the ordered string aggregate computed from

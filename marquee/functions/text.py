@@ -23,6 +23,7 @@ PANDAS_NULL_TOKENS = (
 _WS = (r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
        r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 STRIP_PATTERN = rf"^[{_WS}]+|[{_WS}]+$"
+WS_CLASS = f"[{_WS}]"
 
 
 def strip(c: Column | str) -> Column:

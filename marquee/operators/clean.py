@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.numeric import percent_return, round_half_up_int, to_decimal, tolerant_double
-from marquee.functions.tags import GENRE_CORRECTIONS, clean_tag_list
+from marquee.functions.tags import GENRE_CORRECTIONS, clean_tag_list, split_stripped
 from marquee.functions.text import PANDAS_NULL_TOKENS, nullify_tokens, strip, token_null
 
 TEXT_COLUMNS = ("title", "director", "language", "country")
@@ -70,6 +70,28 @@ def normalize_tags(raw: DataFrame, mapping: Mapping[str, str] = GENRE_CORRECTION
                      F.explode(clean_tag_list(tag_column, mapping, sep)).alias(out))
 
 
+def normalize_tags_with_table(raw: DataFrame, dictionary: DataFrame, key: Sequence[str],
+                              null_tokens: Iterable[str] | None = PANDAS_NULL_TOKENS,
+                              tag_column: str = "genre", out: str = "genre", sep: str = ",",
+                              src: str = "src", dst: str = "dst") -> DataFrame:
+    """``normalize_tags`` for a dictionary too large for a map literal.
+
+    The dictionary is a DataFrame (src, dst). Pieces are exploded first and
+    corrected by an equi-join; Spark broadcasts the dictionary only when its
+    measured size is under the broadcast threshold, else it shuffle-joins
+    (a hot tag is split by AQE skew-join). Repeats within one source row
+    are then removed by a distinct on (key, title, tag), a partial aggregate
+    bounded by the tags of one row; ``key`` must identify a source row. The
+    output rows equal ``normalize_tags``' (a stored table has no order)."""
+    df = nullify_tokens(raw.select(*key, "title", tag_column), null_tokens)
+    pieces = df.select(*key, strip("title").alias("title"),
+                       F.explode(split_stripped(F.col(tag_column), sep)).alias("_piece"))
+    d = dictionary.select(F.col(src).alias("_src"), F.col(dst).alias("_dst"))
+    fixed = pieces.join(d, pieces["_piece"] == d["_src"], "left").select(
+        *key, "title", F.coalesce("_dst", "_piece").alias(out))
+    return fixed.distinct()
+
+
 def clean_wide(raw: DataFrame, mapping: Mapping[str, str] = GENRE_CORRECTIONS,
                null_tokens: Iterable[str] | None = PANDAS_NULL_TOKENS,
                tag_column: str = "genre", list_column: str = "genre_list", sep: str = ",",

@@ -72,6 +72,10 @@ def test_tag_list_matches_python_split_strip_dedup(spark):
                 out.append(p)
         return out
     assert got == [brute(v) for v in vals]
+    from marquee.functions.tags import split_stripped
+    from pyspark.sql import functions as F
+    pieces = [r.p for r in df.select(split_stripped(F.col("s")).alias("p")).collect()]
+    assert pieces == [[p.strip() for p in v.split(",")] for v in vals]
 
 
 def test_roi_matches_pandas(spark):

@@ -104,3 +104,14 @@ def test_salted_lookup_join_equals_plain(spark, raw):
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
     p = salted._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_table_dictionary_variant_equals_map_literal(spark):
+    from marquee.operators import clean
+    from marquee.plans.catalog import DEFAULT, KEY
+    c = Catalog(spark, SF)
+    d = spark.createDataFrame(list(DEFAULT.corrections.items()), "src string, dst string")
+    got = clean.normalize_tags_with_table(c.raw, d, key=(KEY,))
+    want = c.tags
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
