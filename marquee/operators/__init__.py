@@ -1,16 +1,20 @@
 """DataFrame -> DataFrame operators (no actions inside, except the quantile
-cut points of ``global_rank``)."""
+cut points of ``global_rank`` and the hot-key list of a salted join)."""
 
-from marquee.operators.clean import clean_titles, normalize_tags, transform, TITLE_COLUMNS
+from marquee.operators.clean import (
+    clean_titles, normalize_tags, normalize_tags_with_table, clean_wide, split_wide, transform,
+    TITLE_COLUMNS,
+)
 from marquee.operators.staging import staged_titles, staged_tags
 from marquee.operators.marts import (
     genre_mart, country_mart, top_titles_mart, ordered_tag_string, title_sums, tag_multiplicity,
 )
 from marquee.operators.ranking import rank_window, global_rank
+from marquee.operators.skew import lookup_join, hot_keys
 
 __all__ = [
-    "clean_titles", "normalize_tags", "transform", "TITLE_COLUMNS",
-    "staged_titles", "staged_tags",
+    "clean_titles", "normalize_tags", "normalize_tags_with_table", "clean_wide", "split_wide",
+    "transform", "TITLE_COLUMNS", "staged_titles", "staged_tags",
     "genre_mart", "country_mart", "top_titles_mart", "ordered_tag_string",
-    "title_sums", "tag_multiplicity", "rank_window", "global_rank",
+    "title_sums", "tag_multiplicity", "rank_window", "global_rank", "lookup_join", "hot_keys",
 ]
