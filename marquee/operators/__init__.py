@@ -1,5 +1,6 @@
-"""DataFrame -> DataFrame operators (no actions inside, except the quantile
-cut points of ``global_rank`` and the hot-key list of a salted join)."""
+"""DataFrame -> DataFrame operators. None runs a job while building its
+plan, except ``global_rank`` (one job for the quantile cut points, plus a
+write of its input with ``stage_input=True``)."""
 
 from marquee.operators.clean import (
     clean_titles, normalize_tags, normalize_tags_with_table, clean_wide, split_wide, transform,
