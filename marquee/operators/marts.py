@@ -74,12 +74,14 @@ def genre_mart(staged: DataFrame, tags: DataFrame, rank_impl: str = "window") ->
     for the range-bucketed rank when the number of tags is unbounded."""
     per_title = title_sums(staged)
     pairs = tag_multiplicity(tags).join(per_title, "title", "inner")
+    # k * n counts the join rows of the plain n*m join; for a heavily repeated
+    # title that exceeds a long, so counts are summed as decimal(38,0) too
     k = F.col("k").cast("decimal(38,0)")
     agg = pairs.groupBy("genre").agg(
         F.count(F.lit(1)).alias("movie_count"),
-        F.sum(k * F.col("t_budget")).alias("s_budget"), F.sum(F.col("k") * F.col("t_nbudget")).alias("n_budget"),
-        F.sum(k * F.col("t_box")).alias("s_box"), F.sum(F.col("k") * F.col("t_nbox")).alias("n_box"),
-        F.sum(k * F.col("t_roi")).alias("s_roi"), F.sum(F.col("k") * F.col("t_nroi")).alias("n_roi"))
+        F.sum(k * F.col("t_budget")).alias("s_budget"), F.sum(k * F.col("t_nbudget")).alias("n_budget"),
+        F.sum(k * F.col("t_box")).alias("s_box"), F.sum(k * F.col("t_nbox")).alias("n_box"),
+        F.sum(k * F.col("t_roi")).alias("s_roi"), F.sum(k * F.col("t_nroi")).alias("n_roi"))
     return _finish(agg, "genre", rank_impl)
 
 
