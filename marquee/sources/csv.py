@@ -31,3 +31,10 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str],
     else:
         reader = reader.option("inferSchema", False)
     return nullify_tokens(reader.csv(path), null_tokens)
+
+
+def extract_csv(spark: SparkSession, location: str, key: str = "movies.csv", **kw) -> DataFrame:
+    """The extract step: ``{location}/{key}`` on any Hadoop file system
+    (``s3a://bucket``, ``hdfs://…``, a local folder). Credentials come from
+    the cluster's file-system configuration, not from the job."""
+    return read_raw_csv(spark, f"{location.rstrip('/')}/{key}", **kw)

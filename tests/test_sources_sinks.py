@@ -31,6 +31,12 @@ def test_quoted_title_with_quotes_and_newline(spark, tmp_path):
     assert [r.genre for r in clean.normalize_tags(df).collect()] == ["Drama", "Horror"]
 
 
+def test_extract_reads_key_under_location(spark, tmp_path):
+    from marquee.sources import extract_csv
+    write(tmp_path / "movies.csv", HEADER + "A,2001,D,en,US,90,1,2,Drama\n")
+    assert [r.title for r in extract_csv(spark, str(tmp_path)).collect()] == ["A"]
+
+
 def test_null_tokens_on_read(spark, tmp_path):
     p = write(tmp_path / "b.csv", HEADER + "None,NA,N/A,,n/a,nan,NULL,unknown,\n")
     r = read_raw_csv(spark, str(p)).collect()[0]
