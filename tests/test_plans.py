@@ -53,3 +53,12 @@ def test_marts_aggregate_before_every_shuffle(spark):
     p = plan(QUERIES["genre_mart"](spark, SF))
     # (title, genre) pairs and per-title sums are combined map-side
     assert p.count("partial_count(1)") >= 2 and "partial_sum" in p
+
+
+def test_cluster_conf_sizes_shuffle_to_input():
+    from marquee.session import cluster_conf
+    big = cluster_conf(100 * 1024 ** 4, 8, 1000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409_600
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = cluster_conf(10 * 1024 ** 2, 8, 4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 64      # at least two waves of cores
