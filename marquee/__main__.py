@@ -22,7 +22,7 @@ def _cmd_run(spark, a) -> None:
     from marquee.plans.pipeline import run_pipeline
     from marquee.sources import read_raw_csv
     raw = read_raw_csv(spark, a.input, multi_line=not a.single_line)
-    counts = run_pipeline(spark, raw, root=a.warehouse, prefix=a.prefix)
+    counts = run_pipeline(spark, raw, root=a.warehouse, prefix=a.prefix, rank_impl=a.rank)
     print(json.dumps(counts))
 
 
@@ -65,6 +65,8 @@ def main(argv=None) -> None:
     r.add_argument("--warehouse", default=None, help="folder for table versions "
                    "(default: <spark.checkpoint.dir>/tables)")
     r.add_argument("--single-line", action="store_true", help="splittable CSV without quoted newlines")
+    r.add_argument("--rank", choices=("window", "global"), default="window",
+                   help="mart rank: one window (few groups) or range-bucketed (any number)")
     sub.add_parser("verify")
     rp = sub.add_parser("reports")
     rp.add_argument("output")

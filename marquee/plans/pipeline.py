@@ -22,7 +22,7 @@ from marquee.sinks.tables import create_view, full_refresh, hand_off, remove_pat
 def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str] = GENRE_CORRECTIONS,
                  budget_cuts: Sequence[float] = BUDGET_CUTS, roi_cuts: Sequence[float] = ROI_CUTS,
                  root: str | None = None, prefix: str = "", keep: Sequence[str] = (),
-                 stage_raw: bool = True) -> dict:
+                 stage_raw: bool = True, rank_impl: str = "window") -> dict:
     """Run the whole batch on ``raw`` (all-string columns) and return counts.
 
     * ``stage_raw``: write the raw frame once to the shared checkpoint folder
@@ -32,6 +32,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str]
       ``{prefix}movie_genres_rejects`` with a reason instead of failing the
       load; the counts are returned.
     * each table is replaced with ``full_refresh`` (never empty to readers).
+    * ``rank_impl='global'`` ranks the marts without a single-task window,
+      for catalogues whose genre or country count is not small.
     """
     src, src_path = hand_off(raw, "raw", return_path=True) if stage_raw else (raw, None)
     titles_all = clean.clean_titles(src, keep=keep, audit=True)
@@ -57,9 +59,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str]
     create_view(stg_genres, f"{prefix}stg_genres")
 
     out["mart_genre_analysis"] = full_refresh(
-        marts.genre_mart(stg_movies, stg_genres), f"{prefix}mart_genre_analysis", root)
+        marts.genre_mart(stg_movies, stg_genres, rank_impl), f"{prefix}mart_genre_analysis", root)
     out["mart_country_analysis"] = full_refresh(
-        marts.country_mart(stg_movies), f"{prefix}mart_country_analysis", root)
+        marts.country_mart(stg_movies, rank_impl), f"{prefix}mart_country_analysis", root)
     out["mart_top_movies"] = full_refresh(
         marts.top_titles_mart(stg_movies, stg_genres, keep=tuple(keep)), f"{prefix}mart_top_movies", root)
     if src_path:

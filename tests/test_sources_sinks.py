@@ -142,7 +142,7 @@ def test_command_line_run_verify_reports(spark, tmp_path, capsys):
     p = write(tmp_path / "films.csv", HEADER
               + "A,2001,D1,en,US,90,100,300,\"Action, Horor\"\n"
               + "B,2002,D2,en,US,95,200,400,Drama\n")
-    main(["--prefix", "cli_", "run", str(p), "--warehouse", str(tmp_path / "wh")])
+    main(["--prefix", "cli_", "run", str(p), "--warehouse", str(tmp_path / "wh"), "--rank", "global"])
     main(["--prefix", "cli_", "verify"])
     main(["--prefix", "cli_", "reports", str(tmp_path / "rep")])
     out = capsys.readouterr().out
