@@ -272,3 +272,8 @@ ORACLE_SQL = {
                CAST(rank() OVER (ORDER BY box_office DESC NULLS LAST) AS BIGINT) AS box_office_rank
         FROM stg_movies"""),
 }
+
+# scale variants: same answers as the plain operators
+ORACLE_SQL["genre_mart_global_rank"] = ORACLE_SQL["genre_mart"]
+ORACLE_SQL["top_titles_mart_salted"] = ORACLE_SQL["top_titles_mart"]
+ORACLE_SQL["normalized_tags_dictionary_table"] = ORACLE_SQL["normalized_tags"]

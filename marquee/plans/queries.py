@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators import audit, reports, verify
+from marquee.operators import audit, clean, marts, reports, verify
 from marquee.operators.ranking import global_rank
 from marquee.plans import catalog as C
 from marquee.plans.catalog import Catalog
@@ -139,6 +139,25 @@ def q_report_roi_by_genre(spark, root):
     return reports.roi_by_tag(_both(spark, root).genre_mart()).orderBy(F.col("avg_roi").asc())
 
 
+# Scale variants of operators above: same results, so they share the oracle
+# SQL of the plain query and the gate checks the scalable code paths too.
+
+def q_genre_mart_global_rank(spark, root):
+    return _both(spark, root).genre_mart("global")
+
+
+def q_top_titles_mart_salted(spark, root):
+    # titles with at least 4 copies are spread over 4 salts
+    c = _light(spark, root)
+    return marts.top_titles_mart(c.staged, c.tags, keep=(C.KEY,), salt_hot=True, salts=4, hot_min_rows=4)
+
+
+def q_normalized_tags_dictionary_table(spark, root):
+    c = _light(spark, root)
+    d = spark.createDataFrame(list(c.p.corrections.items()), "src string, dst string")
+    return clean.normalize_tags_with_table(c.raw, d, key=(C.KEY,))
+
+
 def q_global_rank_titles(spark, root):
     s = Catalog(spark, root).staged.select(C.KEY, "title", "box_office")
     # the quantile job and the ranking job both read one written copy of the
@@ -171,4 +190,7 @@ QUERIES: dict[str, Query] = {
     "report_countries": q_report_countries,
     "report_roi_by_genre": q_report_roi_by_genre,
     "global_rank_titles": q_global_rank_titles,
+    "genre_mart_global_rank": q_genre_mart_global_rank,
+    "top_titles_mart_salted": q_top_titles_mart_salted,
+    "normalized_tags_dictionary_table": q_normalized_tags_dictionary_table,
 }
