@@ -46,11 +46,15 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    rows = {}
+    rows, errors = {}, {}
     for name in names:          # warm-up: JIT, parquet footers, Python imports
         obs = Observation(f"rows_{name}")
-        run(name, obs)
-        rows[name] = obs.get["rows"]
+        try:
+            run(name, obs)
+            rows[name] = obs.get["rows"]
+        except Exception as e:  # one failing query must not lose the others' numbers
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
+    names = [n for n in names if n not in errors]
     for _ in range(warmup - 1):  # the JVM keeps compiling hot paths for a while
         for name in names:
             run(name)
@@ -61,7 +65,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "sum_of_query_median_sec", "value": total, "unit": "sec",
                       "queries": times, "rows": rows, "sf": sf, "cpus": cpus, "repeats": repeats, "warmup": warmup,
-                      "shuffle_partitions": cpus}))
+                      "shuffle_partitions": cpus, **({"errors": errors} if errors else {})}))
     spark.stop()
 
 
