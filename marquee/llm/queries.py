@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import bpe, packing, url_filter
+from marquee.llm import bpe, line_dedup, packing, quality, url_filter
 from marquee.llm.common import table
 
 
@@ -20,10 +20,19 @@ def pretoken_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), pretoken_pattern())
 
@@ -32,5 +41,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op7_best_fit_packing, op9_byte_bpe, op10_url_filter)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op7_best_fit_packing, op8_quality_rules, op9_byte_bpe, op10_url_filter)}
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op8_quality_rules": quality.SQL, "op10_url_filter": url_filter.SQL}

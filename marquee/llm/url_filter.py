@@ -156,3 +156,22 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = HOST_RULES,
                 [*(batch.column(i) for i in range(len(keep))), *(pa.array(x, pa.string()) for x in found)], names=names)
 
     return pages.select(*(pages[k] for k in keep), pages[url]).mapInArrow(run, schema)
+
+
+#: The same by SQL; the patterns are the glob list's, written by hand as regular expressions.
+SQL = r"""
+WITH p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN regexp_replace(substr(url, instr(url, '://') + 3), '#.*$', '', 's') ELSE '' END AS rest FROM pages),
+q AS (SELECT page_id, rest, regexp_extract(rest, '^[^?]*') AS hp FROM p),
+h AS (SELECT page_id, translate(regexp_extract(hp, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             substr(hp, length(regexp_extract(hp, '^[^/]*')) + 1) AS path, substr(rest, length(hp) + 1) AS query FROM q),
+r(verdict, rule, rhost, rpath) AS (VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
+     ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'), ('block', 'com/de/', 'com', '/de/')),
+m AS (SELECT h.page_id, r.verdict, r.rule, row_number() OVER (PARTITION BY h.page_id ORDER BY length(r.rule) DESC) AS nr
+      FROM h JOIN r ON (h.host = r.rhost OR h.host LIKE '%.' || r.rhost) AND starts_with(h.path, r.rpath)),
+c AS (SELECT *, host || path || query AS canon FROM h)
+SELECT c.page_id, host, path, m.rule, coalesce(m.verdict, CASE WHEN
+    regexp_matches(canon, '\.(exe|zip|jpg|png|css|js)$') OR regexp_matches(canon, '/login|/cart|/wp-admin/|/cgi-bin/')
+    OR regexp_matches(canon, '^ads\.') OR regexp_matches(canon, '^[^/?]*\.ads\.') OR regexp_matches(canon, '\?.*sessionid=', 's')
+    THEN 'block' ELSE 'allow' END) AS verdict
+FROM c LEFT JOIN m ON c.page_id = m.page_id AND m.nr = 1
+"""
