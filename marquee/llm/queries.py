@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import bpe, html, langid, line_dedup, packing, quality, url_filter
+from marquee.llm import bpe, html, jaccard, langid, line_dedup, packing, quality, url_filter
 from marquee.llm.common import table
 
 
@@ -29,6 +29,11 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.similar_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", langid.held_out())
     model = langid.fit(docs.where("not held_out"))
@@ -51,5 +56,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op4_html_extraction, op6_language_id, op7_best_fit_packing, op8_quality_rules, op9_byte_bpe, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_line_dedup, op4_html_extraction, op5_ngram_jaccard, op6_language_id, op7_best_fit_packing, op8_quality_rules, op9_byte_bpe, op10_url_filter)}
 ORACLE_SQL: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op8_quality_rules": quality.SQL, "op10_url_filter": url_filter.SQL}
