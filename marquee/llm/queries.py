@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import bpe, html, jaccard, langid, line_dedup, packing, quality, url_filter
+from marquee.llm import bpe, embedding, html, jaccard, langid, line_dedup, packing, quality, url_filter
 from marquee.llm.common import table
 
 
@@ -20,6 +20,11 @@ def pretoken_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
@@ -56,5 +61,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op4_html_extraction, op5_ngram_jaccard, op6_language_id, op7_best_fit_packing, op8_quality_rules, op9_byte_bpe, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_line_dedup, op4_html_extraction, op5_ngram_jaccard, op6_language_id, op7_best_fit_packing, op8_quality_rules, op9_byte_bpe, op10_url_filter)}
 ORACLE_SQL: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op8_quality_rules": quality.SQL, "op10_url_filter": url_filter.SQL}
