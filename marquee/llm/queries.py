@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import bpe, embedding, html, jaccard, langid, line_dedup, packing, quality, url_filter
+from marquee.llm import bpe, embedding, html, jaccard, langid, line_dedup, packing, quality, suffix, url_filter
 from marquee.llm.common import table
 
 
@@ -30,6 +30,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.suffix_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_text(table(spark, sf_dir, "pages"))
 
@@ -61,5 +66,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_line_dedup, op4_html_extraction, op5_ngram_jaccard, op6_language_id, op7_best_fit_packing, op8_quality_rules, op9_byte_bpe, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_line_dedup, op3_suffix_dedup, op4_html_extraction, op5_ngram_jaccard, op6_language_id, op7_best_fit_packing, op8_quality_rules, op9_byte_bpe, op10_url_filter)}
 ORACLE_SQL: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op8_quality_rules": quality.SQL, "op10_url_filter": url_filter.SQL}
