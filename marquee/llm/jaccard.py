@@ -309,7 +309,8 @@ def _prefixes(batch: pa.RecordBatch):
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, key, n_shingles, component_id of each document; key: xxhash64 of id and text."""
+    """id, key, n_shingles, component_id, kept of each document; key: xxhash64 of
+    id and text; kept: true for one of each component's (id, key)."""
     spark = prepare(docs.sparkSession)
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.xxhash64(docs[id_col], docs[text]).alias("key"), F.coalesce(docs[id_col], F.lit(NO_ID)).cast("long").alias("id"), docs[text].alias("text"))
@@ -348,8 +349,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 
     root = components(links.unionByName(more), "x", "y").withColumnRenamed("node", "c")
     grouped = classes.join(root, "c", "left").withColumn("root", F.coalesce("root", "c"))
-    least = grouped.groupBy("root").agg(F.min("id").alias("component"))
-    of_sig = grouped.join(least, "root").select("sig", "component")
+    least = grouped.groupBy("root").agg(F.min(F.struct("id", "c")).alias("first"))
+    of_sig = grouped.join(least, "root").select("sig", F.col("first.id").alias("component"), F.col("first.c").alias("first"))
     real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return (stat.join(of_sig, "sig", "left").withColumn("component", F.coalesce("component", "id"))
-            .select(real("id").alias("id"), "key", F.col("n").alias("n_shingles"), real("component").alias("component_id")))
+            .select(real("id").alias("id"), "key", F.col("n").alias("n_shingles"), real("component").alias("component_id"),
+                    F.coalesce(F.col("key") == F.col("first"), F.lit(True)).alias("kept")))

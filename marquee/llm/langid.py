@@ -224,12 +224,12 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), t
     shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join([*(f"`{k}` {types[k]}" for k in keep), "lang_pred string, score double", *["spans array<struct<lang:string,words:int>>"] * spans])
-    kept = len(keep)
+    kept, at = len(keep), [*keep, text].index(text)
     span_type = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())]))
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(kept).to_pylist()
+            texts = batch.column(at).to_pylist()
             for a, b in slices(texts):
                 lang, score, runs = shared.value.predict(texts[a:b], switch_cost, spans)
                 arrays = [pa.array(lang, pa.string()), pa.array(score, pa.float64())]
@@ -237,7 +237,7 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), t
                     arrays.append(pa.array([[{"lang": x, "words": n} for x, n in r] for r in runs], span_type))
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(kept)), *arrays], names=[*keep, "lang_pred", "score", *["spans"] * spans])
 
-    return docs.select(*(docs[k] for k in keep), docs[text]).mapInArrow(run, schema)
+    return docs.select(*(docs[k] for k in keep), *[docs[text]] * (text not in keep)).mapInArrow(run, schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -318,6 +318,12 @@ def _answer_contexts(f: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": f["chunk"], "bucket": f["bucket"], "ids": values, "sizes": lengths, "home": f["home"]})
 
 
+def _cut_text(f: pd.DataFrame) -> pd.DataFrame:
+    f = _cut(f)
+    f["kept"] = [k.decode("utf-8", "ignore") for k in f["kept"]]
+    return f
+
+
 def _cut(f: pd.DataFrame) -> pd.DataFrame:
     """What is left of each document that loses bytes."""
     home = next(x for x in f["home"] if x is not None)
@@ -346,12 +352,12 @@ def _cut(f: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", as_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """(documents, cut).
 
     documents: id, key, n_bytes, sha256 of the whole text, first_id and
-    first_key of its class. cut: key, n_removed, n_spans, kept (binary) of the
-    first documents of classes that lose bytes.
+    first_key of its class. cut: key, n_removed, n_spans, kept (binary; with
+    ``as_text`` string) of the first documents of classes that lose bytes.
     """
     spark = prepare(docs.sparkSession)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -369,10 +375,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
              .agg(*(F.first(c).alias(c) for c in ("text", "id", "first", "size", "anchor"))))
     asked = texts.mapInArrow(_ask_contexts(buckets), "bucket int, chunk long, contexts binary, sizes binary, ids binary, home binary")
     answers = asked.groupBy("bucket").applyInPandas(_answer_contexts, "chunk long, bucket int, ids binary, sizes binary, home binary")
-    cut = answers.groupBy("chunk").applyInPandas(_cut, "key long, n_removed long, n_spans long, kept binary")
+    cut = answers.groupBy("chunk").applyInPandas(_cut_text if as_text else _cut, f"key long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
     return ident.join(classes, "sha256"), cut
 
 
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with ``text`` less its repeated bytes; rows of which only white space is left go."""
+    ident, cut = remove_repeats(docs, id_col, text, as_text=True)
+    copy = (F.col("id") > F.col("first_id")) & (F.col("n_bytes") >= LENGTH)
+    found = (ident.join(cut.select(F.col("key").alias("first_key"), "kept"), "first_key", "left")
+             .withColumn("_kept", F.when(copy, F.lit("")).when(F.col("id") == F.col("first_id"), F.col("kept"))).where("_kept is not null")
+             .groupBy("key").agg(F.first("_kept").alias("_kept")))
+    named = docs.select(F.xxhash64(docs[id_col], docs[text]).alias("key"), *(docs[c] for c in docs.columns))
+    left = named.join(found, "key", "left")
+    whole = F.coalesce(left["_kept"], left[text])
+    return (left.where(left["_kept"].isNull() | (F.length(F.trim(left["_kept"])) > 0))
+            .select(*(whole.alias(c) if c == text else left[c] for c in docs.columns)))
+
+
 EMPTY_SHA = sha256(b"").hexdigest()
 
 
