@@ -15,12 +15,12 @@ from __future__ import annotations
 
 import base64
 import heapq
-import zlib
 from collections.abc import Sequence
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.llm.common import Memo, prepare
@@ -44,7 +44,7 @@ class PerfectHash:
         self.shift = [0] * self.n_buckets
         buckets: list[list[int]] = [[] for _ in range(self.n_buckets)]
         for i, k in enumerate(keys):
-            buckets[zlib.crc32(k) % self.n_buckets].append(i)
+            buckets[self._hash(k)[0] % self.n_buckets].append(i)
         self.keys: list[bytes | None] = [None] * n
         self.values = [0] * n
         free = bytearray(b"\1") * n
@@ -58,7 +58,7 @@ class PerfectHash:
                     spare -= 1
                 self.shift[b], slots = -spare - 1, [spare]
             else:
-                hashes = [self._hash(keys[i]) for i in own]
+                hashes = [self._hash(keys[i])[1:] for i in own]
                 d = 0
                 while True:
                     slots = [(x + d * y) % n for x, y in hashes]
@@ -73,17 +73,19 @@ class PerfectHash:
                 self.keys[s], self.values[s] = keys[i], values[i]
 
     @staticmethod
-    def _hash(key: bytes) -> tuple[int, int]:
-        return zlib.adler32(key) * 2654435761 + zlib.crc32(key, 1), zlib.crc32(key, 77) | 1
+    def _hash(key: bytes) -> tuple[int, int, int]:
+        """For the bucket, the first slot, and the step."""
+        h = xxhash.xxh3_128_intdigest(key)
+        return h & 0xFFFFFFFF, h >> 32 & 0xFFFFFFFF, h >> 64
 
     def get(self, key: bytes) -> int | None:
         if not self.n:
             return None
-        d = self.shift[zlib.crc32(key) % self.n_buckets]
+        bucket, x, y = self._hash(key)
+        d = self.shift[bucket % self.n_buckets]
         if d < 0:
             slot = -d - 1
         else:
-            x, y = self._hash(key)
             slot = (x + d * y) % self.n
         return self.values[slot] if self.keys[slot] == key else None
 
