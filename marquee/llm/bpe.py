@@ -35,7 +35,8 @@ class PerfectHash:
     """Minimal perfect hash of byte strings: as many slots as keys.
 
     Keys fall into buckets by one hash; buckets, the largest first, take the
-    smallest displacement that sends all of their keys to free slots.
+    smallest displacement (a shift, and a multiple of each key's own step) that
+    sends all of their keys to free slots.
     """
 
     def __init__(self, keys: Sequence[bytes], values: Sequence[int]):
@@ -61,11 +62,11 @@ class PerfectHash:
                 hashes = [self._hash(keys[i])[1:] for i in own]
                 d = 0
                 while True:
-                    slots = [(x + d * y) % n for x, y in hashes]
+                    slots = [(x + d // n * y + d) % n for x, y in hashes]
                     if len(set(slots)) == len(slots) and all(free[s] for s in slots):
                         break
                     d += 1
-                    if d > 50 * n + 1000:
+                    if d > n * n + 1000:
                         raise ValueError("two keys share their hashes")
                 self.shift[b] = d
             for i, s in zip(own, slots, strict=True):
@@ -86,7 +87,7 @@ class PerfectHash:
         if d < 0:
             slot = -d - 1
         else:
-            slot = (x + d * y) % self.n
+            slot = (x + d // self.n * y + d) % self.n
         return self.values[slot] if self.keys[slot] == key else None
 
 

@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.session import ensure_checkpoint_dir
@@ -67,6 +68,16 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) + np.repeat(starts - (ends - counts), counts)
 
 
+def chunk_id(number: int, content: bytes) -> int:
+    """Name of the ``number``-th chunk of this task's partition; a task that
+    runs again gives its chunks the same names."""
+    from pyspark import TaskContext
+
+    task = TaskContext.get()
+    place = (task.partitionId() if task else 0, number)
+    return xxhash.xxh3_64_intdigest(repr(place).encode() + content) >> 1
+
+
 class Memo(dict):
     """A dict that fills itself by ``make`` and starts anew when it holds
     ``most`` keys, so its memory is bounded whatever the vocabulary."""

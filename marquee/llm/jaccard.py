@@ -40,7 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import NO_ID, Memo, components, mix, per_batch, prepare, written
+from marquee.llm.common import NO_ID, Memo, chunk_id, components, mix, per_batch, prepare, written
 
 WORDS, PERCENT, FRAGMENTS = 5, 75, 8
 CHUNK_ROWS, CHUNK_SHINGLES = 1024, 1_000_000
@@ -93,10 +93,11 @@ def _questions(tokens: np.ndarray, doc: np.ndarray, buckets: int):
 def _ask_half(buckets: int):
     """Messages that find each document's shingles that no other one holds."""
     def run(batches):
-        shingles = Shingles()
+        shingles, number = Shingles(), 0
         for batch in batches:
             for own in chunks(_rows(batch, shingles), lambda r: r[2]):
-                yield _half_messages(own, buckets)
+                yield _half_messages(own, buckets, number)
+                number += 1
     return run
 
 
@@ -105,7 +106,7 @@ def _rows(batch, shingles):
         yield k, i, *shingles(t.as_py())
 
 
-def _half_messages(rows: list, buckets: int) -> pa.RecordBatch:
+def _half_messages(rows: list, buckets: int, number: int) -> pa.RecordBatch:
     n = len(rows)
     sets = [r[2][(r[2] & np.uint64(1)) == 0] for r in rows]
     tokens = np.concatenate(sets)
@@ -113,7 +114,7 @@ def _half_messages(rows: list, buckets: int) -> pa.RecordBatch:
     shared, _, here, own, own_doc, place = _questions(tokens, doc, buckets)
     local = np.bincount(doc[here], minlength=n)
     keys = np.array([r[0] for r in rows], "<i8")
-    chunk = xxhash.xxh3_64_intdigest(keys.tobytes()) >> 1
+    chunk = chunk_id(number, keys.tobytes())
     home = b"".join([keys.tobytes(), np.array([r[1] for r in rows], "<i8").tobytes(), np.array([len(r[2]) for r in rows], "<i8").tobytes(),
                      np.array([len(s) - x for s, x in zip(sets, local, strict=True)], "<i8").tobytes(), b"".join(r[3].ljust(16, b"\0") for r in rows)])
     b_own, b_shared = place(own), place(shared)
@@ -157,12 +158,13 @@ def _sum_half(f: pd.DataFrame) -> pd.DataFrame:
 
 def _pack_classes(batches):
     """One row a chunk of classes: their keys, sizes and shingles."""
-    shingles = Shingles()
+    shingles, number = Shingles(), 0
     for batch in batches:
         rows = ((k, shingles(t.as_py())[0]) for k, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
         for own in chunks(rows, lambda r: r[1]):
             keys = np.array([r[0] for r in own], "<i8").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_64_intdigest(keys) >> 1], pa.int64()), pa.array([keys], pa.binary()),
+            number += 1
+            yield pa.RecordBatch.from_arrays([pa.array([chunk_id(number, keys)], pa.int64()), pa.array([keys], pa.binary()),
                                               pa.array([np.array([len(r[1]) for r in own], "<i8").tobytes()], pa.binary()),
                                               pa.array([np.concatenate([r[1] for r in own]).tobytes()], pa.binary())], names=["chunk", "keys", "sizes", "tokens"])
 

@@ -40,7 +40,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import NO_ID, mix, prepare, ranges, written
+from marquee.llm.common import NO_ID, chunk_id, mix, prepare, ranges, written
 
 LENGTH, GRAM = 50, 16
 CHUNK_ROWS, CHUNK_BYTES = 1024, 4_000_000
@@ -105,7 +105,7 @@ def unpack_arrays(blob: bytes, *types: str) -> list[np.ndarray]:
 def _ask_anchors(buckets: int):
     """(key, text) rows -> messages (bucket, chunk, anchors, several, home)."""
     def run(batches):
-        for rows in chunked(batches, 1):
+        for number, rows in enumerate(chunked(batches, 1)):
             found = [anchors(raw) for _, raw in rows]
             count = np.array([len(a) for a, _ in found], "<i8")
             h, size = np.concatenate([a for a, _ in found]), np.concatenate([r for _, r in found])
@@ -121,7 +121,7 @@ def _ask_anchors(buckets: int):
             bucket = ((uniq >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)  # sorted, as uniq is
             ends = np.searchsorted(bucket, np.arange(buckets + 1))
             keys = np.array([r[0] for r in rows], "<i8")
-            chunk = int.from_bytes(sha256(keys.tobytes() + count.tobytes()).digest()[:7], "little")
+            chunk = chunk_id(number, keys.tobytes() + count.tobytes())
             home = pack_arrays(keys, count, place.astype("<u4"), size.astype("<u4"), (uniq >> np.uint64(16)).astype("<u4"))
             low = np.ascontiguousarray(uniq.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]  # the bucket has the highest bits, nearly
             used = np.union1d(np.flatnonzero(np.diff(ends)), [chunk % buckets]).astype(np.int64)
@@ -253,7 +253,7 @@ def smallest_ids(strings: list[bytes], ids: np.ndarray, length: int = LENGTH) ->
 def _ask_contexts(buckets: int):
     """(key, text, id, first, size, anchor) rows -> messages (bucket, chunk, contexts, sizes, ids, home)."""
     def run(batches):
-        for rows in chunked(batches, 1):
+        for serial, rows in enumerate(chunked(batches, 1)):
             seen: dict[tuple[int, bytes], int] = {}
             least: list[int] = []
             number, sizes = [], []
@@ -275,7 +275,7 @@ def _ask_contexts(buckets: int):
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             keys = np.array([r[0] for r in rows], "<i8")
-            chunk = int.from_bytes(sha256(keys.tobytes()).digest()[:7], "little")
+            chunk = chunk_id(serial, keys.tobytes())
             home = pack_arrays(keys, np.array([r[2] for r in rows], "<i8"), np.array([len(r[1]) for r in rows], "<i8"), np.array(sizes, "<i8"),
                                np.frombuffer(b"".join(r[3] for r in rows), "<u4"), place[np.array(number, np.int64)].astype("<u4"),
                                np.array([len(contexts[k]) for k in order], "<u4"), np.frombuffer(b"".join(r[1] for r in rows), np.uint8))
@@ -386,11 +386,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     found = (ident.join(cut.select(F.col("key").alias("first_key"), "kept"), "first_key", "left")
              .withColumn("_kept", F.when(copy, F.lit("")).when(F.col("id") == F.col("first_id"), F.col("kept"))).where("_kept is not null")
              .groupBy("key").agg(F.first("_kept").alias("_kept")))
-    named = docs.select(F.xxhash64(docs[id_col], docs[text]).alias("key"), *(docs[c] for c in docs.columns))
-    left = named.join(found, "key", "left")
-    whole = F.coalesce(left["_kept"], left[text])
-    return (left.where(left["_kept"].isNull() | (F.length(F.trim(left["_kept"])) > 0))
-            .select(*(whole.alias(c) if c == text else left[c] for c in docs.columns)))
+    named = docs.select(F.xxhash64(docs[id_col], docs[text]).alias("key"), *(docs[c].alias(f"_c{i}") for i, c in enumerate(docs.columns)))
+    left = named.join(found, "key", "left").where(F.col("_kept").isNull() | (F.length(F.trim("_kept")) > 0))
+    whole = lambda c, i: F.coalesce("_kept", f"_c{i}") if c == text else F.col(f"_c{i}")
+    return left.select(*(whole(c, i).alias(c) for i, c in enumerate(docs.columns)))
 
 
 EMPTY_SHA = sha256(b"").hexdigest()
