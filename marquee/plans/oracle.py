@@ -7,17 +7,30 @@ them. Pre-registered views: orders, customer, nation, lineitem, part.
 
 from __future__ import annotations
 
-from marquee.functions.numeric import NUMBER_PATTERN
-from marquee.functions.text import PANDAS_NULL_TOKENS, STRIP_PATTERN
-from marquee.functions.tiers import BUDGET_LABELS, ROI_LABELS
-from marquee.plans.catalog import DEFAULT
+# Fixed values, stated here on their own so that a wrong value in the package
+# shows: pandas' null words, number syntax, white space that Python strips,
+# the tag dictionary and the tier labels with the cut points for this data.
+NULL_WORDS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+NUMBER = r"^[ \t-\r]*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?[ \t-\r]*$"
+OUTER_SPACE = r"^[\t-\r\x1c-\x20\x85\p{Z}]+|[\t-\r\x1c-\x20\x85\p{Z}]+$"
+TAG_FIXES = (("Horor", "Horror"), ("Mistery", "Mystery"), ("Misterija", "Mystery"), ("Krimi", "Crime"),
+             ("Komedija", "Comedy"), ("Akcija", "Action"), ("Romantic Drama", "Drama"), ("Comedy-Drama", "Drama"),
+             ("Crime Drama", "Crime"), ("Sports Drama", "Drama"), ("War Drama", "Drama"),
+             ("Historical Drama", "Drama"), ("Thriller", "Thriller"), ("Avant-Garde", "Documentary"),
+             ("Econmy", "ECONOMY"))
+BUDGET_TIERS = ((100_000, "Low Budget"), (200_000, "Mid Budget"), (400_000, "High Budget"), (None, "Blockbuster"))
+ROI_TIERS = ((0, "Loss"), (100, "Low Return"), (500, "Good Return"), (None, "Exceptional Return"))
+LINE_TAGS = ("Horor", "Mistery", "Misterija", "Krimi", "Komedija", "Akcija", "Romantic Drama", "Comedy-Drama",
+             "Crime Drama", "Sports Drama", "War Drama", "Historical Drama", "Thriller", "Avant-Garde",
+             "", "\u00a0Drama\t", "horor", "g" * 101)
 
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_TOKENS = ", ".join(_q(t) for t in PANDAS_NULL_TOKENS)
+_TOKENS = ", ".join(_q(t) for t in NULL_WORDS)
 
 
 def _tok(c: str) -> str:
@@ -25,21 +38,21 @@ def _tok(c: str) -> str:
 
 
 def _strip(c: str) -> str:
-    return f"regexp_replace({c}, {_q(STRIP_PATTERN)}, '', 'g')"
+    return f"regexp_replace({c}, {_q(OUTER_SPACE)}, '', 'g')"
 
 
 def _num(c: str) -> str:
     d = f"TRY_CAST(trim({c}) AS DOUBLE)"
-    return f"CASE WHEN regexp_matches({c}, {_q(NUMBER_PATTERN)}) AND NOT isinf({d}) THEN {d} END"
+    return f"CASE WHEN regexp_matches({c}, {_q(NUMBER)}) AND NOT isinf({d}) THEN {d} END"
 
 
-def _case(c: str, cuts, labels) -> str:
-    arms = " ".join(f"WHEN {c} < {cut} THEN {_q(lab)}" for cut, lab in zip(cuts, labels))
-    return f"CASE {arms} ELSE {_q(labels[-1])} END"
+def _case(c: str, tiers) -> str:
+    arms = " ".join(f"WHEN {c} < {cut} THEN {_q(lab)}" for cut, lab in tiers[:-1])
+    return f"CASE {arms} ELSE {_q(tiers[-1][1])} END"
 
 
 def _fix(x: str) -> str:
-    arms = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in DEFAULT.corrections.items())
+    arms = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in TAG_FIXES)
     return f"CASE {x} {arms} ELSE {x} END"
 
 
@@ -55,29 +68,43 @@ def _half_up(s: str, n: str) -> str:
             f"((2 * abs({s}) + {n}) // (2 * {n})) END)")
 
 
+def _line_tags() -> str:
+    return " ".join(f"WHEN {i} THEN {_q(t)}" for i, t in enumerate(LINE_TAGS))
+
+
 CTE = f"""
 lines AS (
   SELECT l.l_orderkey,
          count(*) AS n_lines,
          sum(CAST(l.l_extendedprice AS DECIMAL(12,2))
              * (CAST(1 AS DECIMAL(3,2)) - CAST(l.l_discount AS DECIMAL(3,2)))) AS net_amount,
-         string_agg(CASE WHEN l.l_linenumber % 3 = 0 THEN 'Econmy'
+         string_agg(CASE (l.l_orderkey + l.l_linenumber) % 40 {_line_tags()} ELSE CASE WHEN l.l_linenumber % 3 = 0 THEN 'Econmy'
                          WHEN l.l_linenumber % 3 = 1 THEN ' ' || p.p_type
-                         ELSE p.p_type END, ',' ORDER BY l.l_linenumber, p.p_partkey) AS genre
+                         ELSE p.p_type END END, ',' ORDER BY l.l_linenumber, p.p_partkey) AS genre
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
   GROUP BY l.l_orderkey
 ),
 raw AS (
   SELECT o.o_orderkey,
-         ' ' || c.c_name || ' ' || CAST(year(o.o_orderdate) AS VARCHAR) || ' ' AS title,
+         CASE WHEN o.o_orderkey % 101 = 0 THEN 'None'
+              WHEN o.o_orderkey % 103 = 0 THEN chr(160) || chr(9) || c.c_name || ' ' || year(o.o_orderdate)::VARCHAR || chr(9) || chr(160)
+              WHEN o.o_orderkey % 107 = 0 THEN c.c_name || repeat('x', 300)
+              ELSE ' ' || c.c_name || ' ' || year(o.o_orderdate)::VARCHAR || ' ' END AS title,
          CAST(year(o.o_orderdate) AS VARCHAR) AS release_year,
-         c.c_name AS director, c.c_mktsegment AS language, n.n_name AS country,
-         CASE WHEN o.o_orderkey % 11 = 0 THEN 'N/A' ELSE CAST(li.n_lines AS VARCHAR) END AS duration,
-         CASE WHEN o.o_orderkey % 13 = 0 THEN 'unknown' WHEN o.o_orderkey % 17 = 0 THEN '0'
+         CASE WHEN o.o_orderkey % 109 = 0 THEN repeat('d', 201) ELSE c.c_name END AS director,
+         CASE WHEN o.o_orderkey % 113 = 0 THEN repeat('l', 101) WHEN o.o_orderkey % 127 = 0 THEN 'n/a'
+              ELSE c.c_mktsegment END AS language,
+         CASE WHEN o.o_orderkey IN (1, 2, 3) THEN 'Atlantis' WHEN o.o_orderkey = 4 THEN 'Tie A' WHEN o.o_orderkey = 5 THEN 'Tie B'
+              WHEN o.o_orderkey % 131 = 0 THEN 'NA' WHEN o.o_orderkey % 137 = 0 THEN repeat('c', 101) ELSE n.n_name END AS country,
+         CASE WHEN o.o_orderkey % 11 = 0 THEN 'N/A' WHEN o.o_orderkey % 139 = 0 THEN '#N/A' WHEN o.o_orderkey % 149 = 0 THEN '95.5'
+              WHEN o.o_orderkey % 151 = 0 THEN 'abc' ELSE CAST(li.n_lines AS VARCHAR) END AS duration,
+         CASE WHEN o.o_orderkey % 13 = 0 THEN 'unknown' WHEN o.o_orderkey % 17 = 0 THEN '0' WHEN o.o_orderkey % 157 = 0 THEN '0.01'
+              WHEN o.o_orderkey % 163 = 0 THEN '1e5' WHEN o.o_orderkey % 167 = 0 THEN '$5'
               ELSE CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS budget,
-         CASE WHEN o.o_orderstatus = 'P' AND o.o_orderkey % 2 = 0 THEN 'unknown'
-              ELSE CAST(CAST(li.net_amount AS DECIMAL(18,4)) AS VARCHAR) END AS box_office,
-         li.genre
+         CASE WHEN o.o_orderkey IN (1, 2, 3) THEN '10' WHEN o.o_orderkey IN (4, 5) THEN '1000'
+              WHEN o.o_orderstatus = 'P' AND o.o_orderkey % 2 = 0 THEN 'unknown'
+              ELSE CAST(CAST(CAST(li.net_amount AS DECIMAL(18,4)) * (n.n_nationkey + 1) AS DECIMAL(22,4)) AS VARCHAR) END AS box_office,
+         CASE WHEN o.o_orderkey % 173 = 0 THEN 'NaN' ELSE li.genre END AS genre
   FROM orders o
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -121,8 +148,8 @@ movie_genres AS (
   FROM tag_lists
 ),
 stg_movies AS (
-  SELECT *, {_case('budget', DEFAULT.budget_cuts, BUDGET_LABELS)} AS budget_category,
-            {_case('roi', DEFAULT.roi_cuts, ROI_LABELS)} AS roi_category
+  SELECT *, {_case('budget', BUDGET_TIERS)} AS budget_category,
+            {_case('roi', ROI_TIERS)} AS roi_category
   FROM movies WHERE box_office IS NOT NULL
 ),
 genre_joined AS (
@@ -216,6 +243,9 @@ ORACLE_SQL = {
     "roi_top5_nulls_first": _with("""
         SELECT o_orderkey, title, release_year, budget, box_office, roi FROM movies
         ORDER BY roi DESC NULLS FIRST, o_orderkey ASC LIMIT 5"""),
+    "roi_top5_nulls_last": _with("""
+        SELECT o_orderkey, title, release_year, budget, box_office, roi FROM movies
+        ORDER BY roi DESC NULLS LAST, o_orderkey ASC LIMIT 5"""),
     "genre_top5": _with("""
         SELECT genre, movie_count, avg_roi, total_box_office, revenue_rank FROM mart_genre
         ORDER BY revenue_rank ASC, genre ASC NULLS LAST LIMIT 5"""),

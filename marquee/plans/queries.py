@@ -84,6 +84,10 @@ def q_roi_top5_nulls_first(spark, root):
     return verify.roi_top(Catalog(spark, root).titles, 5, nulls="first", tie=C.KEY)
 
 
+def q_roi_top5_nulls_last(spark, root):
+    return verify.roi_top(Catalog(spark, root).titles, 5, nulls="last", tie=C.KEY)
+
+
 def q_genre_top5(spark, root):
     return verify.mart_top(_both(spark, root).genre_mart(), "genre", 5)
 
@@ -176,6 +180,7 @@ QUERIES: dict[str, Query] = {
     "ordered_tag_string": q_ordered_tag_string,
     "tag_counts_top10": q_tag_counts_top10,
     "roi_top5_nulls_first": q_roi_top5_nulls_first,
+    "roi_top5_nulls_last": q_roi_top5_nulls_last,
     "genre_top5": q_genre_top5,
     "country_top5": q_country_top5,
     "row_counts": q_row_counts,

@@ -4,16 +4,24 @@ The driver tables hold no nulls and no text dirt, so the dirt a raw CSV
 export carries is derived deterministically from row keys (every order is
 kept; the key only decides which kind of dirt a row gets):
 
-* title       ' ' + customer name + ' ' + order year + ' '  (repeats)
+* title       ' ' + customer name + ' ' + order year + ' '  (repeats); 'None',
+              NBSP and tab around it, or over 300 characters for some keys
 * release_year order year as text
-* director / language / country   customer name / segment / nation name
-* duration    line count as text, 'N/A' for keys divisible by 11
-* budget      order total as text; 'unknown' (key % 13 = 0), '0' (key % 17 = 0)
-* box_office  sum of line net prices (decimal) as text; 'unknown' for open
-              ('P') orders with even keys; NULL for an order without lines
+* director / language / country   customer name / segment / nation name;
+              over-long, null tokens, a country of three titles ('Atlantis')
+              and two countries with equal totals ('Tie A', 'Tie B')
+* duration    line count as text; 'N/A', '#N/A', '95.5' or 'abc' for some keys
+* budget      order total as text; 'unknown', '0', '0.01', '1e5' or '$5' for
+              some keys (0.01 gives an ROI beyond decimal(10,2))
+* box_office  sum of line net prices (decimal) times the nation's number, as
+              text; 'unknown' for open ('P') orders with even keys; NULL for
+              an order without lines
 * genre       comma list of part types in line order, one line in three
-              tagged with the typo 'Econmy', one in three with a leading blank
+              tagged with the typo 'Econmy', one in three with a leading
+              blank; every typo of the dictionary, empty pieces, padded,
+              wrong-case and over-long tags on some lines; 'NaN' for some keys
 
+Key 1, 2, ... of a rule below means: o_orderkey divisible by that number.
 Money is cast to decimal before any arithmetic so the text is exact.
 """
 
@@ -22,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.functions.tags import GENRE_CORRECTIONS
 from marquee.sources.tables import read_table
 
 RAW_COLUMNS = ("title", "release_year", "director", "language", "country",
@@ -30,6 +39,9 @@ RAW_COLUMNS = ("title", "release_year", "director", "language", "country",
 # Fixed values for the derived catalogue: the injected typo and its fix, and
 # tier cut points sized to its money amounts (about 1e5).
 CATALOG_CORRECTIONS = {"Econmy": "ECONOMY"}
+# Tags of lines whose (order key + line number) % 40 is the place in the list:
+# all typos, then an empty piece, a padded, a wrong-case and an over-long tag.
+LINE_TAGS = (*GENRE_CORRECTIONS, "", "\u00a0Drama\t", "horor", "g" * 101)
 CATALOG_BUDGET_CUTS = (100_000, 200_000, 400_000)
 CATALOG_ROI_CUTS = (0, 100, 500)
 
@@ -44,7 +56,11 @@ def order_lines(spark: SparkSession, root: str) -> DataFrame:
                     ["l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_discount"])
     part = read_table(spark, root, "part", ["p_partkey", "p_type"])
     rem = F.col("l_linenumber") % 3
-    tag = (F.when(rem == 0, F.lit("Econmy"))
+    kind = (F.col("l_orderkey") + F.col("l_linenumber")) % 40
+    tag = F.when(kind == 0, F.lit(LINE_TAGS[0]))
+    for i, word in enumerate(LINE_TAGS[1:], 1):
+        tag = tag.when(kind == i, F.lit(word))
+    tag = (tag.when(rem == 0, F.lit("Econmy"))
             .when(rem == 1, F.concat(F.lit(" "), F.col("p_type")))
             .otherwise(F.col("p_type")))
     # price (cents) * (1 - discount) (hundredths) in exact long units of
@@ -80,19 +96,33 @@ def raw_catalog(spark: SparkSession, root: str) -> DataFrame:
                   .join(lines, orders.o_orderkey == lines.l_orderkey, "left"))
     key = F.col("o_orderkey")
     year = F.year("o_orderdate").cast("string")
+    name_year = F.concat(F.col("c_name"), F.lit(" "), year)
+    net = (F.col("net_amount").cast("decimal(18,4)") * (F.col("n_nationkey") + 1)).cast("decimal(22,4)")
+
+    def every(n: int):
+        return key % n == 0
+
     return base.select(
         key,
-        F.concat(F.lit(" "), F.col("c_name"), F.lit(" "), year, F.lit(" ")).alias("title"),
+        F.when(every(101), F.lit("None"))
+         .when(every(103), F.concat(F.lit("\u00a0\t"), name_year, F.lit("\t\u00a0")))
+         .when(every(107), F.concat(F.col("c_name"), F.lit("x" * 300)))
+         .otherwise(F.concat(F.lit(" "), name_year, F.lit(" "))).alias("title"),
         year.alias("release_year"),
-        F.col("c_name").alias("director"),
-        F.col("c_mktsegment").alias("language"),
-        F.col("n_name").alias("country"),
-        F.when(key % 11 == 0, F.lit("N/A"))
+        F.when(every(109), F.lit("d" * 201)).otherwise(F.col("c_name")).alias("director"),
+        F.when(every(113), F.lit("l" * 101)).when(every(127), F.lit("n/a"))
+         .otherwise(F.col("c_mktsegment")).alias("language"),
+        F.when(key.between(1, 3), F.lit("Atlantis")).when(key == 4, F.lit("Tie A")).when(key == 5, F.lit("Tie B"))
+         .when(every(131), F.lit("NA")).when(every(137), F.lit("c" * 101))
+         .otherwise(F.col("n_name")).alias("country"),
+        F.when(every(11), F.lit("N/A")).when(every(139), F.lit("#N/A")).when(every(149), F.lit("95.5"))
+         .when(every(151), F.lit("abc"))
          .otherwise(F.col("n_lines").cast("string")).alias("duration"),
-        F.when(key % 13 == 0, F.lit("unknown"))
-         .when(key % 17 == 0, F.lit("0"))
+        F.when(every(13), F.lit("unknown")).when(every(17), F.lit("0")).when(every(157), F.lit("0.01"))
+         .when(every(163), F.lit("1e5")).when(every(167), F.lit("$5"))
          .otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string")).alias("budget"),
-        F.when((F.col("o_orderstatus") == "P") & (key % 2 == 0), F.lit("unknown"))
-         .otherwise(F.col("net_amount").cast("decimal(18,4)").cast("string")).alias("box_office"),
-        F.col("genre"),
+        F.when(key.between(1, 3), F.lit("10")).when(key.between(4, 5), F.lit("1000"))
+         .when((F.col("o_orderstatus") == "P") & (key % 2 == 0), F.lit("unknown"))
+         .otherwise(net.cast("string")).alias("box_office"),
+        F.when(every(173), F.lit("NaN")).otherwise(F.col("genre")).alias("genre"),
     )
