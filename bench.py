@@ -1,5 +1,5 @@
-"""Benchmark: run the registered queries at $BENCH_SF_DIR on local[$BENCH_CPUS]
-(the scale variants that repeat a base query's answer only with BENCH_ALL=1).
+"""Benchmark: run the catalogue's registered queries at $BENCH_SF_DIR on
+local[$BENCH_CPUS]. (The corpus operators' figures come from the cluster check.)
 
 Each query is executed through the ``noop`` sink (full execution, nothing
 collected to the driver); warm median of ``$BENCH_REPEATS`` runs (default 3)
@@ -29,14 +29,12 @@ def main() -> None:
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
-    from marquee.plans.queries import QUERIES, SCALE_VARIANTS
+    from marquee.plans.queries import QUERIES
     from marquee.session import get_session
 
     spark = get_session(f"local[{cpus}]", app="marquee-bench", shuffle_partitions=cpus,
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
-    include_all = os.environ.get("BENCH_ALL", "") == "1"
-    names = [n for n in QUERIES
-             if (n in only if only else (include_all or n not in SCALE_VARIANTS))]
+    names = [n for n in QUERIES if not only or n in only]
 
     def run(name: str, obs: Observation | None = None) -> float:
         t0 = time.perf_counter()

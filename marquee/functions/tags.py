@@ -61,10 +61,11 @@ def split_stripped(c: Column, sep: str = ",") -> Column:
 def ordered_repeat_join(pairs: Column, sep: str = ", ") -> Column:
     """Join an array of struct(tag, n) into one string with each tag repeated
     n times, tags in byte order: the ordered string aggregate computed from
-    per-tag counts instead of every row."""
+    per-tag counts instead of every row. Raises when n is beyond an int: such
+    a string could not be held."""
     ordered = F.array_sort(pairs)
-    return F.array_join(F.flatten(F.transform(
-        ordered, lambda p: F.array_repeat(p.getField("tag"), p.getField("n").cast("int")))), sep)
+    return F.array_join(F.transform(
+        ordered, lambda p: F.array_join(F.array_repeat(p.getField("tag"), p.getField("n").cast("int")), sep)), sep)
 
 
 def _regex_escape(s: str) -> str:

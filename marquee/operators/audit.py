@@ -69,11 +69,32 @@ def reject_reasons(titles: DataFrame, tags: DataFrame) -> DataFrame:
     (needs ``clean_titles(..., audit=True)`` input for the raw ROI)."""
     t_rules = title_rules()
     if "roi_unbounded" in titles.columns:
-        t_rules["roi_out_of_range"] = F.col("roi").isNull() & F.col("roi_unbounded").isNotNull()
+        t_rules["roi_out_of_range"] = roi_out_of_range()
     return rule_counts(titles, t_rules, "movies").unionByName(
         rule_counts(tags, tag_rules(), "movie_genres"))
 
 
+def roi_out_of_range() -> Column:
+    return F.col("roi").isNull() & F.col("roi_unbounded").isNotNull()
+
+
+def reject_reasons_one_pass(wide: DataFrame, tag_list: str = "genre_list") -> DataFrame:
+    """``reject_reasons`` from ``clean_wide(..., audit=True)`` rows in one
+    aggregate: the rules of the tag rows count inside the list."""
+    def n(cond_of_tag) -> Column:
+        return F.coalesce(F.size(F.filter(F.col(tag_list), lambda x: F.coalesce(cond_of_tag(x), F.lit(False)))), F.lit(0)).cast("bigint")
+
+    title = F.col("title")
+    sums = {("movies", r): F.coalesce(c, F.lit(False)).cast("bigint") for r, c in {**title_rules(), "roi_out_of_range": roi_out_of_range()}.items()}
+    sums[("movie_genres", "title_null")] = n(lambda x: title.isNull())
+    sums[("movie_genres", "genre_null_or_empty")] = n(lambda x: x.isNull() | (x == ""))
+    sums[("movie_genres", "title_too_long")] = n(lambda x: F.length(title) > TAG_LIMITS["title"])
+    sums[("movie_genres", "genre_too_long")] = n(lambda x: F.length(x) > TAG_LIMITS["genre"])
+    rows = F.array(*[F.struct(F.lit(t).alias("table_name"), F.lit(r).alias("reason"), F.coalesce(F.sum(c), F.lit(0)).alias("rejected_rows"))
+                     for (t, r), c in sums.items()])
+    return wide.agg(rows.alias("rows")).select(F.inline("rows"))
+
+
 def null_audit(df: DataFrame, columns: Sequence[str] = TITLE_COLUMNS) -> DataFrame:
     """One row: total rows and NULL count of each column, one pass."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
@@ -95,6 +116,21 @@ def transform_summary(titles: DataFrame, tags: DataFrame, tag: str = "genre",
             .unionByName(g.unpivot([], g.columns, "metric", "value")))
 
 
+def transform_summary_one_pass(wide: DataFrame, tag_list: str = "genre_list") -> DataFrame:
+    """``transform_summary`` from ``clean_wide`` rows in one pass: each row's
+    numbers go with its first tag row (``explode_outer`` keeps rows without
+    tags), rows are combined by tag before the shuffle, and the few tag groups
+    are summed."""
+    first = F.col("pos").isNull() | (F.col("pos") == 0)
+    rows = wide.select("box_office", "budget", F.posexplode_outer(tag_list).alias("pos", "tag"))
+    by_tag = rows.groupBy("tag").agg(
+        F.count_if(first).alias("movies_rows"), F.count_if(first & F.col("box_office").isNull()).alias("null_box_office"),
+        F.count_if(first & F.col("budget").isNull()).alias("null_budget"), F.count("pos").alias("tag_rows"))
+    metrics = ("movies_rows", "null_box_office", "null_budget", "tag_rows")
+    out = by_tag.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in metrics], F.count("tag").alias("unique_tags"))
+    return out.unpivot([], out.columns, "metric", "value")
+
+
 def row_counts(**tables: DataFrame) -> DataFrame:
     """(table_name, row_count) for each named frame."""
     out = None

@@ -10,7 +10,7 @@ so a hot title cannot blow up the join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.numeric import exact_avg_cents, exact_avg_int
@@ -48,6 +48,44 @@ def tag_multiplicity(tags: DataFrame, tag: str = "genre") -> DataFrame:
     return tags.groupBy("title", tag).agg(F.count(F.lit(1)).alias("k"))
 
 
+def genre_mart_one_pass(wide: DataFrame, rank_impl: str = "window", tag_list: str = "genre_list",
+                        tag: str = "genre") -> DataFrame:
+    """``genre_mart`` from ``clean_wide`` rows (title, money, tag list) in one
+    pass and without a title join.
+
+    Each row gives one money row (``m``; only with a known box office) and one
+    row per tag; both are combined by (title, tag) before the shuffle. Then
+    every title's money sums stand beside its distinct tags (a window over the
+    title: bounded by the distinct tags, however often a title repeats), and
+    tags are summed. Sums by (title, tag) are long (ANSI mode raises on
+    overflow); they widen to decimal only from there on."""
+    money = {"budget": F.col("budget"), "nbudget": F.col("budget").isNotNull().cast("bigint"),
+             "box": F.col("box_office"), "nbox": F.lit(1).cast("bigint"),
+             "roi": (F.col("roi") * 100).cast("bigint"), "nroi": F.col("roi").isNotNull().cast("bigint")}
+    zero = F.lit(0).cast("bigint")
+    money_row = F.struct(F.lit(True).alias("m"), F.lit(None).cast("string").alias("tag"),
+                         *[F.coalesce(v, zero).alias(c) for c, v in money.items()])
+
+    def tag_row(x):
+        return F.struct(F.lit(False).alias("m"), x.alias("tag"), *[zero.alias(c) for c in money])
+
+    rows = F.concat(F.filter(F.array(money_row), lambda _: F.col("box_office").isNotNull()),
+                    F.transform(F.coalesce(F.col(tag_list), F.array().cast("array<string>")), tag_row))
+    pairs = (wide.filter(F.col("title").isNotNull()).select("title", F.explode(rows).alias("r")).select("title", "r.*")
+             .groupBy("title", "m", "tag").agg(F.count(F.lit(1)).alias("k"), *[F.sum(c).alias(c) for c in money]))
+    by_title = Window.partitionBy("title")
+    beside = pairs.select(
+        "m", F.col("tag").alias(tag), F.col("k").cast("decimal(38,0)").alias("k"),
+        F.max("m").over(by_title).alias("staged"),
+        *[F.sum(F.when(F.col("m"), F.col(c))).over(by_title).cast("decimal(38,0)").alias(c) for c in money])
+    agg = beside.filter(~F.col("m") & F.col("staged")).groupBy(tag).agg(
+        F.count(F.lit(1)).alias("movie_count"),
+        F.sum(F.col("k") * F.col("budget")).alias("s_budget"), F.sum(F.col("k") * F.col("nbudget")).alias("n_budget"),
+        F.sum(F.col("k") * F.col("box")).alias("s_box"), F.sum(F.col("k") * F.col("nbox")).alias("n_box"),
+        F.sum(F.col("k") * F.col("roi")).alias("s_roi"), F.sum(F.col("k") * F.col("nroi")).alias("n_roi"))
+    return _finish(agg, tag, rank_impl)
+
+
 def _finish(agg: DataFrame, group: str, rank_impl: str) -> DataFrame:
     out = agg.select(
         F.col(group),
@@ -57,7 +95,7 @@ def _finish(agg: DataFrame, group: str, rank_impl: str) -> DataFrame:
         exact_avg_cents("s_roi", "n_roi").alias("avg_roi"),
         F.col("s_box").cast("bigint").alias("total_box_office"))
     if rank_impl == "global":
-        ranked = global_rank(out, "total_box_office", "revenue_rank").withColumn(
+        ranked = global_rank(out, "total_box_office", "revenue_rank", stage_input=True).withColumn(
             "revenue_rank", F.col("revenue_rank").cast("int"))
     else:
         ranked = rank_window(out, "total_box_office", "revenue_rank")
@@ -98,27 +136,44 @@ def country_mart(staged: DataFrame, rank_impl: str = "window") -> DataFrame:
     return _finish(agg, "country", rank_impl)
 
 
+def title_tag_counts(tags: DataFrame, tag: str = "genre", collation: str | None = None) -> DataFrame:
+    """(title, tag_counts): the title's distinct tags in order, each with the
+    number of rows that hold it; NULL tags skipped. The compact form of the
+    ordered tag string: its size follows the distinct tags, so a title that
+    repeats billions of times is still one short row."""
+    t = F.col(tag) if collation is None else F.collate(F.col(tag), collation)
+    counts = (tags.filter(F.col(tag).isNotNull())
+              .groupBy("title", tag).agg(F.count(F.lit(1)).alias("n")))
+    return (counts.groupBy("title")
+            .agg(F.array_sort(F.collect_list(F.struct(t.alias("tag"), F.col("n")))).alias("tag_counts")))
+
+
+def tag_string(counts: str = "tag_counts", sep: str = ", "):
+    """The ordered string with every tag repeated n times: a read-time form.
+    A string has room for 2 GB, so this form (not the stored one) is bounded
+    by a title's rows."""
+    return ordered_repeat_join(F.col(counts), sep).cast("string")
+
+
 def ordered_tag_string(tags: DataFrame, tag: str = "genre", sep: str = ", ",
                        collation: str | None = None) -> DataFrame:
     """(title, genres): all tag rows of a title joined in order, duplicates
     kept, NULL tags skipped (``string_agg(genre, ', ' ORDER BY genre)``).
-    Built from per-(title, tag) counts, so the per-title list holds distinct
-    tags, not rows. Order is by bytes unless ``collation`` names a Spark
-    collation (e.g. ``'UNICODE'``, the database-style order)."""
-    counts = (tags.filter(F.col(tag).isNotNull())
-              .groupBy("title", tag).agg(F.count(F.lit(1)).alias("n")))
-    t = F.col(tag) if collation is None else F.collate(F.col(tag), collation)
-    return (counts.groupBy("title")
-            .agg(ordered_repeat_join(F.collect_list(F.struct(t.alias("tag"), F.col("n"))),
-                                     sep).cast("string").alias("genres")))
-
-
-def top_titles_mart(staged: DataFrame, tags: DataFrame, keep: tuple[str, ...] = (),
-                    salt_hot: bool = False, **salt_kw) -> DataFrame:
-    """Every staged title with its ordered tag string (LEFT JOIN, n:1).
-    Stored unsorted; readers sort (see ``reports``). A hot title is split at
-    run time by AQE skew-join; ``salt_hot=True`` splits it explicitly
-    (``operators.skew.lookup_join``)."""
-    g = ordered_tag_string(tags)
-    return (lookup_join(staged, g, "title", "left", salt=salt_hot, **salt_kw)
-            .select(*keep, *TOP_TITLE_COLUMNS))
+    Order is by bytes unless ``collation`` names a Spark collation (e.g.
+    ``'UNICODE'``, the database-style order)."""
+    return title_tag_counts(tags, tag, collation).select("title", tag_string(sep=sep).alias("genres"))
+
+
+def top_titles_compact(staged: DataFrame, tags: DataFrame, keep: tuple[str, ...] = (), salts: int = 1) -> DataFrame:
+    """Every staged title with its tag counts (LEFT JOIN, n:1): the stored
+    form of the top-titles mart. A hot title is split at run time by AQE
+    skew-join, or explicitly with ``salts`` > 1 (``operators.skew``)."""
+    g = title_tag_counts(tags)
+    return lookup_join(staged, g, "title", "left", salts).select(*keep, *TOP_TITLE_COLUMNS[:-1], "tag_counts")
+
+
+def top_titles_mart(staged: DataFrame, tags: DataFrame, keep: tuple[str, ...] = (), salts: int = 1) -> DataFrame:
+    """``top_titles_compact`` as it is read: with the ordered tag string.
+    Unsorted; readers sort (see ``reports``)."""
+    return (top_titles_compact(staged, tags, keep, salts)
+            .withColumn("genres", tag_string()).select(*keep, *TOP_TITLE_COLUMNS))

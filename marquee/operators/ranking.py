@@ -4,18 +4,17 @@
 PARTITION BY, Spark moves every row into one task, so use it only on inputs
 whose row count is bounded by a dimension (one row per genre or country).
 
-``global_rank`` gives the same numbers for inputs of any size:
+``global_rank`` gives the same numbers for inputs and keys of any size and
+any sortable type:
 
 1. collapse equal keys: ``(key, n)`` per distinct value, so a hot value is
    one row (partial aggregation before the shuffle);
-2. cut the distinct values into ``buckets`` ranges at approximate quantiles
-   (the cut points are the only thing that reaches the driver: a list of
-   at most ``MAX_BUCKETS - 1`` numbers); a row finds its range by binary
-   search (``Bucketizer``, JVM-side);
-3. inside each range, rows with a greater key = running sum of ``n`` over a
-   window partitioned by range;
-4. rows in all higher ranges = running sum over the per-range totals, a table
-   of ``buckets`` rows, so its broadcast has a proven size bound;
+2. ``repartitionByRange`` on the key in rank order; the ranges are written
+   once with their number, so all later steps see the same ones;
+3. inside each range, rows ahead = running sum of ``n`` over a window
+   partitioned by range;
+4. rows in earlier ranges = running sum over the per-range totals, a table of
+   one row per shuffle partition, so its broadcast has a proven size bound;
 5. rank = 1 + both counts; joined back to the rows on the key (null-safe).
 
 Equal keys always share a range, so ties share a rank and the next rank
@@ -24,13 +23,10 @@ skips, exactly as ``rank()``. NULL keys rank after every value (NULLS LAST).
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Upper bound on ranges: enough parallelism for a large cluster while the
-# cut points stay a small driver-side list.
-MAX_BUCKETS = 8192
+from marquee.session import ensure_checkpoint_dir
 
 
 def rank_window(df: DataFrame, order_col: str, out: str = "rank", desc: bool = True) -> DataFrame:
@@ -39,57 +35,27 @@ def rank_window(df: DataFrame, order_col: str, out: str = "rank", desc: bool = T
 
 
 def global_rank(df: DataFrame, order_col: str, out: str = "rank", desc: bool = True,
-                buckets: int | None = None, rel_error: float | None = None,
-                stage_input: bool = False) -> DataFrame:
+                ranges: int | None = None, stage_input: bool = False) -> DataFrame:
     """``rank()`` by ``order_col`` (long result) without a single-task step.
 
-    The cut points need one job over the input before the ranking job;
-    ``stage_input=True`` first writes the input to the shared checkpoint
-    folder so both jobs read that copy instead of recomputing a long
-    upstream plan twice."""
+    ``ranges`` is the number of ranges (default: the session's shuffle
+    partitions). ``stage_input=True`` first checkpoints the input, so a long
+    upstream plan runs once for the keys and the rows."""
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     if stage_input:
-        from marquee.sinks.tables import hand_off
-        df = hand_off(df, "rank_input")
-    if buckets is None:
-        buckets = min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    buckets = max(1, buckets)
+        df = df.checkpoint()
+    ranges = max(1, ranges or int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     key = F.col(order_col)
-    sign = 1 if desc else -1
-    keys = df.groupBy(order_col).agg(F.count(F.lit(1)).alias("_n"))
-
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        err = rel_error if rel_error is not None else 1.0 / (4 * buckets)
-        cuts = sorted(set(keys.approxQuantile(order_col, probs, err)))
-    else:
-        cuts = []
-    # range id rises with the key: a JVM binary search over the cut points
-    # (O(log buckets) per row); the double cast is monotone, so equal keys
-    # always share a range
-    if cuts:
-        splits = [float("-inf")] + [float(c) for c in cuts if c not in (float("-inf"), float("inf"))] \
-            + [float("inf")]
-        keys = keys.withColumn("_kd", key.cast("double"))
-        keys = Bucketizer(splits=splits, inputCol="_kd", outputCol="_r",
-                          handleInvalid="keep").transform(keys)
-        rng: Column = F.col("_r").cast("int")
-    else:
-        rng = F.lit(0)
-    # "ahead" order: larger first. Descending rank: higher ranges first;
-    # ascending: lower ranges first. NULL keys come after every range.
-    ahead = F.when(key.isNull(), F.lit(-(buckets + 1))).otherwise(rng * sign)
-    keyed = keys.withColumn("_b", ahead).drop("_kd", "_r")
-
-    in_range = Window.partitionBy("_b").orderBy(
-        key.desc() if desc else key.asc()).rowsBetween(Window.unboundedPreceding, -1)
-    keyed = keyed.withColumn("_before_in", F.coalesce(F.sum("_n").over(in_range), F.lit(0)))
-
-    totals = keyed.groupBy("_b").agg(F.sum("_n").alias("_tot"))
-    prior = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    order = key.desc_nulls_last() if desc else key.asc_nulls_last()
+    keys = (df.groupBy(order_col).agg(F.count(F.lit(1)).alias("_n"))
+            .repartitionByRange(ranges, order).withColumn("_b", F.spark_partition_id()).checkpoint())
+    in_range = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    keyed = keys.withColumn("_before_in", F.coalesce(F.sum("_n").over(in_range), F.lit(0)))
+    totals = keys.groupBy("_b").agg(F.sum("_n").alias("_tot"))
+    prior = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("_before_out", F.coalesce(F.sum("_tot").over(prior), F.lit(0)))
-
     ranks = (keyed.join(F.broadcast(totals.select("_b", "_before_out")), "_b")
              .select(key.alias("_k"),
                      (F.lit(1) + F.col("_before_in") + F.col("_before_out")).cast("bigint").alias(out)))
-    return (df.join(ranks, df[order_col].eqNullSafe(ranks["_k"]), "inner").drop("_k"))
+    return df.join(ranks, df[order_col].eqNullSafe(ranks["_k"]), "inner").drop("_k")

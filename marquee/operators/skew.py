@@ -1,19 +1,17 @@
-"""Explicit split of hot keys for an n:1 join (a fallback to AQE skew-join).
+"""Even spread of an n:1 join's rows, whatever their keys.
 
-``lookup_join(big, small, key)`` joins rows to a frame with at most one row
-per key. When one key holds a large share of ``big`` (a third of all rows,
-say), a plain shuffle join sends all of them to one task. AQE splits such a
-partition at run time when ``spark.sql.adaptive.skewJoin.enabled`` is on and
-its size thresholds are met; ``salt=True`` does the split explicitly:
+AQE splits a hot key's partition at run time; that is the default here.
+``lookup_join(..., salts=n)`` spreads every key explicitly instead, for
+clusters where AQE's skew join is off or the join feeds an operator that
+keeps AQE from splitting it:
 
-1. hot keys: ``big`` counted per key (partial aggregation), keys with at
-   least ``hot_min_rows`` rows, at most ``max_hot`` of them (a top-k), so
-   their broadcast has a proven size bound;
-2. each row of a hot key gets a salt from a hash of its own columns
-   (deterministic, so a recomputed task salts the same way); other rows 0;
-3. the one row of a hot key on the ``small`` side is repeated for every
-   salt, other keys once with salt 0;
-4. join on (key, salt): a hot key's rows spread over ``salts`` tasks.
+1. every row of ``big`` gets a salt from its place in its partition, so the
+   rows of a key, equal ones too, spread evenly over the salts;
+2. every row of ``small`` (one per key at most) is repeated once per salt;
+3. the join is on (key, salt).
+
+There is no list of hot keys, no threshold and no extra pass: the price is
+``salts`` copies of the small side.
 """
 
 from __future__ import annotations
@@ -22,24 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(big: DataFrame, key: str, hot_min_rows: int, max_hot: int = 1000) -> DataFrame:
-    counts = big.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_c"))
-    return (counts.filter(F.col("_c") >= hot_min_rows)
-            .orderBy(F.col("_c").desc(), F.col(key)).limit(max_hot)
-            .select(key, F.lit(True).alias("_hot")))
-
-
-def lookup_join(big: DataFrame, small: DataFrame, key: str, how: str = "left", salt: bool = False,
-                salts: int = 32, hot_min_rows: int = 1_000_000, max_hot: int = 1000) -> DataFrame:
-    if not salt:
+def lookup_join(big: DataFrame, small: DataFrame, key: str, how: str = "left", salts: int = 1) -> DataFrame:
+    if how not in ("left", "inner"):
+        raise ValueError("a lookup join is 'left' or 'inner'")
+    if salts <= 1:
         return big.join(small, key, how)
-    hot = F.broadcast(hot_keys(big, key, hot_min_rows, max_hot))
-    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    b = (big.join(hot, key, "left")
-         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))
-         .drop("_hot"))
-    s = (small.join(hot, key, "left")
-         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                        .otherwise(F.array(F.lit(0)))))
-         .drop("_hot"))
+    b = big.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return b.join(s, [key, "_salt"], how).drop("_salt")

@@ -3,8 +3,7 @@
 raw_catalog -> (titles, tags) -> staged -> marts, with the dictionary and
 tier cut points sized to the derived catalogue. ``Catalog`` builds each lazy
 frame once per query so titles and tags share one raw plan; Catalyst prunes
-each branch to its columns, pushes the ``box_office IS NOT NULL`` filter
-and reuses identical exchanges.
+each branch to its columns and pushes the ``box_office IS NOT NULL`` filter.
 """
 
 from __future__ import annotations
@@ -17,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from marquee.functions.tags import GENRE_CORRECTIONS
 from marquee.functions.tiers import BUDGET_LABELS, ROI_LABELS
 from marquee.operators import clean, marts, staging
-from marquee.sinks.tables import hand_off
 from marquee.sources.catalog import (CATALOG_BUDGET_CUTS, CATALOG_CORRECTIONS, CATALOG_ROI_CUTS,
                                      raw_catalog)
+from marquee.session import ensure_checkpoint_dir
 
 KEY = "o_orderkey"
 LIST = "genre_list"
@@ -41,10 +40,10 @@ class Catalog:
     """Lazy frames of one catalogue run.
 
     With ``materialize=True`` the cleaned wide frame (title columns plus the
-    cleaned tag list) is written once to the shared checkpoint folder and
-    both titles and tags read that copy: queries that need both branches
-    run the raw joins once instead of twice, and a lost executor recomputes
-    from the written copy rather than from the source tables.
+    cleaned tag list) is checkpointed when it is first asked for, and both
+    titles and tags read that copy: queries that join the two branches run the
+    raw joins once instead of twice. Spark deletes the checkpoint once no
+    frame refers to it (``spark.cleaner.referenceTracking.cleanCheckpoints``).
     """
 
     def __init__(self, spark: SparkSession, root: str, params: CatalogParams = DEFAULT,
@@ -60,7 +59,10 @@ class Catalog:
     @cached_property
     def wide(self) -> DataFrame:
         w = clean.clean_wide(self.raw, self.p.corrections, keep=(KEY,), audit=True)
-        return hand_off(w, "catalog_wide") if self.materialize else w
+        if not self.materialize:
+            return w
+        ensure_checkpoint_dir(self.spark)
+        return w.checkpoint()
 
     @cached_property
     def titles(self) -> DataFrame:
@@ -87,7 +89,7 @@ class Catalog:
                                      p.budget_labels, p.roi_labels)
 
     def genre_mart(self, rank_impl: str = "window") -> DataFrame:
-        return marts.genre_mart(self.staged, self.tags, rank_impl)
+        return marts.genre_mart_one_pass(self.wide, rank_impl)
 
     def country_mart(self, rank_impl: str = "window") -> DataFrame:
         return marts.country_mart(self.staged, rank_impl)

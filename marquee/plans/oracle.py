@@ -236,6 +236,11 @@ ORACLE_SQL = {
     "genre_mart": _with("SELECT * FROM mart_genre"),
     "country_mart": _with("SELECT * FROM mart_country"),
     "top_titles_mart": _with("SELECT * FROM mart_top"),
+    "top_titles_compact": _with("""
+        SELECT m.* EXCLUDE (genres), t.genre_counts FROM mart_top m LEFT JOIN (
+          SELECT title, string_agg(genre || ':' || n, ', ' ORDER BY genre) AS genre_counts
+          FROM (SELECT title, genre, count(*) AS n FROM movie_genres WHERE genre IS NOT NULL GROUP BY title, genre)
+          GROUP BY title) t ON m.title = t.title"""),
     "ordered_tag_string": _with("SELECT title, genres FROM genre_strings"),
     "tag_counts_top10": _with("""
         SELECT genre, count(*) AS film_count FROM movie_genres

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -16,28 +17,32 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints that no frame refers to any more are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
-def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
-                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int, shuffle_share: float = 0.25,
+                 partition_bytes: int = 512 * 1024 ** 2) -> dict[str, str]:
     """Settings sized to the input rather than to a laptop.
 
-    The initial shuffle width aims at ``target_partition_bytes`` per task on
-    the full input (at least 2 waves of the cluster's cores); AQE then
-    coalesces small partitions and splits skewed ones at run time, so the
-    number only has to be large enough, not exact. Example: 100 TB on 1000
-    executors x 8 cores -> 409,600 initial shuffle partitions.
+    Scans are split into ``partition_bytes``. The shuffle width aims at the
+    same size for the share of the input that queries shuffle (they prune
+    columns and combine before the exchange), at least two waves of the
+    cluster's cores; AQE coalesces what turns out small and splits what turns
+    out skewed. Few, large partitions keep the driver's bookkeeping (a status
+    of every map task for every reducer) small: 100 TB on 1000 executors of 8
+    cores gives 51,200 reducers.
     """
     cores = max(1, executor_cores * executors)
-    width = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    width = max(2 * cores, -(-int(input_bytes * shuffle_share) // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(width),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 * 1024 ** 2)),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         # broadcast only what AQE measured below this size
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
@@ -74,14 +79,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder for checkpoints and written hand-off tables.
 
     On a cluster this is the ``spark.checkpoint.dir`` the cluster names (the
-    context already applied it at start-up). Only when it is unset, as in
-    local tests, a fresh folder under the system temp dir stands in.
+    context already applied it at start-up). Only when it is unset and the
+    master is local, as in tests, a fresh folder under the system temp dir
+    stands in; elsewhere an unset folder is an error, as executors would write
+    to disks of their own.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = _LOCAL_ROOTS.get(sc.applicationId)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="marquee-ckpt-")
         _LOCAL_ROOTS[sc.applicationId] = root
     if not sc.getCheckpointDir():

@@ -3,6 +3,8 @@ n*m join (test-only brute force), totals add up, tag strings round-trip."""
 
 from collections import Counter
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from marquee.functions.numeric import exact_avg_cents, exact_avg_int
@@ -91,19 +93,36 @@ def test_hot_title_third_of_rows_matches_brute_force(spark, raw):
 def test_salted_lookup_join_equals_plain(spark, raw):
     import random
     from marquee.operators import clean, marts, staging
-    from marquee.operators.skew import hot_keys
+    from marquee.operators.skew import lookup_join
     rnd = random.Random(12)
     rows = [dict(k=str(i), title="HOT" if i % 3 == 0 else f"t{i % 40}", budget="10",
                  box_office=str(rnd.randrange(1, 999)), genre=rnd.choice(["A", "B,A", "C"]))
             for i in range(300)]
     titles, tags = clean.transform(raw(*rows, extra=("k",)), keep=("k",))
     st = staging.staged_titles(titles)
-    assert [r.title for r in hot_keys(st, "title", hot_min_rows=50).collect()] == ["HOT"]
     plain = marts.top_titles_mart(st, tags, keep=("k",))
-    salted = marts.top_titles_mart(st, tags, keep=("k",), salt_hot=True, salts=8, hot_min_rows=50)
+    salted = marts.top_titles_mart(st, tags, keep=("k",), salts=8)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
     p = salted._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    # equal rows of one key spread over the salts too
+    same = spark.createDataFrame([("a", 1)] * 1000, "k string, v int")
+    one = spark.createDataFrame([("a", 9)], "k string, w int")
+    assert lookup_join(same, one, "k", salts=4).filter("w = 9").count() == 1000
+    with pytest.raises(ValueError):
+        lookup_join(same, one, "k", "full", salts=4)
+
+
+def test_hot_title_is_counted_not_built(spark):
+    from marquee.operators import marts
+    tags = spark.range(2000).selectExpr("'HOT' AS title", "IF(id % 2 = 0, 'A', 'B') AS genre")
+    compact = marts.title_tag_counts(tags).collect()
+    assert [(p.tag, p.n) for p in compact[0].tag_counts] == [("A", 1000), ("B", 1000)]
+    # beyond 2^31 rows the counts still stand; only the string can't be built
+    huge = spark.sql("SELECT 'HOT' AS title, array(named_struct('tag', 'A', 'n', 2200000000L)) AS tag_counts")
+    assert huge.select("tag_counts").collect()[0][0][0].n == 2_200_000_000
+    with pytest.raises(Exception, match="OVERFLOW"):
+        huge.select(marts.tag_string()).collect()
 
 
 def test_table_dictionary_variant_equals_map_literal(spark):
