@@ -1,7 +1,7 @@
 """Column expressions (no actions, no Python UDFs)."""
 
 from marquee.functions.text import (
-    strip, nullify_tokens, token_null, PANDAS_NULL_TOKENS, STRIP_PATTERN, WS_CLASS,
+    strip, nullify_tokens, quoted, token_null, PANDAS_NULL_TOKENS, STRIP_PATTERN, WS_CLASS,
 )
 from marquee.functions.numeric import (
     tolerant_double, NUMBER_PATTERN, round_half_up_int, round_float, exact_avg_int, exact_avg_cents,
@@ -13,7 +13,7 @@ from marquee.functions.tags import (
 )
 
 __all__ = [
-    "strip", "nullify_tokens", "token_null", "PANDAS_NULL_TOKENS", "STRIP_PATTERN", "WS_CLASS",
+    "strip", "nullify_tokens", "quoted", "token_null", "PANDAS_NULL_TOKENS", "STRIP_PATTERN", "WS_CLASS",
     "tolerant_double", "NUMBER_PATTERN", "round_half_up_int", "round_float", "exact_avg_int",
     "exact_avg_cents", "percent_return", "to_decimal",
     "bucket_label", "BUDGET_CUTS", "BUDGET_LABELS", "ROI_CUTS", "ROI_LABELS",

@@ -24,12 +24,20 @@ _WS = (r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
        r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 STRIP_PATTERN = rf"^[{_WS}]+|[{_WS}]+$"
 WS_CLASS = f"[{_WS}]"
+WS_CHARS = "".join(map(chr, (*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                             0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def strip(c: Column | str) -> Column:
-    """Unicode-aware trim equal to Python ``str.strip()``."""
+    """Unicode-aware trim equal to Python ``str.strip()`` (a character-set
+    trim: no regular expression runs)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c, STRIP_PATTERN, "")
+    return F.btrim(c, F.lit(WS_CHARS))
+
+
+def quoted(name: str) -> str:
+    """A column name as SQL text, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _sql_str(s: str) -> str:
@@ -40,7 +48,8 @@ def token_null(name: str, tokens: Iterable[str] = PANDAS_NULL_TOKENS) -> Column:
     """``CASE WHEN name IN (tokens) THEN NULL ELSE name END`` for one column
     (a single SQL expression; Catalyst makes the list a hash-set lookup)."""
     in_list = ", ".join(_sql_str(t) for t in tokens)
-    return F.expr(f"CASE WHEN `{name}` IN ({in_list}) THEN NULL ELSE `{name}` END")
+    c = quoted(name)
+    return F.expr(f"CASE WHEN {c} IN ({in_list}) THEN NULL ELSE {c} END")
 
 
 def nullify_tokens(df: DataFrame, tokens: Iterable[str] | None = PANDAS_NULL_TOKENS,
@@ -57,6 +66,6 @@ def nullify_tokens(df: DataFrame, tokens: Iterable[str] | None = PANDAS_NULL_TOK
     targets = set(columns) & str_cols if columns is not None else str_cols
     return df.select([
         token_null(name, tokens).alias(name)
-        if name in targets else F.col(name)
+        if name in targets else F.col(quoted(name))
         for name in df.columns
     ])

@@ -38,7 +38,8 @@ def tag_rules(limits: Mapping[str, int] = TAG_LIMITS) -> dict[str, Column]:
     return rules
 
 
-def _first_reason(rules: Mapping[str, Column]) -> Column:
+def first_reason(rules: Mapping[str, Column]) -> Column:
+    """Name of the first rule that a row breaks; NULL if none."""
     expr = None
     for reason, cond in rules.items():
         cond = F.coalesce(cond, F.lit(False))
@@ -50,7 +51,7 @@ def split_valid(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame,
     """(rows passing every rule, rejected rows with the first failing
     ``reason``). Both sides derive from one tagged projection; cache or
     checkpoint ``df`` upstream when both are written."""
-    tagged = df.withColumn("_reason", _first_reason(rules))
+    tagged = df.withColumn("_reason", first_reason(rules))
     good = tagged.filter(F.col("_reason").isNull()).drop("_reason")
     bad = tagged.filter(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
     return good, bad

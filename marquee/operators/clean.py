@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.numeric import percent_return, round_half_up_int, to_decimal, tolerant_double
 from marquee.functions.tags import GENRE_CORRECTIONS, clean_tag_list, split_stripped
-from marquee.functions.text import PANDAS_NULL_TOKENS, nullify_tokens, strip, token_null
+from marquee.functions.text import PANDAS_NULL_TOKENS, nullify_tokens, quoted, strip, token_null
 
 TEXT_COLUMNS = ("title", "director", "language", "country")
 # Column -> stored type after the load's assignment cast.
@@ -52,7 +52,7 @@ def clean_titles(raw: DataFrame, null_tokens: Iterable[str] | None = PANDAS_NULL
     extra = [c for c in df.columns if c not in TITLE_COLUMNS and c != tag_column and c not in keep]
     if audit:
         cols.append(roi.alias("roi_unbounded"))
-    return df.select(*cols, *[F.col(c) for c in extra])
+    return df.select(*cols, *[F.col(quoted(c)) for c in extra])
 
 
 def normalize_tags(raw: DataFrame, mapping: Mapping[str, str] = GENRE_CORRECTIONS,

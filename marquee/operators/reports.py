@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.numeric import round_float
-from marquee.operators.topk import top_k
+from marquee.operators.topk import names as _names, top_k
 
 
 def genre_revenue(genre_mart: DataFrame, k: int = 10) -> DataFrame:
@@ -30,11 +30,11 @@ def budget_vs_revenue(top_titles: DataFrame, keep: tuple[str, ...] = ()) -> Data
                     "roi_category", F.abs("roi").alias("roi_abs")))
 
 
-def top_titles(top_titles_mart: DataFrame, k: int = 10, tie: str | None = None) -> DataFrame:
+def top_titles(top_titles_mart: DataFrame, k: int = 10, tie: str | tuple[str, ...] | None = None) -> DataFrame:
     """Top-k titles by box office; amount in billions (2 places)."""
-    order = [F.col("box_office").desc_nulls_last()] + ([F.col(tie).asc()] if tie else [])
+    order = [F.col("box_office").desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in _names(tie)]
     top = top_k(top_titles_mart.filter(F.col("box_office").isNotNull()), k, order)
-    keep = [tie] if tie else []
+    keep = [c for c in _names(tie) if c not in ("title", "release_year")]
     return top.select(*keep, "title", "box_office",
                       round_float(F.col("box_office") / F.lit(1e9), 2).alias("box_office_b"),
                       "budget_category")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.tiers import BUDGET_CUTS, BUDGET_LABELS, ROI_CUTS, ROI_LABELS, bucket_label
+from marquee.functions.text import quoted
 from marquee.operators.clean import TITLE_COLUMNS
 
 
@@ -22,7 +23,7 @@ def staged_titles(titles: DataFrame, budget_cuts: Sequence[float] = BUDGET_CUTS,
     CASE's ELSE), as in the reference."""
     extra = [c for c in titles.columns if c not in TITLE_COLUMNS]
     return (titles.filter(F.col("box_office").isNotNull())
-            .select(*extra, *TITLE_COLUMNS,
+            .select(*[F.col(quoted(c)) for c in extra], *TITLE_COLUMNS,
                     bucket_label("budget", budget_cuts, budget_labels).alias("budget_category"),
                     bucket_label("roi", roi_cuts, roi_labels).alias("roi_category")))
 

@@ -14,11 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def sort_key(col: str, desc: bool = True, nulls: str = "last") -> Column:
-    c = F.col(col)
-    if desc:
-        return c.desc_nulls_first() if nulls == "first" else c.desc_nulls_last()
-    return c.asc_nulls_first() if nulls == "first" else c.asc_nulls_last()
+def names(columns: str | Sequence[str] | None) -> tuple[str, ...]:
+    """One column name, several, or none, as a tuple."""
+    return (columns,) if isinstance(columns, str) else tuple(columns or ())
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

@@ -308,6 +308,15 @@ ORACLE_SQL = {
         FROM stg_movies"""),
 }
 
+# sources and sinks: what was written is read back
+ORACLE_SQL["csv_round_trip"] = _with("SELECT * FROM tok")
+ORACLE_SQL["refresh_movies"] = ORACLE_SQL["clean_titles"]
+ORACLE_SQL["refresh_movie_genres"] = ORACLE_SQL["append_movie_genres"] = ORACLE_SQL["normalized_tags"]
+ORACLE_SQL["view_stg_movies"] = ORACLE_SQL["staged_titles"]
+ORACLE_SQL["mart_reads_sorted"] = _with("""
+    SELECT title, release_year, director, country, budget, box_office, roi, budget_category, roi_category, genres
+    FROM mart_top WHERE box_office IS NOT NULL ORDER BY box_office DESC, title, release_year""")
+
 # scale variants: same answers as the plain operators
 ORACLE_SQL["genre_mart_global_rank"] = ORACLE_SQL["genre_mart"]
 ORACLE_SQL["top_titles_mart_salted"] = ORACLE_SQL["top_titles_mart"]

@@ -12,63 +12,82 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee import schema
 from marquee.functions.tags import GENRE_CORRECTIONS
 from marquee.functions.tiers import BUDGET_CUTS, BUDGET_LABELS, ROI_CUTS, ROI_LABELS
 from marquee.operators import audit, clean, marts, staging
 from marquee.operators.clean import TITLE_COLUMNS
-from marquee.sinks.tables import create_view, full_refresh, hand_off, remove_path
+from marquee.sinks.tables import attach, create_view, default_root, full_refresh, hand_off, remove_path
+
+
+TABLES = ("movies", "movie_genres", "movies_rejects", "movie_genres_rejects",
+          "mart_genre_analysis", "mart_country_analysis", "mart_top_movies")
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str] = GENRE_CORRECTIONS,
                  budget_cuts: Sequence[float] = BUDGET_CUTS, roi_cuts: Sequence[float] = ROI_CUTS,
                  root: str | None = None, prefix: str = "", keep: Sequence[str] = (),
-                 stage_raw: bool = True, rank_impl: str = "window") -> dict:
+                 rank_impl: str = "window") -> dict:
     """Run the whole batch on ``raw`` (all-string columns) and return counts.
 
-    * ``stage_raw``: write the raw frame once to the shared checkpoint folder
-      so titles and tags read one copy (a CSV or JDBC source is then scanned
-      once, and a retry does not go back to the source).
+    * the cleaned wide rows (title columns, tag list, first broken rule) are
+      written once to the shared checkpoint folder; all four tables are split
+      from that copy, so the source is read and cleaned once.
     * rows breaking a load rule go to ``{prefix}movies_rejects`` /
       ``{prefix}movie_genres_rejects`` with a reason instead of failing the
       load; the counts are returned.
-    * each table is replaced with ``full_refresh`` (never empty to readers).
+    * each table is replaced with ``full_refresh`` (never empty to readers)
+      and only if it holds as many rows as the wide copy says.
     * ``rank_impl='global'`` ranks the marts without a single-task window,
       for catalogues whose genre or country count is not small.
     """
-    src, src_path = hand_off(raw, "raw", return_path=True) if stage_raw else (raw, None)
-    titles_all = clean.clean_titles(src, keep=keep, audit=True)
-    tags_all = clean.normalize_tags(src, mapping, keep=keep)
-
-    t_rules = audit.title_rules()
-    t_rules["roi_out_of_range"] = F.col("roi").isNull() & F.col("roi_unbounded").isNotNull()
-    good_t, bad_t = audit.split_valid(titles_all, t_rules)
-    good_g, bad_g = audit.split_valid(tags_all, audit.tag_rules())
-    good_t = good_t.select(*keep, *TITLE_COLUMNS)
+    t_rules = {**audit.title_rules(), "roi_out_of_range": audit.roi_out_of_range()}
+    wide = clean.clean_wide(raw, mapping, keep=keep, audit=True).withColumn("_reason", audit.first_reason(t_rules))
+    src, src_path = hand_off(wide, "wide", return_path=True)
+    titles, tags = clean.split_wide(src, keep=keep)
+    good_t = titles.filter(F.col("_reason").isNull()).select(*keep, *TITLE_COLUMNS)
+    bad_t = titles.filter(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
+    good_g, bad_g = audit.split_valid(tags, audit.tag_rules())
 
+    n = src.agg(F.count_if(F.col("_reason").isNull()).alias("good"), F.count_if(F.col("_reason").isNotNull()).alias("bad"),
+                F.coalesce(F.sum(F.size("genre_list")), F.lit(0)).alias("tags")).first()
     out = {}
-    out["movies"] = full_refresh(good_t, f"{prefix}movies", root)
-    out["movie_genres"] = full_refresh(good_g, f"{prefix}movie_genres", root)
-    out["movies_rejects"] = full_refresh(bad_t, f"{prefix}movies_rejects", root)
+    out["movies"] = full_refresh(good_t, f"{prefix}movies", root, expect_rows=n["good"], schema=schema.MOVIES)
+    out["movies_rejects"] = full_refresh(bad_t, f"{prefix}movies_rejects", root, expect_rows=n["bad"])
     out["movie_genres_rejects"] = full_refresh(bad_g, f"{prefix}movie_genres_rejects", root)
+    out["movie_genres"] = full_refresh(good_g, f"{prefix}movie_genres", root, schema=schema.MOVIE_GENRES,
+                                       expect_rows=n["tags"] - out["movie_genres_rejects"]["rows"])
 
-    movies = spark.table(f"{prefix}movies")
-    genres = spark.table(f"{prefix}movie_genres")
-    stg_movies = staging.staged_titles(movies, budget_cuts, roi_cuts, BUDGET_LABELS, ROI_LABELS)
-    stg_genres = staging.staged_tags(genres)
-    create_view(stg_movies, f"{prefix}stg_movies")
-    create_view(stg_genres, f"{prefix}stg_genres")
-
+    stg_movies, stg_genres = create_staging_views(spark, prefix, budget_cuts, roi_cuts)
     out["mart_genre_analysis"] = full_refresh(
         marts.genre_mart(stg_movies, stg_genres, rank_impl), f"{prefix}mart_genre_analysis", root)
     out["mart_country_analysis"] = full_refresh(
         marts.country_mart(stg_movies, rank_impl), f"{prefix}mart_country_analysis", root)
     out["mart_top_movies"] = full_refresh(
-        marts.top_titles_mart(stg_movies, stg_genres, keep=tuple(keep)), f"{prefix}mart_top_movies", root)
-    if src_path:
-        remove_path(spark, src_path)    # every table is written; the staged copy is done
+        marts.top_titles_compact(stg_movies, stg_genres, keep=tuple(keep)), f"{prefix}mart_top_movies", root)
+    remove_path(spark, src_path)    # every table is written; the wide copy is done
     return {k: v["rows"] for k, v in out.items()}
 
 
+def create_staging_views(spark: SparkSession, prefix: str = "", budget_cuts: Sequence[float] = BUDGET_CUTS,
+                         roi_cuts: Sequence[float] = ROI_CUTS) -> tuple[DataFrame, DataFrame]:
+    """The staging models as views over the loaded tables."""
+    stg_movies = staging.staged_titles(spark.table(f"{prefix}movies"), budget_cuts, roi_cuts, BUDGET_LABELS, ROI_LABELS)
+    stg_genres = staging.staged_tags(spark.table(f"{prefix}movie_genres"))
+    create_view(stg_movies, f"{prefix}stg_movies")
+    create_view(stg_genres, f"{prefix}stg_genres")
+    return stg_movies, stg_genres
+
+
+def attach_run(spark: SparkSession, prefix: str = "", root: str | None = None) -> None:
+    """A finished run's tables and staging views, in a process of its own."""
+    names = [f"{prefix}{t}" for t in TABLES]
+    missing = set(names) - set(attach(spark, names, root))
+    if missing:
+        raise RuntimeError(f"no finished run under {root or default_root(spark)}: {sorted(missing)} not found")
+    create_staging_views(spark, prefix)
+
+
 def load_marts(spark: SparkSession, prefix: str = "") -> dict[str, DataFrame]:
     """The three mart reads the reports start from: fixed projections,
     sorted at read (a stored table has no order)."""
@@ -78,9 +97,9 @@ def load_marts(spark: SparkSession, prefix: str = "") -> dict[str, DataFrame]:
                        .orderBy("revenue_rank", "genre"),
         "countries": spark.table(f"{prefix}mart_country_analysis").select("country", *cols)
                           .orderBy("revenue_rank", "country"),
-        "movies": spark.table(f"{prefix}mart_top_movies")
+        "movies": spark.table(f"{prefix}mart_top_movies").withColumn("genres", marts.tag_string())
                        .select("title", "release_year", "director", "country", "budget", "box_office",
                                "roi", "budget_category", "roi_category", "genres")
                        .filter(F.col("box_office").isNotNull())
-                       .orderBy(F.col("box_office").desc()),
+                       .orderBy(F.col("box_office").desc(), "title", "release_year"),
     }

@@ -6,15 +6,22 @@ Result column names match ``marquee.plans.oracle.ORACLE_SQL``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
+from marquee import schema
 from marquee.operators import audit, clean, marts, reports, verify
 from marquee.operators.ranking import global_rank
 from marquee.plans import catalog as C
 from marquee.plans.catalog import Catalog
+from marquee.plans.pipeline import load_marts
+from marquee.session import scratch_root
+from marquee.sinks.tables import append, create_table, create_view, full_refresh
+from marquee.sources.csv import read_raw_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,6 +172,72 @@ def q_global_rank_titles(spark, root):
     return global_rank(s, "box_office", "box_office_rank", stage_input=True)
 
 
+# Sources and sinks: written to the application's scratch folder and read back.
+
+def _new_name() -> str:
+    return f"q_{uuid.uuid4().hex}"
+
+
+def _read_back(spark, name, *columns):
+    """The table's rows; its catalog entry goes (the data is external)."""
+    df = spark.table(name).select(*columns)
+    spark.sql(f"DROP TABLE {name}")
+    return df
+
+
+def q_csv_round_trip(spark, root):
+    raw = Catalog(spark, root).raw
+    path = f"{scratch_root(spark)}/csv/{_new_name()}"
+    (raw.write.option("header", True).option("escape", '"').option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    back = read_raw_csv(spark, path, columns=raw.columns)
+    return back.withColumn(C.KEY, F.col(C.KEY).cast("bigint"))
+
+
+def q_refresh_movies(spark, root):
+    """A first load, then a swap to a second version."""
+    titles, name = Catalog(spark, root).titles, _new_name()
+    fixed = StructType([titles.schema[C.KEY], *schema.MOVIES.fields])
+    nullable = StructType([StructField(f.name, f.dataType) for f in fixed.fields])      # rejects are not taken out here
+    loaded = full_refresh(titles, name, scratch_root(spark), schema=nullable)
+    full_refresh(spark.table(name), name, scratch_root(spark), expect_rows=loaded["rows"], schema=nullable)
+    return _read_back(spark, name, *nullable.names)
+
+
+def q_refresh_movie_genres(spark, root):
+    tags, name = Catalog(spark, root).tags, _new_name()
+    full_refresh(tags, name, scratch_root(spark))
+    return _read_back(spark, name, *tags.columns)
+
+
+def q_append_movie_genres(spark, root):
+    tags, name = Catalog(spark, root).tags, _new_name()
+    create_table(spark, name, tags.schema, f"{scratch_root(spark)}/append/{name}")
+    append(tags, name)
+    return _read_back(spark, name, *tags.columns)
+
+
+def q_view_stg_movies(spark, root):
+    name = _new_name()
+    create_view(Catalog(spark, root).staged, name)
+    df = spark.table(name)
+    spark.catalog.dropTempView(name)
+    return df
+
+
+def q_mart_reads_sorted(spark, root):
+    """The report's read of the stored top-titles mart: fixed columns, sorted."""
+    c, prefix = _both(spark, root), f"{_new_name()}_"
+    made = {"mart_genre_analysis": c.genre_mart(), "mart_country_analysis": c.country_mart(),
+            "mart_top_movies": marts.top_titles_compact(c.staged, c.tags)}
+    for t, df in made.items():
+        full_refresh(df, f"{prefix}{t}", scratch_root(spark))
+    out = load_marts(spark, prefix)["movies"]
+    for t in made:
+        spark.sql(f"DROP TABLE {prefix}{t}")
+    return out
+
+
 QUERIES: dict[str, Query] = {
     "raw_catalog": q_raw_catalog,
     "clean_titles": q_clean_titles,
@@ -195,4 +268,10 @@ QUERIES: dict[str, Query] = {
     "genre_mart_global_rank": q_genre_mart_global_rank,
     "top_titles_mart_salted": q_top_titles_mart_salted,
     "normalized_tags_dictionary_table": q_normalized_tags_dictionary_table,
+    "csv_round_trip": q_csv_round_trip,
+    "refresh_movies": q_refresh_movies,
+    "refresh_movie_genres": q_refresh_movie_genres,
+    "append_movie_genres": q_append_movie_genres,
+    "view_stg_movies": q_view_stg_movies,
+    "mart_reads_sorted": q_mart_reads_sorted,
 }

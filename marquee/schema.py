@@ -26,4 +26,4 @@ GENRE_MART = "genre string, " + MART
 COUNTRY_MART = "country string, " + MART
 TOP_TITLES_MART = ("title string, release_year int, director string, country string, budget bigint, "
                    "box_office bigint, roi decimal(10,2), budget_category string, "
-                   "roi_category string, genres string")
+                   "roi_category string, tag_counts array<struct<tag:string,n:bigint>>")

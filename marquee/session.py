@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 
@@ -99,5 +100,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for stage hand-offs and versioned table data."""
+    """Shared folder for checkpoints and hand-offs."""
     return ensure_checkpoint_dir(spark)
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own folder below the checkpoint folder, for written
+    hand-offs that a lazy result still reads; deleted when the driver ends."""
+    root = f"{checkpoint_root(spark)}/marquee-{spark.sparkContext.applicationId}"
+    if root not in _SCRATCH:
+        _SCRATCH.add(root)
+        atexit.register(_remove_scratch, spark, root)
+    return root
+
+
+_SCRATCH: set[str] = set()
+
+
+def _remove_scratch(spark: SparkSession, root: str) -> None:
+    if spark.sparkContext._jsc is None:      # stopped: its folder was left to the cluster's clean-up
+        return
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

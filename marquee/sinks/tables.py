@@ -10,6 +10,7 @@ committer make the write itself survive lost executors.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 
@@ -17,25 +18,27 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from marquee.session import checkpoint_root
+from marquee.functions.text import quoted
+from marquee.session import scratch_root
+
+
+#: File that marks a version whose row count has been checked.
+CHECKED = "_CHECKED"
 
 
 class RefreshError(RuntimeError):
     pass
 
 
-def _ddl(schema: StructType, not_null: tuple[str, ...] = ()) -> str:
-    cols = []
-    for f in schema.fields:
-        nn = " NOT NULL" if f.name in not_null else ""
-        cols.append(f"`{f.name}` {f.dataType.simpleString()}{nn}")
-    return ", ".join(cols)
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
+                     for f in schema.fields)
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType, location: str | None = None,
                  fmt: str = "parquet") -> None:
-    """``CREATE TABLE IF NOT EXISTS`` from a StructType (fixed, hand-written
-    types rather than inferred ones)."""
+    """``CREATE TABLE IF NOT EXISTS`` from a StructType: fixed, hand-written
+    types rather than inferred ones, NOT NULL where a field isn't nullable."""
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema)}) USING {fmt}{loc}")
 
@@ -46,12 +49,17 @@ def append(df: DataFrame, name: str) -> None:
 
 
 def _same_columns(a: DataFrame, b: DataFrame) -> bool:
-    return [(f.name, f.dataType) for f in a.schema.fields] == [(f.name, f.dataType) for f in b.schema.fields]
+    return a.dtypes == b.dtypes     # names and types; files don't keep nullability
+
+
+def default_root(spark: SparkSession) -> str:
+    """Result tables live beside the session's warehouse, never under the
+    checkpoint folder (whose content may be cleared after a run)."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/marquee"
 
 
 def new_version_path(spark: SparkSession, name: str, root: str | None = None) -> str:
-    base = (root or f"{checkpoint_root(spark)}/tables").rstrip("/")
-    return f"{base}/{name}/v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+    return f"{(root or default_root(spark)).rstrip('/')}/{name}/v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -67,25 +75,57 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and fs.delete(p, True))
 
 
-def prune_versions(spark: SparkSession, table_dir: str, keep: int = 2) -> list[str]:
-    """Delete all but the newest ``keep`` version folders of one table
-    (names start with a millisecond timestamp, so they sort by age)."""
+def _versions(spark: SparkSession, table_dir: str) -> list[str]:
+    """Version folders of one table, the oldest first; other folders are not
+    looked at."""
     fs, p = _fs_path(spark, table_dir)
-    if keep < 1 or not fs.exists(p):
+    if not fs.exists(p):
         return []
-    versions = sorted((st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory()
-                       and st.getPath().getName().startswith("v")),
-                      key=lambda x: int(x.rsplit("/v", 1)[1].split("-")[0]))
-    old = versions[:-keep]
+    found = [st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory()]
+    named = [(re.fullmatch(r"v(\d+)-[0-9a-f]+", x.rstrip("/").rsplit("/", 1)[-1]), x) for x in found]
+    return [x for _, x in sorted((int(m[1]), x) for m, x in named if m)]
+
+
+def prune_versions(spark: SparkSession, table_dir: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` version folders of one table."""
+    old = _versions(spark, table_dir)[:-keep] if keep >= 1 else []
     for v in old:
         remove_path(spark, v)
     return old
 
 
+def attach(spark: SparkSession, names, root: str | None = None) -> list[str]:
+    """Make tables that another process has written readable by name: for each
+    name that the catalog doesn't know, a view of its newest checked version
+    under ``root``. Returns the names found."""
+    out = []
+    for name in names:
+        if not spark.catalog.tableExists(name):
+            done = [v for v in _versions(spark, f"{(root or default_root(spark)).rstrip('/')}/{name}")
+                    if _exists(spark, f"{v}/{CHECKED}")]
+            if not done:
+                continue
+            spark.read.parquet(done[-1]).createOrReplaceTempView(name)
+        out.append(name)
+    return out
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
 def full_refresh(df: DataFrame, name: str, root: str | None = None, fmt: str = "parquet",
-                 expect_rows: int | None = None, keep_versions: int | None = 2) -> dict:
+                 expect_rows: int | None = None, keep_versions: int | None = 2,
+                 schema: StructType | None = None, new_columns: bool = False) -> dict:
     """Replace table ``name`` with ``df`` without an empty window.
 
+    ``schema``: the fixed columns and types to load (others of ``df`` stay
+    behind them). A frame whose columns differ from the stored table's is
+    refused and the table stays as it is, unless ``new_columns`` allows it:
+    the catalog entry is then dropped and created anew, and a reader in
+    between finds no table.
+
     1. write ``df`` to a new version folder, counting rows on the way
        (``Observation``: the count comes from the write job itself);
     2. check the count (and ``expect_rows`` when given);
@@ -95,6 +135,14 @@ def full_refresh(df: DataFrame, name: str, root: str | None = None, fmt: str = "
     Returns ``{"table", "path", "rows"}``.
     """
     spark = df.sparkSession
+    if schema is not None:
+        fixed = {f.name: f.dataType for f in schema.fields}
+        df = df.select(*[F.col(quoted(c)).cast(t).alias(c) for c, t in fixed.items()],
+                       *[F.col(quoted(c)) for c in df.columns if c not in fixed])
+    known = spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "TEMPORARY"
+    same = known and _same_columns(spark.table(name), df)
+    if known and not same and not new_columns:
+        raise RefreshError(f"{name}: other columns than the stored table's; table left unchanged")
     path = new_version_path(spark, name, root)
     obs = Observation(f"refresh_{name}_{uuid.uuid4().hex[:6]}")
     try:
@@ -106,15 +154,18 @@ def full_refresh(df: DataFrame, name: str, root: str | None = None, fmt: str = "
     if expect_rows is not None and rows != expect_rows:
         remove_path(spark, path)
         raise RefreshError(f"{name}: wrote {rows} rows, expected {expect_rows}; table left unchanged")
-    if spark.catalog.tableExists(name) and _same_columns(spark.table(name), df):
+    fs, mark = _fs_path(spark, f"{path}/{CHECKED}")
+    fs.create(mark).close()
+    spark.catalog.dropTempView(name)        # one that ``attach`` has made
+    if same:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.catalog.refreshTable(name)
     else:
-        # first load, or the columns changed: the catalog entry must carry the
-        # new schema, so it is re-created (a metadata-only step; the old data
-        # folder stays until then)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
+        if schema is not None:
+            create_table(spark, name, StructType(list(schema.fields) + [f for f in df.schema.fields if f.name not in fixed]), path, fmt)
+        else:
+            spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
     if keep_versions:
         # the current and the previous complete versions stay (a reader that
         # planned against the previous one can still finish)
@@ -123,15 +174,11 @@ def full_refresh(df: DataFrame, name: str, root: str | None = None, fmt: str = "
 
 
 def create_view(df: DataFrame, name: str) -> None:
-    """Materialise as a view (a staging model): a named, lazily inlined plan."""
+    """Materialise as a view (a staging model): a named, lazily inlined plan
+    of this session; other processes make it again from its tables."""
     df.createOrReplaceTempView(name)
 
 
-def write_table(df: DataFrame, name: str, root: str | None = None) -> dict:
-    """Materialise as a table (a mart): same swap-safe path as a refresh."""
-    return full_refresh(df, name, root)
-
-
 def hand_off(df: DataFrame, name: str, fmt: str = "parquet", return_path: bool = False):
     """Write a stage's output to the shared checkpoint folder and read it
     back: cuts the lineage (a lost executor recomputes from this copy, not
@@ -139,7 +186,7 @@ def hand_off(df: DataFrame, name: str, fmt: str = "parquet", return_path: bool =
     ``return_path=True`` also returns the folder, for ``remove_path`` once
     every consumer has run."""
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/handoff/{name}/{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/handoff/{name}/{uuid.uuid4().hex}"
     df.write.format(fmt).mode("errorifexists").save(path)
     out = spark.read.format(fmt).load(path)
     return (out, path) if return_path else out

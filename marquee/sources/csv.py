@@ -21,16 +21,20 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str],
     * ``escape='"'`` parses doubled quotes; ``multi_line`` keeps newlines in
       quoted fields but makes each file one split, so large inputs should
       arrive as many files (or pass ``multi_line=False``).
+    * every file's header is held against the expected columns
+      (``enforceSchema=false``): a file with another order or another set of
+      columns fails the read instead of landing in the wrong columns. Without
+      ``columns`` the first file's header is the expectation.
     * exact null tokens (pandas defaults) become NULL in every column.
     """
     reader = (spark.read.option("header", True).option("escape", '"')
               .option("multiLine", multi_line).option("encoding", encoding)
               .option("mode", "PERMISSIVE"))
-    if columns:
-        reader = reader.schema(StructType([StructField(c, StringType(), True) for c in columns]))
-    else:
-        reader = reader.option("inferSchema", False)
-    return nullify_tokens(reader.csv(path), null_tokens)
+    path = list(path) if not isinstance(path, str) else path
+    if not columns:
+        columns = reader.option("inferSchema", False).csv(path).columns     # reads one header line
+    schema = StructType([StructField(c, StringType(), True) for c in columns])
+    return nullify_tokens(reader.schema(schema).option("enforceSchema", False).csv(path), null_tokens)
 
 
 def extract_csv(spark: SparkSession, location: str, key: str = "movies.csv", **kw) -> DataFrame:

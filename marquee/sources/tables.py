@@ -28,11 +28,6 @@ def read_table(spark: SparkSession, root: str, name: str,
     return df.select(*columns) if columns else df
 
 
-def table_source(spark: SparkSession, name: str, schema: str | None = None) -> DataFrame:
-    """A catalog table or view (the staging models' source)."""
-    return spark.table(f"{schema}.{name}" if schema else name)
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
               partition_column: str | None = None, lower: int | None = None,
               upper: int | None = None, num_partitions: int | None = None) -> DataFrame:

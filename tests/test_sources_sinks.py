@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.operators import clean
+from marquee.operators import audit, clean, marts, staging
 from marquee.plans.pipeline import load_marts, run_pipeline
 from marquee.sinks import RefreshError, full_refresh
 from marquee.sources import read_raw_csv
@@ -75,8 +75,16 @@ def test_full_refresh_swaps_and_never_empties(spark, tmp_path):
     full_refresh(spark.range(7).withColumnRenamed("id", "x"), name, root)
     assert len(glob.glob(f"{root}/{name}/v*")) == 2
     assert spark.table(name).count() == 7
-    # a schema change re-creates the catalog entry with the new columns
-    full_refresh(spark.range(2).select(F.col("id").alias("x"), F.lit("a").alias("y")), name, root)
+    # folders of others beside the versions are left alone
+    os.makedirs(f"{root}/{name}/views-of-mine")
+    full_refresh(spark.range(7).withColumnRenamed("id", "x"), name, root)
+    assert os.path.isdir(f"{root}/{name}/views-of-mine")
+    # other columns are refused, and taken only when asked to
+    other = spark.range(2).select(F.col("id").alias("x"), F.lit("a").alias("y"))
+    with pytest.raises(RefreshError):
+        full_refresh(other, name, root)
+    assert spark.table(name).columns == ["x"] and spark.table(name).count() == 7
+    full_refresh(other, name, root, new_columns=True)
     assert spark.table(name).columns == ["x", "y"] and spark.table(name).count() == 2
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
@@ -127,24 +135,83 @@ def test_pipeline_on_driver_tables_equals_queries(spark, tmp_path):
     c = Catalog(spark, sf)
     counts = run_pipeline(spark, c.raw, DEFAULT.corrections, DEFAULT.budget_cuts, DEFAULT.roi_cuts,
                           root=str(tmp_path / "wh"), prefix="d_", keep=(KEY,))
-    assert counts["movies"] == c.titles.count() and counts["movies_rejects"] == 0
-    assert counts["movie_genres"] == c.tags.count()
-    for table, q in (("d_mart_genre_analysis", c.genre_mart()), ("d_mart_country_analysis", c.country_mart()),
-                     ("d_mart_top_movies", c.top_titles_mart)):
+    assert counts["movies"] + counts["movies_rejects"] == c.titles.count() and counts["movies_rejects"] > 0
+    assert counts["movie_genres"] + counts["movie_genres_rejects"] == c.tags.count()
+    # the marts are those of the rows that pass the load rules
+    good = spark.table("d_movies"), spark.table("d_movie_genres")
+    staged = staging.staged_titles(good[0], DEFAULT.budget_cuts, DEFAULT.roi_cuts)
+    for table, q in (("d_mart_genre_analysis", marts.genre_mart(staged, good[1])), ("d_mart_country_analysis", marts.country_mart(staged)),
+                     ("d_mart_top_movies", marts.top_titles_compact(staged, good[1], keep=(KEY,)))):
         got = spark.table(table)
         assert sorted(got.columns) == sorted(q.columns)
         assert sorted(map(tuple, got.select(*q.columns).collect()), key=repr) == \
             sorted(map(tuple, q.collect()), key=repr)
 
 
+def test_one_pass_mart_equals_the_joined_one(spark):
+    from marquee.plans.catalog import Catalog
+    c = Catalog(spark, "/root/testdata/sf0.001")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert rows(marts.genre_mart(c.staged, c.tags)) == rows(c.genre_mart())
+    assert rows(audit.reject_reasons(c.titles_audit, c.tags)) == rows(audit.reject_reasons_one_pass(Catalog(spark, "/root/testdata/sf0.001").wide))
+    assert rows(audit.transform_summary(c.titles, c.tags)) == rows(audit.transform_summary_one_pass(c.wide))
+
+
+def test_commands_as_processes_of_their_own(tmp_path):
+    import subprocess
+    import sys
+    p = write(tmp_path / "films.csv", HEADER + "A,2001,D1,en,US,90,100,300,\"Action, Horor\"\n" + "B,2002,D2,en,US,95,200,400,Drama\n")
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+    def call(*args):
+        done = subprocess.run([sys.executable, "-m", "marquee", "--master", "local[2]", "--warehouse", str(tmp_path / "wh"), *args],
+                              cwd=tmp_path, env=os.environ | {"PYTHONPATH": here}, capture_output=True, text=True, timeout=300)
+        assert done.returncode == 0, done.stderr[-2000:]
+        return done.stdout
+
+    assert '"movies": 2' in call("run", str(p))
+    assert "('A', 2001" in call("verify")
+    call("reports", str(tmp_path / "rep"))
+    assert any(f.endswith(".csv") for f in os.listdir(tmp_path / "rep" / "03_top_movies"))
+
+
+def test_checkpoint_folder_is_required_off_local(spark, monkeypatch):
+    from marquee import session
+
+    class Context:
+        master, applicationId = "spark://host:7077", "none"
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})()
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_csv_header_order_and_dotted_columns(spark, tmp_path):
+    folder = tmp_path / "in"
+    os.makedirs(folder)
+    write(folder / "a.csv", "title,genre,imdb.score\nA,Drama,7.1\n")
+    raw = read_raw_csv(spark, str(folder))
+    full = raw.select("*", *[F.lit("1").alias(c) for c in clean.TITLE_COLUMNS if c not in ("title", "roi")])
+    out = clean.clean_titles(full)
+    assert out.columns[-1] == "imdb.score" and out.collect()[0][-1] == "7.1"
+    assert staging.staged_titles(out).count() == 1
+    write(folder / "b.csv", "genre,title,imdb.score\nDrama,B,8\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, str(folder)).collect()
+
+
 def test_command_line_run_verify_reports(spark, tmp_path, capsys):
     from marquee.__main__ import main
     p = write(tmp_path / "films.csv", HEADER
               + "A,2001,D1,en,US,90,100,300,\"Action, Horor\"\n"
               + "B,2002,D2,en,US,95,200,400,Drama\n")
-    main(["--prefix", "cli_", "run", str(p), "--warehouse", str(tmp_path / "wh"), "--rank", "global"])
-    main(["--prefix", "cli_", "verify"])
-    main(["--prefix", "cli_", "reports", str(tmp_path / "rep")])
+    common = ["--prefix", "cli_", "--warehouse", str(tmp_path / "wh")]
+    main([*common, "run", str(p), "--rank", "global", "--columns", HEADER.strip()])
+    main([*common, "verify"])
+    main([*common, "reports", str(tmp_path / "rep")])
     out = capsys.readouterr().out
     assert '"movies": 2' in out and "--- tag_counts_top10 ---" in out
     top = spark.read.option("header", True).csv(str(tmp_path / "rep" / "03_top_movies"))
