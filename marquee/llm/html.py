@@ -46,8 +46,8 @@ VOID = frozenset(("br", "img", "input", "meta", "link", "hr", "wbr", "area", "ba
 ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form", "note"))
 #: Words in class and id names of what is not the article.
 NOT_ARTICLE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banners?|sponsor(?:ed|s)?|promos?|promoted|nav|navbar|navigation|menus?|breadcrumbs?|side-?bars?|footers?|headers?|masthead|"
-    r"cookies?|consent|gdpr|notices?|alerts?|pop-?ups?|modals?|overlays?|newsletters?|subscribe|subscriptions?|signup|login|comments?|disqus|replies|respond|reactions?|related|recommended|recommendations?|"
+    r"(?:^|[\s_-])(?:ads?|adverts?|adsbygoogle|taboola|outbrain|advertisements?|advertising|banners?|sponsor(?:ed|s)?|promos?|promoted|nav|navbar|topnav|sidenav|subnav|topbar|navigation|menus?|breadcrumbs?|side-?bars?|footers?|headers?|masthead|"
+    r"cookies?|cookiebar|consent|gdpr|notices?|alerts?|pop-?ups?|modals?|overlays?|newsletters?|subscribe|subscriptions?|signup|login|comments?|commentlist|disqus|replies|respond|responses?|discussion|reactions?|related|recommended|recommendations?|"
     r"share|sharing|social|widgets?|toolbars?|pagination|pager|search|legal|copyright|disclaimer|tags?-?list|skip-?link|hidden|teasers?)(?:$|[\s_-])", re.I)
 TOKEN = re.compile(r"<!--(?:.*?--!?>|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*\Z", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")

@@ -13,9 +13,10 @@ follows the number of languages alone. It is fitted on a bounded sample:
 about ``sample_rows`` labelled rows of each language, chosen by a hash of
 their text, whole texts.
 
-Nulls: null texts, and texts without a letter (or with letters of scripts
-that no learned language uses), are ``und`` with score 0. Rows with a null
-language teach nothing. Ties go to the language that sorts first. Without any
+Nulls: null texts and texts without a letter are ``und`` with score 0; texts
+whose letters are all of scripts that no learned language uses get the
+language that sorts first, with score 0. Rows with a null language teach
+nothing. Ties go to the language that sorts first. Without any
 labelled row everything is ``und``. Very long texts are read whole; repeated
 rows get the same result; an empty table gives no rows.
 """
@@ -162,7 +163,7 @@ class Model:
         total = letters.sum(axis=1)
         best = letters.argmax(axis=1)
         score = letters[np.arange(n), best] / np.maximum(total, 1)
-        found = [self.languages[b] if t else UNKNOWN for b, t in zip(best, total, strict=True)]
+        found = [self.languages[b] if words else UNKNOWN for b, words in zip(best, np.diff(w.first), strict=True)]
         runs: list = []
         if spans:
             for i in range(n):
