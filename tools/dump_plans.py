@@ -1,5 +1,6 @@
-"""Write PLANS.md: the physical plan tree of every registered query plus the
-pushed filters and read schema of each parquet scan.
+"""Write PLANS.md: the final adaptive plan of every registered catalogue query
+(as it ran), the plans of the copies it made on the way, and the pushed
+filters and read schema of each parquet scan.
 
     python tools/dump_plans.py [sf_dir]
 """
@@ -14,40 +15,54 @@ HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, HERE)
 
 
-def summarize(formatted: str) -> str:
-    tree, _, details = formatted.partition("\n\n\n")
-    scans = []
-    for block in details.split("\n\n"):
-        if block.strip().startswith("(") and "Scan parquet" in block.splitlines()[0]:
-            loc = re.search(r"Location: \w+ \[file:([^\],]*)", block)
-            pushed = re.search(r"PushedFilters: (.*)", block)
-            schema = re.search(r"ReadSchema: (.*)", block)
-            where = "?"
-            if loc:
-                path = loc.group(1)
-                m = re.search(r"/(handoff/\w+)/", path)
-                where = m.group(1) if m else os.path.basename(path).removesuffix(".parquet")
-            scans.append(f"- {where}: PushedFilters {pushed.group(1) if pushed else '[]'}; "
-                         f"ReadSchema `{schema.group(1) if schema else '?'}`")
-    return tree.strip() + "\n```\n\nScans:\n\n" + "\n".join(scans or ["- (none)"])
+def tree(df) -> str:
+    """Operators of the executed plan, without expression lists."""
+    text = df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    lines = []
+    for line in text.splitlines():
+        m = re.match(r"([ :+\\-|]*(?:\*\(\d+\) )?)(\w+)(.*)", line)
+        if not m or m[2] in ("AdaptiveSparkPlan", "Final", "ResultQueryStage", "ShuffleQueryStage", "BroadcastQueryStage"):
+            continue
+        rest = m[3]
+        if m[2] == "FileScan":
+            where = re.search(r"Location: \w+\(\d+ paths\)\[file:([^\],]*)", rest)
+            pushed, schema = re.search(r"PushedFilters: (\[.*?\])", rest), re.search(r"ReadSchema: (.*)$", rest)
+            rest = f" {os.path.basename(where[1]) if where else '?'} PushedFilters {pushed[1] if pushed else '[]'} ReadSchema {schema[1] if schema else '?'}"
+        elif m[2] == "Exchange":
+            rest = " " + rest.strip().split(",")[0].split("(")[0]
+        else:
+            rest = ""
+        lines.append((m[1] + m[2] + rest)[:220])
+    return "\n".join(lines)
 
 
 def main(argv):
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    from pyspark.sql.classic.dataframe import DataFrame
+
     from marquee.plans.queries import QUERIES
     from marquee.session import get_session
     spark = get_session("local[8]", shuffle_partitions=8)
-    out = ["# Physical plans", "",
-           f"Generated by `tools/dump_plans.py` on `{sf}` (`local[8]`, 8 shuffle partitions, AQE on; the tree",
-           "is the initial adaptive plan; AQE may still turn a sort-merge join into a broadcast or split skewed",
-           "partitions at run time). Exchanges are the shuffles; `BroadcastExchange` sides are dimension tables",
-           "Spark measured below the broadcast threshold.", ""]
+    out = ["# Plans as they ran", "",
+           f"Generated by `tools/dump_plans.py` on `{sf}` (`local[8]`, 8 shuffle partitions, AQE on): final adaptive plans, operators",
+           "only, with the scans' filters and columns. A query that checkpoints or writes a copy lists that job's plan first.", ""]
+    real, copies = DataFrame.checkpoint, []
+
+    def spy(self, *a, **k):
+        made = real(self, *a, **k)
+        copies.append(tree(self))
+        return made
+
+    DataFrame.checkpoint = spy
     for name, fn in QUERIES.items():
+        copies.clear()
         df = fn(spark, sf)
-        formatted = df._jdf.queryExecution().explainString(
-            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-        n_ex = formatted.split("\n\n\n")[0].count("Exchange") - formatted.split("\n\n\n")[0].count("BroadcastExchange")
-        out += [f"## {name}", "", f"Shuffle exchanges: {n_ex}", "", "```", summarize(formatted), ""]
+        df.collect()
+        final = tree(df)
+        out += [f"## {name}", "", f"Shuffles of the result's job: {len(re.findall(r'(?<!Broadcast)Exchange ', final))}", ""]
+        for c in copies:
+            out += ["Copy:", "", "```", c, "```", ""]
+        out += ["```", final, "```", ""]
     with open(os.path.join(HERE, "PLANS.md"), "w") as f:
         f.write("\n".join(out))
     spark.stop()
