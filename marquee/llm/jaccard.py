@@ -18,7 +18,10 @@ Which pairs are counted:
    the group's most central member first. After those links are merged, only
    members of one shingle's group that are still in different components, one
    of them outside the group's largest component, are paired. Pairs inside a
-   component need no count: they can't change the result.
+   component need no count: they can't change the result. Before such a pair
+   is made, the numbers of both members' shingles in ``CELLS`` hash cells bound
+   its overlap (the sum of the smaller ones); near copies that lost different
+   shingles fall below the limit there.
 
 Counting goes through packed messages: a chunk of documents asks about each of
 its shingles once, whatever the number of its documents that hold it, so a
@@ -42,7 +45,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marquee.llm.common import NO_ID, Memo, chunk_id, components, mix, per_batch, prepare, written
 
-WORDS, PERCENT, FRAGMENTS = 5, 75, 8
+WORDS, PERCENT, FRAGMENTS, CELLS = 5, 75, 8, 128
 CHUNK_ROWS, CHUNK_SHINGLES = 1024, 1_000_000
 STAT = "key long, id long, n long, single long, sig binary"
 
@@ -237,6 +240,13 @@ def _segments(batch: pa.RecordBatch, cuts: np.ndarray):
     return row, part, blob
 
 
+def _profiles(batch: pa.RecordBatch):
+    """(class, its shared shingles in each hash cell)."""
+    counts = [np.bincount((np.frombuffer(t, "<u8") >> np.uint64(8)).astype(np.int64) % CELLS, minlength=CELLS).astype(np.int32) for t in batch.column("tokens").to_pylist()]
+    cells = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1) * CELLS, pa.int32()), pa.array(np.concatenate(counts)))
+    yield pa.RecordBatch.from_arrays([batch.column("c"), cells], names=["c", "cells"])
+
+
 def _may_link(nx, mx, ny, my):
     """Can two classes with n shingles, m of them in other classes too, reach the limit?"""
     most = F.least(mx, my)
@@ -343,9 +353,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     main = (by_root.groupBy("t").agg(F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
             .select("t", F.col("top.root").alias("main")))
     mixed = written(placed.join(main, "t"))
-    minor = mixed.where("root <> main").select("t", *(F.col(c).alias(f"{c}1") for c in ("c", "n", "m", "root")))
+    profiles = per_batch(join.ordered.select("c", "tokens").join(mixed.select("c").distinct(), "c", "left_semi"), _profiles, "c long, cells array<int>")
+    mixed = mixed.join(profiles, "c")
+    minor = mixed.where("root <> main").select("t", *(F.col(c).alias(f"{c}1") for c in ("c", "n", "m", "root", "cells")))
+    shared = F.aggregate(F.zip_with("cells1", "cells", lambda a, b: F.least(a, b)), F.lit(0), lambda a, x: a + x)
     rest = (minor.join(mixed, "t").where((F.col("root1") != F.col("root")) & ((F.col("root") == F.col("main")) | (F.col("c1") < F.col("c")))
-                                         & _may_link(F.col("n1"), F.col("m1"), F.col("n"), F.col("m")))
+                                         & _may_link(F.col("n1"), F.col("m1"), F.col("n"), F.col("m"))
+                                         & (100 * shared >= PERCENT * (F.col("n1") + F.col("n") - shared)))
             .select(F.col("c1").alias("x"), F.col("c").alias("y")).distinct().join(star, ["x", "y"], "left_anti"))
     more = written(join.links(written(rest)))
 
