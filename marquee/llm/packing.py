@@ -7,9 +7,10 @@
    It has at most ``capacity`` rows whatever the corpus holds, so the driver
    can plan on it (``plan_bins``): bin completion takes the largest length
    left, enumerates the undominated fillings of the space beside it by branch
-   and bound, and repeats the best filling as often as the counts allow. A
-   pattern uses up one length at least, so a plan has at most ``capacity``
-   patterns.
+   and bound, and repeats the best filling as often as the counts allow. That
+   leaves fewer pieces of one of its lengths than the pattern holds, so a
+   length x ends at most 1 + capacity / x patterns, and a plan has at most
+   capacity * (2 + ln capacity) of them whatever the corpus holds.
 3. A piece finds its place by its rank among the pieces of its length:
    counts of each input partition are summed up first, so a rank needs no
    task that sees all pieces of a length.
@@ -24,13 +25,14 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from marquee.llm.common import Memo, prepare, written
+from marquee.llm.common import prepare, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -39,25 +41,54 @@ BRANCHES = 5000
 
 
 class WordCache:
-    """Ids of a text from the ids of its runs without ASCII white space.
+    """Ids of texts from the ids of their runs without ASCII white space.
 
     The tokenizer drops white space and never joins two runs, so runs can be
-    encoded apart; each distinct run of a task is encoded once.
+    encoded apart. A Python worker keeps the ids of up to ``MOST`` distinct
+    runs over all of its tasks, and encodes the new ones of a slice of texts
+    together: the end-of-text token between two runs parts them again.
     """
 
+    MOST, TOGETHER, PART, PART_ID = 1_000_000, 200, "<|endoftext|>", 49407
+    _own: dict[str, WordCache] = {}
+
     def __init__(self, path: str):
+        import os
         import re
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.ordinary, self.parted = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.ordinary.encode_special_tokens = True  # their strings in a text are ordinary text
         self.find = re.compile(r"[^ \t-\r]+").findall
-        self.memo = Memo(lambda w: np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes())
-
-    def ids(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids, without the end id."""
-        return b"".join(map(self.memo.__getitem__, self.find(text))) if text else b""
+        self.memo: dict[str, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> WordCache:
+        if path not in cls._own:
+            cls._own[path] = cls(path)
+        return cls._own[path]
+
+    def _encode(self, runs: list[str]) -> list[bytes]:
+        if any("<|" in r or "|>" in r for r in runs):
+            return [np.array(self.ordinary.encode(r, add_special_tokens=False).ids, "<u4").tobytes() for r in runs]
+        ids = np.array(self.parted.encode_batch_fast([self.PART.join(runs)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * np.flatnonzero(ids == self.PART_ID)).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(raw)], strict=True)]
+
+    def ids(self, texts: Sequence[str | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text, without the end id."""
+        runs = [self.find(t) if t else [] for t in texts]
+        new = list(set(chain.from_iterable(runs)).difference(self.memo))
+        if len(self.memo) + len(new) > self.MOST:
+            self.memo.clear()
+            new = list(set(chain.from_iterable(runs)))
+        for at in range(0, len(new), self.TOGETHER):
+            part = new[at:at + self.TOGETHER]
+            self.memo.update(zip(part, self._encode(part), strict=True))
+        return [b"".join(map(self.memo.__getitem__, r)) for r in runs]
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep: Sequence[str] = ("doc_id",),
@@ -69,13 +100,13 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
     kept, end = len(keep), np.array([END_ID], "<u4").tobytes()
 
     def run(batches):
-        cache = WordCache(tokenizer_path)
+        cache = WordCache.of(tokenizer_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 row, piece, start, length, crc, out = [], [], [], [], [], []
-                for i, t in enumerate(part.column(kept).to_pylist()):
-                    ids = cache.ids(t) + end
+                for i, ids in enumerate(cache.ids(part.column(kept).to_pylist())):
+                    ids += end
                     for k, p in enumerate(range(0, len(ids), 4 * capacity)):
                         x = ids[p:p + 4 * capacity]
                         row.append(i)
