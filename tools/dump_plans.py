@@ -20,7 +20,7 @@ def tree(df) -> str:
     text = df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
     lines = []
     for line in text.splitlines():
-        m = re.match(r"([ :+\\-|]*(?:\*\(\d+\) )?)(\w+)(.*)", line)
+        m = re.match(r"([ :+|-]*(?:\*\(\d+\) )?)(\w+)(.*)", line)
         if not m or m[2] in ("AdaptiveSparkPlan", "Final", "ResultQueryStage", "ShuffleQueryStage", "BroadcastQueryStage"):
             continue
         rest = m[3]
