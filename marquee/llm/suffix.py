@@ -32,15 +32,16 @@ falls inside a character; ``kept`` as text drops such broken characters.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from hashlib import sha256
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.llm.common import NO_ID, chunk_id, mix, prepare, ranges, written
+from marquee.functions.text import quoted
+from marquee.llm.common import NO_ID, chunk_id, mix, per_batch, prepare, ranges, written
 
 LENGTH, GRAM = 50, 16
 CHUNK_ROWS, CHUNK_BYTES = 1024, 4_000_000
@@ -102,65 +103,97 @@ def unpack_arrays(blob: bytes, *types: str) -> list[np.ndarray]:
 
 # ---- step 2: which anchors are repeated ------------------------------------------------------------------------------
 
+def _codes(buckets: int) -> str:
+    """Type of a run's code: its bucket, or one of the two largest numbers."""
+    return "<u1" if buckets < 254 else "<u2" if buckets < 65_534 else "<u4"
+
+
 def _ask_anchors(buckets: int):
-    """(key, text) rows -> messages (bucket, chunk, anchors, several, home)."""
+    """(key, text) rows -> messages (bucket, chunk, asked, known, home).
+
+    An anchor of one text of the chunk is asked about by its first run; one of
+    several texts is known to be repeated, and told to the others once. Home
+    says where each run's answer will be: the bucket of a run that asks (the
+    answers of a bucket come in the order of the runs), ``top`` for a known
+    run, ``top - 1`` for a run that repeats an earlier one of its own text,
+    whose numbers follow. Anchors travel as 32 bits: within a bucket that is
+    enough to tell nearly all apart, and a chance meeting only keeps a window
+    that the sorting will drop.
+    """
+    kind = _codes(buckets)
+    top = int(np.iinfo(kind).max)
+
     def run(batches):
         for number, rows in enumerate(chunked(batches, 1)):
-            found = [anchors(raw) for _, raw in rows]
-            count = np.array([len(a) for a, _ in found], "<i8")
-            h, size = np.concatenate([a for a, _ in found]), np.concatenate([r for _, r in found])
-            kinds: dict[bytes, int] = {}
-            kind = np.array([kinds.setdefault(raw, len(kinds)) for _, raw in rows])
-            doc = np.repeat(kind, count)
+            found = [anchors(raw)[0] for _, raw in rows]
+            count = np.array([len(a) for a in found], "<i8")
+            h = np.concatenate(found)
+            texts: dict[bytes, int] = {}
+            text = np.repeat(np.array([texts.setdefault(raw, len(texts)) for _, raw in rows]), count)
             order = np.argsort(h, kind="stable")
             first = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1])) if len(h) else np.zeros(0, np.int64)
-            uniq = h[order][first]
-            several = np.minimum.reduceat(doc[order], first) != np.maximum.reduceat(doc[order], first) if len(h) else np.zeros(0, bool)
-            place = np.empty(len(h), np.int64)
-            place[order] = np.repeat(np.arange(len(uniq)), np.diff(np.append(first, len(h))))
-            bucket = ((uniq >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)  # sorted, as uniq is
-            ends = np.searchsorted(bucket, np.arange(buckets + 1))
+            size = np.diff(np.append(first, len(h)))
+            several = np.minimum.reduceat(text[order], first) != np.maximum.reduceat(text[order], first) if len(h) else np.zeros(0, bool)
+            asks = np.sort(order[first[~several]])  # runs
+            code = np.full(len(h), top - 1, kind)
+            bucket = _bucket(h, buckets)
+            code[asks] = bucket[asks]
+            code[order[np.repeat(several, size)]] = top
+            leader = np.empty(len(h), np.int64)
+            leader[order] = np.repeat(order[first], size)
+            known = order[first[several]]
+            by_ask, by_known = asks[np.argsort(bucket[asks], kind="stable")], known[np.argsort(bucket[known], kind="stable")]
+            e_ask, e_known = (np.searchsorted(bucket[x], np.arange(buckets + 1)) for x in (by_ask, by_known))
+            low = (h & np.uint64(0xFFFFFFFF)).astype("<u4")
             keys = np.array([r[0] for r in rows], "<i8")
             chunk = chunk_id(number, keys.tobytes() + count.tobytes())
-            home = pack_arrays(keys, count, place.astype("<u4"), size.astype("<u4"), (uniq >> np.uint64(16)).astype("<u4"))
-            low = np.ascontiguousarray(uniq.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]  # the bucket has the highest bits, nearly
-            used = np.union1d(np.flatnonzero(np.diff(ends)), [chunk % buckets]).astype(np.int64)
+            home = pack_arrays(keys, count, code, leader[code == top - 1].astype("<u4"))
+            used = np.union1d(np.union1d(bucket[asks], bucket[known]), [chunk % buckets]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([
-                pa.array(used, pa.int32()), pa.array(np.full(len(used), chunk), pa.int64()), pa.array([low[ends[b]:ends[b + 1]].tobytes() for b in used], pa.binary()),
-                pa.array([several[ends[b]:ends[b + 1]].tobytes() for b in used], pa.binary()), pa.array([home if b == chunk % buckets else None for b in used], pa.binary())],
-                names=["bucket", "chunk", "anchors", "several", "home"])
+                pa.array(used, pa.int32()), pa.array(np.full(len(used), chunk), pa.int64()), pa.array([low[by_ask[e_ask[b]:e_ask[b + 1]]].tobytes() for b in used], pa.binary()),
+                pa.array([low[by_known[e_known[b]:e_known[b + 1]]].tobytes() for b in used], pa.binary()), pa.array([home if b == chunk % buckets else None for b in used], pa.binary())],
+                names=["bucket", "chunk", "asked", "known", "home"])
     return run
 
 
+def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
+    return ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
 def _answer_anchors(f: pd.DataFrame) -> pd.DataFrame:
-    low = np.frombuffer(b"".join(f["anchors"]), np.uint8).reshape(-1, 6)
-    h = np.zeros((len(low), 8), np.uint8)
-    h[:, :6] = low
-    several = np.frombuffer(b"".join(f["several"]), bool)
-    _, inverse, count = np.unique(h.view("<u8").ravel(), return_inverse=True, return_counts=True)
-    total = count + np.bincount(inverse, weights=several, minlength=len(count))
-    again = total[inverse] > 1
-    ends = np.cumsum([0, *(len(a) // 6 for a in f["anchors"])])
-    return pd.DataFrame({"chunk": f["chunk"], "bucket": f["bucket"], "again": [again[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], "home": f["home"]})
-
-
-def _mark(f: pd.DataFrame) -> pd.DataFrame:
-    """The runs of each document whose anchor is repeated: (key, first window, windows, part of the anchor)."""
-    home = next(x for x in f["home"] if x is not None)
-    keys, count, place, size, part = unpack_arrays(home, "<i8", "<i8", "<u4", "<u4", "<u4")
-    again = np.frombuffer(b"".join(f.sort_values("bucket")["again"]), bool)
-    out: dict[str, list] = {"key": [], "first": [], "size": [], "anchor": []}
-    ends = np.cumsum([0, *count])
-    hit = again[place] if len(place) else np.zeros(0, bool)
-    for k, a, b in zip(keys, ends[:-1], ends[1:], strict=True):
-        if hit[a:b].any():
-            sizes = size[a:b].astype(np.int64)
+    asked = np.frombuffer(b"".join(f["asked"]), "<u4")
+    known = np.frombuffer(b"".join(f["known"]), "<u4")
+    _, inverse, count = np.unique(np.concatenate([asked, known]), return_inverse=True, return_counts=True)
+    again = count[inverse[:len(asked)]] > 1
+    ends = np.cumsum([0, *(len(a) // 4 for a in f["asked"])])
+    return pd.DataFrame({"chunk": f["chunk"], "bucket": f["bucket"], "again": [np.packbits(again[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], "home": f["home"]})
+
+
+def _mark(buckets: int):
+    kind = _codes(buckets)
+    top = int(np.iinfo(kind).max)
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        """(key, runs): the numbers of each document's runs whose anchor is repeated."""
+        home = next(x for x in f["home"] if x is not None)
+        keys, count, code, leader = unpack_arrays(home, "<i8", "<i8", kind, "<u4")
+        hit = code == top
+        asks = np.flatnonzero(code < top - 1)
+        asks = asks[np.argsort(code[asks], kind="stable")]
+        f = f.sort_values("bucket")
+        ends = np.searchsorted(code[asks], np.append(f["bucket"].to_numpy(), buckets))
+        answers = [np.unpackbits(np.frombuffer(x, np.uint8), count=n).astype(bool) for x, n in zip(f["again"], np.diff(ends), strict=True)]
+        hit[asks] = np.concatenate(answers)
+        hit[code == top - 1] = hit[leader]
+        out: dict[str, list] = {"key": [], "runs": []}
+        ends = np.cumsum([0, *count])
+        for k, a, b in zip(keys, ends[:-1], ends[1:], strict=True):
             at = np.flatnonzero(hit[a:b])
-            out["key"].append(k)
-            out["first"].append((np.cumsum(sizes) - sizes)[at].astype("<u4").tobytes())
-            out["size"].append(sizes[at].astype("<u4").tobytes())
-            out["anchor"].append(part[place[a:b][at]].tobytes())
-    return pd.DataFrame(out)
+            if len(at):
+                out["key"].append(k)
+                out["runs"].append(at.astype("<u4").tobytes())
+        return pd.DataFrame(out)
+    return run
 
 
 # ---- step 3: suffix sorting ------------------------------------------------------------------------------------------
@@ -251,15 +284,18 @@ def smallest_ids(strings: list[bytes], ids: np.ndarray, length: int = LENGTH) ->
 
 
 def _ask_contexts(buckets: int):
-    """(key, text, id, first, size, anchor) rows -> messages (bucket, chunk, contexts, sizes, ids, home)."""
+    """(key, text, id, runs) rows -> messages (bucket, chunk, contexts, sizes, ids, home)."""
     def run(batches):
         for serial, rows in enumerate(chunked(batches, 1)):
             seen: dict[tuple[int, bytes], int] = {}
             least: list[int] = []
-            number, sizes = [], []
-            for _, raw, id_, first, size, anchor in rows:
-                first, size = np.frombuffer(first, "<u4").tolist(), np.frombuffer(size, "<u4").tolist()
-                for s, r, b in zip(first, size, (np.frombuffer(anchor, "<u4") % buckets).tolist(), strict=True):
+            number, sizes, firsts = [], [], []
+            for _, raw, id_, runs, *_ in rows:
+                anchor, size = anchors(raw)
+                runs = np.frombuffer(runs, "<u4")
+                first = (np.cumsum(size) - size)[runs].tolist()
+                firsts += first
+                for s, r, b in zip(first, size[runs].tolist(), _bucket(anchor[runs], buckets).tolist(), strict=True):
                     c = (b, raw[s:s + r + LENGTH - 1])
                     k = seen.setdefault(c, len(seen))
                     if k == len(least):
@@ -277,8 +313,7 @@ def _ask_contexts(buckets: int):
             keys = np.array([r[0] for r in rows], "<i8")
             chunk = chunk_id(serial, keys.tobytes())
             home = pack_arrays(keys, np.array([r[2] for r in rows], "<i8"), np.array([len(r[1]) for r in rows], "<i8"), np.array(sizes, "<i8"),
-                               np.frombuffer(b"".join(r[3] for r in rows), "<u4"), place[np.array(number, np.int64)].astype("<u4"),
-                               np.array([len(contexts[k]) for k in order], "<u4"), np.frombuffer(b"".join(r[1] for r in rows), np.uint8))
+                               np.array(firsts, "<u4"), place[np.array(number, np.int64)].astype("<u4"), np.array([len(contexts[k]) for k in order], "<u4"))
             used = np.union1d(np.flatnonzero(np.diff(ends)), [chunk % buckets]).astype(np.int64)
             of = [order[ends[b]:ends[b + 1]] for b in used]
             yield pa.RecordBatch.from_arrays([
@@ -318,78 +353,94 @@ def _answer_contexts(f: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": f["chunk"], "bucket": f["bucket"], "ids": values, "sizes": lengths, "home": f["home"]})
 
 
-def _cut_text(f: pd.DataFrame) -> pd.DataFrame:
-    f = _cut(f)
-    f["kept"] = [k.decode("utf-8", "ignore") for k in f["kept"]]
-    return f
-
-
-def _cut(f: pd.DataFrame) -> pd.DataFrame:
-    """What is left of each document that loses bytes."""
+def _spans(f: pd.DataFrame) -> pd.DataFrame:
+    """(key, spans): the removed runs of bytes of each document that loses some, as (start, end) pairs."""
     home = next(x for x in f["home"] if x is not None)
-    keys, ids, length, count, first, place, size, raw = unpack_arrays(home, "<i8", "<i8", "<i8", "<i8", "<u4", "<u4", "<u4", "u1")
+    keys, ids, length, count, first, place, size = unpack_arrays(home, "<i8", "<i8", "<i8", "<i8", "<u4", "<u4", "<u4")
     f = f.sort_values("bucket")
     least = np.repeat(np.frombuffer(b"".join(f["ids"]), "<i8"), np.frombuffer(b"".join(f["sizes"]), "<u4"))
     windows = size.astype(np.int64) - LENGTH + 1
     start = np.cumsum(windows) - windows
-    out: dict[str, list] = {"key": [], "n_removed": [], "n_spans": [], "kept": []}
-    run_end, text_end = np.cumsum([0, *count]), np.cumsum([0, *length])
+    out: dict[str, list] = {"key": [], "spans": []}
+    ends = np.cumsum([0, *count])
     for i, key in enumerate(keys):
-        a, b = run_end[i], run_end[i + 1]
+        a, b = ends[i], ends[i + 1]
         p = place[a:b]
         gone = least[ranges(start[p], windows[p])] < ids[i]
         if not gone.any():
             continue
-        at = ranges(first[a:b].astype(np.int64), windows[p])[gone]
-        step = np.zeros(length[i] + 1, np.int64)
-        np.add.at(step, at, 1)
-        np.add.at(step, at + LENGTH, -1)
-        cover = np.cumsum(step[:-1]) > 0
+        at = np.sort(ranges(first[a:b].astype(np.int64), windows[p])[gone])
+        new = np.append(True, at[1:] > at[:-1] + LENGTH)  # spans that touch are one
         out["key"].append(key)
-        out["n_removed"].append(int(cover.sum()))
-        out["n_spans"].append(int((cover[1:] & ~cover[:-1]).sum() + cover[0]))
-        out["kept"].append(raw[text_end[i]:text_end[i + 1]][~cover].tobytes())
+        out["spans"].append(np.stack([at[new], at[np.append(new[1:], True)] + LENGTH], axis=1).astype("<i8").tobytes())
     return pd.DataFrame(out)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", as_text: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(documents, cut).
+class Repeats:
+    """The plan's parts, all lazy:
 
     documents: id, key, n_bytes, sha256 of the whole text, first_id and
-    first_key of its class. cut: key, n_removed, n_spans, kept (binary; with
-    ``as_text`` string) of the first documents of classes that lose bytes.
+    first_key of its class; texts: key, text, id and the ``extra`` columns;
+    spans: key and removed (start, end) bytes of first documents that lose some.
     """
-    spark = prepare(docs.sparkSession)
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.xxhash64(docs[id_col], docs[text])
-    id_ = F.coalesce(docs[id_col], F.lit(NO_ID)).cast("long")
-    whole = F.coalesce(docs[text], F.lit(""))
-    ident = docs.select(id_.alias("id"), key.alias("key"), F.octet_length(whole).cast("long").alias("n_bytes"), F.sha2(whole, 256).alias("sha256"))
-    classes = written(ident.groupBy("sha256").agg(F.min(F.struct("id", "key")).alias("m"))
-                      .select("sha256", F.col("m.id").alias("first_id"), F.col("m.key").alias("first_key")))
-    asked = docs.select(key.alias("key"), whole.alias("text")).mapInArrow(_ask_anchors(buckets), "bucket int, chunk long, anchors binary, several binary, home binary")
-    answers = asked.groupBy("bucket").applyInPandas(_answer_anchors, "chunk long, bucket int, again binary, home binary")
-    marks = (answers.groupBy("chunk").applyInPandas(_mark, "key long, first binary, size binary, anchor binary")
-             .join(classes.select(F.col("first_key").alias("key")), "key", "left_semi"))
-    texts = (docs.select(key.alias("key"), whole.alias("text"), id_.alias("id")).join(marks, "key").groupBy("key")
-             .agg(*(F.first(c).alias(c) for c in ("text", "id", "first", "size", "anchor"))))
-    asked = texts.mapInArrow(_ask_contexts(buckets), "bucket int, chunk long, contexts binary, sizes binary, ids binary, home binary")
-    answers = asked.groupBy("bucket").applyInPandas(_answer_contexts, "chunk long, bucket int, ids binary, sizes binary, home binary")
-    cut = answers.groupBy("chunk").applyInPandas(_cut_text if as_text else _cut, f"key long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
-    return ident.join(classes, "sha256"), cut
+
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text: str = "text", extra: Sequence[Column] = ()):
+        spark = prepare(docs.sparkSession)
+        buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        key = F.xxhash64(docs[id_col], docs[text])
+        id_ = F.coalesce(docs[id_col], F.lit(NO_ID)).cast("long")
+        whole = F.coalesce(docs[text], F.lit(""))
+        ident = docs.select(id_.alias("id"), key.alias("key"), F.octet_length(whole).cast("long").alias("n_bytes"), F.sha2(whole, 256).alias("sha256"))
+        classes = written(ident.groupBy("sha256").agg(F.min(F.struct("id", "key")).alias("m"))
+                          .select("sha256", F.col("m.id").alias("first_id"), F.col("m.key").alias("first_key")))
+        asked = docs.select(key.alias("key"), whole.alias("text")).mapInArrow(_ask_anchors(buckets), "bucket int, chunk long, asked binary, known binary, home binary")
+        answers = asked.groupBy("bucket").applyInPandas(_answer_anchors, "chunk long, bucket int, again binary, home binary")
+        marks = (answers.groupBy("chunk").applyInPandas(_mark(buckets), "key long, runs binary")
+                 .join(classes.select(F.col("first_key").alias("key")), "key", "left_semi"))
+        # the texts go by key twice, each time with all of these columns: Spark shuffles them once and reads that again
+        self.texts = docs.select(key.alias("key"), whole.alias("text"), id_.alias("id"), *(c.alias(f"_x{i}") for i, c in enumerate(extra)))
+        self.extra = [f"_x{i}" for i in range(len(extra))]
+        marked = self.texts.join(marks, "key").groupBy("key").agg(*(F.first(c).alias(c) for c in ("text", "id", "runs", *self.extra)))
+        asked = marked.mapInArrow(_ask_contexts(buckets), "bucket int, chunk long, contexts binary, sizes binary, ids binary, home binary")
+        answers = asked.groupBy("bucket").applyInPandas(_answer_contexts, "chunk long, bucket int, ids binary, sizes binary, home binary")
+        self.spans = answers.groupBy("chunk").applyInPandas(_spans, "key long, spans binary")
+        self.documents = ident.join(classes, "sha256")
+
+
+def without_spans(raw: bytes, spans: bytes | None) -> tuple[bytes, int, int]:
+    """What is left, the bytes removed, and their runs."""
+    s = np.frombuffer(spans or b"", "<i8").reshape(-1, 2)
+    if not len(s):
+        return raw, 0, 0
+    left = b"".join(raw[a:b] for a, b in zip([0, *s[:, 1].tolist()], [*s[:, 0].tolist(), len(raw)], strict=True))
+    return left, int((s[:, 1] - s[:, 0]).sum()), len(s)
+
+
+def _digests(batch: pa.RecordBatch):
+    found = [without_spans(t.as_buffer().to_pybytes(), s) for t, s in zip(batch.column("text"), batch.column("spans").to_pylist(), strict=True)]
+    yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int64()),
+                                      pa.array([sha256(f[0]).hexdigest() for f in found], pa.string())], names=["key", "n_removed", "n_spans", "kept"])
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``text`` less its repeated bytes; rows of which only white space is left go."""
-    ident, cut = remove_repeats(docs, id_col, text, as_text=True)
-    copy = (F.col("id") > F.col("first_id")) & (F.col("n_bytes") >= LENGTH)
-    found = (ident.join(cut.select(F.col("key").alias("first_key"), "kept"), "first_key", "left")
-             .withColumn("_kept", F.when(copy, F.lit("")).when(F.col("id") == F.col("first_id"), F.col("kept"))).where("_kept is not null")
-             .groupBy("key").agg(F.first("_kept").alias("_kept")))
-    named = docs.select(F.xxhash64(docs[id_col], docs[text]).alias("key"), *(docs[c].alias(f"_c{i}") for i, c in enumerate(docs.columns)))
-    left = named.join(found, "key", "left").where(F.col("_kept").isNull() | (F.length(F.trim("_kept")) > 0))
-    whole = lambda c, i: F.coalesce("_kept", f"_c{i}") if c == text else F.col(f"_c{i}")
-    return left.select(*(whole(c, i).alias(c) for i, c in enumerate(docs.columns)))
+    """``docs`` with ``text`` less its repeated bytes; rows that lose bytes and keep only white space go."""
+    rest = [c for c in docs.columns if c != text]
+    parts = Repeats(docs, id_col, text, [docs[text].isNull(), *(docs[c] for c in rest)])
+    copies = parts.documents.where((F.col("id") > F.col("first_id")) & (F.col("n_bytes") >= LENGTH)).select("key").distinct()
+    left = parts.texts.join(parts.spans, "key", "left").join(copies, "key", "left_anti").select("text", "spans", *parts.extra, "id")
+    types = {f.name: f.dataType.simpleString() for f in docs.schema}
+
+    def apply(batch: pa.RecordBatch):
+        texts, keep = [], []
+        for raw, spans, null in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            t = without_spans(raw.as_buffer().to_pybytes(), spans)[0].decode("utf-8", "ignore") if spans else raw.as_py()
+            texts.append(None if null else t)
+            keep.append(not spans or bool(t.strip()))
+        out = pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *(batch.column(3 + i) for i in range(len(rest)))], names=[text, *rest])
+        yield out.filter(pa.array(keep))
+
+    schema = ", ".join([f"{quoted(text)} string", *(f"{quoted(c)} {types[c]}" for c in rest)])
+    return per_batch(left, apply, schema).select(*(F.col(quoted(c)) for c in docs.columns))
 
 
 EMPTY_SHA = sha256(b"").hexdigest()
@@ -397,11 +448,12 @@ EMPTY_SHA = sha256(b"").hexdigest()
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256 of each document."""
-    ident, cut = remove_repeats(docs, id_col, text)
-    digest = cut.select(F.col("key").alias("first_key"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept"))
+    parts = Repeats(docs, id_col, text)
+    lost = parts.texts.join(parts.spans, "key").groupBy("key").agg(*(F.first(c).alias(c) for c in ("text", "id", "spans")))
+    digest = per_batch(lost.select("key", "text", "spans", "id"), _digests, "key long, n_removed long, n_spans long, kept string").withColumnRenamed("key", "first_key")
     copy = (F.col("id") > F.col("first_id")) & (F.col("n_bytes") >= LENGTH)
     own = F.col("id") == F.col("first_id")
     pick = lambda c, whole, none: F.when(copy, whole).when(own & F.col("n_removed").isNotNull(), F.col(c)).otherwise(none)
-    return ident.join(digest, "first_key", "left").select(
+    return parts.documents.join(digest, "first_key", "left").select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias("id"), "n_bytes", pick("n_removed", F.col("n_bytes"), F.lit(0)).cast("long").alias("n_removed"),
         pick("n_spans", F.lit(1), F.lit(0)).cast("long").alias("n_spans"), pick("kept", F.lit(EMPTY_SHA), F.col("sha256")).alias("kept_sha256"))
