@@ -7,6 +7,9 @@ linked list, a heap holds the mergeable neighbours by (rank, place), and each
 merge replaces two links by one and offers at most two new neighbours, so a
 pre-token of n bytes costs O(n log n) however long it is.
 
+The pattern is one whose pre-tokens never run from a letter over a blank to
+another letter; long texts are split there, so memory follows a slice.
+
 Nulls and empty texts have no ids; decoding gives the empty byte string. Very
 long texts are encoded whole. Repeated rows give repeated results.
 """
@@ -125,6 +128,22 @@ def merge_bytes(token: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+#: Characters of a text that are split into pre-tokens at once.
+AT_ONCE = 2_000_000
+
+
+def slices(text: str, cut, most: int = AT_ONCE):
+    """The text in slices of about ``most`` characters, parted only where ``cut`` (a pattern) fits."""
+    at = 0
+    while len(text) - at > most:
+        m = cut.search(text, at + most)
+        if m is None:
+            break
+        yield text[at:m.start()]
+        at = m.start()
+    yield text[at:]
+
+
 class Codec:
     """Encoder and decoder of one rank file; one per Python worker task."""
 
@@ -132,6 +151,8 @@ class Codec:
         import regex
 
         self.ranks, self.find = ranks, regex.compile(pattern).findall
+        # between a letter and a blank before a letter no pre-token goes on
+        self.cut = regex.compile(r"(?<=\p{L}) (?=\p{L})")
         self.hashed = hashed or PerfectHash(list(ranks), list(ranks.values()))
         self.bytes_of = {v: k for k, v in ranks.items()}
         self.memo = Memo(self._ids)
@@ -144,7 +165,9 @@ class Codec:
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.memo.__getitem__, self.find(text))) if text else b""
+        if not text:
+            return b""
+        return b"".join(b"".join(map(self.memo.__getitem__, self.find(part))) for part in slices(text, self.cut))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))

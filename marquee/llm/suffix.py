@@ -44,7 +44,7 @@ from marquee.functions.text import quoted
 from marquee.llm.common import NO_ID, chunk_id, mix, per_batch, prepare, ranges, written
 
 LENGTH, GRAM = 50, 16
-CHUNK_ROWS, CHUNK_BYTES = 1024, 4_000_000
+CHUNK_ROWS, CHUNK_BYTES, SLICE_BYTES = 1024, 4_000_000, 4_000_000
 ODD1, ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -55,7 +55,11 @@ def words_at(raw: bytes | np.ndarray) -> np.ndarray:
 
 
 def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor and number of windows of each run of windows with the same anchor."""
+    """Anchor and number of windows of each run of windows with the same anchor
+    (a long text goes slice by slice; a run may end where a slice does)."""
+    if len(raw) > 2 * SLICE_BYTES:
+        parts = [anchors(raw[at:at + SLICE_BYTES + LENGTH - 1]) for at in range(0, len(raw) - LENGTH + 1, SLICE_BYTES)]
+        return np.concatenate([a for a, _ in parts]), np.concatenate([n for _, n in parts])
     n = len(raw) - GRAM + 1
     if len(raw) < LENGTH:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -218,21 +222,24 @@ def suffix_ranks(t: np.ndarray, covers: int, enough: int) -> np.ndarray:
     one, two = np.arange(1, n, 3), np.arange(2, n, 3)
     sampled = np.concatenate([one, two])
     triple = pair_key(pair_key(after[sampled], after[sampled + 1]), after[sampled + 2])
-    names = np.unique(triple, return_inverse=True)[1] + 1
-    rank = np.zeros(n + 3, np.int64)
-    if 3 * covers >= enough or names.max() == len(names):
-        order = np.argsort(names, kind="stable")
-        place = np.empty(len(names), np.int64)
-        place[order] = np.arange(len(names))
+    order = np.argsort(triple)
+    new = np.append(True, triple[order[1:]] != triple[order[:-1]])
+    place = np.empty(len(sampled), np.int64)
+    if 3 * covers >= enough or new.all():
+        place[order] = np.arange(len(order))
     else:
         half = len(one)
         gap = 3 - half % 3
+        names = np.empty(len(sampled), np.int64)
+        names[order] = np.cumsum(new)
         sub = np.zeros(2 * (half + gap), np.int64)  # the names of places 1, 4, ..., then of 2, 5, ..., each with an end
         sub[:half], sub[half + gap:2 * half + gap] = names[:half], names[half:]
         found = suffix_ranks(sub, 3 * covers, enough)
         found = np.concatenate([found[:half], found[half + gap:2 * half + gap]])
-        place = np.empty(len(found), np.int64)
-        place[np.argsort(found, kind="stable")] = np.arange(len(found))
+        there = np.zeros(len(sub), np.int64)
+        there[found] = 1
+        place = np.cumsum(there)[found] - 1  # without the ends
+    rank = np.zeros(n + 3, np.int64)
     rank[sampled] = place + 1
     rest = np.arange(0, n, 3)
     # the remaining suffixes: against places 1 by (symbol, next rank), against places 2 by (symbol, symbol, rank after)
@@ -240,10 +247,13 @@ def suffix_ranks(t: np.ndarray, covers: int, enough: int) -> np.ndarray:
     key2 = pair_key(pair_key(np.concatenate([after[rest], after[two]]), np.concatenate([after[rest + 1], after[two + 1]])),
                     np.concatenate([rank[rest + 2], rank[two + 2]]))
     m = len(rest)
-    below = np.searchsorted(np.sort(key1[m:]), key1[:m]) + np.searchsorted(np.sort(key2[m:]), key2[:m])
-    order = np.lexsort((key1[:m], below))
+    order = np.argsort(key1[:m])
+    below = np.searchsorted(np.sort(key1[m:]), key1[order]) + np.searchsorted(np.sort(key2[m:]), key2[order])
+    if (below[1:] < below[:-1]).any():  # only among suffixes that agree so far
+        again = np.argsort(below, kind="stable")
+        order, below = order[again], below[again]
     out = np.empty(n, np.int64)
-    at = below[order] + np.arange(m)
+    at = below + np.arange(m)
     out[rest[order]] = at
     free = np.ones(n, bool)
     free[at] = False
@@ -268,7 +278,12 @@ def smallest_ids(strings: list[bytes], ids: np.ndarray, length: int = LENGTH) ->
     rank = suffix_ranks(t, 1, length)
     windows = np.maximum(size - length + 1, 0)
     places = ranges(start, windows)
-    order = np.argsort(rank[places], kind="stable")
+    window_at = np.full(len(t), -1, np.int64)
+    window_at[places] = np.arange(len(places))
+    sorted_suffixes = np.empty(len(t), np.int64)
+    sorted_suffixes[rank] = np.arange(len(t))
+    order = window_at[sorted_suffixes]
+    order = order[order >= 0]
     at = places[order]
     words = words_at(raw + b"\0" * 8)
     same = np.ones(max(0, len(at) - 1), bool)

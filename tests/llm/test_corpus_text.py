@@ -172,6 +172,21 @@ def test_byte_bpe_matches_the_library(spark):
     assert sorted((b["doc_id"], bytes(b["decoded"])) for b in back) == sorted((i, (t or "").encode()) for i, t in rows)
 
 
+def test_long_texts_go_slice_by_slice(monkeypatch):
+    import tiktoken
+
+    ranks = bpe.read_ranks(tokenizer_file("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("t", pat_str=pretoken_pattern(), mergeable_ranks=ranks, special_tokens={})
+    codec = bpe.Codec(ranks, pretoken_pattern())
+    monkeypatch.setattr(bpe.slices, "__defaults__", (37,))
+    for text in ("It's  a b c\n d e1 f  g' h. i, j " * 40 + words(5, 300), "x" * 500, "a b" * 100, "é ü " * 60):
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == library.encode_ordinary(text)
+    raw = words(6, 400).encode()
+    whole = np.repeat(*suffix.anchors(raw))
+    monkeypatch.setattr(suffix, "SLICE_BYTES", 211)
+    assert np.repeat(*suffix.anchors(raw)).tolist() == whole.tolist()
+
+
 def test_perfect_hash_is_minimal():
     keys = [b"k%d" % i for i in range(3000)]
     h = bpe.PerfectHash(keys, list(range(3000)))
