@@ -13,7 +13,9 @@
    path; a page without such a container uses its own best one.
 
 Hot hosts: votes are summed before the shuffle, and winners are joined to the
-pages by host and a salt, so a host with a third of all pages is spread.
+pages by host and a salt, so a host with a third of all pages is spread over
+as many tasks as the shuffle has. A winner is repeated only for the salts that
+its host's pages have, so there are never more such rows than pages.
 
 Nulls: a null or empty html has an empty text. Null URLs form one host. Cut-off
 or badly nested markup is read as far as it goes; very long pages are read
@@ -30,9 +32,8 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import per_batch, prepare
+from marquee.llm.common import per_batch, prepare, written
 
-SALTS = 64
 #: Part of a page's text that the voted container must hold.
 MOST = 0.8
 #: Elements by their role in HTML.
@@ -197,28 +198,39 @@ def host_of(url: str):
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[^:]*://([^/?#]*)", 1)), F.lit(""))
 
 
-def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, path): the winning path of each host."""
+def _salt(pages: DataFrame, url: str, html: str):
+    """Of a page: one of as many as the shuffle has tasks."""
+    return F.pmod(F.xxhash64(pages[url], pages[html]), F.lit(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))).cast("int")
+
+
+def host_votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(host, salt, path, n, score): the votes of each host's pages."""
     prepare(pages.sparkSession)
 
     def vote(batch: pa.RecordBatch):
-        found = [Page(h).best() for h in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([b.path for b, _ in found]), pa.array([float(s) for _, s in found])], names=["host", "path", "score"])
+        found = [Page(h).best() for h in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([b.path for b, _ in found]), pa.array([float(s) for _, s in found])],
+                                         names=["host", "salt", "path", "score"])
+
+    votes = per_batch(pages.select(host_of(url).alias("host"), _salt(pages, url, html).alias("salt"), pages[html].alias("html")), vote,
+                      "host string, salt int, path string, score double")
+    return written(votes.groupBy("host", "salt", "path").agg(F.count_if(F.col("score") > 0).alias("n"), F.sum("score").alias("score")))
+
 
-    votes = per_batch(pages.select(host_of(url).alias("host"), pages[html].alias("html")), vote, "host string, path string, score double")
-    counted = votes.where("score > 0").groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("score").alias("score"))
-    # the largest (n, score) wins; equal ones: the path that sorts first
+def winning_paths(votes: DataFrame) -> DataFrame:
+    """(host, path): the path with most votes, then the one with the higher score, then the one that sorts first."""
+    counted = votes.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("score").alias("score")).where("n > 0")
     top = counted.groupBy("host").agg(F.max(F.struct("n", "score")).alias("top"))
-    return (counted.join(top, "host").where(F.struct("n", "score") == F.col("top")).groupBy("host").agg(F.min("path").alias("path")))
+    return counted.join(top, "host").where(F.struct("n", "score") == F.col("top")).groupBy("host").agg(F.min("path").alias("path"))
 
 
 def extract_text(pages: DataFrame, keep: Sequence[str] = ("page_id", "url"), url: str = "url", html: str = "html") -> DataFrame:
     """``keep``, text, n_chars of each page."""
-    winners = host_paths(pages, url, html)
-    salted = winners.select("host", "path", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    votes = host_votes(pages, url, html)
+    salted = votes.select("host", "salt").distinct().join(winning_paths(votes), "host")
     types = {f.name: f.dataType.simpleString() for f in pages.schema}
     source = pages.select(*(pages[k].alias(f"_k{i}") for i, k in enumerate(keep)), pages[html].alias("html"), host_of(url).alias("host"),
-                          F.pmod(F.xxhash64(*(pages[k] for k in keep), pages[html]), F.lit(SALTS)).cast("int").alias("salt"))
+                          _salt(pages, url, html).alias("salt"))
     joined = source.join(salted, ["host", "salt"], "left").select(*(f"_k{i}" for i in range(len(keep))), "html", "path")
     n = len(keep)
 

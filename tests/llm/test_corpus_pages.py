@@ -33,7 +33,7 @@ def test_host_vote_decides(spark):
     page = lambda a, b: f"<body><div class=story><p>{a}</p></div><div class=x><p>{b}</p></div></body>"
     rows = [(k, "http://h/", page("story words " * 20, "x")) for k in range(5)] + [(9, "http://h/", page("short story", "much longer other text " * 20))]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    assert [tuple(r) for r in html.host_paths(df).collect()] == [("h", ">body>div.story")]
+    assert [tuple(r) for r in html.winning_paths(html.host_votes(df)).collect()] == [("h", ">body>div.story")]
     assert {r["page_id"]: r["text"] for r in html.extract_text(df).collect()}[9] == "short story"
 
 
