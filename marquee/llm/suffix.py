@@ -401,7 +401,8 @@ class Repeats:
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text: str = "text", extra: Sequence[Column] = ()):
         spark = prepare(docs.sparkSession)
-        buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets, small = 4 * width, 16 * width  # sorting holds some 20 numbers a byte of a bucket's contexts
         key = F.xxhash64(docs[id_col], docs[text])
         id_ = F.coalesce(docs[id_col], F.lit(NO_ID)).cast("long")
         whole = F.coalesce(docs[text], F.lit(""))
@@ -416,7 +417,7 @@ class Repeats:
         self.texts = docs.select(key.alias("key"), whole.alias("text"), id_.alias("id"), *(c.alias(f"_x{i}") for i, c in enumerate(extra)))
         self.extra = [f"_x{i}" for i in range(len(extra))]
         marked = self.texts.join(marks, "key").groupBy("key").agg(*(F.first(c).alias(c) for c in ("text", "id", "runs", *self.extra)))
-        asked = marked.mapInArrow(_ask_contexts(buckets), "bucket int, chunk long, contexts binary, sizes binary, ids binary, home binary")
+        asked = marked.mapInArrow(_ask_contexts(small), "bucket int, chunk long, contexts binary, sizes binary, ids binary, home binary")
         answers = asked.groupBy("bucket").applyInPandas(_answer_contexts, "chunk long, bucket int, ids binary, sizes binary, home binary")
         self.spans = answers.groupBy("chunk").applyInPandas(_spans, "key long, spans binary")
         self.documents = ident.join(classes, "sha256")
