@@ -16,6 +16,9 @@ REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 #: Odd 64-bit multipliers for the integer mixers below.
 MUL1, MUL2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 NO_ID = (1 << 63) - 1
+#: glibc settings of Python workers: large arrays go back to the system when
+#: they are freed, so a worker that many stages reuse doesn't keep its peak.
+WORKER_MEMORY = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "4194304", "MALLOC_TRIM_THRESHOLD_": "4194304"}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -27,6 +30,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if REPO not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, REPO])
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
     return spark
 
 

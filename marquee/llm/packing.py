@@ -49,7 +49,7 @@ class WordCache:
     together: the end-of-text token between two runs parts them again.
     """
 
-    MOST, TOGETHER, PART, PART_ID = 1_000_000, 200, "<|endoftext|>", 49407
+    MOST, TOGETHER, PART, PART_ID = 500_000, 200, "<|endoftext|>", 49407
     _own: dict[str, WordCache] = {}
 
     def __init__(self, path: str):
