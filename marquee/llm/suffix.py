@@ -14,7 +14,10 @@ document with a smaller id.
 3. *Suffix sorting.* Windows in a row that share a repeated anchor are one
    context. Contexts are dealt out by anchor, each distinct context of a chunk
    once with the smallest id that has it, so all equal windows meet in one
-   task. There the difference-cover algorithm sorts all suffixes: the sampled
+   task. An anchor whose contexts may have more than ``HOT_BYTES`` over all
+   chunks is hot everywhere: each of its windows is a context of its own, dealt
+   out by the hash of its bytes, so a short passage that many documents hold
+   between different words fills no task. In the tasks the difference-cover algorithm sorts all suffixes: the sampled
    triples (places 1 and 2 modulo 3) are sorted and named, the names are
    sorted by the same algorithm until they cover ``LENGTH`` bytes, the
    remaining suffixes follow from their first symbol and the rank of the next
@@ -44,7 +47,11 @@ from marquee.functions.text import quoted
 from marquee.llm.common import NO_ID, chunk_id, mix, per_batch, prepare, ranges, written
 
 LENGTH, GRAM = 50, 16
+#: Bytes of an anchor's contexts (a task sorts with some 160 bytes for each) from which its windows are dealt out one by one.
+HOT_BYTES = 1 << 20
 CHUNK_ROWS, CHUNK_BYTES, SLICE_BYTES = 1024, 4_000_000, 4_000_000
+#: Bytes of the context of a run whose anchor is in all windows that can hold it; what tells numbers of hot runs from others.
+FULL_RUN, HOT = 2 * LENGTH - GRAM, np.uint32(1 << 31)
 ODD1, ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -78,6 +85,16 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mix(h[start]), np.diff(np.append(start, len(h)))
 
 
+def window_hashes(raw: bytes, places: np.ndarray) -> np.ndarray:
+    """A hash of the ``LENGTH`` bytes at each place."""
+    h = np.zeros(len(places), np.uint64)
+    if len(places):
+        w = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, np.uint8), 8)
+        for k in [*range(0, LENGTH - 8, 8), LENGTH - 8]:
+            h = mix(h * ODD1 + w[places + k].view("<u8").ravel())
+    return h
+
+
 def chunked(batches, text: int) -> Iterator[list[tuple]]:
     """Rows with their text as bytes, in lists of bounded size."""
     own, size = [], 0
@@ -108,55 +125,58 @@ def unpack_arrays(blob: bytes, *types: str) -> list[np.ndarray]:
 # ---- step 2: which anchors are repeated ------------------------------------------------------------------------------
 
 def _codes(buckets: int) -> str:
-    """Type of a run's code: its bucket, or one of the two largest numbers."""
-    return "<u1" if buckets < 254 else "<u2" if buckets < 65_534 else "<u4"
+    """Type of a run's code: its bucket, or the largest number."""
+    return "<u1" if buckets < 255 else "<u2" if buckets < 65_535 else "<u4"
 
 
 def _ask_anchors(buckets: int):
-    """(key, text) rows -> messages (bucket, chunk, asked, known, home).
-
-    An anchor of one text of the chunk is asked about by its first run; one of
-    several texts is known to be repeated, and told to the others once. Home
-    says where each run's answer will be: the bucket of a run that asks (the
-    answers of a bucket come in the order of the runs), ``top`` for a known
-    run, ``top - 1`` for a run that repeats an earlier one of its own text,
-    whose numbers follow. Anchors travel as 32 bits: within a bucket that is
-    enough to tell nearly all apart, and a chance meeting only keeps a window
-    that the sorting will drop.
+    """(key, text) rows -> messages (bucket, chunk, asked, several, weight, home).
+
+    Each anchor of the chunk is asked about by its first run, with a bit that
+    says whether several texts of the chunk have it, and the binary logarithm
+    of the bytes of its contexts (rounded up; 0 if one full run would have as
+    many). Home says where each run's answer will be: the bucket of a run that
+    asks (the answers of a bucket come in the order of the runs), or ``top``
+    for a run that repeats an earlier one, whose numbers follow. Anchors travel
+    as 32 bits: within a bucket that is enough to tell nearly all apart, and a
+    chance meeting only keeps a window that the sorting will drop.
     """
     kind = _codes(buckets)
     top = int(np.iinfo(kind).max)
 
     def run(batches):
         for number, rows in enumerate(chunked(batches, 1)):
-            found = [anchors(raw)[0] for _, raw in rows]
-            count = np.array([len(a) for a in found], "<i8")
-            h = np.concatenate(found)
+            found = [anchors(raw) for _, raw in rows]
+            count = np.array([len(a) for a, _ in found], "<i8")
+            h, size = (np.concatenate(x) for x in zip(*found, strict=True))
             texts: dict[bytes, int] = {}
             text = np.repeat(np.array([texts.setdefault(raw, len(texts)) for _, raw in rows]), count)
             order = np.argsort(h, kind="stable")
             first = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1])) if len(h) else np.zeros(0, np.int64)
-            size = np.diff(np.append(first, len(h)))
-            several = np.minimum.reduceat(text[order], first) != np.maximum.reduceat(text[order], first) if len(h) else np.zeros(0, bool)
-            asks = np.sort(order[first[~several]])  # runs
-            code = np.full(len(h), top - 1, kind)
+            least, most = ((f.reduceat(text[order], first) if len(h) else first) for f in (np.minimum, np.maximum))
+            weight = np.add.reduceat((size + LENGTH - 1)[order], first) if len(h) else first
+            asks = order[first]  # runs
+            several, weigh = np.zeros(len(h), bool), np.zeros(len(h), np.uint8)
+            several[asks] = least != most
+            weigh[asks] = np.where(weight > FULL_RUN, np.ceil(np.log2(np.maximum(weight, 1))), 0)
+            code = np.full(len(h), top, kind)
             bucket = _bucket(h, buckets)
             code[asks] = bucket[asks]
-            code[order[np.repeat(several, size)]] = top
             leader = np.empty(len(h), np.int64)
-            leader[order] = np.repeat(order[first], size)
-            known = order[first[several]]
-            by_ask, by_known = asks[np.argsort(bucket[asks], kind="stable")], known[np.argsort(bucket[known], kind="stable")]
-            e_ask, e_known = (np.searchsorted(bucket[x], np.arange(buckets + 1)) for x in (by_ask, by_known))
+            leader[order] = np.repeat(asks, np.diff(np.append(first, len(h))))
+            asks = np.sort(asks)
+            by_ask = asks[np.argsort(bucket[asks], kind="stable")]
+            ends = np.searchsorted(bucket[by_ask], np.arange(buckets + 1))
             low = (h & np.uint64(0xFFFFFFFF)).astype("<u4")
             keys = np.array([r[0] for r in rows], "<i8")
             chunk = chunk_id(number, keys.tobytes() + count.tobytes())
-            home = pack_arrays(keys, count, code, leader[code == top - 1].astype("<u4"))
-            used = np.union1d(np.union1d(bucket[asks], bucket[known]), [chunk % buckets]).astype(np.int64)
+            home = pack_arrays(keys, count, code, leader[code == top].astype("<u4"))
+            used = np.union1d(bucket[asks], [chunk % buckets]).astype(np.int64)
+            of = [by_ask[ends[b]:ends[b + 1]] for b in used]
             yield pa.RecordBatch.from_arrays([
-                pa.array(used, pa.int32()), pa.array(np.full(len(used), chunk), pa.int64()), pa.array([low[by_ask[e_ask[b]:e_ask[b + 1]]].tobytes() for b in used], pa.binary()),
-                pa.array([low[by_known[e_known[b]:e_known[b + 1]]].tobytes() for b in used], pa.binary()), pa.array([home if b == chunk % buckets else None for b in used], pa.binary())],
-                names=["bucket", "chunk", "asked", "known", "home"])
+                pa.array(used, pa.int32()), pa.array(np.full(len(used), chunk), pa.int64()), pa.array([low[o].tobytes() for o in of], pa.binary()),
+                pa.array([np.packbits(several[o]).tobytes() for o in of], pa.binary()), pa.array([weigh[o].tobytes() for o in of], pa.binary()),
+                pa.array([home if b == chunk % buckets else None for b in used], pa.binary())], names=["bucket", "chunk", "asked", "several", "weight", "home"])
     return run
 
 
@@ -164,13 +184,25 @@ def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _answer_anchors(f: pd.DataFrame) -> pd.DataFrame:
-    asked = np.frombuffer(b"".join(f["asked"]), "<u4")
-    known = np.frombuffer(b"".join(f["known"]), "<u4")
-    _, inverse, count = np.unique(np.concatenate([asked, known]), return_inverse=True, return_counts=True)
-    again = count[inverse[:len(asked)]] > 1
-    ends = np.cumsum([0, *(len(a) // 4 for a in f["asked"])])
-    return pd.DataFrame({"chunk": f["chunk"], "bucket": f["bucket"], "again": [np.packbits(again[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], "home": f["home"]})
+def _bits(packed: Iterator[bytes], counts: Iterator[int]) -> list[np.ndarray]:
+    return [np.unpackbits(np.frombuffer(x, np.uint8), count=int(n)).astype(bool) for x, n in zip(packed, counts, strict=True)]
+
+
+def _answer_anchors(hot_bytes: int):
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        """For each anchor asked about: is it repeated; and the numbers of the hot ones."""
+        asked = np.frombuffer(b"".join(f["asked"]), "<u4")
+        weigh = np.frombuffer(b"".join(f["weight"]), np.uint8).astype(np.int64)
+        counts = [len(a) // 4 for a in f["asked"]]
+        _, inverse, count = np.unique(asked, return_inverse=True, return_counts=True)
+        again = (count[inverse] > 1) | np.concatenate(_bits(f["several"], counts))
+        weight = np.bincount(inverse, np.where(weigh, 1 << weigh, FULL_RUN))
+        hot = again & (weight[inverse] > hot_bytes)
+        ends = np.cumsum([0, *counts])
+        parts = list(zip(ends[:-1], ends[1:], strict=True))
+        return pd.DataFrame({"chunk": f["chunk"], "bucket": f["bucket"], "again": [np.packbits(again[a:b]).tobytes() for a, b in parts],
+                             "hot": [np.flatnonzero(hot[a:b]).astype("<u4").tobytes() for a, b in parts], "home": f["home"]})
+    return run
 
 
 def _mark(buckets: int):
@@ -178,24 +210,25 @@ def _mark(buckets: int):
     top = int(np.iinfo(kind).max)
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
-        """(key, runs): the numbers of each document's runs whose anchor is repeated."""
+        """(key, runs): the numbers of each document's runs whose anchor is repeated, ``HOT`` more if it is hot."""
         home = next(x for x in f["home"] if x is not None)
         keys, count, code, leader = unpack_arrays(home, "<i8", "<i8", kind, "<u4")
-        hit = code == top
-        asks = np.flatnonzero(code < top - 1)
+        asks = np.flatnonzero(code < top)
         asks = asks[np.argsort(code[asks], kind="stable")]
         f = f.sort_values("bucket")
         ends = np.searchsorted(code[asks], np.append(f["bucket"].to_numpy(), buckets))
-        answers = [np.unpackbits(np.frombuffer(x, np.uint8), count=n).astype(bool) for x, n in zip(f["again"], np.diff(ends), strict=True)]
-        hit[asks] = np.concatenate(answers)
-        hit[code == top - 1] = hit[leader]
+        hit, hot = np.zeros(len(code), bool), np.zeros(len(code), "<u4")
+        hit[asks] = np.concatenate(_bits(f["again"], np.diff(ends)))
+        for at, x in zip(ends, f["hot"]):
+            hot[asks[at + np.frombuffer(x, "<u4")]] = HOT
+        hit[code == top], hot[code == top] = hit[leader], hot[leader]
         out: dict[str, list] = {"key": [], "runs": []}
         ends = np.cumsum([0, *count])
         for k, a, b in zip(keys, ends[:-1], ends[1:], strict=True):
             at = np.flatnonzero(hit[a:b])
             if len(at):
                 out["key"].append(k)
-                out["runs"].append(at.astype("<u4").tobytes())
+                out["runs"].append((at.astype("<u4") | hot[a:b][at]).tobytes())
         return pd.DataFrame(out)
     return run
 
@@ -308,9 +341,14 @@ def _ask_contexts(buckets: int):
             for _, raw, id_, runs, *_ in rows:
                 anchor, size = anchors(raw)
                 runs = np.frombuffer(runs, "<u4")
-                first = (np.cumsum(size) - size)[runs].tolist()
+                hot = runs >= HOT
+                at = np.cumsum(size) - size
+                cold, runs = runs[~hot], runs[hot] - HOT
+                single = ranges(at[runs], size[runs])
+                first = [*at[cold].tolist(), *single.tolist()]
                 firsts += first
-                for s, r, b in zip(first, size[runs].tolist(), _bucket(anchor[runs], buckets).tolist(), strict=True):
+                bucket = np.concatenate([_bucket(anchor[cold], buckets), _bucket(window_hashes(raw, single), buckets)])
+                for s, r, b in zip(first, [*size[cold].tolist(), *[1] * len(single)], bucket.tolist(), strict=True):
                     c = (b, raw[s:s + r + LENGTH - 1])
                     k = seen.setdefault(c, len(seen))
                     if k == len(least):
@@ -409,8 +447,8 @@ class Repeats:
         ident = docs.select(id_.alias("id"), key.alias("key"), F.octet_length(whole).cast("long").alias("n_bytes"), F.sha2(whole, 256).alias("sha256"))
         classes = written(ident.groupBy("sha256").agg(F.min(F.struct("id", "key")).alias("m"))
                           .select("sha256", F.col("m.id").alias("first_id"), F.col("m.key").alias("first_key")))
-        asked = docs.select(key.alias("key"), whole.alias("text")).mapInArrow(_ask_anchors(buckets), "bucket int, chunk long, asked binary, known binary, home binary")
-        answers = asked.groupBy("bucket").applyInPandas(_answer_anchors, "chunk long, bucket int, again binary, home binary")
+        asked = docs.select(key.alias("key"), whole.alias("text")).mapInArrow(_ask_anchors(buckets), "bucket int, chunk long, asked binary, several binary, weight binary, home binary")
+        answers = asked.groupBy("bucket").applyInPandas(_answer_anchors(HOT_BYTES), "chunk long, bucket int, again binary, hot binary, home binary")
         marks = (answers.groupBy("chunk").applyInPandas(_mark(buckets), "key long, runs binary")
                  .join(classes.select(F.col("first_key").alias("key")), "key", "left_semi"))
         # the texts go by key twice, each time with all of these columns: Spark shuffles them once and reads that again

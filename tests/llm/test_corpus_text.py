@@ -104,6 +104,24 @@ def test_suffix_dedup(spark):
     assert sorted(((1 << 62) if g["id"] is None else g["id"], g["n_bytes"], g["n_removed"], g["n_spans"], g["kept_sha256"]) for g in got) == brute_cut(rows)
 
 
+def test_hot_passage_fills_no_bucket(spark, monkeypatch):
+    # 40 bytes that all documents hold between words of their own; some share more than that, once or often
+    passage, r = "by our correspondent at www.example.org/ ", random.Random(9)
+    own = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    shared = own(30)
+    rows = [(k, own(70) + passage + own(70)) for k in range(400)] + [(k, own(40) + shared + passage + own(40)) for k in range(400, 410)]
+    rows += [(420, "".join(own(60) + passage for _ in range(200))), (421, "x" * 4000), (422, "y" + "x" * 3000)]
+    sort, most = suffix._answer_contexts, 9000
+
+    def bounded(f):
+        assert sum(map(len, f["contexts"])) < most, "one task gets a whole passage's surroundings"
+        return sort(f)
+    monkeypatch.setattr(suffix, "_answer_contexts", bounded)
+    monkeypatch.setattr(suffix, "HOT_BYTES", 2000, raising=False)
+    got = suffix.suffix_dedup(frame(spark, rows)).collect()
+    assert sorted((g["id"], g["n_bytes"], g["n_removed"], g["n_spans"], g["kept_sha256"]) for g in got) == brute_cut(rows)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab\0é", max_size=90), max_size=8), st.sampled_from([8, 11, 50]))
 def test_suffix_order_finds_smallest_ids(texts, length):
