@@ -19,13 +19,15 @@ probes with a block of a cell's vectors; large cells are cut into blocks on
 both sides, so a cell with a third of all vectors is many tasks. A block gives
 counts and a spanning forest of its links, never the pairs.
 
-The sample that fits codebooks and slack has at most ``SAMPLE`` classes, chosen
-by a hash of the vector; codebooks have at most ``MOST_WORDS`` words, so what is
-broadcast is bounded. Every vector is indexed.
+Vectors of different lengths can't be compared: each length has its own
+codebooks, slack, cells and blocks. The sample that fits codebooks and slack of
+a length has at most ``SAMPLE`` classes, chosen by a hash of the vector;
+codebooks have at most ``MOST_WORDS`` words, so what is broadcast is bounded for
+each length. A length too rare for two words is one cell and fits nothing.
+Every vector is indexed.
 
 Nulls: vectors that are null, empty, zero, or hold null or non-finite parts
-link with nothing, as do vectors of another length than the commonest (ties:
-the longest). A null id sorts after all others; a component of null ids alone
+link with nothing. A null id sorts after all others; a component of null ids alone
 has a null id. Repeated rows are vectors of their own. An empty table gives no
 rows; other columns are left out.
 """
@@ -37,6 +39,7 @@ import heapq
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from marquee.llm.common import NO_ID, components, per_batch, prepare, written
@@ -67,13 +70,17 @@ def codebook(x: np.ndarray, size: int, rng: np.random.Generator, rounds: int = 8
     return words
 
 
+def n_words(n_classes: int) -> int:
+    return int(np.clip(np.sqrt(n_classes / PER_CELL), 1, MOST_WORDS))
+
+
 class MultiIndex:
     """Codebooks of the two halves, and how far a traversal goes."""
 
     def __init__(self, sample: np.ndarray, n_classes: int, limit: float, recall: float):
         rng = np.random.default_rng(7)
         self.half = sample.shape[1] // 2
-        size = int(np.clip(np.sqrt(n_classes / PER_CELL), 1, MOST_WORDS))
+        size = n_words(n_classes)
         parts = (sample[:, :self.half], sample[:, self.half:])
         self.words = [codebook(p, size, rng) for p in parts]
         x = sample[:4096]
@@ -128,8 +135,8 @@ def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _compare(limit: float):
     def run(f: pd.DataFrame) -> pd.DataFrame:
         keys, adds, roots = [], [], []
-        f = f.sort_values(["cell", "ib", "pb"], kind="stable")
-        at = np.flatnonzero(np.any(np.diff(f[["cell", "ib", "pb"]].to_numpy(), axis=0, prepend=-1), axis=1)) if len(f) else []
+        f = f.sort_values(["d", "cell", "ib", "pb"], kind="stable")
+        at = np.flatnonzero(np.any(np.diff(f[["d", "cell", "ib", "pb"]].to_numpy(), axis=0, prepend=-1), axis=1)) if len(f) else []
         probe, key, copies, own = f["probe"].to_numpy(), f["c"].to_numpy(), f["k"].to_numpy(), f["own"].to_numpy()
         vectors, visits = f["v"].to_numpy(), f["visits"].to_numpy()
         for a, b in zip(at, [*at[1:], len(f)], strict=True):
@@ -168,38 +175,38 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embe
     v = vectors.select(F.coalesce(vectors[id_col], F.lit(NO_ID)).cast("long").alias("id"), vectors[vector].cast("array<double>").alias("v"))
     fine = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     v = v.withColumn("v", F.when(fine, F.col("v")))
-    length = v.where("v is not null").groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).agg(F.max(F.struct("n", "d"))).first()[0]
-    length = length["d"] if length else 0
-    v = v.withColumn("c", F.when(F.size("v") == length, F.xxhash64("v")))
+    v = v.withColumn("c", F.when(F.col("v").isNotNull(), F.xxhash64("v")))
     classes = written(v.where("c is not null").groupBy("c").agg(F.first("v").alias("v"), F.count("*").alias("k"), F.min("id").alias("id")))
-    n = classes.count()
-    if n:
-        sample = classes.select("c", "v").orderBy(F.xxhash64("c", F.lit(1)), "c").limit(SAMPLE).select("v").toArrow()["v"]
-        index = MultiIndex(unit(np.stack([np.array(x, np.float64) for x in sample.to_pylist()])), n, limit, recall)
-    else:
-        index = None
+    index = {}
+    for d, n in sorted(map(tuple, classes.groupBy(F.size("v")).count().collect())):
+        if n_words(n) > 1:
+            sample = classes.where(F.size("v") == d).select("c", "v").orderBy(F.xxhash64("c", F.lit(1)), "c").limit(SAMPLE).select("v").toArrow()["v"]
+            index[d] = MultiIndex(unit(np.stack([np.array(x, np.float64) for x in sample.to_pylist()])), n, limit, recall)
     shared = spark.sparkContext.broadcast(index)
 
     def code(batch: pa.RecordBatch):
-        x = unit(batch.column("v").flatten().to_numpy().reshape(batch.num_rows, -1))
-        cells = shared.value.visits(x)
-        yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("k"), pa.array([r.astype("<f8").tobytes() for r in x], pa.binary()),
-                                          pa.array([c[0] for c in cells], pa.int32()), pa.array([c.tobytes() for c in cells], pa.binary()), pa.array([c.tolist() for c in cells], pa.list_(pa.int32()))],
-                                         names=["c", "k", "v", "own", "visits", "cells"])
-
-    coded = written(per_batch(classes.select("c", "k", "v"), code, "c long, k long, v binary, own int, visits binary, cells array<int>"))
-    entries = coded.select("c", "k", "v", "own", "visits", F.col("own").alias("cell"), F.lit(False).alias("probe"))
-    probes = coded.select("c", "k", "v", "own", F.lit(b"").alias("visits"), F.explode("cells").alias("cell"), F.lit(True).alias("probe"))
-    sizes = (coded.select("own", F.explode("cells").alias("cell")).groupBy("cell")
+        sizes = pc.list_value_length(batch.column("v")).to_numpy()
+        for d in np.unique(sizes).tolist():
+            part = batch.filter(pa.array(sizes == d))
+            x = unit(part.column("v").flatten().to_numpy().reshape(part.num_rows, d))
+            cells = shared.value[d].visits(x) if d in shared.value else [np.zeros(1, "<i4")] * len(x)
+            yield pa.RecordBatch.from_arrays([part.column("c"), part.column("k"), pa.array(np.full(len(x), d), pa.int32()), pa.array([r.astype("<f8").tobytes() for r in x], pa.binary()),
+                                              pa.array([c[0] for c in cells], pa.int32()), pa.array([c.tobytes() for c in cells], pa.binary()), pa.array([c.tolist() for c in cells], pa.list_(pa.int32()))],
+                                             names=["c", "k", "d", "v", "own", "visits", "cells"])
+
+    coded = written(per_batch(classes.select("c", "k", "v"), code, "c long, k long, d int, v binary, own int, visits binary, cells array<int>"))
+    entries = coded.select("c", "k", "d", "v", "own", "visits", F.col("own").alias("cell"), F.lit(False).alias("probe"))
+    probes = coded.select("c", "k", "d", "v", "own", F.lit(b"").alias("visits"), F.explode("cells").alias("cell"), F.lit(True).alias("probe"))
+    sizes = (coded.select("d", "own", F.explode("cells").alias("cell")).groupBy("d", "cell")
              .agg(F.count("*").alias("np"), F.count_if(F.col("own") == F.col("cell")).alias("ni")).where("ni > 0")
-             .select("cell", F.ceil(F.col("ni") / BLOCK).cast("int").alias("nib"), F.ceil(F.col("np") / BLOCK).cast("int").alias("npb")))
-    both = entries.unionByName(probes).join(sizes, "cell")
+             .select("d", "cell", F.ceil(F.col("ni") / BLOCK).cast("int").alias("nib"), F.ceil(F.col("np") / BLOCK).cast("int").alias("npb")))
+    both = entries.unionByName(probes).join(sizes, ["d", "cell"])
     block = lambda n, salt: F.pmod(F.xxhash64("c", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     dealt = (both.withColumn("ib", F.explode(F.when(F.col("probe"), every("nib")).otherwise(F.array(block("nib", 2)))))
              .withColumn("pb", F.explode(F.when(F.col("probe"), F.array(block("npb", 3))).otherwise(every("npb"))))
-             .withColumn("g", F.pmod(F.xxhash64("cell", "ib", "pb"), F.lit(8 * width)))
-             .select("g", "cell", "ib", "pb", "probe", "c", "k", "v", "own", "visits"))
+             .withColumn("g", F.pmod(F.xxhash64("d", "cell", "ib", "pb"), F.lit(8 * width)))
+             .select("g", "d", "cell", "ib", "pb", "probe", "c", "k", "v", "own", "visits"))
     found = written(dealt.groupBy("g").applyInPandas(_compare(limit), "c long, links long, root long"))
     links = found.groupBy("c").agg(F.sum("links").alias("links"))
     root = components(found.select("c", "root"), "c", "root").withColumnRenamed("node", "c")

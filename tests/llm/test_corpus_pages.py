@@ -133,3 +133,20 @@ def test_large_cells_are_cut_into_blocks(spark, monkeypatch):
     rows = [(k, v) for k, v in vectors() if k is not None and k < 1000]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert sorted((g["id"], g["n_links"], g["component_id"]) for g in embedding.near_vectors(df, recall=0.9999).collect()) == brute_links(rows)
+
+
+def test_every_length_is_compared_within_itself(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for d, groups in ((16, 30), (24, 20), (1, 3), (2, 4)):
+        for g in range(groups):
+            centre = rng.standard_normal(d)
+            rows += [(len(rows) + k, [float(c) for c in centre + 0.12 * rng.standard_normal(d)], d) for k in range(1 + g)]
+    rows += [(1000 + k, rows[k][1], rows[k][2]) for k in range(0, len(rows), 9)]
+    df = spark.createDataFrame([r[:2] for r in rows], "vec_id long, embedding array<double>")
+    found = {g["id"]: (g["n_links"], g["component_id"]) for g in embedding.near_vectors(df, recall=0.9999).collect()}
+    for d in (16, 24, 1, 2):
+        unit = {i: np.array(v) / np.linalg.norm(v) for i, v, size in rows if size == d}
+        true = {i: sum(i != j and float(unit[i] @ unit[j]) >= 0.95 for j in unit) for i in unit}
+        assert {i: found[i][0] for i in unit} == true
+        assert all(found[i][1] in unit for i in unit)
