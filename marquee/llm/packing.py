@@ -36,7 +36,7 @@ from marquee.llm.common import prepare, written
 
 CAPACITY = 2048
 END_ID = 0
-#: Branches tried for one bin before the best filling so far is taken.
+#: Choices of a length and its copies tried for one bin before the best filling so far is taken.
 BRANCHES = 5000
 
 
@@ -128,43 +128,50 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
 def best_filling(space: int, lengths: np.ndarray, counts: dict[int, int], branches: int = BRANCHES) -> list[int]:
     """The lengths (the largest first) that fill ``space`` best.
 
-    Depth-first over non-increasing lengths, the longest that fits first, so
-    the first leaf is the best-fit filling and serves as the incumbent. A
+    Depth-first over decreasing lengths with the number of copies of each (the
+    longest that fits and most copies first) on a stack of its own, so the
+    first leaf is the best-fit filling and serves as the incumbent. A
     branch whose waste can't fall below the incumbent's is cut (no waste is
     the bound that ends the search); a filling that leaves room for a length
     still to be had is dominated by the one that takes it, so only maximal
     fillings are leaves.
     """
     best: list[int] = []
-    waste = space
-    tried = 0
-    used: dict[int, int] = {}
+    waste, tried = space, 0
+    reach = np.cumsum([int(x) * counts[int(x)] for x in lengths]) if len(lengths) else np.zeros(0)
+
+    def below(left: int, end: int) -> int:
+        """The longest of the first ``end`` lengths that fits, or -1."""
+        return int(np.searchsorted(lengths[:end], left, side="right")) - 1
 
-    def search(left: int, top: int, chosen: list[int]) -> None:
-        nonlocal best, waste, tried
-        i = int(np.searchsorted(lengths, min(left, top), side="right")) - 1
-        leaf = True
-        while i >= 0 and waste and tried < branches:
+    # one entry for each distinct length chosen: its number, its copies, and the space left before it
+    chosen: list[list[int]] = []
+    left, i = space, below(space, len(lengths))
+    while True:
+        if i >= 0 and waste and tried < branches:  # down: as many copies as there are and fit
             x = int(lengths[i])
-            i -= 1
-            if used.get(x, 0) >= counts[x]:
-                continue
+            copies = min(counts[x], left // x)
             tried += 1
-            leaf = False
-            used[x] = used.get(x, 0) + 1
-            chosen.append(x)
-            search(left - x, x, chosen)
-            chosen.pop()
-            used[x] -= 1
-            # the next length is shorter; its fillings hold at most what copies of it and shorter ones give
+            chosen.append([i, copies, left])
+            left -= copies * x
+            i = below(left, i)
+            continue
+        if left < waste:
+            waste, best = left, [int(lengths[j]) for j, copies, _ in chosen for _ in range(copies)]
+        # up: one copy fewer of the shortest length chosen, if what is shorter can then fill more than the incumbent
+        i = -1
+        while chosen and i < 0 and waste and tried < branches:
+            j, copies, before = chosen[-1]
+            left = before - (copies - 1) * int(lengths[j])
+            if copies > 1:
+                chosen[-1][1] -= 1
+            else:
+                chosen.pop()
+            i = below(left, j)
             if i >= 0 and reach[i] < left - waste + 1:
-                break
-        if leaf and left < waste:
-            waste, best = left, list(chosen)
-
-    reach = np.cumsum([int(x) * counts[int(x)] for x in lengths]) if len(lengths) else np.zeros(0)
-    search(space, space, [])
-    return best
+                i = -1
+        if i < 0:
+            return best
 
 
 def plan_bins(histogram: dict[int, int], capacity: int = CAPACITY, branches: int = BRANCHES) -> list[tuple[list[int], int]]:

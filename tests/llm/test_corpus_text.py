@@ -258,6 +258,14 @@ def test_best_filling_finds_the_exact_one():
     assert sum(packing.best_filling(2, lengths, counts)) == 0
 
 
+def test_bin_plan_of_many_short_pieces():
+    assert packing.plan_bins({1: 5000}) == [([1] * 2048, 2), ([1] * 904, 1)]
+    histogram = {1: 5000, 2: 3000, 3: 7, 2048: 4}
+    plan = packing.plan_bins(histogram)
+    assert sum((Counter({x: times * n for x, n in Counter(p).items()}) for p, times in plan), Counter()) == Counter(histogram)
+    assert sum(times for _, times in plan) == 4 + -(-(5000 + 6000 + 21) // 2048)
+
+
 LANGUAGES = {"aa": "ka lo mi su tera", "bb": "sch ung keit zwo pfer", "cc": "привет мир как дела"}
 
 
