@@ -2,7 +2,8 @@
 
 1. Each page is read into containers (block elements that hold others). Text
    inside menus, headers, footers, sidebars, notices, adverts, forms, comments
-   and the like, by element, role or class name, is set aside; what is left
+   and the like, by element, role or whole class name or id, is set aside; if
+   that leaves no text, names and ids count for nothing; what is left
    scores the containers: the text in blocks below it, less link text. The
    page votes for the deepest container that holds most of the text, or the
    article element around it, by its generalised path (element and class names
@@ -45,11 +46,15 @@ BLOCKS = CONTAINERS | frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6", "li",
 VOTABLE = frozenset(("body", "main", "article", "section", "div", "td", "center", "blockquote"))
 VOID = frozenset(("br", "img", "input", "meta", "link", "hr", "wbr", "area", "base", "col", "embed", "source", "track", "param"))
 ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form", "note"))
-#: Words in class and id names of what is not the article.
-NOT_ARTICLE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|adsbygoogle|taboola|outbrain|advertisements?|advertising|banners?|sponsor(?:ed|s)?|promos?|promoted|nav|navbar|topnav|sidenav|subnav|topbar|navigation|menus?|breadcrumbs?|side-?bars?|footers?|headers?|masthead|"
-    r"cookies?|cookiebar|consent|gdpr|notices?|alerts?|pop-?ups?|modals?|overlays?|newsletters?|subscribe|subscriptions?|signup|login|comments?|commentlist|disqus|replies|respond|responses?|discussion|reactions?|related|recommended|recommendations?|"
-    r"share|sharing|social|widgets?|toolbars?|pagination|pager|search|legal|copyright|disclaimer|tags?-?list|skip-?link|hidden|teasers?)(?:$|[\s_-])", re.I)
+#: Words of what is not the article. A class or id says so if all of its parts are such words, places or
+#: kinds of boxes; parts of longer names (with-sidebar, related-work, page-header-fixed) say nothing.
+SIGNS = (r"(?:ads?|adverts?|adsbygoogle|taboola|outbrain|advertisements?|advertising|banners?|sponsor(?:ed|s)?|promos?|promoted|nav|navbar|topnav|sidenav|subnav|topbar|navigation|menus?|breadcrumbs?|side-?bars?|footers?|headers?|masthead|"
+         r"cookies?|cookiebar|consent|gdpr|notices?|alerts?|pop-?ups?|modals?|overlays?|newsletters?|subscribe|subscriptions?|signup|login|comments?|commentlist|disqus|replies|respond|responses?|discussion|reactions?|related|recommended|recommendations?|"
+         r"share|sharing|social|widgets?|toolbars?|pagination|pager|search|legal|copyright|disclaimer|tags?-?list|skip-?link|hidden|teasers?)")
+BOXES = r"(?:site|global|top|bottom|left|right|primary|secondary|box|bar|container|wrapper|wrap|block|area|section|links?|list|items?|buttons?|icons?|form|unit|slot|posts?|articles?|stories|thread|\d+(?:x\d+)?)"
+NOT_ARTICLE = re.compile(rf"(?:^|\s)(?:{BOXES}[_-]+)*{SIGNS}(?:[_-]+(?:{SIGNS}|{BOXES}))*(?=$|\s)", re.I)
+#: Words that are ids of headings and sections of articles, too.
+SECTION_IDS = re.compile(r"(?:discussion|responses?|reactions?|related|recommended|recommendations?|search|legal|copyright|disclaimer|notices?|alerts?|sharing|social|navigation|consent|advertising|advertisements?|banners?|subscriptions?|cookies?|headers?|footers?|menus?|widgets?|replies)(?:[_-]\d+)?", re.I)
 TOKEN = re.compile(r"<!--(?:.*?--!?>|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*\Z", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
@@ -69,7 +74,8 @@ class Container:
 class Page:
     """Blocks of text in page order, each with its container."""
 
-    def __init__(self, source: str | None):
+    def __init__(self, source: str | None, names: bool = True):
+        self.names, self.named = names, False
         self.root = Container("html", "", None, False)
         self.all = [self.root]
         self.blocks: list[tuple[Container, str]] = []
@@ -78,6 +84,14 @@ class Page:
         self._skip = False
         if source:
             self._read(source)
+            if self.named and not self.blocks:  # no text is left: then class names and ids mean the layout
+                self.__init__(source, False)
+
+    def _aside(self, attributes: str) -> bool:
+        if not _set_aside(attributes, self.names):
+            return False
+        self.named = self.named or self.names and not _set_aside(attributes, False)
+        return True
 
     def _flush(self, here: Container) -> None:
         if not self._piece:
@@ -118,14 +132,14 @@ class Page:
                 self._piece.append(" ")
                 continue
             if tag == "span":
-                mute = max(0, mute - 1) if closing else mute + 1 if mute or _set_aside(m[3]) else 0
+                mute = max(0, mute - 1) if closing else mute + 1 if mute or self._aside(m[3]) else 0
                 continue
             if tag in BLOCKS:
                 self._flush(stack[-1])
                 in_link = self._skip = False
                 mute = 0
             if tag not in CONTAINERS:
-                self._skip |= not closing and tag in BLOCKS and _set_aside(m[3])
+                self._skip |= not closing and tag in BLOCKS and self._aside(m[3])
                 continue
             if closing:
                 for k in range(len(stack) - 1, 0, -1):
@@ -136,7 +150,7 @@ class Page:
             if m[3].endswith("/") and tag in VOID:
                 continue
             words = {k.lower(): a or b or c or "" for k, a, b, c in ATTRIBUTE.findall(m[3])}
-            aside = tag in ASIDE or tag not in ("html", "body") and _set_aside(m[3])
+            aside = tag in ASIDE or tag not in ("html", "body") and self._aside(m[3])
             if len(stack) > 1 and tag in ("html", "body") and any(c.tag == tag for c in stack[1:]):
                 continue
             top = stack[-1]
@@ -177,13 +191,18 @@ class Page:
         return "\n\n".join(t for box, t in self.blocks if inside[id(box)])
 
 
-def _set_aside(attributes: str) -> bool:
+def _set_aside(attributes: str, names: bool = True) -> bool:
     """Do role, class, id or visibility say that an element isn't the article?"""
     if not attributes.strip():
         return False
     words = {k.lower(): a or b or c or "" for k, a, b, c in ATTRIBUTE.findall(attributes)}
     return bool(words.get("role", "").lower() in ROLES or words.get("aria-hidden") == "true" or HIDDEN.search(QUOTED.sub("", attributes))
-                or "display:none" in words.get("style", "").replace(" ", "") or NOT_ARTICLE.search(f"{words.get('class', '')} {words.get('id', '')}"))
+                or "display:none" in words.get("style", "").replace(" ", "") or names and _named(words))
+
+
+def _named(words: dict[str, str]) -> bool:
+    name = words.get("id", "").strip()
+    return bool(NOT_ARTICLE.search(words.get("class", "")) or " " not in name and not SECTION_IDS.fullmatch(name) and NOT_ARTICLE.search(name))
 
 
 def _inside(box: Container, outer: Container) -> bool:

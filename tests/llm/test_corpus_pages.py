@@ -37,6 +37,18 @@ def test_host_vote_decides(spark):
     assert {r["page_id"]: r["text"] for r in html.extract_text(df).collect()}[9] == "short story"
 
 
+def test_parts_of_names_set_nothing_aside():
+    for sign in ("main class='content with-sidebar'", "div class=no-sidebar", "div class=has-header", "div class='page-header-fixed x'", "section id='related-work'", "section id=discussion",
+                 "section id=legal-status", "section id='search-algorithms'", "p id=search-algorithms", "h2 id=related-work"):
+        tag = sign.split()[0]
+        assert html.Page(f"<body><p>before</p><{sign}>of the article</{tag}></body>").text(">body") == "before\n\nof the article", sign
+    for sign in ("div class='ad'", "div class=cookie-notice", "div class='x site-footer'", "section id=comments", "div class='sidebar left'", "div class=related-posts", "ul class=share-buttons", "p class=promo", "div class='ad-300x250'"):
+        tag = sign.split()[0]
+        assert html.Page(f"<body><p>before</p><{sign}>other</{tag}></body>").text(">body") == "before", sign
+    assert html.Page("<body><div class=sidebar><p>all of the page</p></div></body>").text(None) == "all of the page"
+    assert html.Page("<body><div style='display:none' class=ad>x</div></body>").text(None) == ""
+
+
 def brute_visits(glob, text):
     pattern = ""
     i = 0
