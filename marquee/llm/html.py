@@ -18,7 +18,8 @@ pages by host and a salt, so a host with a third of all pages is spread over
 as many tasks as the shuffle has. A winner is repeated only for the salts that
 its host's pages have, so there are never more such rows than pages.
 
-Nulls: a null or empty html has an empty text. Null URLs form one host. Cut-off
+Nulls: a null or empty html has an empty text. URLs that are null
+or have no host agree on nothing: their pages use their own best containers. Cut-off
 or badly nested markup is read as far as it goes; very long pages are read
 whole. Repeated rows get the same text; an empty table gives no rows; columns
 other than ``keep`` and the URL are left out.
@@ -238,7 +239,7 @@ def host_votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 def winning_paths(votes: DataFrame) -> DataFrame:
     """(host, path): the path with most votes, then the one with the higher score, then the one that sorts first."""
-    counted = votes.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("score").alias("score")).where("n > 0")
+    counted = votes.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("score").alias("score")).where("n > 0 and host <> ''")
     top = counted.groupBy("host").agg(F.max(F.struct("n", "score")).alias("top"))
     return counted.join(top, "host").where(F.struct("n", "score") == F.col("top")).groupBy("host").agg(F.min("path").alias("path"))
 

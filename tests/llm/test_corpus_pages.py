@@ -37,6 +37,14 @@ def test_host_vote_decides(spark):
     assert {r["page_id"]: r["text"] for r in html.extract_text(df).collect()}[9] == "short story"
 
 
+def test_pages_without_a_host_do_not_vote(spark):
+    rows = [(k, url, f"<body><div class=a><p>{'words ' * 20}</p></div><div class=b><p>x</p></div></body>") for k, url in enumerate((None, "x", "y"))]
+    rows += [(9, None, f"<body><div class=a><p>x</p></div><div class=b><p>{'text ' * 20}</p></div></body>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract_text(df).collect()}
+    assert got[9] == " ".join(["text"] * 20) and all(got[k] == " ".join(["words"] * 20) for k in range(3))
+
+
 def test_parts_of_names_set_nothing_aside():
     for sign in ("main class='content with-sidebar'", "div class=no-sidebar", "div class=has-header", "div class='page-header-fixed x'", "section id='related-work'", "section id=discussion",
                  "section id=legal-status", "section id='search-algorithms'", "p id=search-algorithms", "h2 id=related-work"):
