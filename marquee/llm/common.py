@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import xxhash
@@ -56,6 +56,13 @@ def per_batch(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def refuse_clash(keep: Sequence[str], made: Iterable[str]) -> None:
+    """Kept columns may not be named like an operator's results."""
+    clash = sorted({c.lower() for c in keep} & {c.lower() for c in made})
+    if clash or len({c.lower() for c in keep}) < len(keep):
+        raise ValueError(f"kept columns clash with results or each other: {clash or list(keep)}; rename them first")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(30))
@@ -65,6 +72,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a text's UTF-8 bytes (DuckDB has no
+    function for it; the SQL that the queries are held against needs one)."""
+    byte = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    bit = "list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b))"
+    return f"xor(list_reduce({byte}, lambda c, b: {bit}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """start, start+1, ... (count numbers) of each pair, one after the other."""
     if not len(counts) or not counts.sum():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm import bpe, embedding, html, jaccard, langid, line_dedup, packing, quality, suffix, url_filter
+from marquee.llm import bpe, embedding, html, jaccard, langid, line_dedup, merkle, packing, pii, quality, spelling, suffix, url_filter
 from marquee.llm.common import table
 
 
@@ -66,5 +66,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_line_dedup, op3_suffix_dedup, op4_html_extraction, op5_ngram_jaccard, op6_language_id, op7_best_fit_packing, op8_quality_rules, op9_byte_bpe, op10_url_filter)}
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op8_quality_rules": quality.SQL, "op10_url_filter": url_filter.SQL}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(table(spark, sf_dir, "documents", *merkle.COLUMNS), merkle.tampered_leaf())
+    return found.drop("source")
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_line_dedup, op3_suffix_dedup, op4_html_extraction, op5_ngram_jaccard, op6_language_id, op7_best_fit_packing,
+                                   op8_quality_rules, op9_byte_bpe, op10_url_filter, op11_merkle_manifest, op12_pii, op13_spelling_variants)}
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": line_dedup.SQL, "op8_quality_rules": quality.SQL, "op10_url_filter": url_filter.SQL,
+                              "op11_merkle_manifest": merkle.SQL, "op13_spelling_variants": spelling.SQL}
