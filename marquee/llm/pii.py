@@ -164,7 +164,7 @@ class Transducer:
         for m in self.tokens.finditer(plain):
             kind, start = m.lastgroup, m.start()
             if kind == "letter":
-                new = "".join("1" if c == "l" else "0" for c in m[0])
+                new = "".join("1" if c in "lL" else "0" for c in m[0])
             elif kind in ("name", "digit"):
                 new = self.digit[m["name"].lower()]
             else:
