@@ -17,8 +17,10 @@ beside it), ends in a top-level name if it is an address, and no base span of
 its kind covers it. Base spans stay as they are.
 
 The patterns are written so that each is linear in the text whatever it holds:
-they start where a run starts and don't give back what they took. A run whose
-check fails is dropped whole.
+they start from a rare character or where a run starts, and don't give back
+what they took. A run whose check fails is dropped whole. Tokens are looked for
+by kind (words, brackets, format characters, letters among digits), and a text
+without any is its own reading.
 
 Nulls: a null text is an empty one, without spans; null ids pass through.
 Repeated rows are judged alike, one by one. Very long texts are read whole.
@@ -42,8 +44,9 @@ from marquee.llm.common import per_batch, prepare, refuse_clash
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DIGITS = frozenset("0123456789")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
-IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+IP_REST = re.compile(r"\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9]++(?:[\x20-][0-9]++)*+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -56,26 +59,27 @@ def luhn(digits: str) -> bool:
     return (sum(map(int, digits[::-2])) + sum(doubled)) % 10 == 0
 
 
-def emails(text: str) -> list[tuple[int, int]]:
-    out, end, at = [], 0, text.find("@")
-    while at >= 0:
-        start = at
-        if m := DOMAIN.match(text, at):
-            while start > end and text[start - 1] in LOCAL:
-                start -= 1
-            if start < at:
-                end = m.end()
-                out.append((start, end))
-        at = text.find("@", max(at + 1, end))
+def _grown(text: str, rest: re.Pattern, before: frozenset[str]) -> list[tuple[int, int]]:
+    """Matches of one or more characters of ``before`` and then ``rest``, which
+    starts with a character that is not one of them: found from its rare start."""
+    out, end, m = [], 0, rest.search(text)
+    while m:
+        start = m.start()
+        while start > end and text[start - 1] in before:
+            start -= 1
+        if start < m.start():
+            end = m.end()
+            out.append((start, end))
+        m = rest.search(text, max(m.start() + 1, end))
     return out
 
 
 def spans_of(text: str) -> list[Span]:
     """What the plain patterns find, by kind and start."""
-    out = [(0, a, b) for a, b in emails(text)]
-    for m in IP.finditer(text):
-        if all(len(x) <= 3 and int(x or "0") <= 255 for x in (p.lstrip("0") for p in m[0].split("."))):
-            out.append((1, *m.span()))
+    out = [(0, a, b) for a, b in _grown(text, DOMAIN, LOCAL)]
+    for a, b in _grown(text, IP_REST, DIGITS):
+        if all(len(x) <= 3 and int(x or "0") <= 255 for x in (p.lstrip("0") for p in text[a:b].split("."))):
+            out.append((1, a, b))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 13:
             digits = NOT_DIGIT.sub("", m[0])
@@ -113,7 +117,8 @@ def _look_alikes() -> dict[int, str]:
             plain = unicodedata.normalize("NFKC", c)
             if len(plain) == 1 and "!" <= plain <= "~":
                 out[cp] = plain
-    return out | {ord(k): v for k, v in (CYRILLIC | GREEK).items()}
+    # a dotted capital I is an I here, as its lower case is two characters long
+    return out | {ord(k): v for k, v in (CYRILLIC | GREEK).items()} | {0x130: "I"}
 
 
 class Transducer:
@@ -123,21 +128,21 @@ class Transducer:
 
     def __init__(self) -> None:
         self.chars = _look_alikes()
+        formats = [chr(cp) for cp in range(sys.maxunicode + 1) if unicodedata.category(chr(cp)) == "Cf"]
+        self.special = frozenset(map(chr, self.chars)).union(formats)
         one_of = "|".join
-        formats = "".join(f"\\U{cp:08x}" for cp in range(sys.maxunicode + 1) if unicodedata.category(chr(cp)) == "Cf")
-        dot = rf"[\[({{<]\s*+(?:{one_of(DOT_WORDS)}|\.)\s*+[\])}}>]"
-        parts = {
-            "drop": f"[{formats}]+",
-            "at": rf"[\[({{<]\s*+(?:{one_of(AT_WORDS)}|@)\s*+[\])}}>]\s*+",
-            "dot": rf"{dot}\s*+",
-            # bare words count only where an address is spelled out: " at name dot name"
-            "bare_at": rf"\b(?<=[a-z0-9_%+-]\s)(?:{one_of(AT_WORDS)})\s++(?=[a-z0-9-]++\s*+(?:{dot}|(?<=\s)(?:{one_of(DOT_WORDS)})\s+[a-z0-9]))",
-            "bare_dot": rf"\b(?<=[a-z0-9]\s)(?:{one_of(DOT_WORDS)})\s++(?=[a-z0-9])",
-            "plus": rf"\bplus[ -]?(?=[0-9]|(?:{one_of(DIGIT_WORDS)})\b)",
-            "digit": rf"\b(?P<name>{one_of(DIGIT_WORDS)})\b(?:[ -](?=(?:{one_of(DIGIT_WORDS)})\b))?",
-            "letter": r"(?<=[0-9])[Ool]+(?=[0-9])",
-        }
-        self.tokens = re.compile(one_of(f"(?P<{k}>{v})" for k, v in parts.items()), re.IGNORECASE)
+        digit, at, dot = one_of(DIGIT_WORDS), one_of(AT_WORDS), one_of(DOT_WORDS)
+        dot_mark = rf"[\[({{<]\s*+(?:{dot}|\.)\s*+[\])}}>]"
+        self.words = re.compile(rf"\b(?:{digit}|{at}|{dot}|plus)\b")
+        self.brackets = re.compile(rf"[\[({{<]\s*+(?:(?P<at>{at}|@)|(?P<dot>{dot}|\.))\s*+[\])}}>]\s*+")
+        self.formats = re.compile("[" + "".join(map(re.escape, formats)) + "]+")
+        self.letters = re.compile(r"[0-9][ol]+(?=[0-9])")
+        # bare words count only where an address is spelled out: " at name dot name"
+        self.at_before, self.dot_before = re.compile(r"[a-z0-9_%+-]\s"), re.compile(r"[a-z0-9]\s")
+        self.at_after = re.compile(rf"\s++(?=[a-z0-9-]++\s*+(?:{dot_mark}|(?<=\s)(?:{dot})\s+[a-z0-9]))")
+        self.dot_after = re.compile(r"\s++(?=[a-z0-9])")
+        self.plus_after = re.compile(rf"[ -]?(?=[0-9]|(?:{digit})\b)")
+        self.digit_after = re.compile(rf"[ -](?=(?:{digit})\b)")
         self.digit = {w: str(i) for i, w in enumerate(DIGIT_WORDS)}
 
     @classmethod
@@ -146,10 +151,36 @@ class Transducer:
             cls._own = cls()
         return cls._own
 
+    def _tokens(self, low: str, special: bool) -> list[tuple[int, int, str]]:
+        """(start, end, what it stands for) of tokens in the lower-cased text."""
+        out = [(m.start(), m.end(), "@" if m["at"] else ".") for m in self.brackets.finditer(low)]
+        if special:
+            out += [(m.start(), m.end(), "") for m in self.formats.finditer(low)]
+        for m in self.letters.finditer(low):
+            out.append((m.start() + 1, m.end(), "".join("1" if c == "l" else "0" for c in m[0][1:])))
+        for m in self.words.finditer(low):
+            word, start, end = m[0], m.start(), m.end()
+            if word in self.digit:
+                more, new = self.digit_after.match(low, end), self.digit[word]
+                out.append((start, more.end() if more else end, new))
+            elif word == "plus":
+                if more := self.plus_after.match(low, end):
+                    out.append((start, more.end(), "+"))
+            elif word in AT_WORDS:
+                if start > 1 and self.at_before.match(low, start - 2) and (more := self.at_after.match(low, end)):
+                    out.append((start, more.end(), "@"))
+            elif start > 1 and self.dot_before.match(low, start - 2) and (more := self.dot_after.match(low, end)):
+                out.append((start, more.end(), "."))
+        return sorted(out)
+
     def normal(self, text: str) -> tuple[str, list[tuple[int, int, int, bool]]]:
         """The text as it reads, and its stretches: (start in it, start and
         length in the source, whether a token stands for the source's part)."""
-        plain = text if text.isascii() else text.translate(self.chars)
+        special = not (text.isascii() or self.special.isdisjoint(text))
+        plain = text.translate(self.chars) if special else text
+        tokens = self._tokens(plain.lower(), special)
+        if not tokens:
+            return plain, [(0, 0, len(plain), False)]
         out: list[str] = []
         parts: list[tuple[int, int, int, bool]] = []
         made, at = 0, 0
@@ -161,28 +192,20 @@ class Transducer:
                 parts.append((made, a, b - a, False))
                 made += b - a
 
-        for m in self.tokens.finditer(plain):
-            kind, start = m.lastgroup, m.start()
-            if kind == "letter":
-                new = "".join("1" if c in "lL" else "0" for c in m[0])
-            elif kind in ("name", "digit"):
-                new = self.digit[m["name"].lower()]
-            else:
-                new = {"drop": "", "plus": "+"}.get(kind, "@" if kind in ("at", "bare_at") else ".")
+        for start, end, new in tokens:
+            if start < at:                      # inside the token before
+                continue
             if new in ("@", "."):               # white space before goes too
                 while start > at and plain[start - 1].isspace():
                     start -= 1
             copy(at, start)
-            if kind == "letter":
-                for k, c in enumerate(new):
-                    parts.append((made + k, m.start() + k, 1, True))
+            if len(new) == end - start:         # character for character
+                parts += [(made + k, start + k, 1, True) for k in range(len(new))]
             else:
-                parts.append((made, start, m.end() - start, True))
+                parts.append((made, start, end - start, True))
             out.append(new)
             made += len(new)
-            at = m.end()
-        if not parts:
-            return plain, [(0, 0, len(plain), False)]
+            at = end
         copy(at, len(plain))
         return "".join(out), parts
 
