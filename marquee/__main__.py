@@ -25,7 +25,7 @@ def _cmd_run(spark, a) -> None:
     from marquee.sources import read_raw_csv
     columns = a.columns.split(",") if a.columns else None
     raw = read_raw_csv(spark, a.input, columns=columns, multi_line=not a.single_line)
-    counts = run_pipeline(spark, raw, root=a.warehouse, prefix=a.prefix, rank_impl=a.rank)
+    counts = run_pipeline(spark, raw, root=a.warehouse, prefix=a.prefix, rank_impl=a.rank, buckets=a.buckets)
     print(json.dumps(counts))
 
 
@@ -75,8 +75,9 @@ def main(argv=None) -> None:
     r.add_argument("input")
     r.add_argument("--columns", default=None, help="comma list of the expected CSV header")
     r.add_argument("--single-line", action="store_true", help="splittable CSV without quoted newlines")
-    r.add_argument("--rank", choices=("window", "global"), default="window",
-                   help="mart rank: one window (few groups) or range-bucketed (any number)")
+    r.add_argument("--rank", choices=("window", "global"), default="global",
+                   help="mart rank: range-bucketed (any number of groups) or one window (few groups)")
+    r.add_argument("--buckets", type=int, default=None, help="store titles and tags by hash of the title, in this many buckets")
     sub.add_parser("verify")
     rp = sub.add_parser("reports")
     rp.add_argument("output")

@@ -142,6 +142,19 @@ def row_counts(**tables: DataFrame) -> DataFrame:
     return out
 
 
+def footer_row_counts(**tables: DataFrame) -> DataFrame:
+    """``row_counts`` of frames from ``sources.tables.read_for_counts``: the
+    counts come from the files' footers. Spark's pushed count of a table
+    without rows is NULL, so each is added to a zero."""
+    out = None
+    for name, df in tables.items():
+        n = df.agg(F.count(F.lit(1)).alias("n"))
+        zero = df.sparkSession.range(1).select((F.col("id") * 0).alias("n"))
+        one = n.unionByName(zero).agg(F.sum("n").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def duplicate_titles(titles: DataFrame, key: str = "title") -> DataFrame:
     """(title, copies) for every title held by more than one row: the rows
     whose tags and money the title join multiplies (each copy is joined to

@@ -88,10 +88,10 @@ class Catalog:
         return staging.staged_titles(self.titles, p.budget_cuts, p.roi_cuts,
                                      p.budget_labels, p.roi_labels)
 
-    def genre_mart(self, rank_impl: str = "window") -> DataFrame:
+    def genre_mart(self, rank_impl: str = "global") -> DataFrame:
         return marts.genre_mart_one_pass(self.wide, rank_impl)
 
-    def country_mart(self, rank_impl: str = "window") -> DataFrame:
+    def country_mart(self, rank_impl: str = "global") -> DataFrame:
         return marts.country_mart(self.staged, rank_impl)
 
     @cached_property

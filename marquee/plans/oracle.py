@@ -321,3 +321,60 @@ ORACLE_SQL["mart_reads_sorted"] = _with("""
 ORACLE_SQL["genre_mart_global_rank"] = ORACLE_SQL["genre_mart"]
 ORACLE_SQL["top_titles_mart_salted"] = ORACLE_SQL["top_titles_mart"]
 ORACLE_SQL["normalized_tags_dictionary_table"] = ORACLE_SQL["normalized_tags"]
+
+# stored tables: the same answers from what was written
+ORACLE_SQL["country_mart_global_rank"] = ORACLE_SQL["country_mart_read"] = ORACLE_SQL["country_mart_incremental"] = ORACLE_SQL["country_mart"]
+ORACLE_SQL["genre_mart_stored"] = ORACLE_SQL["genre_mart_read"] = ORACLE_SQL["genre_mart_incremental"] = ORACLE_SQL["genre_mart"]
+ORACLE_SQL["top_titles_mart_stored"] = ORACLE_SQL["top_titles_mart"]
+ORACLE_SQL["hand_off_titles"] = ORACLE_SQL["refresh_changed"] = ORACLE_SQL["clean_titles"]
+ORACLE_SQL["row_counts_stored"] = ORACLE_SQL["row_counts"]
+ORACLE_SQL["staged_tags"] = _with("SELECT title, genre FROM movie_genres")
+ORACLE_SQL["top_titles_top10_stored"] = _with("""
+    SELECT o_orderkey, title, release_year, director, country, budget, box_office, roi, budget_category, roi_category, genres
+    FROM mart_top ORDER BY box_office DESC, title, release_year, o_orderkey LIMIT 10""")
+
+_NO_TITLE = "title IS NULL OR title NOT IN (SELECT title FROM stg_movies WHERE title IS NOT NULL)"
+_NO_TAG = "title IS NULL OR title NOT IN (SELECT title FROM movie_genres WHERE title IS NOT NULL)"
+ORACLE_SQL["unlinked_titles"] = _with(f"""
+    SELECT 'tags_without_title' AS side, title, count(*) AS rows FROM movie_genres WHERE {_NO_TITLE} GROUP BY title
+    UNION ALL SELECT 'titles_without_tag', title, count(*) FROM stg_movies WHERE {_NO_TAG} GROUP BY title""")
+ORACLE_SQL["link_audit"] = _with(f"""
+    SELECT 'tags_without_title' AS side, count(DISTINCT title) AS titles, count(*) AS rows FROM movie_genres WHERE {_NO_TITLE}
+    UNION ALL SELECT 'titles_without_tag', count(DISTINCT title), count(*) FROM stg_movies WHERE {_NO_TAG}""")
+ORACLE_SQL["unlinked_tag_rows"] = _with(f"SELECT o_orderkey, title, genre, 'title_not_found' AS reason FROM movie_genres WHERE {_NO_TITLE}")
+ORACLE_SQL["title_sketches"] = _with("""
+    SELECT grouping, value, count(*) AS n_rows, count(DISTINCT title) AS titles, true AS within_bound FROM (
+      SELECT unnest([{'grouping': 'country', 'value': m.country}, {'grouping': 'release_year', 'value': m.release_year::VARCHAR},
+                     {'grouping': 'genre', 'value': g.genre}, {'grouping': 'all', 'value': NULL}], recursive := true), g.title
+      FROM movie_genres g JOIN movies m ON g.o_orderkey = m.o_orderkey) GROUP BY grouping, value""")
+
+
+def _types() -> str:
+    """Each column's values one by one, without class counts."""
+    parts = []
+    for c in ("title", "release_year", "director", "language", "country", "duration", "budget", "box_office", "genre"):
+        number, whole = _num("v"), "regexp_matches(v, '^[ \\t-\\r]*[+-]?[0-9]+[ \\t-\\r]*$')"
+        parts.append(f"""
+    SELECT '{c}' AS "column", CASE WHEN n = 0 THEN 'void' WHEN n_number = n THEN number_type WHEN n_date = n THEN 'date' WHEN n_truth = n THEN 'boolean'
+                                   ELSE 'string' END AS type, n_null, CASE WHEN 2 * n_number > n THEN n - n_number ELSE 0 END AS n_bad,
+           CASE WHEN 2 * n_number > n THEN number_type WHEN n = 0 THEN 'void' WHEN n_date = n THEN 'date' WHEN n_truth = n THEN 'boolean'
+                ELSE 'string' END AS clean_type
+    FROM (SELECT count(v) AS n, count(*) - count(v) AS n_null, count({number}) AS n_number,
+                 CASE WHEN count({number}) FILTER (WHERE NOT ({whole}) OR TRY_CAST(trim(v) AS BIGINT) IS NULL) > 0 THEN 'double'
+                      WHEN count({number}) FILTER (WHERE TRY_CAST(trim(v) AS INTEGER) IS NULL) > 0 THEN 'bigint' ELSE 'int' END AS number_type,
+                 count(*) FILTER (WHERE regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') AND TRY_CAST(v AS DATE) IS NOT NULL) AS n_date,
+                 count(*) FILTER (WHERE v IN ('True', 'TRUE', 'true', 'False', 'FALSE', 'false')) AS n_truth
+          FROM (SELECT {c} AS v FROM tok))""")
+    return " UNION ALL ".join(parts)
+
+
+ORACLE_SQL["inferred_types"] = _with(_types())
+ORACLE_SQL["change_diff"] = _with(f"""
+    , older AS (SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN coalesce(budget, 0) + 1 ELSE budget END AS budget) FROM movies WHERE o_orderkey % 7 <> 0),
+    old AS (SELECT * FROM older UNION ALL SELECT * REPLACE (-o_orderkey AS o_orderkey) FROM movies WHERE o_orderkey % 11 = 0
+            UNION ALL SELECT * FROM older WHERE o_orderkey % 13 = 0),
+    gone AS (SELECT o_orderkey, count(*) AS rows_gone FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM movies) GROUP BY 1),
+    added AS (SELECT o_orderkey, count(*) AS rows_added FROM (SELECT * FROM movies EXCEPT ALL SELECT * FROM old) GROUP BY 1)
+    SELECT o_orderkey, CASE WHEN rows_gone IS NULL THEN 'added' WHEN rows_added IS NULL THEN 'gone' ELSE 'changed' END AS status,
+           coalesce(rows_gone, 0) AS rows_gone, coalesce(rows_added, 0) AS rows_added
+    FROM gone FULL JOIN added USING (o_orderkey)""")

@@ -17,7 +17,9 @@ from marquee.functions.tags import GENRE_CORRECTIONS
 from marquee.functions.tiers import BUDGET_CUTS, BUDGET_LABELS, ROI_CUTS, ROI_LABELS
 from marquee.operators import audit, clean, marts, staging
 from marquee.operators.clean import TITLE_COLUMNS
-from marquee.sinks.tables import attach, create_view, default_root, full_refresh, hand_off, remove_path
+from marquee.sinks.buckets import read_bucketed
+from marquee.sinks.tables import Buckets, attach, default_root, full_refresh, hand_off, remove_path
+from marquee.sinks.views import VIEWS, open_warehouse, save_view
 
 
 TABLES = ("movies", "movie_genres", "movies_rejects", "movie_genres_rejects",
@@ -27,7 +29,7 @@ TABLES = ("movies", "movie_genres", "movies_rejects", "movie_genres_rejects",
 def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str] = GENRE_CORRECTIONS,
                  budget_cuts: Sequence[float] = BUDGET_CUTS, roi_cuts: Sequence[float] = ROI_CUTS,
                  root: str | None = None, prefix: str = "", keep: Sequence[str] = (),
-                 rank_impl: str = "window") -> dict:
+                 rank_impl: str = "global", buckets: int | None = None) -> dict:
     """Run the whole batch on ``raw`` (all-string columns) and return counts.
 
     * the cleaned wide rows (title columns, tag list, first broken rule) are
@@ -38,8 +40,12 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str]
       load; the counts are returned.
     * each table is replaced with ``full_refresh`` (never empty to readers)
       and only if it holds as many rows as the wide copy says.
-    * ``rank_impl='global'`` ranks the marts without a single-task window,
-      for catalogues whose genre or country count is not small.
+    * the staging views are kept beside the tables with this run's cut points,
+      for later sessions (``sinks.views``).
+    * ``rank_impl='window'`` ranks the marts in one task instead, for catalogues
+      whose genre and country counts are known to be small.
+    * ``buckets``: store titles and tags by hash of the title, so that the
+      marts' joins need no shuffle.
     """
     t_rules = {**audit.title_rules(), "roi_out_of_range": audit.roi_out_of_range()}
     wide = clean.clean_wide(raw, mapping, keep=keep, audit=True).withColumn("_reason", audit.first_reason(t_rules))
@@ -52,13 +58,17 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str]
     n = src.agg(F.count_if(F.col("_reason").isNull()).alias("good"), F.count_if(F.col("_reason").isNotNull()).alias("bad"),
                 F.coalesce(F.sum(F.size("genre_list")), F.lit(0)).alias("tags")).first()
     out = {}
-    out["movies"] = full_refresh(good_t, f"{prefix}movies", root, expect_rows=n["good"], schema=schema.MOVIES)
+    by_title = Buckets(buckets, ("title",), ("title",)) if buckets else None
+    out["movies"] = full_refresh(good_t, f"{prefix}movies", root, expect_rows=n["good"], schema=schema.MOVIES, buckets=by_title)
     out["movies_rejects"] = full_refresh(bad_t, f"{prefix}movies_rejects", root, expect_rows=n["bad"])
     out["movie_genres_rejects"] = full_refresh(bad_g, f"{prefix}movie_genres_rejects", root)
     out["movie_genres"] = full_refresh(good_g, f"{prefix}movie_genres", root, schema=schema.MOVIE_GENRES,
-                                       expect_rows=n["tags"] - out["movie_genres_rejects"]["rows"])
+                                       expect_rows=n["tags"] - out["movie_genres_rejects"]["rows"], buckets=by_title)
 
-    stg_movies, stg_genres = create_staging_views(spark, prefix, budget_cuts, roi_cuts)
+    create_staging_views(spark, prefix, budget_cuts, roi_cuts, root, keep)
+    # the views' rows, but by bucket where no bucket is too large for a task
+    stg_movies = staging.staged_titles(read_bucketed(spark, f"{prefix}movies"), budget_cuts, roi_cuts, BUDGET_LABELS, ROI_LABELS)
+    stg_genres = staging.staged_tags(read_bucketed(spark, f"{prefix}movie_genres"))
     out["mart_genre_analysis"] = full_refresh(
         marts.genre_mart(stg_movies, stg_genres, rank_impl), f"{prefix}mart_genre_analysis", root)
     out["mart_country_analysis"] = full_refresh(
@@ -70,36 +80,35 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str]
 
 
 def create_staging_views(spark: SparkSession, prefix: str = "", budget_cuts: Sequence[float] = BUDGET_CUTS,
-                         roi_cuts: Sequence[float] = ROI_CUTS) -> tuple[DataFrame, DataFrame]:
-    """The staging models as views over the loaded tables."""
-    stg_movies = staging.staged_titles(spark.table(f"{prefix}movies"), budget_cuts, roi_cuts, BUDGET_LABELS, ROI_LABELS)
-    stg_genres = staging.staged_tags(spark.table(f"{prefix}movie_genres"))
-    create_view(stg_movies, f"{prefix}stg_movies")
-    create_view(stg_genres, f"{prefix}stg_genres")
-    return stg_movies, stg_genres
+                         roi_cuts: Sequence[float] = ROI_CUTS, root: str | None = None, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """The staging models as lasting views over the loaded tables."""
+    movies = staging.staged_titles_sql(f"{prefix}movies", budget_cuts, roi_cuts, BUDGET_LABELS, ROI_LABELS, keep)
+    return (save_view(spark, f"{prefix}stg_movies", movies, root),
+            save_view(spark, f"{prefix}stg_genres", staging.staged_tags_sql(f"{prefix}movie_genres"), root))
 
 
 def attach_run(spark: SparkSession, prefix: str = "", root: str | None = None) -> None:
-    """A finished run's tables and staging views, in a process of its own."""
+    """A finished run's tables and its staging views, in a process of its own."""
     names = [f"{prefix}{t}" for t in TABLES]
     missing = set(names) - set(attach(spark, names, root))
     if missing:
         raise RuntimeError(f"no finished run under {root or default_root(spark)}: {sorted(missing)} not found")
-    create_staging_views(spark, prefix)
+    views = open_warehouse(spark, root)["views"]
+    if f"{prefix}stg_movies" not in views:
+        raise RuntimeError(f"no staging views under {root or default_root(spark)}/{VIEWS}")
 
 
-def load_marts(spark: SparkSession, prefix: str = "") -> dict[str, DataFrame]:
-    """The three mart reads the reports start from: fixed projections,
-    sorted at read (a stored table has no order)."""
+def load_marts(spark: SparkSession, prefix: str = "", which: Sequence[str] = ("genres", "countries", "movies")) -> dict[str, DataFrame]:
+    """The mart reads the reports start from: fixed projections, sorted at
+    read (a stored table has no order)."""
     cols = ["movie_count", "avg_budget", "avg_box_office", "avg_roi", "total_box_office", "revenue_rank"]
-    return {
-        "genres": spark.table(f"{prefix}mart_genre_analysis").select("genre", *cols)
-                       .orderBy("revenue_rank", "genre"),
-        "countries": spark.table(f"{prefix}mart_country_analysis").select("country", *cols)
-                          .orderBy("revenue_rank", "country"),
-        "movies": spark.table(f"{prefix}mart_top_movies").withColumn("genres", marts.tag_string())
-                       .select("title", "release_year", "director", "country", "budget", "box_office",
-                               "roi", "budget_category", "roi_category", "genres")
-                       .filter(F.col("box_office").isNotNull())
-                       .orderBy(F.col("box_office").desc(), "title", "release_year"),
+    reads = {
+        "genres": lambda: spark.table(f"{prefix}mart_genre_analysis").select("genre", *cols).orderBy("revenue_rank", "genre"),
+        "countries": lambda: spark.table(f"{prefix}mart_country_analysis").select("country", *cols).orderBy("revenue_rank", "country"),
+        "movies": lambda: (spark.table(f"{prefix}mart_top_movies").withColumn("genres", marts.tag_string())
+                           .select("title", "release_year", "director", "country", "budget", "box_office",
+                                   "roi", "budget_category", "roi_category", "genres")
+                           .filter(F.col("box_office").isNotNull())
+                           .orderBy(F.col("box_office").desc(), "title", "release_year")),
     }
+    return {name: reads[name]() for name in which}

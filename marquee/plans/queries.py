@@ -14,14 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from marquee import schema
-from marquee.operators import audit, clean, marts, reports, verify
+from marquee.operators import audit, changes, clean, inference, links, marts, reports, sketches, staging, verify
 from marquee.operators.ranking import global_rank
 from marquee.plans import catalog as C
 from marquee.plans.catalog import Catalog
+from marquee.plans.incremental import MartState
 from marquee.plans.pipeline import load_marts
+from marquee.plans.stored import Stored
 from marquee.session import scratch_root
-from marquee.sinks.tables import append, create_table, create_view, full_refresh
+from marquee.sinks.changes import refresh_changed, stored_rows
+from marquee.sinks.tables import append, create_table, create_view, full_refresh, hand_off
 from marquee.sources.csv import read_raw_csv
+from marquee.sources.tables import read_for_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,11 +65,11 @@ def q_staged_titles(spark, root):
 
 
 def q_genre_mart(spark, root):
-    return _light(spark, root).genre_mart()
+    return _light(spark, root).genre_mart("window")
 
 
 def q_country_mart(spark, root):
-    return Catalog(spark, root).country_mart()
+    return Catalog(spark, root).country_mart("window")
 
 
 def q_top_titles_mart(spark, root):
@@ -148,6 +152,10 @@ def q_genre_mart_global_rank(spark, root):
     return _light(spark, root).genre_mart("global")
 
 
+def q_country_mart_global_rank(spark, root):
+    return Catalog(spark, root).country_mart("global")
+
+
 def q_top_titles_mart_salted(spark, root):
     c = _both(spark, root)
     return marts.top_titles_mart(c.staged, c.tags, keep=(C.KEY,), salts=4)
@@ -225,17 +233,133 @@ def q_view_stg_movies(spark, root):
     return df
 
 
+def q_hand_off_titles(spark, root):
+    """A step's output, handed to the next step."""
+    return hand_off(Catalog(spark, root).titles, "titles")
+
+
+# Stored tables: titles and tags bucketed by title, marts as tables, the
+# top-titles mart in rank order (``plans.stored``; written when first asked for).
+
+def q_genre_mart_stored(spark, root):
+    """The title join without a shuffle under it."""
+    s = Stored.of(spark, root)
+    return marts.genre_mart(s.staged(), staging.staged_tags(s.tags()), "window")
+
+
+def q_top_titles_mart_stored(spark, root):
+    s = Stored.of(spark, root)
+    return marts.top_titles_mart(s.staged(), s.tags(), keep=(C.KEY,))
+
+
+def q_staged_tags(spark, root):
+    return staging.staged_tags(Stored.of(spark, root).tags())
+
+
+def _mart_reads(spark, root):
+    s = Stored.of(spark, root)
+    return s, s.genre_mart, s.country_mart
+
+
+def q_genre_mart_read(spark, root):
+    s, name, _ = _mart_reads(spark, root)
+    return load_marts(spark, s.prefix, ("genres",))["genres"]
+
+
+def q_country_mart_read(spark, root):
+    s, _, name = _mart_reads(spark, root)
+    return load_marts(spark, s.prefix, ("countries",))["countries"]
+
+
 def q_mart_reads_sorted(spark, root):
     """The report's read of the stored top-titles mart: fixed columns, sorted."""
-    c, prefix = _both(spark, root), f"{_new_name()}_"
-    made = {"mart_genre_analysis": c.genre_mart(), "mart_country_analysis": c.country_mart(),
-            "mart_top_movies": marts.top_titles_compact(c.staged, c.tags)}
-    for t, df in made.items():
-        full_refresh(df, f"{prefix}{t}", scratch_root(spark))
-    out = load_marts(spark, prefix)["movies"]
-    for t in made:
-        spark.sql(f"DROP TABLE {prefix}{t}")
-    return out
+    mart = Stored.of(spark, root).top_titles
+    return mart.sorted().withColumn("genres", marts.tag_string()).select(*marts.TOP_TITLE_COLUMNS)
+
+
+def q_top_titles_top10_stored(spark, root):
+    """The first ten titles of the mart in rank order; the folders below them stay closed."""
+    top = Stored.of(spark, root).top_titles.top(10)
+    return top.withColumn("genres", marts.tag_string()).select(C.KEY, *marts.TOP_TITLE_COLUMNS)
+
+
+def q_row_counts_stored(spark, root):
+    """Counts from the files' footers."""
+    s = Stored.of(spark, root)
+    return audit.footer_row_counts(movies=read_for_counts(spark, s.path(s.movies)), movie_genres=read_for_counts(spark, s.path(s.movie_genres)))
+
+
+def q_link_audit(spark, root):
+    s = Stored.of(spark, root)
+    return links.link_audit(s.staged(), s.tags())
+
+
+def q_unlinked_titles(spark, root):
+    s = Stored.of(spark, root)
+    return links.unlinked(s.staged(), s.tags())
+
+
+def q_unlinked_tag_rows(spark, root):
+    s = Stored.of(spark, root)
+    return links.split_linked(s.tags().select(C.KEY, "title", "genre"), s.staged())[1]
+
+
+def q_title_sketches(spark, root):
+    """Distinct titles by country, year, tag and in all, from merged sketches,
+    against exact counts."""
+    s = Stored.of(spark, root)
+    rows = s.tags().select("title", "genre", C.KEY).join(s.titles().select(C.KEY, "country", "release_year"), C.KEY)
+    return sketches.accuracy(spark.table(s.title_sketches), rows)
+
+
+def q_inferred_types(spark, root):
+    return inference.inferred_types(inference.class_counts(Catalog(spark, root).raw))
+
+
+# Two versions of the titles: an older one lacks some rows, has others that are
+# gone since, rows with another budget, and rows that were loaded twice.
+
+def _older(titles: DataFrame) -> DataFrame:
+    key = F.col(C.KEY)
+    older = titles.where(key % 7 != 0).withColumn("budget", F.when(key % 5 == 0, F.coalesce(F.col("budget"), F.lit(0)) + 1).otherwise(F.col("budget")))
+    gone = titles.where(key % 11 == 0).withColumn(C.KEY, -key)
+    return older.unionByName(gone).unionByName(older.where(key % 13 == 0))
+
+
+def q_change_diff(spark, root):
+    titles = Stored.of(spark, root).catalog.titles
+    return changes.diff(_older(titles), titles, (C.KEY,))
+
+
+def q_refresh_changed(spark, root):
+    """The older version, then a refresh that rewrites what differs."""
+    titles, name = Stored.of(spark, root).catalog.titles, _new_name()
+    refresh_changed(_older(titles), name, (C.KEY,), parts=16, root=scratch_root(spark))
+    refresh_changed(titles, name, (C.KEY,), parts=16, root=scratch_root(spark))
+    return stored_rows(spark, name)     # its partitions are the catalog's, so the entry stays
+
+
+def _batches(spark, root) -> MartState:
+    """The older version as a first batch, what changed since as a second one,
+    and the rest of the tags as a third."""
+    c = Stored.of(spark, root).catalog
+    state = MartState(spark, f"{scratch_root(spark)}/{_new_name()}")
+    late = F.pmod(F.xxhash64("genre", C.KEY), F.lit(3)) == 0        # tags of old titles that come with the last batch
+    late = F.coalesce(late, F.lit(False))
+    old = _older(c.titles)
+    nothing = c.titles.limit(0)
+    state.add(1, old, c.tags.where(~late))
+    state.add(2, changes.signed_rows(old, c.titles, (C.KEY,)), c.tags.limit(0))
+    state.add(3, nothing, c.tags.where(late))
+    return state
+
+
+def q_genre_mart_incremental(spark, root):
+    return _batches(spark, root).genre_mart()
+
+
+def q_country_mart_incremental(spark, root):
+    return _batches(spark, root).country_mart()
 
 
 QUERIES: dict[str, Query] = {
@@ -266,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "report_roi_by_genre": q_report_roi_by_genre,
     "global_rank_titles": q_global_rank_titles,
     "genre_mart_global_rank": q_genre_mart_global_rank,
+    "country_mart_global_rank": q_country_mart_global_rank,
     "top_titles_mart_salted": q_top_titles_mart_salted,
     "normalized_tags_dictionary_table": q_normalized_tags_dictionary_table,
     "csv_round_trip": q_csv_round_trip,
@@ -273,5 +398,22 @@ QUERIES: dict[str, Query] = {
     "refresh_movie_genres": q_refresh_movie_genres,
     "append_movie_genres": q_append_movie_genres,
     "view_stg_movies": q_view_stg_movies,
+    "hand_off_titles": q_hand_off_titles,
+    "genre_mart_stored": q_genre_mart_stored,
+    "top_titles_mart_stored": q_top_titles_mart_stored,
+    "staged_tags": q_staged_tags,
+    "genre_mart_read": q_genre_mart_read,
+    "country_mart_read": q_country_mart_read,
     "mart_reads_sorted": q_mart_reads_sorted,
+    "top_titles_top10_stored": q_top_titles_top10_stored,
+    "row_counts_stored": q_row_counts_stored,
+    "link_audit": q_link_audit,
+    "unlinked_titles": q_unlinked_titles,
+    "unlinked_tag_rows": q_unlinked_tag_rows,
+    "title_sketches": q_title_sketches,
+    "inferred_types": q_inferred_types,
+    "change_diff": q_change_diff,
+    "refresh_changed": q_refresh_changed,
+    "genre_mart_incremental": q_genre_mart_incremental,
+    "country_mart_incremental": q_country_mart_incremental,
 }

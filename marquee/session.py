@@ -52,11 +52,12 @@ def cluster_conf(input_bytes: int, executor_cores: int, executors: int, shuffle_
 
 def get_session(master: str | None = None, app: str = "marquee",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, warehouse: str | None = None) -> SparkSession:
     """Return (or create) a session with the defaults above.
 
     On a cluster ``master`` stays ``None`` so spark-submit decides; tests
-    and the bench pass ``local[N]``.
+    and the bench pass ``local[N]``. With a ``warehouse`` folder, its tables
+    and views are known by name (``sinks.views.open_warehouse``).
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -70,6 +71,10 @@ def get_session(master: str | None = None, app: str = "marquee",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    if warehouse:
+        from marquee.sinks.views import open_warehouse
+
+        open_warehouse(spark, warehouse)
     return spark
 
 

@@ -10,9 +10,11 @@ committer make the write itself survive lost executors.
 
 from __future__ import annotations
 
+import json
 import re
 import time
 import uuid
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,21 +28,80 @@ from marquee.session import scratch_root
 CHECKED = "_CHECKED"
 
 
+#: File that holds a version's buckets, for other processes.
+BUCKETS = "_BUCKETS"
+
+
 class RefreshError(RuntimeError):
     pass
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Storage by hash of ``keys``: tables with equal keys and number join on
+    them without a shuffle. Rows of a file are sorted by ``sort``."""
+
+    number: int
+    keys: tuple[str, ...]
+    sort: tuple[str, ...] = ()
+
+    def clause(self) -> str:
+        by = ", ".join(map(quoted, self.keys))
+        order = f" SORTED BY ({', '.join(map(quoted, self.sort))})" if self.sort else ""
+        return f" CLUSTERED BY ({by}){order} INTO {self.number} BUCKETS"
+
+
 def _ddl(schema: StructType) -> str:
     return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
                      for f in schema.fields)
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType, location: str | None = None,
-                 fmt: str = "parquet") -> None:
+                 fmt: str = "parquet", buckets: Buckets | None = None) -> None:
     """``CREATE TABLE IF NOT EXISTS`` from a StructType: fixed, hand-written
     types rather than inferred ones, NOT NULL where a field isn't nullable."""
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema)}) USING {fmt}{loc}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema)}) USING {fmt}{buckets.clause() if buckets else ''}{loc}")
+
+
+def stored_buckets(spark: SparkSession, name: str) -> Buckets | None:
+    """The buckets that the catalog has for a table."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    if "Num Buckets" not in told:
+        return None
+    columns = lambda text: tuple(c.replace("``", "`") for c in re.findall("`((?:[^`]|``)+)`", text or ""))
+    return Buckets(int(told["Num Buckets"]), columns(told["Bucket Columns"]), columns(told.get("Sort Columns")))
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs_path(spark, path)
+    out = fs.create(p)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_version(df: DataFrame, path: str, fmt: str, buckets: Buckets | None) -> None:
+    if buckets is None:
+        df.write.format(fmt).mode("errorifexists").save(path)
+        return
+    # one task a bucket; adaptive execution cuts a bucket that a hot key makes
+    # too large into several tasks (and files) and puts small ones together
+    name = f"write_{uuid.uuid4().hex}"
+    w = df.hint("rebalance", buckets.number, *buckets.keys).write.format(fmt).bucketBy(buckets.number, *buckets.keys)
+    try:
+        (w.sortBy(*buckets.sort) if buckets.sort else w).option("path", path).saveAsTable(name)
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")      # external: the files stay
+    _write_text(df.sparkSession, f"{path}/{BUCKETS}", json.dumps(asdict(buckets)))
 
 
 def append(df: DataFrame, name: str) -> None:
@@ -97,7 +158,8 @@ def prune_versions(spark: SparkSession, table_dir: str, keep: int = 2) -> list[s
 def attach(spark: SparkSession, names, root: str | None = None) -> list[str]:
     """Make tables that another process has written readable by name: for each
     name that the catalog doesn't know, a view of its newest checked version
-    under ``root``. Returns the names found."""
+    under ``root`` (a bucketed one becomes a table, so that its joins still
+    need no shuffle). Returns the names found."""
     out = []
     for name in names:
         if not spark.catalog.tableExists(name):
@@ -105,7 +167,12 @@ def attach(spark: SparkSession, names, root: str | None = None) -> list[str]:
                     if _exists(spark, f"{v}/{CHECKED}")]
             if not done:
                 continue
-            spark.read.parquet(done[-1]).createOrReplaceTempView(name)
+            rows = spark.read.parquet(done[-1])
+            if _exists(spark, f"{done[-1]}/{BUCKETS}"):
+                b = json.loads(_read_text(spark, f"{done[-1]}/{BUCKETS}"))
+                create_table(spark, name, rows.schema, done[-1], buckets=Buckets(b["number"], tuple(b["keys"]), tuple(b["sort"])))
+            else:
+                rows.createOrReplaceTempView(name)
         out.append(name)
     return out
 
@@ -117,14 +184,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def full_refresh(df: DataFrame, name: str, root: str | None = None, fmt: str = "parquet",
                  expect_rows: int | None = None, keep_versions: int | None = 2,
-                 schema: StructType | None = None, new_columns: bool = False) -> dict:
+                 schema: StructType | None = None, new_columns: bool = False, buckets: Buckets | None = None) -> dict:
     """Replace table ``name`` with ``df`` without an empty window.
 
     ``schema``: the fixed columns and types to load (others of ``df`` stay
-    behind them). A frame whose columns differ from the stored table's is
-    refused and the table stays as it is, unless ``new_columns`` allows it:
-    the catalog entry is then dropped and created anew, and a reader in
-    between finds no table.
+    behind them). ``buckets``: store the rows by hash of a key. A frame whose
+    columns or buckets differ from the stored table's is refused and the table
+    stays as it is, unless ``new_columns`` allows it: the catalog entry is then
+    dropped and created anew, and a reader in between finds no table.
 
     1. write ``df`` to a new version folder, counting rows on the way
        (``Observation``: the count comes from the write job itself);
@@ -140,13 +207,13 @@ def full_refresh(df: DataFrame, name: str, root: str | None = None, fmt: str = "
         df = df.select(*[F.col(quoted(c)).cast(t).alias(c) for c, t in fixed.items()],
                        *[F.col(quoted(c)) for c in df.columns if c not in fixed])
     known = spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "TEMPORARY"
-    same = known and _same_columns(spark.table(name), df)
+    same = known and _same_columns(spark.table(name), df) and stored_buckets(spark, name) == buckets
     if known and not same and not new_columns:
-        raise RefreshError(f"{name}: other columns than the stored table's; table left unchanged")
+        raise RefreshError(f"{name}: other columns or buckets than the stored table's; table left unchanged")
     path = new_version_path(spark, name, root)
     obs = Observation(f"refresh_{name}_{uuid.uuid4().hex[:6]}")
     try:
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists").save(path)
+        _write_version(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt, buckets)
     except Exception:
         remove_path(spark, path)        # no partial version is left to be mistaken for a good one
         raise
@@ -163,7 +230,9 @@ def full_refresh(df: DataFrame, name: str, root: str | None = None, fmt: str = "
     else:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         if schema is not None:
-            create_table(spark, name, StructType(list(schema.fields) + [f for f in df.schema.fields if f.name not in fixed]), path, fmt)
+            create_table(spark, name, StructType(list(schema.fields) + [f for f in df.schema.fields if f.name not in fixed]), path, fmt, buckets)
+        elif buckets:
+            create_table(spark, name, df.schema, path, fmt, buckets)
         else:
             spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
     if keep_versions:
