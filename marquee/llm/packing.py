@@ -41,15 +41,25 @@ BRANCHES = 5000
 
 
 class WordCache:
-    """Ids of texts from the ids of their runs without ASCII white space.
-
-    The tokenizer drops white space and never joins two runs, so runs can be
-    encoded apart. A Python worker keeps the ids of up to ``MOST`` distinct
-    runs over all of its tasks, and encodes the new ones of a slice of texts
-    together: the end-of-text token between two runs parts them again.
+    """Ids of texts from the ids of their words.
+
+    The tokenizer drops white space and encodes its pre-tokens (letters, one
+    digit, contractions, other signs) apart. In texts of ASCII and Latin-1
+    letters these can be told by the pattern below, so a Python worker keeps the
+    ids of pre-tokens over all of its tasks; other runs without white space are
+    kept whole. New ones of a slice of texts are encoded together: a pre-token
+    ends at an id that ends a word, runs are parted by the end-of-text token.
+    Runs that hold the text of a special token are encoded one by one, as the
+    plain call would.
+
+    The cache has two generations: when the younger has grown to ``LIMIT`` bytes
+    it becomes the older, whose entries are moved on when they are met again, so
+    what is common stays and the memory is bounded whatever the vocabulary.
     """
 
-    MOST, TOGETHER, PART, PART_ID = 500_000, 200, "<|endoftext|>", 49407
+    LIMIT, TOGETHER, PARTED, PART, PART_ID = 80_000_000, 1000, 200, "<|endoftext|>", 49407
+    SPECIAL = ("<|startoftext|>", "<|endoftext|>")
+    PER_ENTRY = 200                     # bytes of an entry beside its key and its ids
     _own: dict[str, WordCache] = {}
 
     def __init__(self, path: str):
@@ -59,10 +69,16 @@ class WordCache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.ordinary, self.parted = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.ordinary.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.find = re.compile(r"[^ \t-\r]+").findall
-        self.memo: dict[str, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.runs = re.compile(r"[^ \t-\r]+").findall
+        self.plain = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*").fullmatch
+        self.words = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-zß-öø-ÿ0-9]+").findall
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
 
     @classmethod
     def of(cls, path: str) -> WordCache:
@@ -70,25 +86,63 @@ class WordCache:
             cls._own[path] = cls(path)
         return cls._own[path]
 
-    def _encode(self, runs: list[str]) -> list[bytes]:
-        if any("<|" in r or "|>" in r for r in runs):
-            return [np.array(self.ordinary.encode(r, add_special_tokens=False).ids, "<u4").tobytes() for r in runs]
-        ids = np.array(self.parted.encode_batch_fast([self.PART.join(runs)], add_special_tokens=False)[0].ids, "<u4")
-        ends = (4 * np.flatnonzero(ids == self.PART_ID)).tolist()
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _parts(self, text: str | None) -> list[str]:
+        """Pre-tokens of a text, or whole runs where the pattern can't tell."""
+        if not text:
+            return []
+        special = "<|" in text and any(x in text for x in self.SPECIAL)
+        if not special and self.plain(text):
+            return self.words(text.lower())
+        return list(chain.from_iterable(self.words(r.lower()) if self.plain(r) and not (special and any(x in r for x in self.SPECIAL)) else [r]
+                                        for r in self.runs(text)))
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts of one kind: pre-tokens, or runs without special tokens."""
+        if self.plain(parts[0]):
+            ids = self._ids(" ".join(parts))
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            starts, ends = [0, *cuts[:-1]], cuts
+        else:
+            ids = self._ids(self.PART.join(parts))
+            cuts = (4 * np.flatnonzero(ids == self.PART_ID)).tolist()
+            starts, ends = [0, *(c + 4 for c in cuts)], [*cuts, 4 * len(ids)]
         raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(raw)], strict=True)]
+        return [raw[a:b] for a, b in zip(starts, ends, strict=True)]
+
+    def _learn(self, parts: list[str]) -> None:
+        words, runs = [], []
+        for x in parts:
+            if any(s in x for s in self.SPECIAL):
+                self._keep(x, self._ids(x).tobytes())
+            else:
+                (words if self.plain(x) else runs).append(x)
+        for kind, together in ((words, self.TOGETHER), (runs, self.PARTED)):
+            for at in range(0, len(kind), together):
+                part = kind[at:at + together]
+                for x, ids in zip(part, self._encode(part), strict=True):
+                    self._keep(x, ids)
+
+    def _keep(self, part: str, ids: bytes) -> None:
+        self.young[part] = ids
+        self.size += len(part) + len(ids) + self.PER_ENTRY
 
     def ids(self, texts: Sequence[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without the end id."""
-        runs = [self.find(t) if t else [] for t in texts]
-        new = list(set(chain.from_iterable(runs)).difference(self.memo))
-        if len(self.memo) + len(new) > self.MOST:
-            self.memo.clear()
-            new = list(set(chain.from_iterable(runs)))
-        for at in range(0, len(new), self.TOGETHER):
-            part = new[at:at + self.TOGETHER]
-            self.memo.update(zip(part, self._encode(part), strict=True))
-        return [b"".join(map(self.memo.__getitem__, r)) for r in runs]
+        parts = [self._parts(t) for t in texts]
+        new = []
+        for x in set(chain.from_iterable(parts)).difference(self.young):
+            if x in self.old:
+                self._keep(x, self.old[x])
+            else:
+                new.append(x)
+        self._learn(new)
+        out = [b"".join(map(self.young.__getitem__, p)) for p in parts]
+        if self.size > self.LIMIT:
+            self.old, self.young, self.size = self.young, {}, 0
+        return out
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep: Sequence[str] = ("doc_id",),

@@ -215,8 +215,7 @@ def test_perfect_hash_is_minimal():
 def test_packing(spark):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
+    tokenizer = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))    # as it is: the text of a special token is that token
     rows = list(enumerate(texts_for_codecs())) + [(100, None), (None, "null id"), (3, "a" * 3000), (101, words(4, 9000))] + [(200 + k, words(k, 30 * k)) for k in range(40)]
     got = packing.pack_documents(frame(spark, rows), tokenizer_file("word_bpe_49k.json"), with_ids=True).collect()
     docs = defaultdict(list)
@@ -239,6 +238,28 @@ def test_packing(spark):
     assert len(sequences) <= -(-total // 2048) + 1
 
 
+PARTS = ["It's", " don'T", "Zoë", "ÀÉ", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "<|endoftext|", "endoftext|>", "<|ENDOFTEXT|>", " ", "\n\t", "1234", "x", "!?.", "'", "'ll",
+         "日本", "привет", "ª²½", "İ", "ß", "×÷", "\x1c", "\x85", "\xa0", "é", "🙂", "\x7f", "word", "WORD", "_", "Ⅷ"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), st.text(max_size=12)), max_size=5))
+def test_cached_ids_are_the_plain_calls(texts):
+    cache = packing.WordCache.of(tokenizer_file("word_bpe_49k.json"))
+    assert [np.frombuffer(x, "<u4").tolist() for x in cache.ids(texts)] == [cache.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_generations_of_the_cache(monkeypatch):
+    cache = packing.WordCache(tokenizer_file("word_bpe_49k.json"))
+    monkeypatch.setattr(cache, "LIMIT", 5000, raising=False)
+    most = 0
+    for k in range(60):
+        text = f"common words {words(k, 20)} привет{k}"
+        assert np.frombuffer(cache.ids([text])[0], "<u4").tolist() == cache.tokenizer.encode(text, add_special_tokens=False).ids
+        most = max(most, len(cache.young) + len(cache.old))
+    assert "common" in cache.young | cache.old and most < 100
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.dictionaries(st.integers(1, 100), st.integers(1, 30), max_size=25))
 def test_bin_plan_uses_every_piece_once(histogram):
