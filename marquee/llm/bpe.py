@@ -11,7 +11,10 @@ The pattern is one whose pre-tokens never run from a letter over a blank to
 another letter; long texts are split there, so memory follows a slice.
 
 Nulls and empty texts have no ids; decoding gives the empty byte string. Very
-long texts are encoded whole. Repeated rows give repeated results.
+long texts are encoded whole. Repeated rows give repeated results. Merges of
+equal rank go from left to right. An empty table gives no rows. Other columns
+than ``keep`` are left out; a kept one named like a result gets ``_kept`` after
+its name.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.llm.common import Memo, prepare
+from marquee.llm.common import Memo, prepare, without_clash
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -174,6 +177,7 @@ class Codec:
 
 
 def _mapped(docs: DataFrame, keep: Sequence[str], column: str, more: str, fn) -> DataFrame:
+    docs, keep = without_clash(docs, keep, (c.split()[0] for c in more.split(", ")))
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join([*(f"`{k}` {types[k]}" for k in keep), more])
     kept = len(keep)

@@ -56,11 +56,19 @@ def per_batch(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def refuse_clash(keep: Sequence[str], made: Iterable[str]) -> None:
-    """Kept columns may not be named like an operator's results."""
-    clash = sorted({c.lower() for c in keep} & {c.lower() for c in made})
-    if clash or len({c.lower() for c in keep}) < len(keep):
-        raise ValueError(f"kept columns clash with results or each other: {clash or list(keep)}; rename them first")
+def without_clash(docs: DataFrame, keep: Sequence[str], made: Iterable[str]) -> tuple[DataFrame, list[str]]:
+    """``docs`` and ``keep`` with other names for kept columns that are named
+    like an operator's own columns or each other: ``<name>_kept``."""
+    taken, out = {c.lower() for c in made}, []
+    for k in keep:
+        name = k
+        while name.lower() in taken or name != k and name.lower() in (c.lower() for c in docs.columns):
+            name += "_kept"
+        if name != k:
+            docs = docs.withColumn(name, docs[k])
+        taken.add(name.lower())
+        out.append(name)
+    return docs, out
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -34,7 +34,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import per_batch, prepare, written
+from marquee.llm.common import per_batch, prepare, without_clash, written
 
 #: Part of a page's text that the voted container must hold.
 MOST = 0.8
@@ -248,6 +248,7 @@ def extract_text(pages: DataFrame, keep: Sequence[str] = ("page_id", "url"), url
     """``keep``, text, n_chars of each page."""
     votes = host_votes(pages, url, html)
     salted = votes.select("host", "salt").distinct().join(winning_paths(votes), "host")
+    pages, keep = without_clash(pages, keep, ("text", "n_chars"))
     types = {f.name: f.dataType.simpleString() for f in pages.schema}
     source = pages.select(*(pages[k].alias(f"_k{i}") for i, k in enumerate(keep)), pages[html].alias("html"), host_of(url).alias("host"),
                           _salt(pages, url, html).alias("salt"))

@@ -9,16 +9,17 @@ spans. The language that labels most letters is the prediction, its share of
 the scored letters the score.
 
 The model is a table of 2^16 trigram cells for each language, so its size
-follows the number of languages alone. It is fitted on a bounded sample:
-about ``sample_rows`` labelled rows of each language, chosen by a hash of
-their text, whole texts.
+follows the number of languages alone. It is fitted on a bounded sample: of
+each language the ``sample_rows`` distinct labelled texts whose hashes are
+smallest, whole texts; copies of a text count once, however many there are.
 
 Nulls: null texts and texts without a letter are ``und`` with score 0; texts
 whose letters are all of scripts that no learned language uses get the
 language that sorts first, with score 0. Rows with a null language teach
 nothing. Ties go to the language that sorts first. Without any
 labelled row everything is ``und``. Very long texts are read whole; repeated
-rows get the same result; an empty table gives no rows.
+rows get the same result; an empty table gives no rows. Other columns than
+``keep`` are left out; a kept one named like a result gets ``_kept`` after its name.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marquee.llm.common import prepare
+from marquee.llm.common import prepare, without_clash
 
 SAMPLE_ROWS, SWITCH_COST, UNKNOWN = 3000, 12.0, "und"
 CELLS = 1 << 16
@@ -186,15 +187,22 @@ def slices(texts: Sequence[str | None], most: int = SLICE_CHARS):
 
 
 def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Model of the languages of ``labelled``; the sample is about ``sample_rows`` rows a language."""
+    """Model of the languages of ``labelled``, from the at most ``sample_rows``
+    distinct texts of each language whose hashes are smallest."""
     prepare(labelled.sparkSession)
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # the distinct texts of a language with the smallest hashes: copies of a text are one row of the sample
+    hashed = rows.withColumn("h", F.xxhash64("text", "lang"))
+    sizes = {r["lang"]: r["n"] for r in hashed.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()}
     if not sizes:
         return Model([], np.zeros((0, CELLS)), np.zeros((0, N_SCRIPTS)))
-    part = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, sample_rows / n)))])
-    drawn = F.pmod(F.xxhash64("text", "lang"), F.lit(1_000_000)) < 1_000_000 * part[F.col("lang")]
-    sample = rows.where(drawn).repartition(16, F.xxhash64("text"))
+    # a little more than enough by the share of hashes, then exactly the smallest ones
+    share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, 1.2 * sample_rows / n)))])
+    low = hashed.where((F.col("h").cast("double") + 2.0 ** 63) / 2.0 ** 64 <= share[F.col("lang")])
+    one = low.groupBy("lang", "h").agg(F.first("text").alias("text"))
+    least = Window.partitionBy("lang").orderBy("h")
+    sample = (one.withColumn("i", F.row_number().over(least)).where(F.col("i") <= sample_rows).select("lang", "text", "i")
+              .repartition(16, "lang", "i").select("lang", "text"))
 
     def count(frames):
         cells: dict[str, np.ndarray] = {}
@@ -223,6 +231,7 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", sample_rows
 def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text: str = "text", switch_cost: float = SWITCH_COST, spans: bool = False) -> DataFrame:
     """``keep``, lang_pred, score (and spans: language and words of each run)."""
     shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
+    docs, keep = without_clash(docs, keep, ("lang_pred", "score", "spans"))
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join([*(f"`{k}` {types[k]}" for k in keep), "lang_pred string, score double", *["spans array<struct<lang:string,words:int>>"] * spans])
     kept, at = len(keep), [*keep, text].index(text)

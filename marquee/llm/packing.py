@@ -18,7 +18,8 @@
 Nulls: null and empty texts are one piece that holds the end id alone; null
 ids are kept as they are. Repeated rows and repeated ids are documents of
 their own. Ties between equal lengths go by partition and order in it. An
-empty table gives no rows. Other columns than ``keep`` are left out.
+empty table gives no rows. Other columns than ``keep`` are left out; a kept one
+named like a result gets ``_kept`` after its name.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from marquee.llm.common import prepare, written
+from marquee.llm.common import prepare, without_clash, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -40,6 +41,10 @@ END_ID = 0
 BRANCHES = 5000
 
 
+#: Names of the result's columns and of those on the way to it.
+OWN = ("piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset", "_part", "_row", "_n", "_rank", "_in", "_first")
+
+
 class WordCache:
     """Ids of texts from the ids of their words.
 
@@ -149,6 +154,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
                      text: str = "text", with_ids: bool = False) -> DataFrame:
     """``keep``, piece, start, length, ids_crc32 (and ids, if asked for)."""
     prepare(docs.sparkSession)
+    docs, keep = without_clash(docs, keep, OWN)
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join([*(f"`{k}` {types[k]}" for k in keep), "piece int, start long, length long, ids_crc32 long", *["ids binary"] * with_ids])
     kept, end = len(keep), np.array([END_ID], "<u4").tobytes()

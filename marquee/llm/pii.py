@@ -25,7 +25,7 @@ without any is its own reading.
 Nulls: a null text is an empty one, without spans; null ids pass through.
 Repeated rows are judged alike, one by one. Very long texts are read whole.
 Ties: spans are ordered by kind, start and end. An empty table gives no rows.
-Kept columns pass through; one named like a result is refused.
+Kept columns pass through; one named like a result gets ``_kept`` after its name.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from hashlib import sha256
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from marquee.llm.common import per_batch, prepare, refuse_clash
+from marquee.llm.common import per_batch, prepare, without_clash
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -258,7 +258,7 @@ def find_pii(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "te
     spans, number of added ones (and the redacted text, if asked for)."""
     prepare(docs.sparkSession)
     names = list(RESULT) if with_text else [c for c in RESULT if c != "redacted"]
-    refuse_clash(keep, names)
+    docs, keep = without_clash(docs, keep, names)
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join([*(f"`{k}` {types[k]}" for k in keep), *(f"{c} {RESULT[c]}" for c in names)])
     kept = len(keep)

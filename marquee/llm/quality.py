@@ -15,7 +15,8 @@ lines moves a count by one.
 Nulls: a null text has no words, so it fails the base rules; documents with a
 null host share one. Every row is a document of its own, repeated rows too.
 Very long texts are read whole; an empty table gives no rows; columns other
-than ``keep`` are left out.
+than ``keep`` are left out; a kept one named like a result gets ``_kept`` after
+its name. Ties don't arise: limits are on counts.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import MUL1, mix, per_batch, prepare, written
+from marquee.llm.common import MUL1, mix, per_batch, prepare, without_clash, written
 
 MIN_WORDS, REPEAT_PERCENT, REPEAT_WINDOW = 20, 30, 8
 MIN_DOCS, SHARE, MIN_LEFT = 10, 0.01, 0.5
@@ -101,11 +102,17 @@ def _figures(batch: pa.RecordBatch):
                                          names=[*part.schema.names[:n], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines"])
 
 
+#: Names of the result's columns and of those on the way to it.
+OWN = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_common_words", "base_failed", "kept", "clean_text",
+       "lines", "_host", "_text", "_in", "_row", "_gone")
+
+
 def quality_rules(docs: DataFrame, keep: Sequence[str] = ("doc_id",), host: str = "source", text: str = "text", min_docs: int = MIN_DOCS,
                   share: float = SHARE, min_words: int = MIN_WORDS, min_left: float = MIN_LEFT, with_text: bool = False) -> DataFrame:
     """``keep``, the base figures, n_common_words (in removed lines), base_failed, kept; with ``with_text`` also
     clean_text: the text less the removed lines."""
     prepare(docs.sparkSession)
+    docs, keep = without_clash(docs, keep, OWN)
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
     more = ["_text"] * with_text
     source = docs.select(*(docs[k] for k in keep), F.coalesce(docs[host].cast("string"), F.lit("\0")).alias("_host"),

@@ -13,7 +13,8 @@ be written ``\\?`` when meant as itself, a plain ``?`` is one byte.
 Nulls: a null URL, or one without ``://``, has an empty host and path; no rule
 fits it and the glob list sees an empty string. Very long URLs run to their
 end. Repeated rows give repeated results; an empty table gives none. Further
-columns of the input are left out unless named in ``keep``.
+columns of the input are left out unless named in ``keep``; a kept one named
+like a result gets ``_kept`` after its name.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from marquee.llm.common import prepare
+from marquee.llm.common import prepare, without_clash
 
 #: Rules by host and path: (verdict, rule).
 HOST_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -145,6 +146,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = HOST_RULES,
     """``keep``, host, path, rule (null if none fits), verdict of each page."""
     prepare(pages.sparkSession)
     judge = UrlJudge(rules, block_globs)
+    pages, keep = without_clash(pages, keep, ("host", "path", "rule", "verdict"))
     types = {f.name: f.dataType.simpleString() for f in pages.schema}
     schema = ", ".join([*(f"`{k}` {types[k]}" for k in keep), "host string, path string, rule string, verdict string"])
     names = [*keep, "host", "path", "rule", "verdict"]

@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, jaccard, langid, line_dedup, packing, quality, suffix
+from marquee.llm import bpe, html, jaccard, langid, line_dedup, packing, pii, quality, suffix, url_filter
 from marquee.llm.common import components
 from marquee.llm.queries import pretoken_pattern, tokenizer_file
 
@@ -313,6 +313,43 @@ def test_language_id(spark):
     assert {r["lang_pred"] for r in langid.identify(frame(spark, rows), untaught).collect()} == {"und"}
 
 
+def test_copies_count_once_in_the_sample(spark):
+    """A language of one text is learned; a hot text is one row of the sample."""
+    rows = [(k, spoken("aa", 5, 40), "aa") for k in range(3000)] + [(9000 + k, spoken("bb", k, 40), "bb") for k in range(300)]
+    rows += [(20_000 + k, spoken("cc", 1, 30), "cc") for k in range(500)] + [(30_000 + k, spoken("cc", k, 30), "cc") for k in range(300)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    model = langid.fit(labelled, sample_rows=100)
+    assert model.languages == ["aa", "bb", "cc"]
+    tests = [(1, spoken("aa", 5, 40)), (2, spoken("bb", 777, 40)), (3, spoken("cc", 778, 40))]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame(spark, tests), model).collect()}
+    assert got == {1: "aa", 2: "bb", 3: "cc"}
+    # the same model whatever the copies
+    once = langid.fit(labelled.dropDuplicates(["text", "lang"]), sample_rows=100)
+    few = [(k, spoken(lang, 50 + k, 20)) for k, lang in enumerate(LANGUAGES)]
+    predict = lambda m: sorted(map(tuple, langid.identify(frame(spark, few), m).collect()))
+    assert predict(model) == predict(once)
+
+
+CLASHING = [
+    (lambda d, keep: langid.identify(d, langid.fit(d.withColumn("lang", F.lit("en"))), keep=keep), "score"),
+    (lambda d, keep: quality.quality_rules(d, keep=keep, with_text=True), "n_words"),
+    (lambda d, keep: packing.pack_documents(d, tokenizer_file("word_bpe_49k.json"), keep=keep), "length"),
+    (lambda d, keep: bpe.round_trip(d, tokenizer_file("byte_bpe_50k.tiktoken"), pretoken_pattern(), keep=keep), "n_tokens"),
+    (lambda d, keep: url_filter.filter_urls(d, keep=keep, url="text"), "Host"),
+    (lambda d, keep: html.extract_text(d, keep=keep, url="text", html="text"), "n_chars"),
+    (lambda d, keep: pii.find_pii(d, keep=keep), "spans"),
+]
+
+
+@pytest.mark.parametrize("run,name", CLASHING)
+def test_kept_columns_named_like_results(spark, run, name):
+    docs = spark.createDataFrame([(1, "some words here", "a", "b"), (2, None, None, "c")], f"doc_id long, text string, `{name}` string, `{name}_kept` string")
+    docs = docs.withColumn("source", F.lit("s"))
+    out = run(docs, ("doc_id", name))
+    assert sum(c.lower() == name.lower() for c in out.columns) == 1 and f"{name}_kept_kept" in out.columns
+    assert {(r["doc_id"], r[f"{name}_kept_kept"]) for r in out.collect()} == {(1, "a"), (2, None)}
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(0, 7), min_size=1, max_size=6), st.integers(0, 10_000))
 def test_viterbi_is_optimal(sizes, seed):
