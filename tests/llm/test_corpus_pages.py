@@ -36,7 +36,130 @@ def test_host_vote_decides(spark):
     rows = [(k, "http://h/", page("story words " * 20, "x")) for k in range(5)] + [(9, "http://h/", page("short story", "much longer other text " * 20))]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert [tuple(r) for r in html.winning_paths(html.host_votes(df)).collect()] == [("h", ">body>div.story")]
-    assert {r["page_id"]: r["text"] for r in html.extract_text(df).collect()}[9] == "short story"
+    got = {r["page_id"]: r["text"] for r in html.extract_text(df).collect()}
+    assert got[9] == " ".join(["much longer other text"] * 20) and got[0] == " ".join(["story words"] * 20)     # page 9's article stands elsewhere
+
+
+LONG = "A paragraph of the article that is long enough to count."
+
+
+def test_parts_of_an_article_stay(spark):
+    """Text beside the largest container, headers and boxes inside an article; comments of readers go."""
+    three = f"<body><div class=menu>x</div><div class=lead><p>Lead. {LONG}</p></div><div class=body>{f'<p>{LONG}</p>' * 30}</div><div class=after><p>End. {LONG}</p></div></body>"
+    head = f"<body><header>Site</header><article><header><h1>Title</h1></header><div class=section-header>Part</div><p>{LONG}</p><div class=alert>Mind this</div><div class=widget>Box</div><footer>by</footer></article></body>"
+    talk = f"<body><div class=post><h1>T</h1><p>{LONG}</p></div><div class=reader-comments><p>{LONG * 9}</p></div><div id=user-comments>{LONG * 9}</div></body>"
+    rows = [(k, "http://three/", three) for k in range(3)] + [(10, "http://head/", head), (11, "http://talk/", talk)]
+    # two templates of a host: each keeps its own container
+    rows += [(20 + k, "http://two/", f"<body><div class=main><p>{LONG}</p></div><div class=odd>Footnote {k}</div></body>") for k in range(8)]
+    rows += [(30 + k, "http://two/", f"<body><div class=main><p>{LONG}</p></div><div class=more><p>More. {LONG}</p></div></body>") for k in range(4)]
+    got = {r["page_id"]: r["text"] for r in html.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == "\n\n".join([f"Lead. {LONG}", *[LONG] * 30, f"End. {LONG}"])
+    assert got[10] == f"Title\n\nPart\n\n{LONG}\n\nMind this\n\nBox"
+    assert got[11] == f"T\n\n{LONG}"
+    assert got[20] == LONG and got[30] == f"{LONG}\n\nMore. {LONG}"
+
+
+def test_hot_host_of_many_paths(spark):
+    """Every page votes for a path of its own; the host keeps a bounded number of winners."""
+    rows = [(k, "http://hot/", f"<body><div class=x{'abcdefgh'[k % 8]}{'z' * (k // 8)}><p>{LONG} {k}</p></div><div class=other>{k}</div></body>") for k in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    ranked = html.ranked_paths(html.host_votes(df)).collect()
+    assert len(ranked) == 1 and len(ranked[0]["paths"]) == html.WINNERS
+    assert {r["text"] for r in html.extract_text(df).collect()} == {f"{LONG} {k}" for k in range(200)}
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<a b='" * 200_000, "<a b=\"" * 200_000, "<p x=\">\" <a " * 90_000, "<!--" * 250_000, "<!" * 500_000, "</script" * 130_000,
+                                  "<script>" + "</script " * 120_000, "<script>" * 130_000, "</section>" * 100_000, "<div>" * 20_000 + "</section>" * 80_000, "<" * 1_000_000,
+                                  "<div>" * 200_000, "<div class='a b'>" * 60_000 + "text", "<div><p>t" * 100_000, "&" * 1_000_000, "&amp" * 250_000, "<html><body>" * 80_000,
+                                  "<span class=ad>" * 60_000, "<div class='" + "box-" * 200_000 + "'>x", "<a href=x>y" * 90_000, "<div " + "a=1 " * 250_000 + ">t"])
+def test_broken_megabyte_pages_are_read_in_linear_time(page):
+    import time
+    import tracemalloc
+
+    for part, limit in ((page[:20_000], None), (page, 4)):
+        at = time.perf_counter()
+        p = html.Page(part)
+        p.text(None), p.best()[0].path()
+        assert limit is None or time.perf_counter() - at < limit
+    if page.startswith("<div>" * 200_000):
+        tracemalloc.start()
+        html.Page(page).text(">body")
+        assert tracemalloc.get_traced_memory()[1] < 200_000_000
+        tracemalloc.stop()
+
+
+def test_tags_cut_off_or_unquoted():
+    read = lambda x: [t for _, t, _ in html.Page(x).blocks]
+    assert read("a <b and c > d") == ["a d"] and read("1 < 2 <p>x") == ["1 < 2", "x"] and read("x<p title='a>b' hidden>y") == ["x"]
+    assert read("x<p class=it's>y</p>z") == ["x", "y", "z"] and read("x <a href='open>y</a> z <b>w") == ["x y z w"]
+    assert read("x<!-- a > b -->y<!bogus>z<?pi?>w</ >v") == ["xyzwv"] and read("x<!-- open <p>y") == ["x"]
+    assert read("<SCRIPT>var a='</p>'</Script >t<style>p{}") == ["t"] and read("<p/>x<br/>y<div/>z") == ["x y", "z"]
+    assert read("t<p class=a class=ad>x") == ["t", "x"] and read("t<p class=ad class=a>x") == ["t"]
+
+
+ASIDE_TAGS, ASIDE_CLASSES = ("nav", "aside", "footer", "form"), ("ad", "cookie-notice", "comments", "site-footer")
+TEXTS = ["short", "Some words that are long enough to be substantial here", "Another paragraph which is long enough to count as well", "x"]
+leaves = st.tuples(st.sampled_from(["p", "h2", "li"]), st.just(None), st.sampled_from(TEXTS))
+trees = st.recursive(leaves, lambda kids: st.tuples(st.sampled_from(["div", "section", "article", "main", "ul", "header", *ASIDE_TAGS]),
+                                                    st.sampled_from([None, None, "a", "b12", "section-header", "alert", *ASIDE_CLASSES]), st.lists(kids, max_size=4)), max_leaves=25)
+
+
+def walked(tree, above=()):
+    """(elements above and the text) of every block that isn't set aside: a plain walk over the tree."""
+    tag, name, inside = tree
+    if isinstance(inside, str):
+        return [(above, inside)]
+    article = any(t[0] == "article" for t in above)
+    if tag in ASIDE_TAGS or tag == "header" and not article or name in ASIDE_CLASSES or name == "alert" and not article:
+        return []
+    return [b for k, kid in enumerate(inside) for b in walked(kid, (*above, (tag, name, id(tree), k)))]
+
+
+def written_out(tree):
+    tag, name, inside = tree
+    return f"<{tag}{f' class={name}' if name else ''}>" + (inside if isinstance(inside, str) else "".join(map(written_out, inside))) + f"</{tag}>"
+
+
+def brute_text(kids):
+    body = ("body", None, kids)
+    blocks = [(tuple(e[:3] for e in above), t) for above, t in walked(body)]
+    some = [b for b in blocks if len(b[1]) >= 25]
+    if any(e[0] == "article" for above, _ in some for e in above):
+        some = [b for b in some if any(e[0] == "article" for e in b[0])]
+    elif mains_of(body) and [b for b in some if any(e[2] == mains_of(body)[0] for e in b[0])]:
+        some = [b for b in some if any(e[2] == mains_of(body)[0] for e in b[0])]
+    some = some or blocks
+    if not some:
+        return ""
+    common = list(some[0][0])
+    for above, _ in some:
+        common = [a for a, b in zip(common, above) if a == b]
+    while common and common[-1][0] not in ("body", "main", "article", "section", "div"):
+        common.pop()
+    for k, e in enumerate(common):
+        if e[0] == "article":
+            common = common[:k + 1]
+            break
+    return "\n\n".join(t for above, t in blocks if list(above[:len(common)]) == common)
+
+
+def mains_of(tree):
+    """All main elements in page order, set aside or not."""
+    if isinstance(tree[2], str):
+        return []
+    return [id(tree)] * (tree[0] == "main") + [m for kid in tree[2] for m in mains_of(kid)]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(trees, max_size=4))
+def test_page_against_a_plain_walk_of_its_tree(kids):
+    # elements are told apart by identity, so each is made anew
+    copy = lambda t: [t[0], t[1], t[2] if isinstance(t[2], str) else [copy(k) for k in t[2]]]
+    kids = [copy(k) for k in kids]
+    source = "<html><body>" + "".join(map(written_out, kids)) + "</body></html>"
+    page = html.Page(source)
+    if page.names:          # else all text was set aside by name
+        assert page.text(None) == brute_text(kids)
 
 
 def test_pages_without_a_host_do_not_vote(spark):
