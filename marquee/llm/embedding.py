@@ -14,17 +14,22 @@ A pair counts if either vector visits the other's cell. Each index row knows
 which cells its vector visits, so a task sees which of its finds the other
 side will not see itself, and counts those for both.
 
-Equal vectors are one class with a multiplicity. A task compares a block of
-probes with a block of a cell's vectors; large cells are cut into blocks on
-both sides, so a cell with a third of all vectors is many tasks. A block gives
-counts and a spanning forest of its links, never the pairs.
+Equal vectors are one class with a multiplicity. A row of the grid (all cells of
+one word of the first codebook) is one group, so a vector travels once for the
+several cells of a row that it visits, as the numbers that it came in. A task
+compares a block of a row's probes with a block of its vectors, cell by cell;
+large rows are cut into blocks on both sides, so one with a third of all vectors
+is many tasks. A block gives counts and a spanning forest of its links, never
+the pairs.
 
 Vectors of different lengths can't be compared: each length has its own
 codebooks, slack, cells and blocks. The sample that fits codebooks and slack of
 a length has at most ``SAMPLE`` classes, chosen by a hash of the vector;
-codebooks have at most ``MOST_WORDS`` words, so what is broadcast is bounded for
-each length. A length too rare for two words is one cell and fits nothing.
-Every vector is indexed.
+codebooks have at most ``MOST_WORDS`` words and grow with the root of the number of
+classes until then (some 268 million classes; beyond that cells grow with the
+table). The ``MOST_LENGTHS`` commonest lengths have codebooks, so what is broadcast
+is bounded; other lengths, and those of at most ``WHOLE`` classes, are one cell,
+compared in blocks like any other. Every vector is indexed.
 
 Nulls: vectors that are null, empty, zero, or hold null or non-finite parts
 link with nothing. A null id sorts after all others; a component of null ids alone
@@ -41,11 +46,13 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import FloatType
 
 from marquee.llm.common import NO_ID, components, per_batch, prepare, written
 
 LIMIT, RECALL = 0.95, 0.98
-SAMPLE, MOST_WORDS, PER_CELL, BLOCK = 16_384, 1024, 16, 1024
+SAMPLE, MOST_WORDS, PER_CELL, BLOCK, PART = 16_384, 4096, 16, 4096, 1024
+WHOLE, MOST_LENGTHS = 2048, 64
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -59,10 +66,14 @@ def distances(x: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2 * x @ words.T + (words * words).sum(1)[None, :], 0)
 
 
+def nearest(x: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return np.concatenate([distances(x[i:i + PART], words).argmin(axis=1) for i in range(0, len(x), PART)])
+
+
 def codebook(x: np.ndarray, size: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
     words = x[rng.choice(len(x), min(size, len(x)), replace=False)]
     for _ in range(rounds):
-        near = distances(x, words).argmin(axis=1)
+        near = nearest(x, words)
         count = np.bincount(near, minlength=len(words))
         total = np.zeros_like(words)
         np.add.at(total, near, x)
@@ -88,10 +99,12 @@ class MultiIndex:
         away -= (away * x).sum(1)[:, None] * x
         norm = np.sqrt((away * away).sum(1))[:, None]
         y = limit * x + np.sqrt(max(0.0, 1 - limit * limit)) * away / np.maximum(norm, 1e-300)
-        a, b = self._both(x)
-        c, d = self._both(y)
-        row = np.arange(len(x))
-        excess = a[row, c.argmin(1)] + b[row, d.argmin(1)] - a.min(1) - b.min(1)
+        excess = []
+        for i in range(0, len(x), PART):
+            (a, b), (c, d) = self._both(x[i:i + PART]), self._both(y[i:i + PART])
+            row = np.arange(len(a))
+            excess.append(a[row, c.argmin(1)] + b[row, d.argmin(1)] - a.min(1) - b.min(1))
+        excess = np.concatenate(excess)
         self.slack = float(np.quantile(excess, recall)) + 1e-12
 
     def _both(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,6 +112,8 @@ class MultiIndex:
 
     def visits(self, x: np.ndarray) -> list[np.ndarray]:
         """Cells of each row in the order of the traversal; the first is its own."""
+        if len(x) > PART:
+            return [cells for i in range(0, len(x), PART) for cells in self.visits(x[i:i + PART])]
         a, b = self._both(x)
         first, second = a.argsort(axis=1, kind="stable"), b.argsort(axis=1, kind="stable")
         width = len(self.words[1])
@@ -132,35 +147,49 @@ def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         column = new
 
 
-def _compare(limit: float):
+def _numbers(blobs: list[bytes], wide: bool) -> np.ndarray:
+    return unit(np.frombuffer(b"".join(blobs), "<f8" if wide else "<f4").reshape(len(blobs), -1))
+
+
+def _compare(limit: float, wide: bool):
+    """Compares the blocks of a task, cell by cell."""
     def run(f: pd.DataFrame) -> pd.DataFrame:
         keys, adds, roots = [], [], []
-        f = f.sort_values(["d", "cell", "ib", "pb"], kind="stable")
-        at = np.flatnonzero(np.any(np.diff(f[["d", "cell", "ib", "pb"]].to_numpy(), axis=0, prepend=-1), axis=1)) if len(f) else []
-        probe, key, copies, own = f["probe"].to_numpy(), f["c"].to_numpy(), f["k"].to_numpy(), f["own"].to_numpy()
-        vectors, visits = f["v"].to_numpy(), f["visits"].to_numpy()
-        for a, b in zip(at, [*at[1:], len(f)], strict=True):
-            p, q = a + np.flatnonzero(probe[a:b]), a + np.flatnonzero(~probe[a:b])
+        for _, block in f.groupby(["d", "row", "ib", "pb"], sort=False):
+            p, q = (block[block["probe"] == side] for side in (True, False))
             if not len(p) or not len(q):
                 continue
-            x, y = (np.frombuffer(b"".join(vectors[i]), "<f8").reshape(len(i), -1) for i in (p, q))
-            linked = x @ y.T >= limit
-            linked &= key[p][:, None] != key[q][None, :]
-            if not linked.any():
-                continue
-            cell = own[q[0]]
-            keys.append(key[p])
-            adds.append(linked @ copies[q])
-            # finds that the vector itself won't make, as it doesn't visit the probe's cell
-            unseen = np.zeros(linked.shape, bool)
-            for j in np.flatnonzero(linked.any(axis=0)):
-                r = np.flatnonzero(linked[:, j] & (own[p] != cell))
-                if len(r):
-                    unseen[r, j] = ~np.isin(own[p[r]], np.frombuffer(visits[q[j]], "<i4"))
-            keys.append(key[q])
-            adds.append(copies[p] @ unseen)
-            row, column = forest(linked)
-            roots += [np.where(r >= 0, key[q][r], k) for r, k in ((row, key[p]), (column, key[q]))]
+            x, y = (_numbers(side["v"].tolist(), wide) for side in (p, q))
+            key, copies, own = (q[c].to_numpy() for c in ("c", "k", "own"))
+            key_p, copies_p, own_p = (p[c].to_numpy() for c in ("c", "k", "own"))
+            cells = [np.frombuffer(b, "<i4") for b in p["cells"]]
+            cell = np.concatenate(cells)
+            probe = np.repeat(np.arange(len(p)), [len(c) for c in cells])
+            order = np.argsort(cell, kind="stable")
+            cell, probe = cell[order], probe[order]
+            visits = q["cells"].to_numpy()
+            by_cell = np.argsort(own, kind="stable")
+            for at in np.split(by_cell, np.flatnonzero(np.diff(own[by_cell])) + 1):
+                here = own[at[0]]
+                asked = probe[np.searchsorted(cell, here):np.searchsorted(cell, here, side="right")]
+                for i in range(0, len(asked), PART):
+                    r = asked[i:i + PART]
+                    linked = x[r] @ y[at].T >= limit
+                    linked &= key_p[r][:, None] != key[at][None, :]
+                    if not linked.any():
+                        continue
+                    keys.append(key_p[r])
+                    adds.append(linked @ copies[at])
+                    # finds that the vector itself won't make, as it doesn't visit the probe's cell
+                    unseen = np.zeros(linked.shape, bool)
+                    for j in np.flatnonzero(linked.any(axis=0)):
+                        other = np.flatnonzero(linked[:, j] & (own_p[r] != here))
+                        if len(other):
+                            unseen[other, j] = ~np.isin(own_p[r][other], np.frombuffer(visits[at[j]], "<i4"))
+                    keys.append(key[at])
+                    adds.append(copies_p[r] @ unseen)
+                    row, column = forest(linked)
+                    roots += [np.where(t >= 0, key[at][t], k) for t, k in ((row, key_p[r]), (column, key[at]))]
         if not keys:
             return pd.DataFrame({"c": [], "links": [], "root": []}).astype("int64")
         out = pd.DataFrame({"c": np.concatenate(keys), "links": np.concatenate(adds), "root": np.concatenate(roots)})
@@ -172,42 +201,54 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embe
     """id, n_links, component_id, kept of each vector."""
     spark = prepare(vectors.sparkSession)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = vectors.select(F.coalesce(vectors[id_col], F.lit(NO_ID)).cast("long").alias("id"), vectors[vector].cast("array<double>").alias("v"))
+    wide = vectors.schema[vector].dataType.elementType != FloatType()
+    part = "double" if wide else "float"
+    v = vectors.select(F.coalesce(vectors[id_col], F.lit(NO_ID)).cast("long").alias("id"), vectors[vector].cast(f"array<{part}>").alias("v"))
     fine = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     v = v.withColumn("v", F.when(fine, F.col("v")))
     v = v.withColumn("c", F.when(F.col("v").isNotNull(), F.xxhash64("v")))
     classes = written(v.where("c is not null").groupBy("c").agg(F.first("v").alias("v"), F.count("*").alias("k"), F.min("id").alias("id")))
+    lengths = classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).where(F.col("n") > WHOLE)
     index = {}
-    for d, n in sorted(map(tuple, classes.groupBy(F.size("v")).count().collect())):
-        if n_words(n) > 1:
-            sample = classes.where(F.size("v") == d).select("c", "v").orderBy(F.xxhash64("c", F.lit(1)), "c").limit(SAMPLE).select("v").toArrow()["v"]
-            index[d] = MultiIndex(unit(np.stack([np.array(x, np.float64) for x in sample.to_pylist()])), n, limit, recall)
+    for d, n in map(tuple, lengths.orderBy(F.col("n").desc(), "d").limit(MOST_LENGTHS).collect()):
+        sample = classes.where(F.size("v") == d).select("c", "v").orderBy(F.xxhash64("c", F.lit(1)), "c").limit(SAMPLE).select("v").toArrow()["v"]
+        index[d] = MultiIndex(unit(sample.combine_chunks().flatten().to_numpy().reshape(-1, d)), n, limit, recall)
     shared = spark.sparkContext.broadcast(index)
 
     def code(batch: pa.RecordBatch):
         sizes = pc.list_value_length(batch.column("v")).to_numpy()
         for d in np.unique(sizes).tolist():
-            part = batch.filter(pa.array(sizes == d))
-            x = unit(part.column("v").flatten().to_numpy().reshape(part.num_rows, d))
-            cells = shared.value[d].visits(x) if d in shared.value else [np.zeros(1, "<i4")] * len(x)
-            yield pa.RecordBatch.from_arrays([part.column("c"), part.column("k"), pa.array(np.full(len(x), d), pa.int32()), pa.array([r.astype("<f8").tobytes() for r in x], pa.binary()),
-                                              pa.array([c[0] for c in cells], pa.int32()), pa.array([c.tobytes() for c in cells], pa.binary()), pa.array([c.tolist() for c in cells], pa.list_(pa.int32()))],
-                                             names=["c", "k", "d", "v", "own", "visits", "cells"])
-
-    coded = written(per_batch(classes.select("c", "k", "v"), code, "c long, k long, d int, v binary, own int, visits binary, cells array<int>"))
-    entries = coded.select("c", "k", "d", "v", "own", "visits", F.col("own").alias("cell"), F.lit(False).alias("probe"))
-    probes = coded.select("c", "k", "d", "v", "own", F.lit(b"").alias("visits"), F.explode("cells").alias("cell"), F.lit(True).alias("probe"))
-    sizes = (coded.select("d", "own", F.explode("cells").alias("cell")).groupBy("d", "cell")
-             .agg(F.count("*").alias("np"), F.count_if(F.col("own") == F.col("cell")).alias("ni")).where("ni > 0")
-             .select("d", "cell", F.ceil(F.col("ni") / BLOCK).cast("int").alias("nib"), F.ceil(F.col("np") / BLOCK).cast("int").alias("npb")))
-    both = entries.unionByName(probes).join(sizes, ["d", "cell"])
+            some = batch.filter(pa.array(sizes == d))
+            raw = some.column("v").flatten().to_numpy().reshape(some.num_rows, d)
+            own = shared.value.get(d)
+            cells = own.visits(unit(raw)) if own else [np.zeros(1, "<i4")] * len(raw)
+            words = len(own.words[1]) if own else 1
+            rows = [np.unique(c // words) for c in cells]
+            at = np.repeat(np.arange(len(raw)), [len(r) for r in rows])
+            row = np.concatenate(rows)
+            blob = [r.astype("<f8" if wide else "<f4").tobytes() for r in raw]
+            first = np.array([c[0] for c in cells])
+            # a probe carries the cells of this row that it visits, a vector in its own row all that it visits
+            inside = [cells[i][cells[i] // words == r].tobytes() for i, r in zip(at, row, strict=True)]
+            for who, place, which, probe in ((at, row, inside, True), (np.arange(len(raw)), first // words, [c.tobytes() for c in cells], False)):
+                take = pa.array(who)
+                yield pa.RecordBatch.from_arrays([some.column("c").take(take), some.column("k").take(take), pa.array(np.full(len(who), d), pa.int32()),
+                                                  pa.array([blob[i] for i in who], pa.binary()), pa.array(first[who], pa.int32()), pa.array(which, pa.binary()),
+                                                  pa.array(place, pa.int32()), pa.array(np.full(len(who), probe))],
+                                                 names=["c", "k", "d", "v", "own", "cells", "row", "probe"])
+
+    coded = written(per_batch(classes.select("c", "k", "v"), code, "c long, k long, d int, v binary, own int, cells binary, row int, probe boolean"))
+    # a row of the grid, its blocks of probes and of vectors: as many rows as there are words of the first codebooks
+    sizes = (coded.groupBy("d", "row").agg(F.count_if("probe").alias("np"), F.count_if(~F.col("probe")).alias("ni")).where("ni > 0")
+             .select("d", "row", F.ceil(F.col("ni") / BLOCK).cast("int").alias("nib"), F.ceil(F.col("np") / BLOCK).cast("int").alias("npb")))
+    both = coded.join(sizes, ["d", "row"])
     block = lambda n, salt: F.pmod(F.xxhash64("c", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     dealt = (both.withColumn("ib", F.explode(F.when(F.col("probe"), every("nib")).otherwise(F.array(block("nib", 2)))))
              .withColumn("pb", F.explode(F.when(F.col("probe"), F.array(block("npb", 3))).otherwise(every("npb"))))
-             .withColumn("g", F.pmod(F.xxhash64("d", "cell", "ib", "pb"), F.lit(8 * width)))
-             .select("g", "d", "cell", "ib", "pb", "probe", "c", "k", "v", "own", "visits"))
-    found = written(dealt.groupBy("g").applyInPandas(_compare(limit), "c long, links long, root long"))
+             .withColumn("g", F.pmod(F.xxhash64("d", "row", "ib", "pb"), F.lit(8 * width)))
+             .select("g", "d", "row", "ib", "pb", "probe", "c", "k", "v", "own", "cells"))
+    found = written(dealt.groupBy("g").applyInPandas(_compare(limit, wide), "c long, links long, root long"))
     links = found.groupBy("c").agg(F.sum("links").alias("links"))
     root = components(found.select("c", "root"), "c", "root").withColumnRenamed("node", "c")
     grouped = classes.select("c", "k", "id").join(root, "c", "left").withColumn("root", F.coalesce("root", "c")).join(links, "c", "left")
