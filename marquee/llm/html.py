@@ -362,7 +362,8 @@ def extract_text(pages: DataFrame, keep: Sequence[str] = ("page_id", "url"), url
     """``keep``, text, n_chars of each page."""
     votes = host_votes(pages, url, html)
     total = votes.agg(F.sum("bytes")).first()[0] or 0
-    width = max(pages.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    # not below the session's width, or the join would shuffle the pages once more
+    width = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
     salted = votes.select("host", "salt").distinct().join(ranked_paths(votes), "host")
     pages, keep = without_clash(pages, keep, ("text", "n_chars"))
     types = {f.name: f.dataType.simpleString() for f in pages.schema}
