@@ -18,10 +18,16 @@ Which pairs are counted:
    the group's most central member first. After those links are merged, only
    members of one shingle's group that are still in different components, one
    of them outside the group's largest component, are paired. Pairs inside a
-   component need no count: they can't change the result. Before such a pair
-   is made, the numbers of both members' shingles in ``CELLS`` hash cells bound
-   its overlap (the sum of the smaller ones); near copies that lost different
-   shingles fall below the limit there.
+   component need no count: they can't change the result. A member's place in
+   its own order bounds the size of a partner whose first common shingle this
+   is (what comes before is not in the partner), and the smaller one of a pair
+   must reach its own size at least: so a group splits into early members and
+   late ones, which never pair among themselves, and only early ones are
+   paired, with members of a size that both places allow. Documents that are
+   one template with own filler are late in the template's groups. Then the
+   numbers of both members' shingles in ``CELLS`` hash cells bound the overlap
+   (the sum of the smaller ones); near copies that lost different shingles fall
+   below the limit there.
 
 Counting goes through packed messages: a chunk of documents asks about each of
 its shingles once, whatever the number of its documents that hold it, so a
@@ -306,8 +312,9 @@ def _sample_keys(batch: pa.RecordBatch):
 
 
 def _prefixes(batch: pa.RecordBatch):
-    """(shingle, class, n, m) of the shared shingles within each class's prefix."""
-    token, row = [], []
+    """(shingle, class, n, m, most) of the shared shingles within each class's
+    prefix; most: the largest partner whose first common shingle this can be."""
+    token, row, most = [], [], []
     n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
     for i, t in enumerate(batch.column("tokens").to_pylist()):
         length = n[i] - -(-PERCENT * n[i] // 100) + 1 - (n[i] - m[i])  # shingles of this class alone come first
@@ -315,9 +322,13 @@ def _prefixes(batch: pa.RecordBatch):
             t = np.frombuffer(t, "<i8", min(length, m[i]))
             token.append(t)
             row.append(np.full(len(t), i))
+            # at most n - place are common, and the limit asks for PERCENT / (100 + PERCENT) of both sizes
+            left = m[i] - np.arange(len(t))
+            most.append(((100 + PERCENT) * left - PERCENT * n[i]) // PERCENT)
     if token:
         take = pa.array(np.concatenate(row))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token)), *(batch.column(c).take(take) for c in ("c", "n", "m"))], names=["t", "c", "n", "m"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token)), *(batch.column(c).take(take) for c in ("c", "n", "m")), pa.array(np.concatenate(most), pa.int64())],
+                                         names=["t", "c", "n", "m", "most"])
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -339,7 +350,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     ordered = written(state.groupBy("chunk").cogroup(counts.groupBy("chunk")).applyInPandas(_order(buckets), "c long, n long, m long, tokens binary, df binary"))
 
     join = Join(ordered)
-    prefix = written(per_batch(ordered.select("c", "n", "m", "tokens"), _prefixes, "t long, c long, n long, m long"))
+    prefix = written(per_batch(ordered.select("c", "n", "m", "tokens"), _prefixes, "t long, c long, n long, m long, most long"))
     lone = (F.col("n") - F.col("m")) * 1_000_000 / F.col("n")
     centre = (prefix.withColumn("lone", lone).groupBy("t").agg(F.min(F.struct("lone", "c", "n", "m")).alias("p"), F.count("*").alias("k")).where("k > 1").select("t", "p"))
     star = (prefix.join(centre, "t").where((F.col("c") != F.col("p.c")) & _may_link(F.col("n"), F.col("m"), F.col("p.n"), F.col("p.m")))
@@ -355,12 +366,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     mixed = written(placed.join(main, "t"))
     profiles = per_batch(join.ordered.select("c", "tokens").join(mixed.select("c").distinct(), "c", "left_semi"), _profiles, "c long, cells array<int>")
     mixed = mixed.join(profiles, "c")
-    minor = mixed.where("root <> main").select("t", *(F.col(c).alias(f"{c}1") for c in ("c", "n", "m", "root", "cells")))
-    shared = F.aggregate(F.zip_with("cells1", "cells", lambda a, b: F.least(a, b)), F.lit(0), lambda a, x: a + x)
-    rest = (minor.join(mixed, "t").where((F.col("root1") != F.col("root")) & ((F.col("root") == F.col("main")) | (F.col("c1") < F.col("c")))
-                                         & _may_link(F.col("n1"), F.col("m1"), F.col("n"), F.col("m"))
-                                         & (100 * shared >= PERCENT * (F.col("n1") + F.col("n") - shared)))
-            .select(F.col("c1").alias("x"), F.col("c").alias("y")).distinct().join(star, ["x", "y"], "left_anti"))
+    side = lambda df, k: df.select("t", *(F.col(c).alias(f"{c}{k}") for c in ("c", "n", "m", "most", "root", "main", "cells")))
+    shared = F.aggregate(F.zip_with("cells1", "cells2", lambda a, b: F.least(a, b)), F.lit(0), lambda a, x: a + x)
+    smaller = (F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("c1") < F.col("c2")))
+    able = (smaller & (F.col("n2") <= F.col("most1")) & (F.col("n1") <= F.col("most2")) & (F.col("root1") != F.col("root2"))
+            & _may_link(F.col("n1"), F.col("m1"), F.col("n2"), F.col("m2")) & (100 * shared >= PERCENT * (F.col("n1") + F.col("n2") - shared)))
+    early, minor = mixed.where("most >= n"), F.col("root") != F.col("main")
+    # one of a pair is outside the group's largest component: the smaller one, or only the larger one
+    pairs = (side(early.where(minor), 1).join(side(mixed, 2), "t").where(able)
+             .unionByName(side(early.where(~minor), 1).join(side(mixed.where(minor), 2), "t").where(able)))
+    rest = pairs.select(F.least("c1", "c2").alias("x"), F.greatest("c1", "c2").alias("y")).distinct()
+    rest = rest.join(star.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), ["x", "y"], "left_anti")
     more = written(join.links(written(rest)))
 
     root = components(links.unionByName(more), "x", "y").withColumnRenamed("node", "c")

@@ -81,6 +81,42 @@ def test_ngram_jaccard(spark):
     assert set(kept) == {g["component_id"] for g in got if g["n_shingles"]}
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_groups_near_the_limit(spark, seed):
+    """Cut, lengthened and changed copies around a similarity of 0.75, and parts that several groups share."""
+    r = random.Random(seed)
+    rows = []
+    shared = [words(1000 + k, 30, 5000).split() for k in range(4)]
+    for g in range(12):
+        w = words(100 * seed + g, 70, 5000).split() + shared[g % 4]
+        for k in range(9):
+            t = list(w)
+            t = t[r.randrange(1 + len(t) // 5):] if k % 3 == 0 else t + words(r.randrange(999), r.randrange(len(t) // 4), 300).split() if k % 3 == 1 else t
+            for _ in range(r.randrange(5)):
+                t[r.randrange(len(t))] = f"w{r.randrange(300)}"
+            rows.append((10 * len(rows), " ".join(t)))
+    got = jaccard.similar_groups(frame(spark, rows)).collect()
+    assert sorted((g["id"], g["n_shingles"], g["component_id"]) for g in got) == brute_groups(rows)
+
+
+def test_template_with_own_filler_makes_no_pairs(spark, monkeypatch):
+    """A third of the rows are one template of 78 % and filler that is shared here and there: too unlike to link,
+    and not paired with each other."""
+    template, pool = words(1, 156, 5000), [words(500 + k, 11, 5000) for k in range(60)]
+    rows = [(k, f"{pool[k % 60]} {template} {pool[(7 * k + k // 60) % 60]} {pool[(11 * k + 3 + k // 60) % 60]} {pool[(13 * k + 5) % 60]}") for k in range(240)]
+    rows += [(1000 + k, words(3000 + k, 150, 5000)) for k in range(480)]
+    made = []
+    links = jaccard.Join.links
+
+    def counted(self, pairs):
+        made.append(pairs.count())
+        return links(self, pairs)
+    monkeypatch.setattr(jaccard.Join, "links", counted)
+    got = jaccard.similar_groups(frame(spark, rows)).collect()
+    assert sorted((g["id"], g["n_shingles"], g["component_id"]) for g in got) == brute_groups(rows)
+    assert sum(made) < 3 * len(rows), made
+
+
 def brute_cut(rows, length=50):
     held = defaultdict(lambda: 1 << 62)
     data = [((1 << 62) if r[0] is None else r[0], (r[1] or "").encode()) for r in rows]
