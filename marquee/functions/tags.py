@@ -63,7 +63,7 @@ def ordered_repeat_join(pairs: Column, sep: str = ", ") -> Column:
     n times, tags in byte order: the ordered string aggregate computed from
     per-tag counts instead of every row. Raises when n is beyond an int: such
     a string could not be held."""
-    ordered = F.array_sort(pairs)
+    ordered = F.sort_array(pairs)
     return F.array_join(F.transform(
         ordered, lambda p: F.array_join(F.array_repeat(p.getField("tag"), p.getField("n").cast("int")), sep)), sep)
 

@@ -145,7 +145,7 @@ def title_tag_counts(tags: DataFrame, tag: str = "genre", collation: str | None
     counts = (tags.filter(F.col(tag).isNotNull())
               .groupBy("title", tag).agg(F.count(F.lit(1)).alias("n")))
     return (counts.groupBy("title")
-            .agg(F.array_sort(F.collect_list(F.struct(t.alias("tag"), F.col("n")))).alias("tag_counts")))
+            .agg(F.sort_array(F.collect_list(F.struct(t.alias("tag"), F.col("n")))).alias("tag_counts")))
 
 
 def tag_string(counts: str = "tag_counts", sep: str = ", "):

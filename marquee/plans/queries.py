@@ -18,9 +18,8 @@ from marquee.operators import audit, changes, clean, inference, links, marts, re
 from marquee.operators.ranking import global_rank
 from marquee.plans import catalog as C
 from marquee.plans.catalog import Catalog
-from marquee.plans.incremental import MartState
 from marquee.plans.pipeline import load_marts
-from marquee.plans.stored import Stored
+from marquee.plans.stored import Stored, older
 from marquee.session import scratch_root
 from marquee.sinks.changes import refresh_changed, stored_rows
 from marquee.sinks.tables import append, create_table, create_view, full_refresh, hand_off
@@ -208,7 +207,7 @@ def q_refresh_movies(spark, root):
     fixed = StructType([titles.schema[C.KEY], *schema.MOVIES.fields])
     nullable = StructType([StructField(f.name, f.dataType) for f in fixed.fields])      # rejects are not taken out here
     loaded = full_refresh(titles, name, scratch_root(spark), schema=nullable)
-    full_refresh(spark.table(name), name, scratch_root(spark), expect_rows=loaded["rows"], schema=nullable)
+    full_refresh(spark.table(name), name, scratch_root(spark), expect_rows=loaded["rows"], schema=nullable, keep_versions=1)
     return _read_back(spark, name, *nullable.names)
 
 
@@ -316,50 +315,27 @@ def q_inferred_types(spark, root):
     return inference.inferred_types(inference.class_counts(Catalog(spark, root).raw))
 
 
-# Two versions of the titles: an older one lacks some rows, has others that are
-# gone since, rows with another budget, and rows that were loaded twice.
-
-def _older(titles: DataFrame) -> DataFrame:
-    key = F.col(C.KEY)
-    older = titles.where(key % 7 != 0).withColumn("budget", F.when(key % 5 == 0, F.coalesce(F.col("budget"), F.lit(0)) + 1).otherwise(F.col("budget")))
-    gone = titles.where(key % 11 == 0).withColumn(C.KEY, -key)
-    return older.unionByName(gone).unionByName(older.where(key % 13 == 0))
-
+# Two versions of the titles (``stored.older``): what differs, and loads of only that.
 
 def q_change_diff(spark, root):
     titles = Stored.of(spark, root).catalog.titles
-    return changes.diff(_older(titles), titles, (C.KEY,))
+    return changes.diff(older(titles), titles, (C.KEY,))
 
 
 def q_refresh_changed(spark, root):
     """The older version, then a refresh that rewrites what differs."""
     titles, name = Stored.of(spark, root).catalog.titles, _new_name()
-    refresh_changed(_older(titles), name, (C.KEY,), parts=16, root=scratch_root(spark))
+    refresh_changed(older(titles), name, (C.KEY,), parts=16, root=scratch_root(spark))
     refresh_changed(titles, name, (C.KEY,), parts=16, root=scratch_root(spark))
     return stored_rows(spark, name)     # its partitions are the catalog's, so the entry stays
 
 
-def _batches(spark, root) -> MartState:
-    """The older version as a first batch, what changed since as a second one,
-    and the rest of the tags as a third."""
-    c = Stored.of(spark, root).catalog
-    state = MartState(spark, f"{scratch_root(spark)}/{_new_name()}")
-    late = F.pmod(F.xxhash64("genre", C.KEY), F.lit(3)) == 0        # tags of old titles that come with the last batch
-    late = F.coalesce(late, F.lit(False))
-    old = _older(c.titles)
-    nothing = c.titles.limit(0)
-    state.add(1, old, c.tags.where(~late))
-    state.add(2, changes.signed_rows(old, c.titles, (C.KEY,)), c.tags.limit(0))
-    state.add(3, nothing, c.tags.where(late))
-    return state
-
-
 def q_genre_mart_incremental(spark, root):
-    return _batches(spark, root).genre_mart()
+    return Stored.of(spark, root).marts.genre_mart()
 
 
 def q_country_mart_incremental(spark, root):
-    return _batches(spark, root).country_mart()
+    return Stored.of(spark, root).marts.country_mart()
 
 
 QUERIES: dict[str, Query] = {

@@ -57,10 +57,8 @@ def order_lines(spark: SparkSession, root: str) -> DataFrame:
     part = read_table(spark, root, "part", ["p_partkey", "p_type"])
     rem = F.col("l_linenumber") % 3
     kind = (F.col("l_orderkey") + F.col("l_linenumber")) % 40
-    tag = F.when(kind == 0, F.lit(LINE_TAGS[0]))
-    for i, word in enumerate(LINE_TAGS[1:], 1):
-        tag = tag.when(kind == i, F.lit(word))
-    tag = (tag.when(rem == 0, F.lit("Econmy"))
+    dirty = F.element_at(F.array(*map(F.lit, LINE_TAGS)), (kind + 1).cast("int"))
+    tag = (F.when(kind < len(LINE_TAGS), dirty).when(rem == 0, F.lit("Econmy"))
             .when(rem == 1, F.concat(F.lit(" "), F.col("p_type")))
             .otherwise(F.col("p_type")))
     # price (cents) * (1 - discount) (hundredths) in exact long units of
@@ -78,7 +76,7 @@ def order_lines(spark: SparkSession, root: str) -> DataFrame:
                  (F.sum(cents * keep).cast("decimal(18,0)") * F.lit("0.0001").cast("decimal(4,4)"))
                  .alias("net_amount"),
                  F.array_join(F.transform(
-                     F.array_sort(F.collect_list(F.struct("l_linenumber", "p_partkey", tag.alias("tag")))),
+                     F.sort_array(F.collect_list(F.struct("l_linenumber", "p_partkey", tag.alias("tag")))),
                      lambda s: s.getField("tag")), ",").alias("genre")))
 
 
