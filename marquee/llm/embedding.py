@@ -33,8 +33,9 @@ compared in blocks like any other. Every vector is indexed.
 
 Nulls: vectors that are null, empty, zero, or hold null or non-finite parts
 link with nothing. A null id sorts after all others; a component of null ids alone
-has a null id. Repeated rows are vectors of their own. An empty table gives no
-rows; other columns are left out.
+has a null id. Repeated rows are vectors of their own; ties at the limit cosine
+link. Very long vectors are compared whole (a block of ``BLOCK`` of them is in
+memory at once). An empty table gives no rows; other columns are left out.
 """
 
 from __future__ import annotations

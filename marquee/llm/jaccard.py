@@ -38,7 +38,8 @@ empty set, link with nothing and are their own component. A null id sorts
 after all others; a component of null ids alone has a null id. Rows that share
 an id and a text are copies of each other; rows that share an id only are
 documents of their own. Very long texts are read whole; an empty table gives
-no rows; other columns are left out.
+no rows; other columns are left out. Ties between members go to the smallest
+id, then to the smallest hash of id and text.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ than three lines have no window; windows of three empty lines don't count.
 Nulls: null texts have no line and stay null; a null id sorts after all
 others. Rows that share an id and a text are the same document: all stay or
 lose the same lines. Very long texts are read whole. An empty table gives no
-rows; other columns pass through unless their names are this operator's.
+rows; other columns pass through unless their names are this operator's. Ties,
+occurrences at the same id and line, are the same document's and all stay.
 """
 
 from __future__ import annotations
