@@ -13,6 +13,18 @@ a table folder's documents.
    documents of which only white space is left go.
 5. best_fit_packing: places of all documents in sequences of 2,048 tokens.
 
+Each stage returns whole rows of its predecessor, in which only the columns
+named above change. Null and empty texts have no language and go in the first
+stage, so the later ones see none (each would take them: no lines, an empty
+set of shingles, no bytes, one piece). Null ids sort after all others: their
+documents never displace another one. Repeated rows are copies: line_dedup and
+suffix_dedup treat rows of one id and text alike, ngram_jaccard keeps one row
+of them. Ties between copies go to the smallest id, then to the smallest hash of
+id and text. Very long texts go through every stage whole; a document of more
+than a sequence is cut into pieces by the last one alone. An empty table gives
+an empty table of the same columns. Columns beside those of ``documents`` are
+left out, whatever their names.
+
 Python parts of the stages can't be said in SQL, so ``ORACLE_SQL`` is None and
 the tests hold the stages against brute force.
 """
