@@ -1,7 +1,9 @@
-"""Command line: ``python -m marquee {run,verify,reports} ...``.
+"""Command line: ``python -m marquee {run,add,verify,reports} ...``.
 
 * ``run``     raw CSV (file, folder or glob) -> cleaned tables, rejects and marts,
               every table swapped in whole.
+* ``add``     raw CSV as batch N -> added to the stored partial sums, marts refreshed
+              from them.
 * ``verify``  print the verification reads (top ROI, tag counts, row counts,
               first rows of each mart).
 * ``reports`` write the five chart datasets (one folder each) as CSV or parquet.
@@ -25,10 +27,18 @@ def _cmd_run(spark, a) -> None:
     from marquee.sources import read_raw_csv
     columns = a.columns.split(",") if a.columns else None
     raw = read_raw_csv(spark, a.input, columns=columns, multi_line=not a.single_line)
-    counts = run_pipeline(spark, raw, root=a.warehouse, prefix=a.prefix, rank_impl=a.rank, buckets=a.buckets)
+    counts = run_pipeline(spark, raw, root=a.warehouse, prefix=a.prefix, rank_impl=a.rank, buckets=a.buckets, check_links=a.check_links)
     print(json.dumps(counts))
 
 
+def _cmd_add(spark, a) -> None:
+    from marquee.plans.pipeline import run_batch
+    from marquee.sources import read_raw_csv
+    columns = a.columns.split(",") if a.columns else None
+    raw = read_raw_csv(spark, a.input, columns=columns, multi_line=not a.single_line)
+    print(json.dumps(run_batch(spark, raw, a.batch, root=a.warehouse, prefix=a.prefix)))
+
+
 def _cmd_verify(spark, a) -> None:
     from marquee.operators.verify import verify
     from marquee.plans.pipeline import attach_run
@@ -78,6 +88,12 @@ def main(argv=None) -> None:
     r.add_argument("--rank", choices=("window", "global"), default="global",
                    help="mart rank: range-bucketed (any number of groups) or one window (few groups)")
     r.add_argument("--buckets", type=int, default=None, help="store titles and tags by hash of the title, in this many buckets")
+    r.add_argument("--check-links", action="store_true", help="reject tag rows whose title was not loaded")
+    b = sub.add_parser("add")
+    b.add_argument("input")
+    b.add_argument("--batch", type=int, required=True, help="number of the batch; the last one may be loaded again")
+    b.add_argument("--columns", default=None, help="comma list of the expected CSV header")
+    b.add_argument("--single-line", action="store_true", help="splittable CSV without quoted newlines")
     sub.add_parser("verify")
     rp = sub.add_parser("reports")
     rp.add_argument("output")
@@ -85,7 +101,7 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     sized = cluster_conf(int(a.input_gb * 1024 ** 3), a.cores, a.executors) if a.input_gb else None
     spark = get_session(a.master, extra=sized)
-    {"run": _cmd_run, "verify": _cmd_verify, "reports": _cmd_reports}[a.cmd](spark, a)
+    {"run": _cmd_run, "add": _cmd_add, "verify": _cmd_verify, "reports": _cmd_reports}[a.cmd](spark, a)
 
 
 if __name__ == "__main__":

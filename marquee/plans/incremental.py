@@ -10,7 +10,9 @@ correction is the withdrawal of the old row and the load of the new one
 A batch changes the product only for the titles it touches: their state
 before (summed over earlier batches) and after gives a difference per tag,
 which is stored as the batch's own part of the mart. Reading the mart sums one
-row per tag and batch; no read and no load scans the rows of earlier batches.
+row per tag and batch; no read and no load scans the raw rows of earlier
+batches. The top-titles mart is made at read from two sums, of equal title rows
+and of (title, tag) pairs.
 
 A batch is written below its own folder, so a batch that failed half-way or
 runs twice overwrites what it had left. The last batch may be repeated with
@@ -21,13 +23,17 @@ state, and its tags one row per pair.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators import marts
+from marquee.functions.text import quoted
+from marquee.functions.tiers import BUDGET_CUTS, ROI_CUTS
+from marquee.operators import marts, staging
 from marquee.operators.changes import WEIGHT
+from marquee.operators.clean import TITLE_COLUMNS
 from marquee.sinks.tables import _exists, _fs_path, remove_path
 
 MONEY = ("budget", "box_office", "roi")
@@ -68,17 +74,24 @@ def country_part(titles: DataFrame) -> DataFrame:
                                         *_signed_sums(titles))
 
 
+def row_part(titles: DataFrame) -> DataFrame:
+    """The title rows with a known box office, equal ones as one with ``copies``."""
+    columns = [c for c in titles.columns if c != WEIGHT]
+    known = titles.where(F.col("box_office").isNotNull())
+    return known.groupBy(*map(quoted, columns)).agg(F.sum(_weight(titles)).alias("copies"))
+
+
 def _total(df: DataFrame, *by: str) -> DataFrame:
     """Parts of several batches added up."""
     values = [c for c in df.columns if c not in by]
     types = dict(df.dtypes)
-    return df.groupBy(*by).agg(*[F.sum(c).cast(types[c]).alias(c) for c in values])
+    return df.groupBy(*map(quoted, by)).agg(*[F.sum(c).cast(types[c]).alias(c) for c in values])
 
 
 class MartState:
     """Partial sums of the marts in a folder, one sub-folder per part and batch."""
 
-    PARTS = ("titles", "tags", "countries", "genres")
+    PARTS = ("rows", "titles", "tags", "countries", "genres")
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -103,12 +116,14 @@ class MartState:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def add(self, batch: int, titles: DataFrame, tags: DataFrame) -> None:
-        """Load a batch: titles (title, country, money) and tags (title, genre),
-        each with an optional ``weight``."""
+        """Load a batch: titles (title, country, money and what else the
+        top-titles mart shows) and tags (title, genre), each with an optional
+        ``weight``."""
         earlier = [b for b in self.batches() if b < batch]
         if any(b > batch for b in self.batches()) and batch not in self.batches():
             raise ValueError(f"batch {batch} is older than the last one loaded")
         remove_path(self.spark, self._folder("genres", batch))       # incomplete until its last part is written
+        self._write(row_part(titles), "rows", batch)
         self._write(country_part(titles), "countries", batch)
         t = self._write(title_part(titles), "titles", batch)
         g = self._write(tag_part(tags), "tags", batch)
@@ -138,11 +153,26 @@ class MartState:
     def country_mart(self, rank_impl: str = "global") -> DataFrame:
         return self._mart("countries", "country", "t_rows", rank_impl)
 
-    def _mart(self, part: str, by: str, alive: str, rank_impl: str) -> DataFrame:
+    def top_titles(self, budget_cuts: Sequence[float] = BUDGET_CUTS, roi_cuts: Sequence[float] = ROI_CUTS) -> DataFrame:
+        """The compact top-titles mart: every staged row with its tag counts."""
+        batches = self._complete()
+        rows = self._read("rows", batches)
+        columns = [c for c in rows.columns if c != "copies"]
+        net = _total(rows, *columns).where("copies > 0").withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")
+        staged = staging.staged_titles(net.select("*", *[F.lit(None).alias(c) for c in TITLE_COLUMNS if c not in columns]), budget_cuts, roi_cuts)
+        pairs = _total(self._read("tags", batches), "title", "genre").where("k > 0 AND genre IS NOT NULL")
+        counts = pairs.groupBy("title").agg(F.sort_array(F.collect_list(F.struct(F.col("genre").alias("tag"), F.col("k").alias("n")))).alias("tag_counts"))
+        keep = [c for c in columns if c not in TITLE_COLUMNS]
+        return staged.join(counts, "title", "left").select(*map(quoted, keep), *marts.TOP_TITLE_COLUMNS[:-1], "tag_counts")
+
+    def _complete(self) -> list[int]:
         batches = self.batches()        # a batch counts when its last part is written
         if not batches:
             raise FileNotFoundError(f"{self.path}: no batch loaded")
-        total = _total(self._read(part, batches), by).where(f"{alive} > 0")
+        return batches
+
+    def _mart(self, part: str, by: str, alive: str, rank_impl: str) -> DataFrame:
+        total = _total(self._read(part, self._complete()), by).where(f"{alive} > 0")
         named = {"s_budget": "s_budget", "n_budget": "n_budget", "s_box_office": "s_box", "n_box_office": "n_box", "s_roi": "s_roi", "n_roi": "n_roi"}
         return marts._finish(total.select(by, "movie_count", *[F.col(a).alias(b) for a, b in named.items()]), by, rank_impl)
 
@@ -152,7 +182,8 @@ class MartState:
         batches = self.batches()
         if len(batches) < 2:
             return len(batches)
-        keys = {"titles": ("title",), "tags": ("title", "genre"), "countries": ("country",), "genres": ("genre",)}
+        columns = [c for c in self._read("rows", batches).columns if c != "copies"]
+        keys = {"rows": tuple(columns), "titles": ("title",), "tags": ("title", "genre"), "countries": ("country",), "genres": ("genre",)}
         other = MartState(self.spark, f"{self.path}/_compact")
         remove_path(self.spark, other.path)
         for part in self.PARTS:

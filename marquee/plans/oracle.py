@@ -325,7 +325,7 @@ ORACLE_SQL["normalized_tags_dictionary_table"] = ORACLE_SQL["normalized_tags"]
 # stored tables: the same answers from what was written
 ORACLE_SQL["country_mart_global_rank"] = ORACLE_SQL["country_mart_read"] = ORACLE_SQL["country_mart_incremental"] = ORACLE_SQL["country_mart"]
 ORACLE_SQL["genre_mart_stored"] = ORACLE_SQL["genre_mart_read"] = ORACLE_SQL["genre_mart_incremental"] = ORACLE_SQL["genre_mart"]
-ORACLE_SQL["top_titles_mart_stored"] = ORACLE_SQL["top_titles_mart"]
+ORACLE_SQL["top_titles_mart_stored"] = ORACLE_SQL["top_titles_mart_incremental"] = ORACLE_SQL["top_titles_mart"]
 ORACLE_SQL["hand_off_titles"] = ORACLE_SQL["refresh_changed"] = ORACLE_SQL["clean_titles"]
 ORACLE_SQL["row_counts_stored"] = ORACLE_SQL["row_counts"]
 ORACLE_SQL["staged_tags"] = _with("SELECT title, genre FROM movie_genres")

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from marquee import schema
 from marquee.functions.tags import GENRE_CORRECTIONS
 from marquee.functions.tiers import BUDGET_CUTS, BUDGET_LABELS, ROI_CUTS, ROI_LABELS
-from marquee.operators import audit, clean, marts, staging
+from marquee.operators import audit, clean, links, marts, staging
 from marquee.operators.clean import TITLE_COLUMNS
+from marquee.plans.incremental import MartState
 from marquee.sinks.buckets import read_bucketed
 from marquee.sinks.tables import Buckets, attach, default_root, full_refresh, hand_off, remove_path
 from marquee.sinks.views import VIEWS, open_warehouse, save_view
@@ -29,7 +30,7 @@ TABLES = ("movies", "movie_genres", "movies_rejects", "movie_genres_rejects",
 def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str] = GENRE_CORRECTIONS,
                  budget_cuts: Sequence[float] = BUDGET_CUTS, roi_cuts: Sequence[float] = ROI_CUTS,
                  root: str | None = None, prefix: str = "", keep: Sequence[str] = (),
-                 rank_impl: str = "global", buckets: int | None = None) -> dict:
+                 rank_impl: str = "global", buckets: int | None = None, check_links: bool = False) -> dict:
     """Run the whole batch on ``raw`` (all-string columns) and return counts.
 
     * the cleaned wide rows (title columns, tag list, first broken rule) are
@@ -46,14 +47,10 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str]
       whose genre and country counts are known to be small.
     * ``buckets``: store titles and tags by hash of the title, so that the
       marts' joins need no shuffle.
+    * ``check_links``: tag rows whose title was not loaded are rejected, too
+      (``title_not_found``), as a foreign key would.
     """
-    t_rules = {**audit.title_rules(), "roi_out_of_range": audit.roi_out_of_range()}
-    wide = clean.clean_wide(raw, mapping, keep=keep, audit=True).withColumn("_reason", audit.first_reason(t_rules))
-    src, src_path = hand_off(wide, "wide", return_path=True)
-    titles, tags = clean.split_wide(src, keep=keep)
-    good_t = titles.filter(F.col("_reason").isNull()).select(*keep, *TITLE_COLUMNS)
-    bad_t = titles.filter(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
-    good_g, bad_g = audit.split_valid(tags, audit.tag_rules())
+    src, src_path, good_t, bad_t, good_g, bad_g = _split(raw, mapping, keep, check_links)
 
     n = src.agg(F.count_if(F.col("_reason").isNull()).alias("good"), F.count_if(F.col("_reason").isNotNull()).alias("bad"),
                 F.coalesce(F.sum(F.size("genre_list")), F.lit(0)).alias("tags")).first()
@@ -79,6 +76,43 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, mapping: Mapping[str, str]
     return {k: v["rows"] for k, v in out.items()}
 
 
+def _split(raw: DataFrame, mapping: Mapping[str, str], keep: Sequence[str], check_links: bool):
+    """The wide copy of cleaned rows, its folder, and what passes the load rules and what doesn't."""
+    t_rules = {**audit.title_rules(), "roi_out_of_range": audit.roi_out_of_range()}
+    wide = clean.clean_wide(raw, mapping, keep=keep, audit=True).withColumn("_reason", audit.first_reason(t_rules))
+    src, path = hand_off(wide, "wide", return_path=True)
+    titles, tags = clean.split_wide(src, keep=keep)
+    good_t = titles.filter(F.col("_reason").isNull()).select(*keep, *TITLE_COLUMNS)
+    bad_t = titles.filter(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
+    good_g, bad_g = audit.split_valid(tags, audit.tag_rules())
+    if check_links:
+        good_g, alone = links.split_linked(good_g, good_t)
+        bad_g = bad_g.unionByName(alone)
+    return src, path, good_t, bad_t, good_g, bad_g
+
+
+def run_batch(spark: SparkSession, raw: DataFrame, batch: int, mapping: Mapping[str, str] = GENRE_CORRECTIONS,
+              budget_cuts: Sequence[float] = BUDGET_CUTS, roi_cuts: Sequence[float] = ROI_CUTS, root: str | None = None,
+              prefix: str = "", keep: Sequence[str] = (), rank_impl: str = "global") -> dict:
+    """Load one batch of raw rows into the stored partial sums and refresh the
+    marts from them: the work follows the batch and the sums, not the rows
+    loaded before. Rejects go to a folder per batch. A batch that failed or is
+    loaded again overwrites what it had left."""
+    root = (root or default_root(spark)).rstrip("/")
+    state = MartState(spark, f"{root}/{prefix}mart_state")
+    _, path, good_t, bad_t, good_g, bad_g = _split(raw, mapping, keep, False)
+    out = {}
+    for name, df in (("movies_rejects", bad_t), ("movie_genres_rejects", bad_g)):
+        df.write.mode("overwrite").parquet(f"{state.path}/{name}/{batch:08d}")
+        out[name] = spark.read.schema(df.schema).parquet(f"{state.path}/{name}/{batch:08d}").count()
+    state.add(batch, good_t, good_g)
+    for name, df in (("mart_genre_analysis", state.genre_mart(rank_impl)), ("mart_country_analysis", state.country_mart(rank_impl)),
+                     ("mart_top_movies", state.top_titles(budget_cuts, roi_cuts))):
+        out[name] = full_refresh(df, f"{prefix}{name}", root)["rows"]
+    remove_path(spark, path)
+    return out
+
+
 def create_staging_views(spark: SparkSession, prefix: str = "", budget_cuts: Sequence[float] = BUDGET_CUTS,
                          roi_cuts: Sequence[float] = ROI_CUTS, root: str | None = None, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """The staging models as lasting views over the loaded tables."""

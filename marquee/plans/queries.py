@@ -338,6 +338,12 @@ def q_country_mart_incremental(spark, root):
     return Stored.of(spark, root).marts.country_mart()
 
 
+def q_top_titles_mart_incremental(spark, root):
+    s = Stored.of(spark, root)
+    top = s.marts.top_titles(s.catalog.p.budget_cuts, s.catalog.p.roi_cuts)
+    return top.withColumn("genres", marts.tag_string()).select(C.KEY, *marts.TOP_TITLE_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     "raw_catalog": q_raw_catalog,
     "clean_titles": q_clean_titles,
@@ -392,4 +398,5 @@ QUERIES: dict[str, Query] = {
     "refresh_changed": q_refresh_changed,
     "genre_mart_incremental": q_genre_mart_incremental,
     "country_mart_incremental": q_country_mart_incremental,
+    "top_titles_mart_incremental": q_top_titles_mart_incremental,
 }

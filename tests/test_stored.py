@@ -262,6 +262,39 @@ def test_batches_equal_one_full_run(spark, tmp_path, seed):
         state.add(2, *frames(spark, more_t, more_g))
 
 
+HEADER = "title,release_year,director,language,country,duration,budget,box_office,genre\n"
+
+
+def test_two_csv_batches_equal_one_run(spark, tmp_path):
+    """Raw batches through cleaning, load rules and stored sums; titles repeat across batches."""
+    from marquee.plans.pipeline import run_batch, run_pipeline
+    from marquee.sources import read_raw_csv
+    first = 'A,2001,D1,en,US,90,100,300,"Action, Horor"\nB,2002,D2,en,UK,95.5,200,unknown,Drama\nA,2001,D1,en,US,90,100,300,"Action, Horor"\n'
+    second = 'C,2003,D3,en,US,100,0,50,"Drama,,Action"\nNone,2004,D4,en,US,80,10,20,Comedy\nA,2009,D5,fr,FR,80,10,20,Comedy\n'
+    for name, text in (("one", first), ("two", second), ("all", first + second)):
+        (tmp_path / f"{name}.csv").write_text(HEADER + text)
+    read = lambda name: read_raw_csv(spark, str(tmp_path / f"{name}.csv"))
+    run_pipeline(spark, read("all"), root=str(tmp_path / "wh"), prefix="whole_")
+    run_batch(spark, read("one"), 1, root=str(tmp_path / "wh"), prefix="parts_")
+    for _ in range(2):          # the second batch runs twice
+        out = run_batch(spark, read("two"), 2, root=str(tmp_path / "wh"), prefix="parts_")
+    assert out["movies_rejects"] == 1 and out["movie_genres_rejects"] == 2
+    for t in ("mart_genre_analysis", "mart_country_analysis", "mart_top_movies"):
+        assert rows(spark.table(f"parts_{t}")) == rows(spark.table(f"whole_{t}").select(*spark.table(f"parts_{t}").columns)), t
+
+
+def test_links_are_checked_on_load(spark, tmp_path):
+    """Tags of a title that a load rule rejects are orphans."""
+    from marquee.plans.pipeline import run_pipeline
+    from marquee.sources import read_raw_csv
+    (tmp_path / "a.csv").write_text(HEADER + f'A,2001,D,en,US,90,100,300,"Action,Drama"\nB,2001,{"d" * 201},en,US,90,100,300,"Action,Drama"\n')
+    raw = read_raw_csv(spark, str(tmp_path / "a.csv"))
+    loose = run_pipeline(spark, raw, root=str(tmp_path / "wh"), prefix="loose_")
+    tight = run_pipeline(spark, raw, root=str(tmp_path / "wh"), prefix="tight_", check_links=True)
+    assert (loose["movie_genres"], loose["movie_genres_rejects"], tight["movie_genres"], tight["movie_genres_rejects"]) == (4, 0, 2, 2)
+    assert {r["reason"] for r in spark.table("tight_movie_genres_rejects").collect()} == {"title_not_found"}
+
+
 def test_everything_withdrawn_leaves_empty_marts(spark, tmp_path):
     state = MartState(spark, str(tmp_path / "state"))
     t, g = frames(spark, [("a", "x", 1, 2, "1.00")] * 2, [("a", "g")] * 3)
