@@ -14,13 +14,13 @@ A pair counts if either vector visits the other's cell. Each index row knows
 which cells its vector visits, so a task sees which of its finds the other
 side will not see itself, and counts those for both.
 
-Equal vectors are one class with a multiplicity. A row of the grid (all cells of
-one word of the first codebook) is one group, so a vector travels once for the
-several cells of a row that it visits, as the numbers that it came in. A task
-compares a block of a row's probes with a block of its vectors, cell by cell;
-large rows are cut into blocks on both sides, so one with a third of all vectors
-is many tasks. A block gives counts and a spanning forest of its links, never
-the pairs.
+Equal vectors are one class with a multiplicity. Neighbouring words of the first
+codebook are put together to bands of about ``BLOCK`` vectors, and a band's cells
+are one group, so a vector travels once for all cells of a band that it visits,
+as the numbers that it came in. A task compares a block of a band's probes with
+a block of its vectors, cell by cell; large bands are cut into blocks on both
+sides, so one with a third of all vectors is many tasks. A block gives counts
+and a spanning forest of its links, never the pairs.
 
 Vectors of different lengths can't be compared: each length has its own
 codebooks, slack, cells and blocks. The sample that fits codebooks and slack of
@@ -34,8 +34,8 @@ compared in blocks like any other. Every vector is indexed.
 Nulls: vectors that are null, empty, zero, or hold null or non-finite parts
 link with nothing. A null id sorts after all others; a component of null ids alone
 has a null id. Repeated rows are vectors of their own; ties at the limit cosine
-link. Very long vectors are compared whole (a block of ``BLOCK`` of them is in
-memory at once). An empty table gives no rows; other columns are left out.
+link. Very long vectors are compared whole (a block of at most ``BLOCK_BYTES`` of them is
+in memory at once). An empty table gives no rows; other columns are left out.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ from pyspark.sql.types import FloatType
 from marquee.llm.common import NO_ID, components, per_batch, prepare, written
 
 LIMIT, RECALL = 0.95, 0.98
-SAMPLE, MOST_WORDS, PER_CELL, BLOCK, PART = 16_384, 4096, 16, 4096, 1024
+SAMPLE, MOST_WORDS, PER_CELL, BLOCK, BLOCK_BYTES, PART = 16_384, 4096, 16, 32_768, 1 << 25, 1024
 WHOLE, MOST_LENGTHS = 2048, 64
 
 
@@ -82,6 +82,11 @@ def codebook(x: np.ndarray, size: int, rng: np.random.Generator, rounds: int = 8
     return words
 
 
+def block_rows(d: int) -> int:
+    """Vectors of ``d`` parts in a block: ``BLOCK``, or fewer if they are long."""
+    return max(1, min(BLOCK, BLOCK_BYTES // (8 * max(1, d))))
+
+
 def n_words(n_classes: int) -> int:
     return int(np.clip(np.sqrt(n_classes / PER_CELL), 1, MOST_WORDS))
 
@@ -95,6 +100,8 @@ class MultiIndex:
         size = n_words(n_classes)
         parts = (sample[:, :self.half], sample[:, self.half:])
         self.words = [codebook(p, size, rng) for p in parts]
+        bands = min(size, -(-n_classes // block_rows(sample.shape[1])))
+        self.band = nearest(self.words[0], codebook(self.words[0], bands, rng)).astype(np.int64)    # of each first word
         x = sample[:4096]
         away = rng.standard_normal(x.shape)
         away -= (away * x).sum(1)[:, None] * x
@@ -156,7 +163,7 @@ def _compare(limit: float, wide: bool):
     """Compares the blocks of a task, cell by cell."""
     def run(f: pd.DataFrame) -> pd.DataFrame:
         keys, adds, roots = [], [], []
-        for _, block in f.groupby(["d", "row", "ib", "pb"], sort=False):
+        for _, block in f.groupby(["d", "band", "ib", "pb"], sort=False):
             p, q = (block[block["probe"] == side] for side in (True, False))
             if not len(p) or not len(q):
                 continue
@@ -223,32 +230,35 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embe
             raw = some.column("v").flatten().to_numpy().reshape(some.num_rows, d)
             own = shared.value.get(d)
             cells = own.visits(unit(raw)) if own else [np.zeros(1, "<i4")] * len(raw)
+            band = own.band if own else np.zeros(1, np.int64)
             words = len(own.words[1]) if own else 1
-            rows = [np.unique(c // words) for c in cells]
+            bands = [band[c // words] for c in cells]
+            rows = [np.unique(b) for b in bands]
             at = np.repeat(np.arange(len(raw)), [len(r) for r in rows])
             row = np.concatenate(rows)
             blob = [r.astype("<f8" if wide else "<f4").tobytes() for r in raw]
             first = np.array([c[0] for c in cells])
-            # a probe carries the cells of this row that it visits, a vector in its own row all that it visits
-            inside = [cells[i][cells[i] // words == r].tobytes() for i, r in zip(at, row, strict=True)]
-            for who, place, which, probe in ((at, row, inside, True), (np.arange(len(raw)), first // words, [c.tobytes() for c in cells], False)):
+            # a probe carries the cells of this band that it visits, a vector in its own band all that it visits
+            inside = [cells[i][bands[i] == r].tobytes() for i, r in zip(at, row, strict=True)]
+            for who, place, which, probe in ((at, row, inside, True), (np.arange(len(raw)), band[first // words], [c.tobytes() for c in cells], False)):
                 take = pa.array(who)
                 yield pa.RecordBatch.from_arrays([some.column("c").take(take), some.column("k").take(take), pa.array(np.full(len(who), d), pa.int32()),
                                                   pa.array([blob[i] for i in who], pa.binary()), pa.array(first[who], pa.int32()), pa.array(which, pa.binary()),
                                                   pa.array(place, pa.int32()), pa.array(np.full(len(who), probe))],
-                                                 names=["c", "k", "d", "v", "own", "cells", "row", "probe"])
-
-    coded = written(per_batch(classes.select("c", "k", "v"), code, "c long, k long, d int, v binary, own int, cells binary, row int, probe boolean"))
-    # a row of the grid, its blocks of probes and of vectors: as many rows as there are words of the first codebooks
-    sizes = (coded.groupBy("d", "row").agg(F.count_if("probe").alias("np"), F.count_if(~F.col("probe")).alias("ni")).where("ni > 0")
-             .select("d", "row", F.ceil(F.col("ni") / BLOCK).cast("int").alias("nib"), F.ceil(F.col("np") / BLOCK).cast("int").alias("npb")))
-    both = coded.join(sizes, ["d", "row"])
+                                                 names=["c", "k", "d", "v", "own", "cells", "band", "probe"])
+
+    coded = written(per_batch(classes.select("c", "k", "v"), code, "c long, k long, d int, v binary, own int, cells binary, band int, probe boolean"))
+    # a band's blocks of probes and of vectors: at most as many rows as there are words of the first codebooks
+    most = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_BYTES) / (8 * F.greatest(F.col("d"), F.lit(1))))))
+    sizes = (coded.groupBy("d", "band").agg(F.count_if("probe").alias("np"), F.count_if(~F.col("probe")).alias("ni")).where("ni > 0")
+             .select("d", "band", F.ceil(F.col("ni") / most).cast("int").alias("nib"), F.ceil(F.col("np") / most).cast("int").alias("npb")))
+    both = coded.join(sizes, ["d", "band"])
     block = lambda n, salt: F.pmod(F.xxhash64("c", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     dealt = (both.withColumn("ib", F.explode(F.when(F.col("probe"), every("nib")).otherwise(F.array(block("nib", 2)))))
              .withColumn("pb", F.explode(F.when(F.col("probe"), F.array(block("npb", 3))).otherwise(every("npb"))))
-             .withColumn("g", F.pmod(F.xxhash64("d", "row", "ib", "pb"), F.lit(8 * width)))
-             .select("g", "d", "row", "ib", "pb", "probe", "c", "k", "v", "own", "cells"))
+             .withColumn("g", F.pmod(F.xxhash64("d", "band", "ib", "pb"), F.lit(8 * width)))
+             .select("g", "d", "band", "ib", "pb", "probe", "c", "k", "v", "own", "cells"))
     found = written(dealt.groupBy("g").applyInPandas(_compare(limit, wide), "c long, links long, root long"))
     links = found.groupBy("c").agg(F.sum("links").alias("links"))
     root = components(found.select("c", "root"), "c", "root").withColumnRenamed("node", "c")
