@@ -6,9 +6,11 @@ method then reads the text through transducers and looks again:
 1. one character for one: homoglyphs (full-width and mathematical forms,
    Cyrillic and Greek letters that look Latin, digits of all scripts, odd
    spaces and dashes) become their ASCII look-alikes;
-2. tokens for characters: format characters vanish; ``(at)``, ``[dot]`` and
-   bare `` at `` ... `` dot `` become ``@`` and ``.``; spelled digits and ``plus``
-   become ``0``-``9`` and ``+``; O and l between digits become 0 and 1.
+2. tokens for characters: format characters vanish; ``(at)``, ``[dot]``, bare
+   `` at `` ... `` dot ``, ``_at_``, ``nameATsiteDOTcom``, `` @ ``, `` . `` and
+   character references become ``@`` and ``.``; spelled digits (also ``double``
+   ones, in four languages) and ``plus`` become ``0``-``9`` and ``+``; O and l
+   between digits become 0 and 1.
 
 The output keeps, for each stretch, where it came from, so what the patterns
 find in it maps back to code points of the source. Such a span is added if it
@@ -45,6 +47,7 @@ from marquee.llm.common import per_batch, prepare, without_clash
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DIGITS = frozenset("0123456789")
+LOWER = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP_REST = re.compile(r"\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9]++(?:[\x20-][0-9]++)*+")
@@ -94,7 +97,14 @@ def spans_of(text: str) -> list[Span]:
 # Letters that look like Latin ones, in alphabetical order of their scripts.
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХаеѕіјорсухԁһԛԝ", "ABESIJKMHOPCTYXaesijopcyxdhqw", strict=True))
 GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧικνορυ", "ABEZHIKMNOPTYXikvopu", strict=True))
-DIGIT_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
+DIGIT_WORDS = {
+    "en": ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"),
+    "de": ("null", "eins", "zwei", "drei", "vier", "fünf", "sechs", "sieben", "acht", "neun"),
+    "fr": ("zéro", "un", "deux", "trois", "quatre", "cinq", "six", "sept", "huit", "neuf"),
+    "es": ("cero", "uno", "dos", "tres", "cuatro", "cinco", "seis", "siete", "ocho", "nueve"),
+}
+TIMES = {"double": 2, "triple": 3}
+REFERENCES = {"@": ("&#64;", "&#x40;", "&commat;", "%40"), ".": ("&#46;", "&#x2e;", "&period;", "%2e"), "+": ("&#43;", "&#x2b;", "&plus;", "%2b")}
 AT_WORDS, DOT_WORDS = ("at", "arroba"), ("dot", "punto", "punkt", "point")
 
 
@@ -131,9 +141,15 @@ class Transducer:
         formats = [chr(cp) for cp in range(sys.maxunicode + 1) if unicodedata.category(chr(cp)) == "Cf"]
         self.special = frozenset(map(chr, self.chars)).union(formats)
         one_of = "|".join
-        digit, at, dot = one_of(DIGIT_WORDS), one_of(AT_WORDS), one_of(DOT_WORDS)
+        self.digit = {w: str(i) for words in DIGIT_WORDS.values() for i, w in enumerate(words)}
+        digit, at, dot = one_of([*self.digit, "oh"]), one_of(AT_WORDS), one_of(DOT_WORDS)
         dot_mark = rf"[\[({{<]\s*+(?:{dot}|\.)\s*+[\])}}>]"
-        self.words = re.compile(rf"\b(?:{digit}|{at}|{dot}|plus)\b")
+        self.words = re.compile(rf"\b(?:{digit}|{at}|{dot}|{one_of(TIMES)}|plus)\b")
+        self.references = re.compile(one_of(re.escape(r) for refs in REFERENCES.values() for r in refs))
+        self.meant = {r: c for c, refs in REFERENCES.items() for r in refs}
+        self.joined = re.compile(r"[_-](?:(?P<at>at)[_-](?=[a-z0-9]++(?:[_-]dot[_-][a-z0-9]++)+)|dot[_-](?=[a-z0-9]))")
+        self.capitals = re.compile(r"(?P<at>AT)(?=[a-z0-9-]++(?:DOT[a-z0-9-]++)+)|DOT(?=[a-z0-9])")
+        self.spaced_at = re.compile(rf"@\s++(?=[a-z0-9-]++\s*+(?:\.|{dot_mark}|(?<=\s)(?:{dot})\s))|(?<=\s)@(?=[a-z0-9-]++\.[a-z])")
         self.brackets = re.compile(rf"[\[({{<]\s*+(?:(?P<at>{at}|@)|(?P<dot>{dot}|\.))\s*+[\])}}>]\s*+")
         self.formats = re.compile("[" + "".join(map(re.escape, formats)) + "]+")
         self.letters = re.compile(r"[0-9][ol]+(?=[0-9])")
@@ -141,9 +157,10 @@ class Transducer:
         self.at_before, self.dot_before = re.compile(r"[a-z0-9_%+-]\s"), re.compile(r"[a-z0-9]\s")
         self.at_after = re.compile(rf"\s++(?=[a-z0-9-]++\s*+(?:{dot_mark}|(?<=\s)(?:{dot})\s+[a-z0-9]))")
         self.dot_after = re.compile(r"\s++(?=[a-z0-9])")
-        self.plus_after = re.compile(rf"[ -]?(?=[0-9]|(?:{digit})\b)")
-        self.digit_after = re.compile(rf"[ -](?=(?:{digit})\b)")
-        self.digit = {w: str(i) for i, w in enumerate(DIGIT_WORDS)}
+        spelled = rf"(?:{digit}|{one_of(TIMES)})\b"
+        self.plus_after = re.compile(rf"[ -]?(?=[0-9]|{spelled})")
+        self.digit_after = re.compile(rf"(?:[ -]|, ?)(?={spelled})")
+        self.digit_next = re.compile(rf"[ -]({one_of(self.digit)})\b")
 
     @classmethod
     def own(cls) -> Transducer:
@@ -151,16 +168,41 @@ class Transducer:
             cls._own = cls()
         return cls._own
 
-    def _tokens(self, low: str, special: bool) -> list[tuple[int, int, str]]:
-        """(start, end, what it stands for) of tokens in the lower-cased text."""
+    def _tokens(self, plain: str, special: bool) -> list[tuple[int, int, str]]:
+        """(start, end, what it stands for) of tokens in the text."""
+        low = plain.lower()
         out = [(m.start(), m.end(), "@" if m["at"] else ".") for m in self.brackets.finditer(low)]
+        out += [(m.start(), m.end(), self.meant[m[0]]) for m in self.references.finditer(low)]
+        for text, found in ((low, self.joined), (plain, self.capitals)):
+            out += [(m.start(), m.end(), "@" if m["at"] else ".") for m in found.finditer(text) if m.start() and text[m.start() - 1] in LOWER]
+        if " @" in low or "@ " in low:
+            for m in self.spaced_at.finditer(low):
+                before = m.start()
+                while before and low[before - 1].isspace():
+                    before -= 1
+                if before and low[before - 1] in LOWER:
+                    out.append((m.start(), m.end(), "@"))
+        at = low.find(" . ")
+        while at >= 0:
+            if at and low[at - 1] in LOWER and low[at + 3:at + 4] in LOWER:
+                out.append((at, at + 3, "."))
+            at = low.find(" . ", at + 2)
         if special:
             out += [(m.start(), m.end(), "") for m in self.formats.finditer(low)]
         for m in self.letters.finditer(low):
             out.append((m.start() + 1, m.end(), "".join("1" if c == "l" else "0" for c in m[0][1:])))
         for m in self.words.finditer(low):
             word, start, end = m[0], m.start(), m.end()
-            if word in self.digit:
+            if word in TIMES:
+                if more := self.digit_next.match(low, end):
+                    end = more.end()
+                    more, new = self.digit_after.match(low, end), TIMES[word] * self.digit[more[1]]
+                    out.append((start, more.end() if more else end, new))
+            elif word == "oh":                  # a zero only among spelled digits
+                more = self.digit_after.match(low, end)
+                if more or out and out[-1][1] == start and out[-1][2].isdigit():
+                    out.append((start, more.end() if more else end, "0"))
+            elif word in self.digit:
                 more, new = self.digit_after.match(low, end), self.digit[word]
                 out.append((start, more.end() if more else end, new))
             elif word == "plus":
@@ -178,7 +220,7 @@ class Transducer:
         length in the source, whether a token stands for the source's part)."""
         special = not (text.isascii() or self.special.isdisjoint(text))
         plain = text.translate(self.chars) if special else text
-        tokens = self._tokens(plain.lower(), special)
+        tokens = self._tokens(plain, special)
         if not tokens:
             return plain, [(0, 0, len(plain), False)]
         out: list[str] = []
@@ -223,8 +265,8 @@ class Transducer:
                 i -= 1
             first = parts[i][1] + (0 if parts[i][3] else a - parts[i][0])
             last = parts[j][1] + (parts[j][2] if parts[j][3] else b - parts[j][0])
-            while last > first and text[last - 1] in " -" and parts[j][3]:
-                last -= 1                       # a spelled digit takes the blank that follows it
+            while last > first and text[last - 1] in " -," and parts[j][3]:
+                last -= 1                       # a spelled digit takes what parts it from the next one
             beside = plain[a - 1:a] + " " + plain[b:b + 1]
             if text[first:last] == plain[a:b] or any(c.isalnum() for c in beside):
                 continue
