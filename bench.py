@@ -3,7 +3,7 @@ local[$BENCH_CPUS]. (The corpus operators' figures come from the cluster check.)
 
 Each query is executed through the ``noop`` sink (full execution, nothing
 collected to the driver); warm median of ``$BENCH_REPEATS`` runs (default 3)
-after ``$BENCH_WARMUP`` warm-up passes over all queries (default 2; the first
+after ``$BENCH_WARMUP`` warm-up passes over all queries (default 1; the first
 one also records each query's row count). Prints one JSON line.
 """
 
@@ -23,7 +23,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
-    warmup = max(1, int(os.environ.get("BENCH_WARMUP", "2")))
+    warmup = max(1, int(os.environ.get("BENCH_WARMUP", "1")))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from pyspark.sql import Observation
