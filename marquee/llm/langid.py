@@ -36,7 +36,7 @@ from marquee.llm.common import prepare, without_clash
 SAMPLE_ROWS, SWITCH_COST, UNKNOWN = 3000, 12.0, "und"
 CELLS = 1 << 16
 #: Letters of text that are handled at once; a longer single text is a slice of its own.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 #: First and last code point of the blocks of each script (Unicode).
 SCRIPTS = {
     "latin": ((0x41, 0x24F), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xFF21, 0xFF5A)),

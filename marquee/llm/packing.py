@@ -62,7 +62,7 @@ class WordCache:
     what is common stays and the memory is bounded whatever the vocabulary.
     """
 
-    LIMIT, TOGETHER, PARTED, PART, PART_ID = 80_000_000, 1000, 200, "<|endoftext|>", 49407
+    LIMIT, TOGETHER, PARTED, PART, PART_ID = 40_000_000, 1000, 200, "<|endoftext|>", 49407
     SPECIAL = ("<|startoftext|>", "<|endoftext|>")
     PER_ENTRY = 200                     # bytes of an entry beside its key and its ids
     _own: dict[str, WordCache] = {}
