@@ -41,37 +41,48 @@ from marquee.session import checkpoint_root
 from marquee.sinks.tables import remove_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Bytes of rows that go to or from a Python worker at once (Spark's own bound counts rows, however long they are).
+BATCH_BYTES = 4 * 1024 ** 2
 MIN_SCORE = 0.5
 
 
+def _prepared(spark: SparkSession) -> None:
+    prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def _documents(df: DataFrame) -> DataFrame:
     """The columns of ``documents``, with n_chars as the text now is."""
     return df.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in COLUMNS))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    _prepared(spark)
     found = langid.identify(docs, langid.fit(docs), keep=COLUMNS)
     kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE))
     return _documents(kept.drop("lang").withColumnRenamed("lang_pred", "lang"))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _prepared(spark)
     found = line_dedup.drop_repeated_lines(docs.select(*COLUMNS))
     return _documents(found.where((F.col("n_removed") == 0) | (F.length(F.trim("text")) > 0)))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _prepared(spark)
     kept = jaccard.similar_groups(docs).where("kept").select("key")
     one = docs.select(F.xxhash64("doc_id", "text").alias("key"), *COLUMNS).join(kept, "key", "left_semi")
     return _documents(one.groupBy("key").agg(*(F.first(c).alias(c) for c in COLUMNS)))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _prepared(spark)
     return _documents(suffix.without_repeats(docs.select(*COLUMNS)))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _prepared(spark)
     return packing.pack_documents(docs, queries.tokenizer_file("word_bpe_49k.json"))
 
 
