@@ -34,11 +34,13 @@ from marquee.functions.tiers import BUDGET_CUTS, ROI_CUTS
 from marquee.operators import marts, staging
 from marquee.operators.changes import WEIGHT
 from marquee.operators.clean import TITLE_COLUMNS
-from marquee.sinks.tables import _exists, _fs_path, remove_path
+from marquee.sinks.tables import _exists, _fs_path, _read_text, _write_text, remove_path
 
 MONEY = ("budget", "box_office", "roi")
 SUMS = tuple(f"{p}_{c}" for c in MONEY for p in ("s", "n"))
 WIDE = "decimal(38,0)"
+#: Folder of folded parts on their way, its mark of completeness, and the number of the last folded batch.
+COMPACT, READY, FOLDED = "_compact", "_READY", "_FOLDED"
 
 
 def _weight(df: DataFrame):
@@ -95,6 +97,7 @@ class MartState:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._take_compacted()
 
     def _folder(self, part: str, batch: int) -> str:
         return f"{self.path}/{part}/{batch:08d}"
@@ -119,6 +122,9 @@ class MartState:
         """Load a batch: titles (title, country, money and what else the
         top-titles mart shows) and tags (title, genre), each with an optional
         ``weight``."""
+        folded = self._folded()
+        if folded is not None and batch <= folded:
+            raise ValueError(f"batch {batch} is folded into others up to {folded}")
         earlier = [b for b in self.batches() if b < batch]
         if any(b > batch for b in self.batches()) and batch not in self.batches():
             raise ValueError(f"batch {batch} is older than the last one loaded")
@@ -177,21 +183,40 @@ class MartState:
         return marts._finish(total.select(by, "movie_count", *[F.col(a).alias(b) for a, b in named.items()]), by, rank_impl)
 
     def compact(self) -> int:
-        """Fold all complete batches into the last one's folder. The folded part
-        is written beside the state first, then takes the batches' place."""
+        """Fold all complete batches into one, under the last one's number. All
+        folded parts are written beside the state first, then take the batches'
+        place; a folded batch can't be loaded again."""
         batches = self.batches()
         if len(batches) < 2:
             return len(batches)
         columns = [c for c in self._read("rows", batches).columns if c != "copies"]
         keys = {"rows": tuple(columns), "titles": ("title",), "tags": ("title", "genre"), "countries": ("country",), "genres": ("genre",)}
-        other = MartState(self.spark, f"{self.path}/_compact")
-        remove_path(self.spark, other.path)
+        other = f"{self.path}/{COMPACT}"
+        remove_path(self.spark, other)
         for part in self.PARTS:
             alive = reduce(lambda a, b: a | b, [F.col(c) != 0 for c in self._read(part, batches[:1]).columns if c not in keys[part]])
-            other._write(_total(self._read(part, batches), *keys[part]).where(alive), part, batches[-1])
-        for part in self.PARTS:
-            fs, p = _fs_path(self.spark, f"{self.path}/{part}")
-            remove_path(self.spark, f"{self.path}/{part}")
-            fs.rename(_fs_path(self.spark, f"{other.path}/{part}")[1], p)
-        remove_path(self.spark, other.path)
+            _total(self._read(part, batches), *keys[part]).where(alive).write.parquet(f"{other}/{part}/{batches[-1]:08d}")
+        _write_text(self.spark, f"{other}/{READY}", str(batches[-1]))
+        self._take_compacted()
         return 1
+
+    def _take_compacted(self) -> None:
+        """Put complete folded parts in the batches' place; what an earlier
+        attempt left over is taken up where it stopped."""
+        other = f"{self.path}/{COMPACT}"
+        if not _exists(self.spark, f"{other}/{READY}"):
+            return
+        last = _read_text(self.spark, f"{other}/{READY}")
+        for part in self.PARTS:
+            if _exists(self.spark, f"{other}/{part}"):
+                remove_path(self.spark, f"{self.path}/{part}")
+                fs, p = _fs_path(self.spark, f"{self.path}/{part}")
+                fs.rename(_fs_path(self.spark, f"{other}/{part}")[1], p)
+        remove_path(self.spark, f"{self.path}/{FOLDED}")
+        _write_text(self.spark, f"{self.path}/{FOLDED}", last)
+        remove_path(self.spark, other)
+
+    def _folded(self) -> int | None:
+        """The last batch that can no longer be loaded again."""
+        path = f"{self.path}/{FOLDED}"
+        return int(_read_text(self.spark, path)) if _exists(self.spark, path) else None

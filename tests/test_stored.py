@@ -3,6 +3,7 @@
 import glob
 import os
 import random
+import shutil
 import subprocess
 import sys
 from collections import Counter
@@ -255,6 +256,8 @@ def test_batches_equal_one_full_run(spark, tmp_path, seed):
     assert (rows(state.genre_mart()), rows(state.country_mart())) == full(spark, new_t, new_g)
     assert state.compact() == 1 and state.batches() == [4]
     assert (rows(state.genre_mart()), rows(state.country_mart())) == full(spark, new_t, new_g)
+    with pytest.raises(ValueError):
+        state.add(4, *frames(spark, more_t, more_g))        # folded
     more_t, more_g = batch_rows(rng, 20)
     state.add(5, *frames(spark, more_t, more_g))
     assert (rows(state.genre_mart()), rows(state.country_mart())) == full(spark, new_t + more_t, new_g + more_g)
@@ -295,6 +298,28 @@ def test_links_are_checked_on_load(spark, tmp_path):
     assert {r["reason"] for r in spark.table("tight_movie_genres_rejects").collect()} == {"title_not_found"}
 
 
+def test_interrupted_folding_is_taken_up(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "state")
+    state = MartState(spark, path)
+    t, g = frames(spark, [("a", "x", 1, 2, "1.00")], [("a", "g")])
+    for b in (1, 2):
+        state.add(b, t, g)
+    expected = rows(state.genre_mart())
+    monkeypatch.setattr(MartState, "_take_compacted", lambda self: None)
+    state.compact()                                         # stopped after the folded parts were written
+    assert state.batches() == [1, 2] and rows(state.genre_mart()) == expected
+    os.rename(f"{path}/_compact/rows", f"{path}/moved")     # and after one of them had taken its place
+    shutil.copytree(f"{path}/moved", f"{path}/folded")
+    for name in os.listdir(f"{path}/rows"):
+        os.rename(f"{path}/rows/{name}", f"{tmp_path}/old-{name}")
+    for name in os.listdir(f"{path}/folded"):
+        os.rename(f"{path}/folded/{name}", f"{path}/rows/{name}")
+    monkeypatch.undo()
+    again = MartState(spark, path)
+    assert again.batches() == [2] and rows(again.genre_mart()) == expected and not os.path.exists(f"{path}/_compact")
+    assert spark.read.parquet(f"{path}/rows/00000002").collect()[0]["copies"] == 2
+
+
 def test_everything_withdrawn_leaves_empty_marts(spark, tmp_path):
     state = MartState(spark, str(tmp_path / "state"))
     t, g = frames(spark, [("a", "x", 1, 2, "1.00")] * 2, [("a", "g")] * 3)
@@ -341,7 +366,6 @@ def test_view_of_a_missing_table_is_an_error(spark, tmp_path):
     save_view(spark, "vw_of_gone", "SELECT * FROM vw_gone", root)
     spark.sql("DROP TABLE vw_gone")
     spark.catalog.dropTempView("vw_of_gone")
-    import shutil
     shutil.copytree(f"{root}/_views", tmp_path / "other" / "_views")
     with pytest.raises(RuntimeError):
         open_warehouse(spark, str(tmp_path / "other"))

@@ -27,7 +27,12 @@ def tree(df) -> str:
         if m[2] == "FileScan":
             where = re.search(r"Location: \w+\(\d+ paths\)\[file:([^\],]*)", rest)
             pushed, schema = re.search(r"PushedFilters: (\[.*?\])", rest), re.search(r"ReadSchema: (.*)$", rest)
-            rest = f" {os.path.basename(where[1]) if where else '?'} PushedFilters {pushed[1] if pushed else '[]'} ReadSchema {schema[1] if schema else '?'}"
+            parts = re.search(r"PartitionFilters: (\[[^\]].*?\]), PushedFilters", rest)
+            kind = (" Bucketed" if "Bucketed: true" in rest else "") + (f" PartitionFilters {parts[1]}" if parts else "")
+            rest = f" {os.path.basename(where[1]) if where else '?'}{kind} PushedFilters {pushed[1] if pushed else '[]'} ReadSchema {schema[1] if schema else '?'}"
+        elif m[2] == "BatchScan":
+            pushed = re.search(r"PushedAggregation: (\[[^\]]*\])", rest)
+            rest = f" PushedAggregation {pushed[1] if pushed else '[]'}"
         elif m[2] == "Exchange":
             rest = " " + rest.strip().split(",")[0].split("(")[0]
         else:
