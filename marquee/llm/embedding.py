@@ -248,11 +248,13 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embe
                                                  names=["c", "k", "d", "v", "own", "cells", "band", "probe"])
 
     coded = written(per_batch(classes.select("c", "k", "v"), code, "c long, k long, d int, v binary, own int, cells binary, band int, probe boolean"))
-    # a band's blocks of probes and of vectors: at most as many rows as there are words of the first codebooks
+    # blocks of probes and of vectors of the bands that have several: fewer rows than there are blocks, so the
+    # broadcast has a proven bound, and no vector travels to learn its blocks
     most = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_BYTES) / (8 * F.greatest(F.col("d"), F.lit(1))))))
     sizes = (coded.groupBy("d", "band").agg(F.count_if("probe").alias("np"), F.count_if(~F.col("probe")).alias("ni")).where("ni > 0")
-             .select("d", "band", F.ceil(F.col("ni") / most).cast("int").alias("nib"), F.ceil(F.col("np") / most).cast("int").alias("npb")))
-    both = coded.join(sizes, ["d", "band"])
+             .select("d", "band", F.ceil(F.col("ni") / most).cast("int").alias("nib"), F.ceil(F.col("np") / most).cast("int").alias("npb"))
+             .where("nib > 1 or npb > 1"))
+    both = coded.join(F.broadcast(sizes), ["d", "band"], "left").withColumns({n: F.coalesce(n, F.lit(1)) for n in ("nib", "npb")})
     block = lambda n, salt: F.pmod(F.xxhash64("c", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     dealt = (both.withColumn("ib", F.explode(F.when(F.col("probe"), every("nib")).otherwise(F.array(block("nib", 2)))))
