@@ -41,6 +41,8 @@ END_ID = 0
 BRANCHES = 5000
 
 
+#: Bytes of ids that a Python worker keeps in a generation of its cache.
+CACHE_BYTES = 80_000_000
 #: Names of the result's columns and of those on the way to it.
 OWN = ("piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset", "_part", "_row", "_n", "_rank", "_in", "_first")
 
@@ -62,7 +64,7 @@ class WordCache:
     what is common stays and the memory is bounded whatever the vocabulary.
     """
 
-    LIMIT, TOGETHER, PARTED, PART, PART_ID = 40_000_000, 1000, 200, "<|endoftext|>", 49407
+    LIMIT, TOGETHER, PARTED, PART, PART_ID = CACHE_BYTES, 1000, 200, "<|endoftext|>", 49407
     SPECIAL = ("<|startoftext|>", "<|endoftext|>")
     PER_ENTRY = 200                     # bytes of an entry beside its key and its ids
     _own: dict[str, WordCache] = {}
@@ -151,7 +153,7 @@ class WordCache:
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep: Sequence[str] = ("doc_id",),
-                     text: str = "text", with_ids: bool = False) -> DataFrame:
+                     text: str = "text", with_ids: bool = False, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """``keep``, piece, start, length, ids_crc32 (and ids, if asked for)."""
     prepare(docs.sparkSession)
     docs, keep = without_clash(docs, keep, OWN)
@@ -161,6 +163,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
 
     def run(batches):
         cache = WordCache.of(tokenizer_path)
+        cache.LIMIT = cache_bytes
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -293,6 +296,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, branches: int = BRANCHES)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, keep: Sequence[str] = ("doc_id",),
-                   text: str = "text", with_ids: bool = False) -> DataFrame:
+                   text: str = "text", with_ids: bool = False, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Pieces of all documents with their place in a sequence."""
-    return pack(written(tokenized_pieces(docs, tokenizer_path, capacity, keep, text, with_ids)), capacity)
+    return pack(written(tokenized_pieces(docs, tokenizer_path, capacity, keep, text, with_ids, cache_bytes)), capacity)
