@@ -43,6 +43,8 @@ from marquee.sinks.tables import remove_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Bytes of rows that go to or from a Python worker at once (Spark's own bound counts rows, however long they are).
 BATCH_BYTES = 4 * 1024 ** 2
+#: Of a generation of the packing stage's cache: half of what the operator takes by default, as other stages' workers live beside it.
+CACHE_BYTES = 40_000_000
 MIN_SCORE = 0.5
 
 
@@ -83,7 +85,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _prepared(spark)
-    return packing.pack_documents(docs, queries.tokenizer_file("word_bpe_49k.json"))
+    return packing.pack_documents(docs, queries.tokenizer_file("word_bpe_49k.json"), cache_bytes=CACHE_BYTES)
 
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup_stage), ("ngram_jaccard", ngram_jaccard), ("suffix_dedup", suffix_dedup),
