@@ -62,13 +62,12 @@ def signed_rows(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame
     row, -n for n fewer. Loading them with their weights turns one version
     into the other (``plans.incremental``)."""
     columns = [c for c in new.columns if c not in FINGERPRINT]
-    net = net_changes(old, new, key)
 
     def side(df: DataFrame, sign: int) -> DataFrame:
-        mine = net.where(F.col("net") * sign > 0).select(*FINGERPRINT, "net")
-        one = with_fingerprint(df).select(*[F.col(quoted(c)) for c in columns], *FINGERPRINT)
-        # each distinct row once, with the difference as its weight
-        return (one.join(mine, list(FINGERPRINT), "inner").groupBy(*FINGERPRINT, "net")
-                .agg(F.first(F.struct(*[F.col(quoted(c)) for c in columns])).alias("r")).select("r.*", F.col("net").alias(WEIGHT)))
+        return with_fingerprint(df).select(*[F.col(quoted(c)) for c in columns], *FINGERPRINT, F.lit(sign).alias("_sign"))
 
-    return side(new, 1).unionByName(side(old, -1))
+    # both versions meet the differences in one join, so those are found once
+    net = net_changes(old, new, key).select(*FINGERPRINT, F.col("net").alias("_net"))
+    mine = side(new, 1).unionByName(side(old, -1)).join(net, list(FINGERPRINT), "inner").where(F.col("_net") * F.col("_sign") > 0)
+    # each distinct row once, with the difference as its weight
+    return mine.drop("_sign").distinct().select(*[F.col(quoted(c)) for c in columns], F.col("_net").alias(WEIGHT))

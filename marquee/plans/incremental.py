@@ -129,29 +129,45 @@ class MartState:
         if any(b > batch for b in self.batches()) and batch not in self.batches():
             raise ValueError(f"batch {batch} is older than the last one loaded")
         remove_path(self.spark, self._folder("genres", batch))       # incomplete until its last part is written
-        self._write(row_part(titles), "rows", batch)
-        self._write(country_part(titles), "countries", batch)
-        t = self._write(title_part(titles), "titles", batch)
+        # the batch is read once: the other title parts are sums of its distinct rows
+        rows = self._write(row_part(titles), "rows", batch).withColumnRenamed("copies", WEIGHT)
+        self._write(country_part(rows), "countries", batch)
+        t = self._write(title_part(rows), "titles", batch)
         g = self._write(tag_part(tags), "tags", batch)
-        touched = t.select("title").union(g.select("title")).distinct()
         old_t, old_g = self._read("titles", earlier), self._read("tags", earlier)
         if old_t is None:
-            delta = self._product(t, g, 1)
+            old_t, old_g = t.limit(0), g.limit(0)
         else:
             # only the touched titles' state is read on; it is small when the batch is
+            touched = t.select("title").union(g.select("title")).distinct()
             old_t, old_g = old_t.join(touched, "title", "left_semi"), old_g.join(touched, "title", "left_semi")
-            delta = (self._product(old_t.unionByName(t), old_g.unionByName(g), 1)
-                     .unionByName(self._product(old_t, old_g, -1)))
-        self._write(_total(delta, "genre"), "genres", batch)
+        self._write(self._delta(old_t, t, old_g, g), "genres", batch)
 
     @staticmethod
-    def _product(titles: DataFrame, tags: DataFrame, sign: int) -> DataFrame:
-        """(genre, movie_count, sums) of pairs with tag rows and staged titles."""
-        t = _total(titles, "title").where("t_rows > 0")
-        g = _total(tags, "title", "genre").where("k > 0")
-        k = (F.col("k") * sign).cast(WIDE)
-        return (g.join(t, "title").groupBy("genre")
-                .agg(F.sum(F.lit(sign).cast("long")).alias("movie_count"), *[F.sum(k * F.col(c).cast(WIDE)).cast(WIDE).alias(c) for c in SUMS]))
+    def _beside(old: DataFrame, new: DataFrame, *by: str) -> DataFrame:
+        """Sums without the batch (``old_`` before their names) and with it, from one shuffle by title."""
+        types = dict(new.dtypes)
+        values = [c for c in new.columns if c not in by]
+        both = new.withColumn("_late", F.lit(True)).unionByName(old.withColumn("_late", F.lit(False)))
+        return (both.repartition("title").groupBy(*map(quoted, by))
+                .agg(*[F.sum(c).cast(types[c]).alias(c) for c in values],
+                     *[F.coalesce(F.sum(F.when(~F.col("_late"), F.col(c))), F.lit(0)).cast(types[c]).alias(f"old_{c}") for c in values]))
+
+    @staticmethod
+    def _delta(old_t: DataFrame, t: DataFrame, old_g: DataFrame, g: DataFrame) -> DataFrame:
+        """(genre, movie_count, sums): what the batch adds to the product over
+        pairs with tag rows and staged titles."""
+        pairs = MartState._beside(old_g, g, "title", "genre").join(MartState._beside(old_t, t, "title"), "title")
+        pairs = (pairs.withColumn("_now", (F.col("k") > 0) & (F.col("t_rows") > 0))
+                 .withColumn("_then", (F.col("old_k") > 0) & (F.col("old_t_rows") > 0)).where("_now OR _then"))
+        zero = F.lit(0).cast(WIDE)
+
+        def product(there: str, k: str, c: str):
+            return F.when(F.col(there), (F.col(k).cast(WIDE) * F.col(c).cast(WIDE)).cast(WIDE)).otherwise(zero)
+
+        return (pairs.groupBy("genre")
+                .agg(F.sum(F.col("_now").cast("long") - F.col("_then").cast("long")).alias("movie_count"),
+                     *[F.sum((product("_now", "k", c) - product("_then", "old_k", f"old_{c}")).cast(WIDE)).cast(WIDE).alias(c) for c in SUMS]))
 
     def genre_mart(self, rank_impl: str = "global") -> DataFrame:
         return self._mart("genres", "genre", "movie_count", rank_impl)

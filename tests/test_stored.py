@@ -265,6 +265,24 @@ def test_batches_equal_one_full_run(spark, tmp_path, seed):
         state.add(2, *frames(spark, more_t, more_g))
 
 
+def test_a_batch_of_titles_is_read_once(spark, tmp_path):
+    """All title parts come from one pass; a batch that changes only tags leaves the rest as it is."""
+    titles = [("A", "x", 1, 10, "0.01"), ("A", "x", 1, 10, "0.01"), ("B", None, None, 20, None), (None, "y", 3, 30, "1.50"), ("C", "y", 4, None, "2.00")]
+    tags = [("A", "g"), ("A", "g"), ("A", "h"), ("B", None), ("C", "g"), (None, "g"), ("D", "h")]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(r):
+        read.add(1)
+        return r
+
+    t, g = frames(spark, titles, tags[:3])
+    state = MartState(spark, str(tmp_path / "state"))
+    state.add(1, spark.createDataFrame(t.rdd.map(counted), t.schema), g)
+    assert read.value == len(titles)
+    state.add(2, t.limit(0), frames(spark, titles, tags[3:])[1])
+    assert (rows(state.genre_mart()), rows(state.country_mart())) == full(spark, titles, tags)
+
+
 HEADER = "title,release_year,director,language,country,duration,budget,box_office,genre\n"
 
 
