@@ -46,7 +46,8 @@ def clean_tag_list(c: Column | str, mapping: Mapping[str, str] = GENRE_CORRECTIO
     NULL (it explodes to no rows)."""
     c = F.col(c) if isinstance(c, str) else c
     pieces = F.split(c, _regex_escape(sep), -1)
-    fixed = F.transform(pieces, lambda x: dictionary_lookup(strip(x), mapping))
+    stripped = F.transform(pieces, strip)       # a lookup names its piece twice
+    fixed = F.transform(stripped, lambda x: dictionary_lookup(x, mapping))
     return F.array_distinct(fixed)
 
 

@@ -30,9 +30,11 @@ WS_CHARS = "".join(map(chr, (*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0
 
 def strip(c: Column | str) -> Column:
     """Unicode-aware trim equal to Python ``str.strip()`` (a character-set
-    trim: no regular expression runs)."""
+    trim: no regular expression runs). Spark's set trim goes through the whole
+    text, so one without such a character at an end is left alone."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.btrim(c, F.lit(WS_CHARS))
+    ends = F.substring(c, 1, 1).isin(*WS_CHARS) | F.substring(c, -1, 1).isin(*WS_CHARS)
+    return F.when(ends, F.btrim(c, F.lit(WS_CHARS))).otherwise(c)
 
 
 def quoted(name: str) -> str:
