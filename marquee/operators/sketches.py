@@ -21,12 +21,24 @@ STANDARD_ERROR = 1.04 / 2 ** (LG_K / 2)
 #: Stated bound on the relative error: five standard errors.
 BOUND = 5 * STANDARD_ERROR
 
+#: Tasks that a group's distinct values are dealt out to.
+PARTS = 4
+
 GROUPS = ("country", "release_year", "genre")
 
 
 def title_sketches(rows: DataFrame, groups: Sequence[str] = GROUPS, value: str = "title") -> DataFrame:
-    """(groups, n_rows, sketch): one sketch of ``value`` per group."""
-    return rows.groupBy(*map(quoted, groups)).agg(F.count(F.lit(1)).alias("n_rows"), F.hll_sketch_agg(value, F.lit(LG_K)).alias("sketch"))
+    """(groups, n_rows, sketch): one sketch of ``value`` per group.
+
+    Equal rows are one before the sketches; a group then has its values dealt
+    out to ``PARTS`` tasks, so sketches that a shuffle moves don't grow in
+    number with the input's tasks."""
+    names = list(map(quoted, groups))
+    part = F.pmod(F.xxhash64("_v"), F.lit(PARTS)).alias("_part")
+    values = rows.select(*names, F.col(quoted(value)).alias("_v")).groupBy(*names, "_v", part).agg(F.count(F.lit(1)).alias("_n"))
+    parts = (values.repartition(*names, "_part").groupBy(*names, "_part")
+             .agg(F.sum("_n").alias("n_rows"), F.hll_sketch_agg("_v", F.lit(LG_K)).alias("sketch")))
+    return parts.groupBy(*names).agg(F.sum("n_rows").alias("n_rows"), F.hll_union_agg("sketch").alias("sketch"))
 
 
 def groupings(groups: Sequence[str] = GROUPS) -> Column:
@@ -43,10 +55,12 @@ def merged_counts(sketches: DataFrame, groups: Sequence[str] = GROUPS) -> DataFr
 
 
 def exact_counts(rows: DataFrame, groups: Sequence[str] = GROUPS, value: str = "title") -> DataFrame:
-    """(grouping, value, titles): the same by exact counting (each row is
-    reduced to distinct (grouping, value, title) before it is counted)."""
-    parts = rows.select(F.col(value).alias("_v"), groupings(groups).alias("g")).select("_v", "g.*")
-    return parts.groupBy("grouping", "value").agg(F.count_distinct("_v").alias("titles"))
+    """(grouping, value, titles): the same by exact counting. Equal rows are
+    one before they are dealt by their value; where a value stands, each
+    grouping it belongs to counts it once, so only counts are shuffled then."""
+    distinct = rows.select(F.col(quoted(value)).alias("_v"), *map(quoted, groups)).distinct()
+    parts = distinct.repartition("_v").select("_v", groupings(groups).alias("g")).select("_v", "g.*").distinct()
+    return parts.groupBy("grouping", "value").agg(F.count("_v").alias("titles"))
 
 
 def accuracy(sketches: DataFrame, rows: DataFrame, groups: Sequence[str] = GROUPS, value: str = "title", bound: float = BOUND) -> DataFrame:

@@ -99,3 +99,26 @@ def test_stored_sketches_merge_to_any_grouping(spark):
     # two batches' sketches, stored apart, merge to the same estimates as one
     parts = sketches.title_sketches(df.where("release_year = 1999")).unionByName(sketches.title_sketches(df.where("release_year = 2000")))
     assert rows(sketches.merged_counts(parts)) == rows(sketches.merged_counts(stored))
+
+
+def test_sketches_are_not_shuffled_per_task(spark):
+    """Sketches are made behind the shuffle of distinct values, not in each task that reads rows; exact counts move no grouping's rows."""
+    df = spark.createDataFrame([("x", 1999, "a", "t"), ("x", 1999, "a", "t"), ("x", 1999, "b", None), (None, None, None, None)],
+                               "country string, release_year int, genre string, title string")
+    made = sketches.title_sketches(df)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    between = plan[plan.index(" hll_sketch_agg("):plan.index("partial_hll_sketch_agg(")]
+    assert "Exchange" not in between
+    assert sorted(r["n_rows"] for r in made.collect()) == [1, 1, 2]
+    out = {(r["grouping"], r["value"]): (r["n_rows"], r["titles"], r["within_bound"]) for r in sketches.accuracy(made, df).collect()}
+    assert out["all", None] == (4, 1, True) and out["genre", "b"] == (1, 0, True) and out["country", None] == (1, 0, True)
+
+
+def test_tags_are_trimmed_once(spark):
+    from marquee.functions.tags import clean_tag_list
+    from marquee.functions.text import WS_CHARS, strip
+    texts = ["", " ", "a", " a", "a ", " a b\t", "a\x1c,b", *[f"{w}x{w}y{w}" for w in WS_CHARS], "\U0001f600 ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(strip("t")).collect()] == [t if t is None else t.strip() for t in texts]
+    plan = df.select(clean_tag_list("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(lambda") == 1
