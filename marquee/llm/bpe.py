@@ -5,7 +5,8 @@ perfect hash over the vocabulary: one bucket displacement, one slot, one
 comparison. Any other pre-token is merged bottom up: its bytes form a doubly
 linked list, a heap holds the mergeable neighbours by (rank, place), and each
 merge replaces two links by one and offers at most two new neighbours, so a
-pre-token of n bytes costs O(n log n) however long it is.
+pre-token of n bytes costs O(n log n) however long it is. Up to ``SHORT``
+bytes the least neighbour is looked for among all, which costs less there.
 
 The pattern is one whose pre-tokens never run from a letter over a blank to
 another letter; long texts are split there, so memory follows a slice.
@@ -21,8 +22,10 @@ from __future__ import annotations
 
 import base64
 import heapq
+import uuid
 from collections.abc import Sequence
 from hashlib import sha256
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -97,9 +100,32 @@ class PerfectHash:
         return self.values[slot] if self.keys[slot] == key else None
 
 
+#: Bytes up to which looking through all neighbours is faster than a heap.
+SHORT = 48
+NO_RANK = 1 << 62
+
+
+def merge_short(token: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """``merge_bytes`` of a short pre-token: the least rank of all neighbours, the first of equal ones."""
+    rank = ranks.get
+    parts = [token[i:i + 1] for i in range(len(token))]
+    pairs = [rank(token[i:i + 2], NO_RANK) for i in range(len(token) - 1)]
+    while pairs and (least := min(pairs)) != NO_RANK:
+        i = pairs.index(least)
+        parts[i] = part = parts[i] + parts.pop(i + 1)
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = rank(part + parts[i + 1], NO_RANK)
+        if i:
+            pairs[i - 1] = rank(parts[i - 1] + part, NO_RANK)
+    return [ranks[p] for p in parts]
+
+
 def merge_bytes(token: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a pre-token that is no vocabulary entry."""
     n = len(token)
+    if n <= SHORT:
+        return merge_short(token, ranks)
     end = list(range(1, n + 1))      # the part that starts at i ends at end[i]
     left = list(range(-1, n - 1))    # where the part before the one at i starts
     heap = []
@@ -147,8 +173,12 @@ def slices(text: str, cut, most: int = AT_ONCE):
     yield text[at:]
 
 
+#: Pre-tokens whose ids a worker keeps.
+KNOWN = 500_000
+
+
 class Codec:
-    """Encoder and decoder of one rank file; one per Python worker task."""
+    """Encoder and decoder of one rank file; one per Python worker."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, hashed: PerfectHash | None = None):
         import regex
@@ -158,13 +188,15 @@ class Codec:
         self.cut = regex.compile(r"(?<=\p{L}) (?=\p{L})")
         self.hashed = hashed or PerfectHash(list(ranks), list(ranks.values()))
         self.bytes_of = {v: k for k, v in ranks.items()}
-        self.memo = Memo(self._ids)
+        self.memo = Memo(self._ids, KNOWN)
 
     def _ids(self, token: str) -> bytes:
         raw = token.encode()
         whole = self.hashed.get(raw)
-        ids = [whole] if whole is not None else merge_bytes(raw, self.ranks)
-        return np.array(ids, "<u4").tobytes()
+        if whole is not None:
+            return whole.to_bytes(4, "little")
+        ids = merge_bytes(raw, self.ranks)
+        return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -194,11 +226,23 @@ def _mapped(docs: DataFrame, keep: Sequence[str], column: str, more: str, fn) ->
     return docs.select(*(docs[k] for k in keep), docs[column]).mapInArrow(run, schema)
 
 
+_MADE: dict[str, Codec] = {}
+
+
+def worker_codec(name: str, shared, pattern: str) -> Codec:
+    """The codec of this Python worker: its later tasks know the pre-tokens of the earlier ones."""
+    if name not in _MADE:
+        _MADE.clear()
+        _MADE[name] = Codec(shared.value[0], pattern, shared.value[1])
+    return _MADE[name]
+
+
 def codec_source(spark: SparkSession, ranks_path: str, pattern: str):
     """Broadcast of the ranks and their hash; its size is the rank file's."""
     ranks = read_ranks(ranks_path)
     shared = spark.sparkContext.broadcast((ranks, PerfectHash(list(ranks), list(ranks.values()))))
-    return lambda: Codec(shared.value[0], pattern, shared.value[1])
+    name = uuid.uuid4().hex
+    return lambda: worker_codec(name, shared, pattern)
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, keep: Sequence[str] = ("doc_id",),

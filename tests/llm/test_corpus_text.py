@@ -434,3 +434,20 @@ def test_components(spark):
 def test_empty_table_and_null_rows(spark, run):
     assert run(frame(spark, [])).count() == 0
     assert run(frame(spark, [(None, None), (None, None), (1, None)])).count() == 3
+
+
+def test_short_merges_equal_the_heaps(monkeypatch):
+    """Looking through all neighbours gives the heap's ids; a worker's tasks share one codec."""
+    from types import SimpleNamespace
+
+    rng = random.Random(5)
+    ranks = {bytes([b]): b for b in range(97, 101)}
+    while len(ranks) < 60:
+        ranks.setdefault(b"".join(rng.choices(list(ranks), k=2)), 200 + len(ranks))
+    tokens = [bytes(rng.choices(range(97, 101), k=rng.randrange(1, bpe.SHORT + 1))) for _ in range(500)]
+    short = [bpe.merge_short(t, ranks) for t in tokens]
+    monkeypatch.setattr(bpe, "SHORT", 0)
+    assert short == [bpe.merge_bytes(t, ranks) for t in tokens]
+    shared = SimpleNamespace(value=(ranks, bpe.PerfectHash(list(ranks), list(ranks.values()))))
+    assert bpe.worker_codec("one", shared, r"\S+") is bpe.worker_codec("one", shared, r"\S+")
+    assert bpe.worker_codec("two", shared, r"\S+") is not bpe.worker_codec("one", shared, r"\S+")
