@@ -6,7 +6,7 @@ document with a smaller id.
 1. *Copies.* Documents with the same bytes are one class; all of its members
    but those with the smallest id lose everything. From here on a class is its
    first document.
-2. *Anchors.* The smallest hash among the 16-byte strings inside a window of
+2. *Anchors.* The smallest hash among the ``GRAM``-byte strings inside a window of
    ``LENGTH`` bytes is the window's anchor. Equal windows have equal anchors,
    so windows whose anchor no other document has can't be repeated. Chunks of
    documents ask about each of their anchors once, whatever the number of
@@ -17,7 +17,12 @@ document with a smaller id.
    task. An anchor whose contexts may have more than ``HOT_BYTES`` over all
    chunks is hot everywhere: each of its windows is a context of its own, dealt
    out by the hash of its bytes, so a short passage that many documents hold
-   between different words fills no task. In the tasks the difference-cover algorithm sorts all suffixes: the sampled
+   between different words fills no task. A message holds what a chunk has for
+   several buckets, which the task sorts one by one, so their number doesn't
+   limit the number of buckets. Equal contexts are one; those left that have no
+   more in common with another one than their anchor (step 2 again, with longer
+   strings) share no window, and each of their windows has their own smallest id.
+   In the tasks the difference-cover algorithm sorts all suffixes of the others: the sampled
    triples (places 1 and 2 modulo 3) are sorted and named, the names are
    sorted by the same algorithm until they cover ``LENGTH`` bytes, the
    remaining suffixes follow from their first symbol and the rank of the next
@@ -46,19 +51,39 @@ from pyspark.sql import Column, DataFrame, functions as F
 from marquee.functions.text import quoted
 from marquee.llm.common import NO_ID, chunk_id, mix, per_batch, prepare, ranges, written
 
-LENGTH, GRAM = 50, 16
+#: Equal strings of GRAM bytes are rare by chance, also in a large corpus (of 16 bytes they were not); no result depends on it.
+LENGTH, GRAM = 50, 24
+#: Bytes that two equal windows share on one side of their anchor at least.
+SIDE = (LENGTH - GRAM) // 2
 #: Bytes of an anchor's contexts (a task sorts with some 160 bytes for each) from which its windows are dealt out one by one.
 HOT_BYTES = 1 << 20
 CHUNK_ROWS, CHUNK_BYTES, SLICE_BYTES = 1024, 4_000_000, 4_000_000
 #: Bytes of the context of a run whose anchor is in all windows that can hold it; what tells numbers of hot runs from others.
 FULL_RUN, HOT = 2 * LENGTH - GRAM, np.uint32(1 << 31)
-ODD1, ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+ODD1, ODD2, ODD3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
+#: Buckets that share a message.
+SHARE = 8
 
 
 def words_at(raw: bytes | np.ndarray) -> np.ndarray:
     """The little-endian 64-bit word that starts at each byte."""
-    b = np.frombuffer(raw, np.uint8)
-    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(b, 8)).view("<u8").ravel()
+    n = len(raw) - 7
+    out = np.empty(max(0, n), "<u8")
+    for k in range(min(8, n)):
+        out[k::8] = np.frombuffer(raw, "<u8", (n - k + 7) // 8, k)
+    return out
+
+
+def gram_hashes(words: np.ndarray) -> np.ndarray:
+    """A hash of the ``GRAM`` bytes at each place, of the words at each."""
+    n = len(words) - GRAM + 8
+    h = words[:n] * ODD1
+    h += words[8:n + 8] * ODD3
+    h += words[GRAM - 8:] * ODD2
+    h ^= h >> np.uint64(32)
+    h *= ODD2
+    h ^= h >> np.uint64(29)
+    return h
 
 
 def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -67,14 +92,9 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     if len(raw) > 2 * SLICE_BYTES:
         parts = [anchors(raw[at:at + SLICE_BYTES + LENGTH - 1]) for at in range(0, len(raw) - LENGTH + 1, SLICE_BYTES)]
         return np.concatenate([a for a, _ in parts]), np.concatenate([n for _, n in parts])
-    n = len(raw) - GRAM + 1
     if len(raw) < LENGTH:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    w = words_at(raw)
-    h = w[:n] * ODD1 + w[GRAM - 8:] * ODD2
-    h ^= h >> np.uint64(32)
-    h *= ODD2
-    h ^= h >> np.uint64(29)
+    h = gram_hashes(words_at(raw))
     width, span = LENGTH - GRAM + 1, 1
     while 2 * span <= width:
         h = np.minimum(h[:-span], h[span:])
@@ -85,12 +105,12 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mix(h[start]), np.diff(np.append(start, len(h)))
 
 
-def window_hashes(raw: bytes, places: np.ndarray) -> np.ndarray:
-    """A hash of the ``LENGTH`` bytes at each place."""
+def window_hashes(raw: bytes, places: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """A hash of the ``length`` bytes at each place."""
     h = np.zeros(len(places), np.uint64)
     if len(places):
         w = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, np.uint8), 8)
-        for k in [*range(0, LENGTH - 8, 8), LENGTH - 8]:
+        for k in [*range(0, length - 8, 8), length - 8]:
             h = mix(h * ODD1 + w[places + k].view("<u8").ravel())
     return h
 
@@ -331,72 +351,98 @@ def smallest_ids(strings: list[bytes], ids: np.ndarray, length: int = LENGTH) ->
     return out
 
 
+def _distinct(raw: bytes, start: np.ndarray, length: np.ndarray, ids: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The different strings of ``raw`` at these places; the number of each place's string; the smallest id of each string."""
+    seen: dict[bytes, int] = {}
+    number = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(start.tolist(), (start + length).tolist(), strict=True)], np.int64)
+    least = np.full(len(seen), NO_ID, "<i8")
+    np.minimum.at(least, number, ids)
+    return list(seen), number, least
+
+
 def _ask_contexts(buckets: int):
-    """(key, text, id, runs) rows -> messages (bucket, chunk, contexts, sizes, ids, home)."""
+    """(key, text, id, runs) rows -> messages (bucket, chunk, contexts, sizes, ids, within, home).
+
+    A message is for ``SHARE`` buckets in a row, the first divided by ``SHARE``
+    its own number; ``within`` is the number of contexts for each of them.
+    """
     def run(batches):
         for serial, rows in enumerate(chunked(batches, 1)):
-            seen: dict[tuple[int, bytes], int] = {}
-            least: list[int] = []
-            number, sizes, firsts = [], [], []
-            for _, raw, id_, runs, *_ in rows:
+            found = []
+            for _, raw, _, runs, *_ in rows:
                 anchor, size = anchors(raw)
                 runs = np.frombuffer(runs, "<u4")
                 hot = runs >= HOT
                 at = np.cumsum(size) - size
                 cold, runs = runs[~hot], runs[hot] - HOT
                 single = ranges(at[runs], size[runs])
-                first = [*at[cold].tolist(), *single.tolist()]
-                firsts += first
-                bucket = np.concatenate([_bucket(anchor[cold], buckets), _bucket(window_hashes(raw, single), buckets)])
-                for s, r, b in zip(first, [*size[cold].tolist(), *[1] * len(single)], bucket.tolist(), strict=True):
-                    c = (b, raw[s:s + r + LENGTH - 1])
-                    k = seen.setdefault(c, len(seen))
-                    if k == len(least):
-                        least.append(id_)
-                    elif id_ < least[k]:
-                        least[k] = id_
-                    number.append(k)
-                sizes.append(len(first))
-            bucket = np.array([b for b, _ in seen], np.int64)
-            contexts, ids = [c for _, c in seen], np.array(least, "<i8")
+                found.append((np.append(at[cold], single), np.append(size[cold], np.ones(len(single), np.int64)),
+                              np.append(_bucket(anchor[cold], buckets), _bucket(window_hashes(raw, single), buckets))))
+            sizes = np.array([len(first) for first, _, _ in found], "<i8")
+            firsts, windows, every = (np.concatenate(x) for x in zip(*found, strict=True))
+            length = windows + LENGTH - 1
+            start = firsts + np.repeat(np.cumsum([0, *(len(r[1]) for r in rows[:-1])]), sizes)
+            contexts, number, least = _distinct(b"".join(r[1] for r in rows), start, length, np.repeat(np.array([r[2] for r in rows], "<i8"), sizes))
+            bucket, size = np.empty(len(contexts), np.int64), np.empty(len(contexts), "<u4")  # equal bytes have one anchor, so one bucket
+            bucket[number], size[number] = every, length
             order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            ends = np.searchsorted(bucket[order], np.arange(buckets + SHARE))  # of a bucket past the last one, too: the last message may have fewer
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             keys = np.array([r[0] for r in rows], "<i8")
             chunk = chunk_id(serial, keys.tobytes())
-            home = pack_arrays(keys, np.array([r[2] for r in rows], "<i8"), np.array([len(r[1]) for r in rows], "<i8"), np.array(sizes, "<i8"),
-                               np.array(firsts, "<u4"), place[np.array(number, np.int64)].astype("<u4"), np.array([len(contexts[k]) for k in order], "<u4"))
-            used = np.union1d(np.flatnonzero(np.diff(ends)), [chunk % buckets]).astype(np.int64)
-            of = [order[ends[b]:ends[b + 1]] for b in used]
+            home = pack_arrays(keys, np.array([r[2] for r in rows], "<i8"), np.array([len(r[1]) for r in rows], "<i8"), sizes,
+                               firsts.astype("<u4"), place[number].astype("<u4"), size[order])
+            at_home = chunk % buckets // SHARE
+            used = np.union1d(bucket // SHARE, [at_home]).astype(np.int64)
+            starts = ends[SHARE * used[:, None] + np.arange(SHARE + 1)]
+            of = [order[a:b] for a, b in starts[:, [0, -1]].tolist()]
+            within = np.diff(starts).astype("<u4")
             yield pa.RecordBatch.from_arrays([
-                pa.array(used, pa.int32()), pa.array(np.full(len(used), chunk), pa.int64()), pa.array([b"".join(contexts[k] for k in o) for o in of], pa.binary()),
-                pa.array([np.array([len(contexts[k]) for k in o], "<u4").tobytes() for o in of], pa.binary()), pa.array([ids[o].tobytes() for o in of], pa.binary()),
-                pa.array([home if b == chunk % buckets else None for b in used], pa.binary())], names=["bucket", "chunk", "contexts", "sizes", "ids", "home"])
+                pa.array(used, pa.int32()), pa.array(np.full(len(used), chunk), pa.int64()), pa.array([b"".join([contexts[k] for k in o.tolist()]) for o in of], pa.binary()),
+                pa.array([size[o].tobytes() for o in of], pa.binary()), pa.array([least[o].tobytes() for o in of], pa.binary()),
+                pa.array([x.tobytes() for x in within], pa.binary()), pa.array([home if b == at_home else None for b in used], pa.binary())],
+                names=["bucket", "chunk", "contexts", "sizes", "ids", "within", "home"])
     return run
 
 
+def _near(strings: list[bytes]) -> np.ndarray:
+    """For each of different contexts: may it share a window with another one?
+
+    All windows of a context have its smallest gram hash. Equal windows hold
+    that gram at the same place, with ``SIDE`` equal bytes before or after it.
+    """
+    size = np.array([len(s) for s in strings], np.int64)
+    end = np.cumsum(size)
+    start = end - size
+    raw = b"".join(strings)
+    h = gram_hashes(words_at(raw + b"\0" * (GRAM - 1)))  # one a byte
+    h[(end[:, None] - np.arange(1, GRAM)).ravel()] = np.iinfo(np.uint64).max  # these cross an end
+    at = np.flatnonzero(h == np.repeat(np.minimum.reduceat(h, start), size))
+    owner = np.repeat(np.arange(len(size)), size)[at]
+    before, after = at - SIDE >= start[owner], at + GRAM + SIDE <= end[owner]
+    key = np.concatenate([window_hashes(raw, at[before] - SIDE, GRAM + SIDE), ~window_hashes(raw, at[after], GRAM + SIDE)])
+    owner = np.concatenate([owner[before], owner[after]])
+    near = np.zeros(len(size), bool)
+    if len(key):
+        order = np.argsort(key)
+        key, owner = key[order], owner[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        several = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
+        near[owner[np.repeat(several, np.diff(np.append(first, len(key))))]] = True
+    return near
+
+
 def _answer_contexts(f: pd.DataFrame) -> pd.DataFrame:
     """The smallest id of each window of each chunk's contexts, as runs of (id, windows)."""
-    seen: dict[bytes, int] = {}
-    least: list[int] = []
-    numbers = []
-    for blob, sizes, ids in zip(f["contexts"], f["sizes"], f["ids"], strict=True):
-        own, at = [], 0
-        for n, i in zip(np.frombuffer(sizes, "<u4").tolist(), np.frombuffer(ids, "<i8").tolist(), strict=True):
-            c = blob[at:at + n]
-            at += n
-            k = seen.setdefault(c, len(seen))
-            if k == len(least):
-                least.append(i)
-            elif i < least[k]:
-                least[k] = i
-            own.append(k)
-        numbers.append(np.array(own, np.int64))
-    strings = list(seen)
+    length, ids = (np.frombuffer(b"".join(f[c]), t).astype(np.int64) for c, t in (("sizes", "<u4"), ("ids", "<i8")))
+    strings, number, least = _distinct(b"".join(f["contexts"]), np.cumsum(length) - length, length, ids)
+    numbers = np.split(number, np.cumsum([len(x) // 4 for x in f["sizes"]])[:-1])
     windows = np.array([max(0, len(s) - LENGTH + 1) for s in strings], np.int64)
     start = np.cumsum(windows) - windows
-    least_of = smallest_ids(strings, np.array(least, np.int64))
+    near = _near(strings) if strings else np.zeros(0, bool)
+    least_of = np.repeat(least, windows)
+    least_of[np.repeat(near, windows)] = smallest_ids([s for s, x in zip(strings, near, strict=True) if x], least[near])
     values, lengths = [], []
     for own in numbers:
         v = least_of[ranges(start[own], windows[own])]
@@ -406,6 +452,36 @@ def _answer_contexts(f: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": f["chunk"], "bucket": f["bucket"], "ids": values, "sizes": lengths, "home": f["home"]})
 
 
+def _answer_messages(answer):
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        """``answer`` to messages, bucket by bucket over all chunks."""
+        within = np.frombuffer(b"".join(f["within"]), "<u4").astype(np.int64)  # contexts by (message, bucket)
+        size, ids = (np.frombuffer(b"".join(f[c]), t) for c, t in (("sizes", "<u4"), ("ids", "<i8")))
+        size = size.astype(np.int64)
+        last = np.cumsum(within)
+        total, windows = (np.diff(np.concatenate([[0], np.cumsum(x)])[np.append(0, last)]) for x in (size, size - LENGTH + 1))
+        upto = np.cumsum(total.reshape(-1, SHARE), axis=1)
+        pieces = [blob[a:b] for blob, row in zip(f["contexts"], upto.tolist(), strict=True) for a, b in zip([0, *row], row)]
+        least = []
+        for k in range(SHARE):
+            own = ranges(last[k::SHARE] - within[k::SHARE], within[k::SHARE])
+            if len(own):
+                one = pd.DataFrame({"chunk": [0], "bucket": [k], "contexts": [b"".join(pieces[k::SHARE])], "sizes": [size[own].astype("<u4").tobytes()],
+                                    "ids": [ids[own].tobytes()], "home": [None]})
+                found = answer(one)
+                least.append(np.repeat(np.frombuffer(found["ids"][0], "<i8"), np.frombuffer(found["sizes"][0], "<u4")))
+        # by (bucket, message) so far; a message gets those of its buckets together
+        by = windows.reshape(-1, SHARE).T.ravel()
+        start = (np.cumsum(by) - by).reshape(SHARE, -1).T.ravel()
+        v = np.concatenate([np.zeros(0, np.int64), *least])[ranges(start, windows)]
+        ends = np.cumsum(windows.reshape(-1, SHARE).sum(axis=1))
+        cut = np.union1d(np.flatnonzero(np.append(True, v[1:] != v[:-1])) if len(v) else np.zeros(0, np.int64), ends[ends < len(v)])
+        values, lengths, at = v[cut].astype("<i8"), np.diff(np.append(cut, len(v))).astype("<u4"), np.searchsorted(cut, np.append(0, ends)).tolist()
+        return pd.DataFrame({"chunk": f["chunk"], "bucket": f["bucket"], "ids": [values[a:b].tobytes() for a, b in zip(at, at[1:])],
+                             "sizes": [lengths[a:b].tobytes() for a, b in zip(at, at[1:])], "home": f["home"]})
+    return run
+
+
 def _spans(f: pd.DataFrame) -> pd.DataFrame:
     """(key, spans): the removed runs of bytes of each document that loses some, as (start, end) pairs."""
     home = next(x for x in f["home"] if x is not None)
@@ -440,7 +516,7 @@ class Repeats:
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text: str = "text", extra: Sequence[Column] = ()):
         spark = prepare(docs.sparkSession)
         width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets, small = 4 * width, 16 * width  # sorting holds some 20 numbers a byte of a bucket's contexts
+        buckets, small = width, 16 * width  # sorting holds some 20 numbers a byte of a bucket's contexts
         key = F.xxhash64(docs[id_col], docs[text])
         id_ = F.coalesce(docs[id_col], F.lit(NO_ID)).cast("long")
         whole = F.coalesce(docs[text], F.lit(""))
@@ -455,8 +531,8 @@ class Repeats:
         self.texts = docs.select(key.alias("key"), whole.alias("text"), id_.alias("id"), *(c.alias(f"_x{i}") for i, c in enumerate(extra)))
         self.extra = [f"_x{i}" for i in range(len(extra))]
         marked = self.texts.join(marks, "key").groupBy("key").agg(*(F.first(c).alias(c) for c in ("text", "id", "runs", *self.extra)))
-        asked = marked.mapInArrow(_ask_contexts(small), "bucket int, chunk long, contexts binary, sizes binary, ids binary, home binary")
-        answers = asked.groupBy("bucket").applyInPandas(_answer_contexts, "chunk long, bucket int, ids binary, sizes binary, home binary")
+        asked = marked.mapInArrow(_ask_contexts(small), "bucket int, chunk long, contexts binary, sizes binary, ids binary, within binary, home binary")
+        answers = asked.groupBy("bucket").applyInPandas(_answer_messages(_answer_contexts), "chunk long, bucket int, ids binary, sizes binary, home binary")
         self.spans = answers.groupBy("chunk").applyInPandas(_spans, "key long, spans binary")
         self.documents = ident.join(classes, "sha256")
 
