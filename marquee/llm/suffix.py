@@ -150,7 +150,7 @@ def _codes(buckets: int) -> str:
 
 
 def _ask_anchors(buckets: int):
-    """(key, text) rows -> messages (bucket, chunk, asked, several, weight, home).
+    """Rows that begin with key and text -> messages (bucket, chunk, asked, several, weight, home).
 
     Each anchor of the chunk is asked about by its first run, with a bit that
     says whether several texts of the chunk have it, and the binary logarithm
@@ -165,7 +165,7 @@ def _ask_anchors(buckets: int):
     top = int(np.iinfo(kind).max)
 
     def run(batches):
-        for number, rows in enumerate(chunked(batches, 1)):
+        for number, rows in enumerate(chunked((b.select([0, 1]) for b in batches), 1)):
             found = [anchors(raw) for _, raw in rows]
             count = np.array([len(a) for a, _ in found], "<i8")
             h, size = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -523,13 +523,13 @@ class Repeats:
         ident = docs.select(id_.alias("id"), key.alias("key"), F.octet_length(whole).cast("long").alias("n_bytes"), F.sha2(whole, 256).alias("sha256"))
         classes = written(ident.groupBy("sha256").agg(F.min(F.struct("id", "key")).alias("m"))
                           .select("sha256", F.col("m.id").alias("first_id"), F.col("m.key").alias("first_key")))
-        asked = docs.select(key.alias("key"), whole.alias("text")).mapInArrow(_ask_anchors(buckets), "bucket int, chunk long, asked binary, several binary, weight binary, home binary")
-        answers = asked.groupBy("bucket").applyInPandas(_answer_anchors(HOT_BYTES), "chunk long, bucket int, again binary, hot binary, home binary")
-        marks = (answers.groupBy("chunk").applyInPandas(_mark(buckets), "key long, runs binary")
-                 .join(classes.select(F.col("first_key").alias("key")), "key", "left_semi"))
-        # the texts go by key twice, each time with all of these columns: Spark shuffles them once and reads that again
+        # the texts go by key three times, each time with all of these columns: Spark shuffles them once and reads that again
         self.texts = docs.select(key.alias("key"), whole.alias("text"), id_.alias("id"), *(c.alias(f"_x{i}") for i, c in enumerate(extra)))
         self.extra = [f"_x{i}" for i in range(len(extra))]
+        firsts = classes.select(F.col("first_key").alias("key"))
+        asked = self.texts.join(firsts.hint("shuffle_hash"), "key", "left_semi").mapInArrow(_ask_anchors(buckets), "bucket int, chunk long, asked binary, several binary, weight binary, home binary")
+        answers = asked.groupBy("bucket").applyInPandas(_answer_anchors(HOT_BYTES), "chunk long, bucket int, again binary, hot binary, home binary")
+        marks = answers.groupBy("chunk").applyInPandas(_mark(buckets), "key long, runs binary")
         marked = self.texts.join(marks, "key").groupBy("key").agg(*(F.first(c).alias(c) for c in ("text", "id", "runs", *self.extra)))
         asked = marked.mapInArrow(_ask_contexts(small), "bucket int, chunk long, contexts binary, sizes binary, ids binary, within binary, home binary")
         answers = asked.groupBy("bucket").applyInPandas(_answer_messages(_answer_contexts), "chunk long, bucket int, ids binary, sizes binary, home binary")

@@ -51,3 +51,19 @@ def test_a_chunk_sends_few_messages_for_many_buckets():
         sent = pa.Table.from_batches(suffix._ask_contexts(buckets)(iter([batch]))).to_pandas()
         assert len(sent) <= buckets / 8 + 1 and sum(h is not None for h in sent["home"]) == 1
         assert sum(len(x) for x in sent["contexts"]) == sum(len(c) for c in {c for raw in raws for c in contexts_of(raw)})
+
+
+def test_copies_ask_nothing(spark, monkeypatch):
+    # three copies of each text, in other tasks; a class is its first document, so no text has anything in common with another one
+    texts = ["".join(random.Random(k).choices("abcdefghijklmnopqrstuvwxyz ", k=600)) for k in range(40)]
+    rows = [(k, texts[k % 40]) for k in range(120)]
+
+    def none(buckets):
+        def run(batches):
+            for batch in batches:
+                assert not batch.num_rows, "a document that only has copies is sorted"
+            return iter(())
+        return run
+    monkeypatch.setattr(suffix, "_ask_contexts", none)
+    got = suffix.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(6, "doc_id")).collect()
+    assert {g["id"]: g["n_removed"] for g in got} == {k: 600 * (k >= 40) for k in range(120)}
